@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressrun.llm import exact, quality
+from pressrun.llm import exact, quality, sharding
 from pressrun.llm._base import table
 
 
@@ -18,8 +18,13 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": lambda s, d: op1_quality_rules(s, d).drop("host", "host_rate"),
     "op2_exact_dedup": op2_exact_dedup,
+    "op10_sharding": op10_sharding,
 }
 ORACLES: dict[str, str] = {"op1_quality_rules": quality.ORACLE, "op2_exact_dedup": exact.ORACLE}
