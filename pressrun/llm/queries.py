@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressrun.llm import exact, quality, sharding
+from pressrun.llm import bpe, exact, packing, quality, sharding, token_output
 from pressrun.llm._base import table
 
 
@@ -18,6 +18,18 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(table(spark, sf_dir, "documents"))
+
+
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.read(*token_output.write(table(spark, sf_dir, "documents")))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -25,6 +37,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": lambda s, d: op1_quality_rules(s, d).drop("host", "host_rate"),
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_bpe": op4_bpe,
+    "op6_token_output": op6_token_output,
+    "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
 ORACLES: dict[str, str] = {"op1_quality_rules": quality.ORACLE, "op2_exact_dedup": exact.ORACLE}
