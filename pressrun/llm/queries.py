@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressrun.llm import bpe, exact, packing, quality, sharding, token_output
+from pressrun.llm import bpe, exact, minhash, packing, quality, sharding, token_output
 from pressrun.llm._base import table
 
 
@@ -26,6 +26,10 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read(*token_output.write(table(spark, sf_dir, "documents")))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.group(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_bpe": op4_bpe,
     "op6_token_output": op6_token_output,
+    "op7_minhash": op7_minhash,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
