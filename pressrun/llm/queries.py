@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressrun.llm import bpe, exact, minhash, packing, quality, sharding, token_output
+from pressrun.llm import bpe, exact, minhash, packing, quality, sharding, suffix, token_output
 from pressrun.llm._base import table
 
 
@@ -22,6 +22,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read(*token_output.write(table(spark, sf_dir, "documents")))
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": lambda s, d: op1_quality_rules(s, d).drop("host", "host_rate"),
     "op2_exact_dedup": op2_exact_dedup,
     "op4_bpe": op4_bpe,
+    "op5_suffix_array": op5_suffix_array,
     "op6_token_output": op6_token_output,
     "op7_minhash": op7_minhash,
     "op9_packing": op9_packing,
