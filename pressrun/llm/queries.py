@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressrun.llm import bpe, exact, minhash, packing, quality, sharding, suffix, token_output
+from pressrun.llm import bpe, exact, html, minhash, packing, quality, sharding, suffix, token_output
 from pressrun.llm._base import table
 
 
@@ -18,6 +18,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": lambda s, d: op1_quality_rules(s, d).drop("host", "host_rate"),
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_html_extraction": op3_html_extraction,
     "op4_bpe": op4_bpe,
     "op5_suffix_array": op5_suffix_array,
     "op6_token_output": op6_token_output,
