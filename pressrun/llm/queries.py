@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressrun.llm import bpe, exact, html, minhash, packing, quality, sharding, suffix, token_output
+from pressrun.llm import bpe, exact, html, minhash, packing, quality, sharding, suffix, token_output, toxicity
 from pressrun.llm._base import table
 
 
@@ -38,6 +38,10 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.group(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_suffix_array": op5_suffix_array,
     "op6_token_output": op6_token_output,
     "op7_minhash": op7_minhash,
+    "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }

@@ -217,7 +217,10 @@ def strip(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, int, bytes]
 
 
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row, and the text left if asked for."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row.
+
+    with_text adds the text left of rows that lost bytes, without parts of characters; null for the others.
+    """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
     rows = materialize(texts.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("sha")), "repeats")
@@ -294,7 +297,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
         for batch in batches:
             found = [strip(t, np.array(a, "i8"), np.array(b, "i8")) for t, a, b in zip(batch["text"], batch["lo"], batch["hi"])]
             out = pd.DataFrame({"doc_id": batch["doc_id"], "sha": [hashlib.sha256(t).digest() for t in batch["text"]], "n_removed": [x[0] for x in found], "n_spans": [x[1] for x in found], "kept_sha256": [hashlib.sha256(x[2]).hexdigest() for x in found]})
-            yield out.assign(text=[x[2].decode("utf-8", "replace") for x in found]) if with_text else out
+            yield out.assign(text=[x[2].decode("utf-8", "ignore") for x in found]) if with_text else out
 
     text_type = ", text string" if with_text else ""
     trimmed = chosen.select("doc_id", "text").join(merged, "doc_id").mapInPandas(cut, f"doc_id long, sha binary, n_removed long, n_spans long, kept_sha256 string{text_type}")
