@@ -4,9 +4,10 @@ A byte goes if some `width`-byte string that covers it also starts in a document
 
 Every window of `width` bytes is owned by one gram inside it, the least by hash (winnowing), so equal windows have
 equal owners. Owners met in one document only own no repeat; only the stretches of owners met in several
-documents go on, to shards by owner. A shard joins its stretches, each distinct one once, and builds their suffix
-array by induced sorting and the permuted common prefixes; suffixes that agree in `width` bytes form a class, and
-all windows of a class but those of its least doc_id are removed.
+documents go on, to shards by owner. Stretches that are the same string are taken once, with their least doc_id. Where
+an owner has one string, its windows are settled by that; the strings of all other owners that may share a window
+are joined, and their suffix array is built by induced sorting, with the permuted common prefixes: suffixes that
+agree in `width` bytes form a class. All windows of a class but those of its least doc_id are removed.
 
 Skew: exact copies of a text are settled by a count, without windows. Owners that a sample shows in many documents
 are hot: they are spread over SALTS shards each, and what is left of every class there meets in a second round,
@@ -37,7 +38,7 @@ WIDTH, GRAM = 50, 24
 SPAN = WIDTH - GRAM + 1
 SALTS = 64
 #: Bytes of text of one pass in a task, of one suffix array, and text that a shard of owners stands for.
-PASS_BYTES, ARRAY_BYTES, SHARD_BYTES = 4_000_000, 3_000_000, 12_000_000
+PASS_BYTES, ARRAY_BYTES, SHARD_BYTES = 4_000_000, 1_000_000, 6_000_000
 #: Documents in the sample for hot owners, and how many of them make an owner hot.
 SAMPLE, HOT_IN_SAMPLE = 2_000, 20
 BASE = 0x9E3779B97F4A7C15
@@ -132,79 +133,103 @@ def find_hot(texts: DataFrame, rows: int) -> np.ndarray:
     return np.array(sorted(r[0] for r in found), "i8").view("u8")
 
 
-def match(keys: np.ndarray, ids: np.ndarray, starts: np.ndarray, numbers: np.ndarray, data: np.ndarray, up: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Windows of stretches in one suffix array. Returns row, window of each removed one; row, window of what `up` rows have left."""
-    lengths = numbers + WIDTH - 1
-    at = np.cumsum(lengths) - lengths
-    sums = prefix_hashes(data)
-    content = window_hashes(sums, at, lengths)
-    _, first, same = np.unique(content ^ mix(lengths.astype("u8")), return_index=True, return_inverse=True)
-    # One copy of each distinct stretch, with a separator after it.
-    size, least = lengths[first], np.full(len(first), np.iinfo("i8").max)
-    np.minimum.at(least, same, ids)
-    goes = np.cumsum(size + 1) - (size + 1)
-    text = np.ones(int((size + 1).sum()) + 1, "i8")
+def classes(text: np.ndarray, at: np.ndarray, numbers: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """For the windows of distinct strings, one after the other: the least doc_id of the window's class.
+
+    text: bytes; string i starts at at[i], has numbers[i] windows and occurs in documents from least[i] on.
+    """
+    size = numbers + WIDTH - 1
+    goes = np.cumsum(size + 1) - (size + 1)  # a separator follows each string
+    joined = np.ones(int((size + 1).sum()) + 1, "i4")
     inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    text[np.repeat(goes, size) + inside] = data[np.repeat(at[first], size) + inside].astype("i8") + 2
-    text[-1] = 0
-    sa = suffix_array(text, 258, WIDTH)
-    letters = np.where(text < 2, 0, text - 2).astype("u1")
-    # A separator equals byte 0 here, but a class holds only windows that end before one.
-    shared = common_prefixes(letters, sa, WIDTH)[sa] >= WIDTH
-    owner = np.repeat(np.arange(len(first)), size + 1)
+    joined[np.repeat(goes, size) + inside] = text[np.repeat(at, size) + inside].astype("i4") + 2
+    joined[-1] = 0
+    sa = suffix_array(joined, 258, WIDTH)
+    # A separator looks like byte 0 here, but windows end before one.
+    shared = common_prefixes(np.where(joined < 2, 0, joined - 2).astype("u1"), sa, WIDTH)[sa] >= WIDTH
+    owner = np.repeat(np.arange(len(at)), size + 1)
     window = np.arange(len(owner)) - goes[owner]
-    good = np.append(window < numbers[first][owner], False)[sa]
+    good = np.append(window < numbers[owner], False)[sa]
     order = sa[good]
     # Between two windows of a class lie only suffixes that share its bytes, so a break anywhere between parts them.
     group = np.cumsum(~shared)[good]
     new = np.flatnonzero(np.diff(group, prepend=-1))
-    smallest = np.repeat(np.minimum.reduceat(least[owner[order]], new), np.diff(np.append(new, len(order)))) if len(order) else np.empty(0, "i8")
-    lowest = np.full(len(text), np.iinfo("i8").max)
-    lowest[order] = smallest
-    row = np.repeat(np.arange(len(ids)), numbers)
-    win = np.arange(len(row)) - np.repeat(np.cumsum(numbers) - numbers, numbers)
-    gone = lowest[goes[same[row]] + win] < ids[row]
-    left = ~gone & up[row]
-    return row[gone], win[gone], row[left], win[left]
+    low = np.empty(len(joined), "i8")
+    low[order] = np.repeat(np.minimum.reduceat(least[owner[order]], new), np.diff(np.append(new, len(order))))
+    row = np.repeat(np.arange(len(at)), numbers)
+    return low[goes[row] + np.arange(len(row)) - np.repeat(np.cumsum(numbers) - numbers, numbers)]
+
 
+def runs_of(sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the runs of equal values."""
+    start = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1])) if len(sorted_) else np.empty(0, "i8")
+    return start, np.diff(np.append(start, len(sorted_)))
 
-def settle(group: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """Removed ranges of bytes of each document, and the windows that go to the second round."""
+
+def lows(keys: np.ndarray, text: np.ndarray, at: np.ndarray, numbers: np.ndarray, least: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """As `classes`, for distinct strings of a shard: only strings that may share a window are sorted, whole keys at a time."""
+    low = np.repeat(least, numbers)
+    offset = np.cumsum(numbers) - numbers
+    order = np.argsort(keys, kind="stable")
+    _, count = runs_of(keys[order])
+    several = order[np.repeat(count > 1, count)]
+    if not len(several):
+        return low
+    row = np.repeat(several, numbers[several])
+    window = np.arange(len(row)) - np.repeat(np.cumsum(numbers[several]) - numbers[several], numbers[several])
+    found = window_hashes(sums, at[row] + window, np.full(len(row), WIDTH))
+    by = np.argsort(found, kind="stable")
+    _, count = runs_of(found[by])
+    linked = np.zeros(len(keys), bool)
+    linked[row[by[np.repeat(count > 1, count)]]] = True
+    several = several[linked[several]]
+    if not len(several):
+        return low
+    start, count = runs_of(keys[several])
+    block = (np.cumsum(numbers[several] + WIDTH) // ARRAY_BYTES)[np.repeat(start, count)]
+    start, count = runs_of(block)
+    for a, n in zip(start, count):
+        some = several[a : a + n]
+        here = np.repeat(offset[some], numbers[some]) + np.arange(int(numbers[some].sum())) - np.repeat(np.cumsum(numbers[some]) - numbers[some], numbers[some])
+        low[here] = classes(text, at[some], numbers[some], least[some])
+    return low
+
+
+def settle(group: pd.DataFrame, parts: int) -> Iterator[pd.DataFrame]:
+    """Removed ranges of bytes by part of the documents, and the windows that go to the second round."""
     keys, ids, starts, numbers, up, texts = (list(x) for x in zip(*map(load, group["data"])))
     keys, ids, starts, numbers, up = map(np.concatenate, (keys, ids, starts, numbers, up))
-    data = np.frombuffer(b"".join(texts), "u1")
+    text = np.frombuffer(b"".join(texts), "u1")
     lengths = numbers + WIDTH - 1
     at = np.cumsum(lengths) - lengths
-    order = np.argsort(keys, kind="stable")
-    # Whole keys, until an array is full.
-    size = np.cumsum(lengths[order])
-    block = size // ARRAY_BYTES
-    head = np.flatnonzero(np.diff(keys[order], prepend=keys[order][:1] ^ np.uint64(1)))
-    block = block[np.repeat(head, np.diff(np.append(head, len(order))))]
-    edges = np.flatnonzero(np.diff(block, prepend=-1))
-    for a, b in zip(edges, np.append(edges[1:], len(order))):
-        rows = order[a:b]
-        n = lengths[rows]
-        inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        own = data[np.repeat(at[rows], n) + inside]
-        row, win, left_row, left_win = match(keys[rows], ids[rows], starts[rows], numbers[rows], own, up[rows])
-        lo = starts[rows][row] + win
-        found = pd.DataFrame({"doc_id": ids[rows][row], "lo": lo}).sort_values(["doc_id", "lo"], kind="stable")
-        doc, lo = found["doc_id"].to_numpy(), found["lo"].to_numpy()
-        if len(lo):
-            new = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (lo[1:] > lo[:-1] + WIDTH)))
-            ends = np.append(new[1:], len(lo)) - 1
-            spans = pd.DataFrame({"doc_id": doc[new], "lo": lo[new], "hi": lo[ends] + WIDTH}).groupby("doc_id", sort=False).agg(list)
-            yield pd.DataFrame({"doc_id": spans.index.to_numpy(), "lo": spans["lo"].to_numpy(), "hi": spans["hi"].to_numpy(), "again": None, "data": None})
-        if len(left_row):
-            base = (np.cumsum(n) - n)[left_row] + left_win
-            pieces = own[base[:, None] + np.arange(WIDTH)]
-            key = window_hashes(prefix_hashes(pieces.ravel()), np.arange(len(base)) * WIDTH, np.full(len(base), WIDTH))
-            for part, i in by_part(key, 4096):
-                yield pd.DataFrame({"doc_id": [None], "lo": [None], "hi": [None], "again": [part], "data": [dump(key[i], ids[rows][left_row[i]], (starts[rows][left_row] + left_win)[i], np.ones(len(i), "i8"), np.zeros(len(i), bool), pieces[i].tobytes())]}).astype({"doc_id": "Int64"})
-
-
-SETTLED = "doc_id long, lo array<long>, hi array<long>, again long, data binary"
+    sums = prefix_hashes(text)
+    content = window_hashes(sums, at, lengths) ^ mix(lengths.astype("u8") + keys)
+    _, first, same = np.unique(content, return_index=True, return_inverse=True)
+    least = np.full(len(first), np.iinfo("i8").max)
+    np.minimum.at(least, same, ids)
+    low = lows(keys[first], text, at[first], numbers[first], least, sums)
+    offset = np.cumsum(numbers[first]) - numbers[first]
+    row = np.repeat(np.arange(len(ids)), numbers)
+    window = np.arange(len(row)) - np.repeat(np.cumsum(numbers) - numbers, numbers)
+    gone = low[offset[same[row]] + window] < ids[row]
+    left = ~gone & up[row]
+    doc, lo = ids[row[gone]], (starts[row] + window)[gone]
+    order = np.lexsort((lo, doc))
+    doc, lo = doc[order], lo[order]
+    if len(lo):
+        new = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (lo[1:] > lo[:-1] + WIDTH)))
+        hi = lo[np.append(new[1:], len(lo)) - 1] + WIDTH
+        for part, i in by_part(mix(doc[new].view("u8")), parts):
+            yield pd.DataFrame({"part": [part], "again": [False], "data": [dump(doc[new][i], lo[new][i], hi[i])]})
+    if left.any():
+        base = (at[row] + window)[left]
+        key = window_hashes(sums, base, np.full(len(base), WIDTH))
+        for part, i in by_part(key, parts):
+            pieces = text[base[i][:, None] + np.arange(WIDTH)].tobytes()
+            yield pd.DataFrame({"part": [part], "again": [True], "data": [dump(key[i], ids[row[left]][i], (starts[row] + window)[left][i], np.ones(len(i), "i8"), np.zeros(len(i), bool), pieces)]})
+
+
+SETTLED = "part long, again boolean, data binary"
 
 
 def strip(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, int, bytes]:
@@ -230,8 +255,9 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     total, parts = figures[0], max(shuffle_parts(spark), figures[1] // SHARD_BYTES + 1)
     placed = materialize(join_hot(known, groups, "sha", "n", total), "repeats-placed")
     copies = placed.where((F.col("doc_id") > F.col("first")) & (F.col("n_bytes") >= WIDTH))
+    copies = materialize(copies.select("doc_id", F.xxhash64("sha").alias("mark")).distinct(), "repeats-copies")
     longer = texts.where((F.octet_length("text") >= WIDTH) & F.col("doc_id").isNotNull())
-    longer = longer.join(copies.select("doc_id", "sha"), (longer["doc_id"] == copies["doc_id"]) & (F.unhex(F.sha2("text", 256)) == copies["sha"]), "left_anti")
+    longer = longer.withColumn("mark", F.xxhash64(F.unhex(F.sha2("text", 256)))).join(copies, ["doc_id", "mark"], "left_anti").select("doc_id", "text")
     hot = spark.sparkContext.broadcast(find_hot(longer, total))
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -239,33 +265,27 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
             for part in passes(batch):
                 doc, _, _, owner = owners(part["text"].tolist())
                 ids = part["doc_id"].to_numpy("i8")
-                cold = ~np.isin(owner, hot.value)
-                doc, owner, run = doc[cold], owner[cold], (np.arange(len(doc)) - np.searchsorted(doc, doc))[cold]
-                out = [(p, dump(owner[i] >> np.uint64(18), ids[doc[i]], run[i].astype("u4"))) for p, i in by_part(mix(owner), parts)]
+                warm = np.isin(owner, hot.value)
+                out = [(p, dump(np.empty(0, "u4"), np.empty(0, "i8"), np.empty(0, "u4"), ids[np.unique(doc[warm])][i])) for p, i in by_part(mix(ids[np.unique(doc[warm])].view("u8")), parts)]
+                run = (np.arange(len(doc)) - np.searchsorted(doc, doc))[~warm].astype("u4")
+                doc, owner = doc[~warm], mix(owner[~warm])
+                # Inside a part 32 bits tell owners apart; the few that they confuse only go on in vain.
+                out += [(p, dump((owner[i] >> np.uint64(32)).astype("u4"), ids[doc[i]], run[i], np.empty(0, "i8"))) for p, i in by_part(owner & np.uint64(0xFFFFFFFF), parts)]
                 yield pd.DataFrame(out, columns=["part", "data"])
 
     def shared(group: pd.DataFrame) -> pd.DataFrame:
-        owner, ids, run = (np.concatenate(x) for x in zip(*map(load, group["data"])))
+        owner, ids, run, warm = (np.concatenate(x) for x in zip(*map(load, group["data"])))
         order = np.argsort(owner, kind="stable")
-        head = np.flatnonzero(np.diff(owner[order], prepend=owner[order][:1] ^ np.uint64(1)))
-        several = np.minimum.reduceat(ids[order], head) != np.maximum.reduceat(ids[order], head)
-        keep = order[np.repeat(several, np.diff(np.append(head, len(order))))]
+        head, count = runs_of(owner[order])
+        several = np.minimum.reduceat(ids[order], head) != np.maximum.reduceat(ids[order], head) if len(head) else np.empty(0, bool)
+        keep = order[np.repeat(several, count)]
         keep = keep[np.argsort(ids[keep], kind="stable")]
-        first = np.flatnonzero(np.diff(ids[keep], prepend=ids[keep][:1] ^ 1)) if len(keep) else np.empty(0, "i8")
-        return pd.DataFrame({"doc_id": ids[keep][first], "runs": [x.tobytes() for x in np.split(run[keep], first[1:])] if len(keep) else []})
+        first, _ = runs_of(ids[keep])
+        docs_, runs_ = ids[keep][first].tolist() + warm.tolist(), [x.tobytes() for x in np.split(run[keep], first[1:])] if len(keep) else []
+        return pd.DataFrame({"doc_id": docs_, "runs": runs_ + [b""] * len(warm)})
 
     met = longer.mapInPandas(meet, "part long, data binary").groupBy("part").applyInPandas(shared, "doc_id long, runs binary")
-    runs = met.groupBy("doc_id").agg(F.collect_list("runs").alias("runs"))
-    if len(hot.value):
-        def has_hot(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for part in passes(batch):
-                    doc, _, _, owner = owners(part["text"].tolist())
-                    ids = part["doc_id"].to_numpy("i8")[np.unique(doc[np.isin(owner, hot.value)])]
-                    yield pd.DataFrame({"doc_id": ids, "runs": [[]] * len(ids)})
-
-        runs = runs.unionByName(longer.mapInPandas(has_hot, "doc_id long, runs array<binary>")).groupBy("doc_id").agg(F.flatten(F.collect_list("runs")).alias("runs"))
-    chosen = materialize(longer.join(runs, "doc_id"), "repeats-chosen")
+    runs = materialize(met.groupBy("doc_id").agg(F.collect_list("runs").alias("runs")), "repeats-runs")
 
     def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -276,32 +296,41 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
                 head = np.searchsorted(doc, np.arange(len(ids)))
                 keep = np.isin(owner, hot.value)
                 for d, found in enumerate(part["runs"]):
-                    if len(found):
-                        keep[head[d] + np.frombuffer(b"".join(found), "u4").astype("i8")] = True
+                    keep[head[d] + np.frombuffer(b"".join(found), "u4").astype("i8")] = True
                 doc, start, number, owner = doc[keep], start[keep], number[keep], owner[keep]
                 key, is_hot = salted(owner, ids[doc], hot.value)
+                out = []
                 for p, i in by_part(key, parts):
                     text = b"".join([texts_[d][a : a + w + WIDTH - 1] for d, a, w in zip(doc[i].tolist(), start[i].tolist(), number[i].tolist())])
-                    yield pd.DataFrame({"part": [p], "data": [dump(key[i], ids[doc[i]], start[i], number[i], is_hot[i], text)]})
+                    out.append((p, dump(key[i], ids[doc[i]], start[i], number[i], is_hot[i], text)))
+                yield pd.DataFrame(out, columns=["part", "data"])
 
     def each(group: pd.DataFrame) -> pd.DataFrame:
-        out = list(settle(group))
-        return pd.concat(out) if out else pd.DataFrame({c.split(" ")[0]: [] for c in SETTLED.split(", ")})
+        out = list(settle(group, parts))
+        return pd.concat(out) if out else pd.DataFrame({"part": [], "again": [], "data": []}).astype({"again": bool})
+
+    def spans(group: pd.DataFrame) -> pd.DataFrame:
+        doc, lo, hi = (np.concatenate(x) for x in zip(*map(load, group["data"])))
+        order = np.argsort(doc, kind="stable")
+        head, _ = runs_of(doc[order])
+        return pd.DataFrame({"doc_id": doc[order][head], "lo": [x.tobytes() for x in np.split(lo[order], head[1:])], "hi": [x.tobytes() for x in np.split(hi[order], head[1:])]})
 
-    once = materialize(chosen.mapInPandas(stretches, "part long, data binary").groupBy("part").applyInPandas(each, SETTLED), "repeats-once")
-    again = once.where("data IS NOT NULL").select(F.pmod("again", F.lit(min(parts, 4096))).alias("part"), "data").groupBy("part").applyInPandas(each, SETTLED)
-    spans = once.where("data IS NULL").unionByName(again).select("doc_id", "lo", "hi")
-    merged = spans.groupBy("doc_id").agg(F.flatten(F.collect_list("lo")).alias("lo"), F.flatten(F.collect_list("hi")).alias("hi"))
+    once = longer.join(runs, "doc_id").mapInPandas(stretches, "part long, data binary").groupBy("part").applyInPandas(each, SETTLED)
+    once = materialize(once, "repeats-once")
+    again = once.where("again").select("part", "data").groupBy("part").applyInPandas(each, SETTLED)
+    found = materialize(once.where("NOT again").unionByName(again).groupBy("part").applyInPandas(spans, "doc_id long, lo binary, hi binary"), "repeats-spans")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [strip(t, np.array(a, "i8"), np.array(b, "i8")) for t, a, b in zip(batch["text"], batch["lo"], batch["hi"])]
-            out = pd.DataFrame({"doc_id": batch["doc_id"], "sha": [hashlib.sha256(t).digest() for t in batch["text"]], "n_removed": [x[0] for x in found], "n_spans": [x[1] for x in found], "kept_sha256": [hashlib.sha256(x[2]).hexdigest() for x in found]})
-            yield out.assign(text=[x[2].decode("utf-8", "ignore") for x in found]) if with_text else out
+            done = [strip(t, np.frombuffer(a, "i8"), np.frombuffer(b, "i8")) for t, a, b in zip(batch["text"], batch["lo"], batch["hi"])]
+            out = pd.DataFrame({"doc_id": batch["doc_id"], "sha": [hashlib.sha256(t).digest() for t in batch["text"]], "n_removed": [x[0] for x in done], "n_spans": [x[1] for x in done], "kept_sha256": [hashlib.sha256(x[2]).hexdigest() for x in done]})
+            yield out.assign(text=[x[2].decode("utf-8", "ignore") for x in done]) if with_text else out
 
     text_type = ", text string" if with_text else ""
-    trimmed = chosen.select("doc_id", "text").join(merged, "doc_id").mapInPandas(cut, f"doc_id long, sha binary, n_removed long, n_spans long, kept_sha256 string{text_type}")
-    trimmed = materialize(trimmed.dropDuplicates(["doc_id", "sha"]), "repeats-trimmed")
+    trimmed = longer.join(found, "doc_id").mapInPandas(cut, f"doc_id long, sha binary, n_removed long, n_spans long, kept_sha256 string{text_type}")
+    trimmed = materialize(trimmed, "repeats-trimmed")
+    if trimmed.groupBy("doc_id", "sha").count().where("count > 1").limit(1).count():
+        trimmed = trimmed.dropDuplicates(["doc_id", "sha"])
     nothing = hashlib.sha256(b"").hexdigest()
     is_copy = F.coalesce((F.col("doc_id") > F.col("first")) & (F.col("n_bytes") >= WIDTH), F.lit(False))
     all_rows = placed.select("doc_id", "n_bytes", "sha", "first").unionByName(rows.where("doc_id IS NULL").withColumn("first", F.lit(None).cast("long")))
