@@ -173,7 +173,7 @@ def pack(records: DataFrame, config: SelectConfig = SelectConfig()) -> DataFrame
         out += [(k, "rejected", v, None, None, None) for k, v in skipped.items() if k not in chosen]
         return pd.DataFrame(out, columns=["cluster_id", "decision", "reason", "lane", "rank", "priority"]).astype({"rank": "Int32"})
 
-    done = stored(some.select(*columns).groupBy(F.lit(0)).applyInPandas(run, PACKED))
+    done = stored(some.select(*columns).groupBy(F.lit("all")).applyInPandas(run, PACKED))
     # A row behind those is refused by what its first lane had reached at its place: the edition's size, the lane's
     # cap, or else its topic. Both are reached at one selected row, and rows after that one meet them.
     keys = {
