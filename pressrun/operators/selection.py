@@ -107,11 +107,11 @@ def related_groups(records: DataFrame, judged: DataFrame, config: SelectConfig =
     """records with related_group_id and editorial_role; ineligible clusters take part. A main event leads its group."""
     edges = group_edges(records, judged, config)
     found = components(records.select(F.col("cluster_id").alias("id")), edges.select(F.col("cluster_a").alias("a"), F.col("cluster_b").alias("b")))
-    named = records.join(found.select(F.col("id").alias("cluster_id"), "root"), "cluster_id")
-    ids = named.groupBy("root").agg(group_id(F.collect_list("cluster_id")).alias("related_group_id"))
+    named = records.join(found.select(F.col("id").alias("cluster_id"), F.col("root").alias("group_root")), "cluster_id")
+    ids = named.groupBy("group_root").agg(group_id(F.collect_list("cluster_id")).alias("related_group_id"))
     order = [F.desc(F.coalesce("major_rank", F.lit(-1.0))), F.desc(F.coalesce("informationValue", F.lit(-1))), F.desc_nulls_last("published_ms"), F.asc("cluster_id")]
-    led = named.withColumn("place", F.row_number().over(Window.partitionBy("root").orderBy(*order)))
-    return led.join(ids, "root").withColumn("editorial_role", F.when(F.col("place") == 1, "main-event").otherwise("related")).drop("root", "place")
+    led = named.withColumn("place", F.row_number().over(Window.partitionBy("group_root").orderBy(*order)))
+    return led.join(ids, "group_root").withColumn("editorial_role", F.when(F.col("place") == 1, "main-event").otherwise("related")).drop("group_root", "place")
 
 
 PACKED = "cluster_id string, decision string, reason string, lane string, rank int, priority double"
