@@ -9,9 +9,9 @@ model of the tokenizers library. Pieces with a special token go to the library w
 from __future__ import annotations
 
 import json
+import struct
 from functools import lru_cache
 
-import numpy as np
 import regex
 
 #: Pieces and pre-tokens that one Python worker keeps. A full store takes no more; after as many misses it starts anew.
@@ -21,6 +21,8 @@ PIECES, WORDS = 600_000, 400_000
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]+"
 BYTE_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
+#: A blank before more white space or at the end: not a certain cut.
+UNSURE = regex.compile(r" (?=\s|$)", regex.V0)
 
 
 def path(name: str) -> str:
@@ -36,6 +38,11 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(shifted)) for b in range(256)]
 
 
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Store(dict):
     """A bounded memory of results."""
 
@@ -43,7 +50,10 @@ class Store(dict):
         super().__init__()
         self.most, self.missed = most, 0
 
-    def keep(self, key: str, value: object) -> None:
+    def __reduce__(self) -> tuple:
+        return Store, (self.most,)
+
+    def keep(self, key: object, value: object) -> None:
         if len(self) >= self.most:
             self.missed += 1
             if self.missed < self.most:
@@ -77,7 +87,7 @@ class PieceEncoder:
     def cut(self, text: str) -> list[str]:
         """The first is a text's start; the others follow a blank that is left out."""
         found = text.split(" ")
-        if self.blank and ("" in found or any(x[0].isspace() for x in found)):
+        if self.blank and UNSURE.search(text):
             out = [found[0]]
             for x in found[1:]:
                 if not x or x[0].isspace():
@@ -88,37 +98,43 @@ class PieceEncoder:
         return found
 
     def mapped(self, word: str) -> str:
-        return word if word.isascii() and word.isprintable() and " " not in word else "".join([self.letters[b] for b in word.encode()])
+        if word.isalnum() and word.isascii():
+            return word
+        if word[0] == " " and word[1:].isalnum() and word.isascii():
+            return self.letters[32] + word[1:]
+        return "".join([self.letters[b] for b in word.encode()])
 
     def word(self, word: str) -> bytes:
-        found = np.array([x.id for x in self.model.tokenize(self.mapped(word))], "<u4").tobytes()
+        found = packed([x.id for x in self.model.tokenize(self.mapped(word))])
         self.words.keep(word, found)
         return found
 
     def piece(self, piece: str) -> bytes:
         if "<|" in piece and any(x in piece for x in self.specials):
-            return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+            return packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
         if not self.blank:
             piece = piece.lower() if piece.isascii() else self.normalizer.normalize_str(piece)
         words = self.words
         return b"".join([words[x] if x in words else self.word(x) for x in self.split(piece)])
 
     def encode(self, text: str) -> bytes:
-        cut, known = self.cut(text), self.pieces
-        try:
-            if not self.blank:
-                return b"".join(map(known.__getitem__, cut))
-            return b"".join([self.heads[cut[0]], *map(known.__getitem__, cut[1:])])
-        except KeyError:
-            out = []
-            for i, x in enumerate(cut):
-                store = self.heads if self.blank and not i else known
-                ids = store.get(x)
-                if ids is None:
-                    ids = self.piece(" " + x if self.blank and i else x)
-                    store.keep(x, ids)
-                out.append(ids)
-            return b"".join(out)
+        cut = self.cut(text)
+        head = []
+        if self.blank:
+            first = cut.pop(0)
+            ids = self.heads.get(first)
+            if ids is None:
+                ids = self.piece(first)
+                self.heads.keep(first, ids)
+            head.append(ids)
+        out = list(map(self.pieces.get, cut))
+        at = -1
+        for _ in range(out.count(None)):
+            at = out.index(None, at + 1)
+            x = cut[at]
+            out[at] = ids = self.piece(" " + x if self.blank else x)
+            self.pieces.keep(x, ids)
+        return b"".join(head + out)
 
 
 @lru_cache(4)
