@@ -61,26 +61,28 @@ class ForcedBPE:
         return [word[a:b] for a, b in zip([0, *places], [*places, len(word)])]
 
     def merge(self, symbols: list[str]) -> list[int]:
-        """Merges the pair of least rank, everywhere from the left, until no pair has a rank."""
-        merges = self.merges
-        while len(symbols) > 1:
-            pairs = list(zip(symbols, symbols[1:]))
-            best = min(pairs, key=lambda p: merges.get(p, 1 << 60))
-            if best not in merges:
+        """Merges the adjacent pair of least rank until no pair has one.
+
+        A merge makes pairs of higher rank only, so equal pairs are taken one by one from the left. After each only
+        the ranks of its two neighbours change.
+        """
+        rank, none = self.merges.get, 1 << 60
+        ranks = [rank(p, none) for p in zip(symbols, symbols[1:])]
+        while ranks:
+            least = min(ranks)
+            if least == none:
                 break
-            out, i = [], 0
-            while i < len(symbols):
-                if i < len(pairs) and pairs[i] == best:
-                    out.append(symbols[i] + symbols[i + 1])
-                    i += 2
-                else:
-                    out.append(symbols[i])
-                    i += 1
-            symbols = out
+            i = ranks.index(least)
+            symbols[i] += symbols.pop(i + 1)
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((symbols[i - 1], symbols[i]), none)
+            if i < len(ranks):
+                ranks[i] = rank((symbols[i], symbols[i + 1]), none)
         return [self.ids[x] for x in symbols]
 
     def word(self, word: str) -> list[int]:
-        mapped = "".join([self.letters[b] for b in word.encode()])
+        mapped = word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode()])
         out: list[int] = []
         parts = self.cut(mapped)
         for i, part in enumerate(parts):
