@@ -1,0 +1,265 @@
+"""Operators on small tables: defined cases, and brute force on a fixture."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from pressrun.llm import bpe, exact, graph, html, minhash, packing, quality, sharding, suffix, token_output, tokens, toxicity
+
+SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()), T.StructField("shard", T.StringType()), T.StructField("key", T.StringType())])
+WORDS = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("n", "r", "st", "é")]
+
+
+def make(seed: int, n: int = 60) -> list[tuple]:
+    """Originals, exact and near copies, passages in common, and odd rows; extra columns clash with inner names."""
+    rnd = random.Random(seed)
+    passage = " ".join(rnd.choice(WORDS) for _ in range(60))
+    rows = [(0, None, "en", None, None), (1, "", "en", "a", 0), (2, " \n\t", "en", "a", 3), (3, "one", "en", "a", 3), (4, "x" * 120, "en", "b", 120)]
+    for i in range(5, n):
+        kind, words = rnd.random(), [rnd.choice(WORDS) for _ in range(rnd.randint(1, 120))]
+        if kind < 0.2:
+            text = rows[rnd.randrange(len(rows))][1] or ""
+        elif kind < 0.4:
+            words = (rows[rnd.randrange(len(rows))][1] or "q").split(" ")
+            words[rnd.randrange(len(words))] = "changed"
+            text = " ".join(words)
+        elif kind < 0.6:
+            text = " ".join(words) + "\n" + passage + "\n" + " ".join(words[:5])
+        else:
+            text = " ".join(words)
+        rows.append((i, text, "en", rnd.choice("abc"), len(text)))
+    rows.append((n, " ".join(rnd.choice(WORDS) for _ in range(6000)), "en", "a", 1))
+    return [(*r, "s", "k") for r in rows]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(make(1), SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def doubled(spark):
+    """Repeated rows and a null id."""
+    rows = make(2, 12)
+    return spark.createDataFrame(rows + rows[5:7] + [(None, rows[6][1], "en", "a", 1, "s", "k")], SCHEMA)
+
+
+def texts(docs):
+    return {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+
+
+RUNS = {
+    "quality": quality.judge, "exact": exact.dedup, "bpe": bpe.encode_decode, "suffix": suffix.remove_repeats, "ids": lambda d: token_output.read(*token_output.write(d)),
+    "minhash": minhash.group, "packing": packing.pack, "sharding": sharding.shard,
+}
+
+
+@pytest.mark.parametrize("name", RUNS)
+def test_empty_tables(name, empty):
+    assert RUNS[name](empty).count() == 0
+
+
+@pytest.mark.parametrize("name", [n for n in RUNS if n != "packing"])
+def test_repeated_rows_and_null_ids(name, doubled):
+    assert RUNS[name](doubled).count() == doubled.count()
+
+
+def words(text):
+    return text.translate(str.maketrans("\t\n\x0b\f\r", "     ")).split(" ")
+
+
+def test_quality_figures(docs):
+    for r in quality.judge(docs).collect():
+        text = texts(docs)[r["doc_id"]]
+        ws = [w for w in words(text) if w]
+        windows = [tuple(ws[i : i + 8]) for i in range(len(ws) - 7)]
+        counts, covered = Counter(windows), set()
+        for i, w in enumerate(windows):
+            if counts[w] > 1:
+                covered.update(range(i, i + 8))
+        lines = [x for x in text.split("\n") if x.strip(" \t\n\x0b\f\r")]
+        assert (r["n_words"], r["n_repeat_words"], r["n_dup_lines"], r["word_chars"]) == (len(ws), len(covered), len(lines) - len(set(lines)), sum(map(len, ws)))
+        assert r["base_failed"] == (len(ws) < 20 or 100 * len(covered) > 30 * len(ws))
+
+
+def test_quality_rejects_hosts_that_mostly_fail(spark):
+    good, bad = " ".join(f"w{i}" for i in range(30)), "short"
+    rows = [(i, bad if i % 10 else good, "en", "poor", 1, "", "") for i in range(200)] + [(1000 + i, good, "en", f"fine{i % 5}", 1, "", "") for i in range(200)]
+    kept = {r["doc_id"] for r in quality.judge(spark.createDataFrame(rows, SCHEMA)).where("kept").collect()}
+    assert kept == set(range(1000, 1200))
+
+
+def test_exact_groups(docs):
+    full = texts(docs)
+    groups = {}
+    for i, t in full.items():
+        groups.setdefault("".join(words(t)), []).append(i)
+    for r in exact.dedup(docs).collect():
+        own = groups["".join(words(full[r["doc_id"]]))]
+        keep = min(own, key=lambda i: (-len(full[i]), i))
+        assert (r["keep_id"], r["group_size"], r["kept"]) == (keep, len(own), r["doc_id"] == keep)
+
+
+def test_encoding_of_a_table(docs):
+    library, full = Tokenizer.from_file(tokens.path("word_bpe_49k.json")), texts(docs)
+    ids = {i: library.encode(t, add_special_tokens=False).ids for i, t in full.items()}
+    for r in bpe.encode_decode(docs).collect():
+        assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids[r["doc_id"]])).encode()).hexdigest()
+    start = 0
+    for r in token_output.read(*token_output.write(docs)).orderBy("doc_id").collect():
+        own = [*ids[r["doc_id"]], 1]
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(own), zlib.crc32(np.array(own, "<u4").tobytes()))
+        start += len(own)
+
+
+def brute_repeats(full):
+    first, out = {}, {}
+    for i in sorted(full):
+        data = full[i].encode()
+        for s in range(len(data) - 49):
+            first.setdefault(data[s : s + 50], i)
+    for i, t in full.items():
+        data = t.encode()
+        gone = [False] * len(data)
+        for s in range(len(data) - 49):
+            if first[data[s : s + 50]] < i:
+                gone[s : s + 50] = [True] * 50
+        kept = bytes(c for c, g in zip(data, gone) if not g)
+        out[i] = (len(data), sum(gone), sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone)), hashlib.sha256(kept).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("hot", [2, 10_000])
+def test_repeats_equal_brute_force(docs, hot, monkeypatch):
+    monkeypatch.setattr(suffix, "HOT_IN_SAMPLE", hot)
+    want = brute_repeats(texts(docs))
+    for r in suffix.remove_repeats(docs).collect():
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]]
+
+
+def brute_near(full, k):
+    sets = {}
+    for i, t in full.items():
+        ws = [w for w in words(t.encode().lower().decode()) if w]
+        sets[i] = {tuple(ws[j : j + k]) for j in range(len(ws) - k + 1)} if len(ws) >= k else {tuple(ws)} if ws else set()
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    names = sorted(sets)
+    for a in names:
+        for b in names:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+@pytest.mark.parametrize("k", [2, 5])
+def test_near_duplicates_equal_brute_force(docs, k):
+    want = brute_near(texts(docs), k)
+    for r in minhash.group(docs, minhash.NearDup(shingle=k)).collect():
+        assert (r["n_shingles"], r["component_id"]) == want[r["doc_id"]] and r["kept"] == (r["doc_id"] == r["component_id"])
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(201, 200), (203, 200), (203, 202)]
+    found = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "u long, v long").repartition(5)).collect()}
+    assert all(found[i] == 0 for i in range(41)) and all(found[i] == 100 for i in range(100, 160)) and all(found[i] == 200 for i in range(200, 204))
+
+
+def test_packing_is_gapless_and_whole(docs):
+    library = Tokenizer.from_file(tokens.path("byte_bpe_50k.json"))
+    ids = {i: [*library.encode(t, add_special_tokens=False).ids, 0] for i, t in texts(docs).items()}
+    found = packing.pack(docs).toPandas()
+    assert found["length"].sum() == sum(map(len, ids.values()))
+    for r in found.itertuples():
+        assert r.ids_crc32 == zlib.crc32(np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4").tobytes())
+    for _, g in found.groupby("sequence_id"):
+        g = g.sort_values("offset")
+        assert (g["offset"].to_numpy() == (g["length"].cumsum() - g["length"]).to_numpy()).all() and g["length"].sum() <= 2048
+
+
+def test_shards_are_level_and_keep_groups(docs):
+    found, full = sharding.shard(docs).toPandas(), texts(docs)
+    counts = found["shard"].value_counts()
+    assert counts.max() - counts.min() <= 1 and set(found["shard"]) <= set(range(8))
+    for _, g in found.groupby("shard"):
+        assert sorted(g["slot"]) == list(range(len(g)))
+    for r in found.itertuples():
+        assert (r.size, r.text_crc32) == (len(full[r.doc_id].encode()) + 1, zlib.crc32(full[r.doc_id].encode()))
+
+
+def test_toxicity_learns_words_and_takes_odd_texts(spark, empty):
+    rnd = random.Random(7)
+    rows, labels = [], []
+    for i in range(400):
+        toxic = i % 4 == 0
+        ws = [rnd.choice(WORDS) for _ in range(20)] + (["vileword", "badword"] if toxic else ["niceword"])
+        rows.append((i, " ".join(ws), "en", "a", 1, "", ""))
+        labels.append((i, int(toxic)))
+    rows += [(900, None, "en", "a", 1, "", ""), (901, "", "en", "a", 1, "", "")]
+    d, y = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels + [(None, 1), (5, None)], "doc_id long, toxic int")
+    found = {r["doc_id"]: r for r in toxicity.classify(d, y).collect()}
+    assert len(found) == 402 and all(found[i]["predicted"] == int(i % 4 == 0) for i in range(400))
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in found.items())
+    assert 0 <= found[900]["score"] == found[901]["score"] < 0.7
+    assert toxicity.classify(empty, y.limit(0)).count() == 0
+    assert toxicity.classify(d, y.limit(0)).where("score > 0").count() == 0
+
+
+def test_pages(spark):
+    rows = [(i, f"https://h.example/{i}", f"<body><nav>menu</nav><article><p>text {i}</p></article></body>", "g") for i in range(5)] + [(7, None, None, "g"), (8, "https://h.example/8", "", "g"), (8, "https://h.example/8", "", "g")]
+    found = html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, `group` string")).orderBy("page_id").collect()
+    assert [r["text"] for r in found] == [f"text {i}" for i in range(5)] + ["", "", ""] and all(r["n_chars"] == len(r["text"]) for r in found)
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    rows = [(i, (t or "") + " " + " ".join(f"tail{i}w{j}" for j in range(25)) if i % 2 else t, *rest) for i, t, *rest in make(9, 40)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    full = texts(spark.createDataFrame(rows, SCHEMA))
+    verdict = {r["doc_id"]: r["kept"] for r in quality.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    full = {i: t for i, t in full.items() if verdict[i]}
+    groups = {}
+    for i, t in full.items():
+        groups.setdefault("".join(words(t)), []).append(i)
+    full = {i: full[i] for g in groups.values() for i in [min(g, key=lambda i: (-len(full[i]), i))]}
+    near = brute_near(full, 5)
+    full = {i: t for i, t in full.items() if near[i][1] == i}
+    repeats = brute_repeats(full)
+    found = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    assert set(found["doc_id"]) == set(full)
+    library = Tokenizer.from_file(tokens.path("byte_bpe_50k.json"))
+    for i, g in found.groupby("doc_id"):
+        if not repeats[i][1]:
+            assert g["length"].sum() == len(library.encode(full[i], add_special_tokens=False).ids) + 1
+    assert found.groupby("sequence_id")["length"].sum().max() <= 2048
+
+
+def test_pipeline_stages_keep_the_columns(spark, empty):
+    now = empty
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, "")
+        assert now.columns == empty.columns and now.count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, now, "").count() == 0
+
+
+def test_crc_of_fold(spark):
+    row = spark.range(1).select(F.lit(5).alias("doc_id")).select(toxicity.held_out().alias("x")).first()
+    assert row["x"] == (zlib.crc32(b"5") % 3 == 1)
