@@ -112,7 +112,7 @@ def same_title_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {NORM_SQL}, {GRAMS_SQL} SELECT item_a, item_b, score FROM similar_pairs")
 def title_similarity_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return similarity.similar_titles(normal(spark, d))
+    return similarity.similar_titles(stored(normal(spark, d)))
 
 
 EDGES_SQL = rf"""{NORM_SQL}, {GRAMS_SQL},
