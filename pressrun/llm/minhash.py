@@ -6,10 +6,12 @@ doc_id, and only distinct texts are compared. Each element of a set walks throug
 signature's places, rank by rank, and offers rank + fraction to the place it meets; once every place of a
 document holds less than the next rank, its later ranks cannot matter and it stops early.
 
-Each bucket of a band links its members to its least member, and these links are confirmed by the exact Jaccard
-similarity. Where a bucket still holds several components after that, all its pairs across components that can
-reach the threshold by size are confirmed as well, so no bucket loses a link. The chance that a pair at the threshold
-meets in no band is (1 - 0.8^5)^40, about 1e-7, and less above it.
+Each bucket of a band links its members to its hub, the member with most neighbours over all bands. Where a bucket
+still holds several components after that, its members are compared across components, in blocks, by their
+signatures. Pairs whose signatures agree in fewer than `least_agree` of 200 places are no links: at the threshold a
+pair agrees in 160 on average, so few with a chance of about 1e-6. All others are confirmed by the exact Jaccard
+similarity of the full sets, so no bucket loses a link. The chance that a pair at the threshold meets in no band
+is (1 - 0.8^5)^40, about 1e-7, and less above it.
 
 Defined cases: null, empty or blank text has an empty set and is linked with nothing; fewer words than a shingle
 make one shingle; ties go to the least doc_id; rows that share a doc_id are one node; rows with a null doc_id
@@ -28,14 +30,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressrun.llm._base import join_hot, materialize, text_or_empty
+from pressrun.llm._base import join_hot, materialize, shuffle_parts, text_or_empty
 from pressrun.llm.graph import components
 from pressrun.llm.tokens import Store
 
 #: Elements of one signature pass in a task.
 CHUNK = 100_000
-#: Links that one copy of a bucket's centre confirms.
-STAR = 512
+#: Links that one copy of a hub confirms; members of a bucket that are compared in one block; rows of blocks in a task.
+STAR, BLOCK, TASK_ROWS = 512, 1_500, 20_000
 
 
 @dataclass(frozen=True)
@@ -44,6 +46,7 @@ class NearDup:
     percent: int = 80
     bands: int = 40
     rows: int = 5
+    least_agree: float = 0.65
 
     @property
     def places(self) -> int:
@@ -114,7 +117,7 @@ def signatures(sets: list[np.ndarray], m: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, how: NearDup) -> DataFrame:
-    """doc_id, n_shingles, key of the sequence of words, a 64-bit hash for each band."""
+    """doc_id, n_shingles, key of the sequence of words, a 64-bit hash for each band, 16 bits of each place."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -133,10 +136,10 @@ def sketch(docs: DataFrame, how: NearDup) -> DataFrame:
                 for r in range(how.rows):
                     acc = mix(acc * np.uint64(0xD6E8FEB86659FD93) + sig[:, :, r])
                 bands = acc.astype("u8").view("i8")
-                yield pd.DataFrame({"doc_id": pd.array(ids[start:end], "object"), "n_shingles": [len(x) for x in sets], "key": keys, "bands": list(bands)})
+                yield pd.DataFrame({"doc_id": pd.array(ids[start:end], "object"), "n_shingles": [len(x) for x in sets], "key": keys, "bands": list(bands), "sig": [x.tobytes() for x in (mix(sig.reshape(len(sets), -1)) & np.uint64(0xFFFF)).astype("u2")]})
                 start = end
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInPandas(run, "doc_id long, n_shingles long, key binary, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInPandas(run, "doc_id long, n_shingles long, key binary, bands array<long>, sig binary")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, how: NearDup) -> DataFrame:
@@ -150,14 +153,61 @@ def full_sets(docs: DataFrame, ids: DataFrame, how: NearDup) -> DataFrame:
     return texts.join(ids, "doc_id").mapInPandas(run, "doc_id long, shingles array<long>")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, how: NearDup) -> DataFrame:
-    """The pairs (u, v) that reach the threshold. A u with many pairs is copied once for each STAR of them."""
+def _meet(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
+    """pairs (u, v) with the value of both, a and b. A u with many pairs is copied once for each STAR of them."""
     fans = pairs.groupBy("u").agg(((F.count("*") / STAR).cast("int") + 1).alias("fans"))
-    left = fans.join(sets.withColumnRenamed("doc_id", "u"), "u").select("u", F.explode(F.sequence(F.lit(0), F.col("fans") - 1)).alias("fan"), F.col("shingles").alias("a"))
+    left = fans.join(values.withColumnRenamed("doc_id", "u"), "u").select("u", F.explode(F.sequence(F.lit(0), F.col("fans") - 1)).alias("fan"), F.col(name).alias("a"))
     fanned = pairs.join(fans, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("fans")).cast("int").alias("fan"))
-    right = fanned.join(sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b")), "v")
+    right = fanned.join(values.select(F.col("doc_id").alias("v"), F.col(name).alias("b")), "v")
+    return right.join(left, ["u", "fan"]).select("u", "v", "a", "b")
+
+
+def likely(pairs: DataFrame, sigs: DataFrame, how: NearDup) -> DataFrame:
+    """The pairs (u, v) whose signatures agree often enough."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch[c]), "u2").reshape(len(batch), how.places) for c in "ab")
+            yield batch.loc[(a == b).sum(axis=1) >= how.least_agree * how.places, ["u", "v"]]
+
+    return _meet(pairs, sigs, "sig").mapInPandas(run, "u long, v long").distinct()
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, how: NearDup) -> DataFrame:
+    """The pairs (u, v) that reach the threshold."""
     both = F.size(F.array_intersect("a", "b"))
-    return right.join(left, ["u", "fan"]).where(100 * both >= how.percent * (F.size("a") + F.size("b") - both)).select("u", "v").distinct()
+    return _meet(pairs, sets, "shingles").where(100 * both >= how.percent * (F.size("a") + F.size("b") - both)).select("u", "v").distinct()
+
+
+def across(open_: DataFrame, how: NearDup, parts: int) -> DataFrame:
+    """open_: bucket, n, node, c, sig. Likely pairs of one bucket in different components.
+
+    A bucket is cut into blocks of about BLOCK members, and every two blocks meet once, so that no task holds a
+    large bucket. In a block pair, only members outside its largest component are compared, with all others.
+    """
+    blocks = (F.col("n") / BLOCK + 1).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    met = open_.withColumn("own", own).select("bucket", "node", "c", "sig", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    met = met.select("bucket", "node", "c", "sig", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    met = met.withColumn("part", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(parts)))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for (_, i, j), g in rows.groupby(["bucket", "i", "j"], sort=False):
+            c, node = g["c"].to_numpy(), g["node"].to_numpy()
+            names, counts = np.unique(c, return_counts=True)
+            if len(names) < 2:
+                continue
+            sig = np.frombuffer(b"".join(g["sig"]), "u2").reshape(len(g), how.places)
+            block = g["own"].to_numpy()
+            for r in np.flatnonzero(c != names[np.argmax(counts)]):
+                other = np.flatnonzero((c != c[r]) & ((block != block[r]) if i != j else True))
+                close = other[(sig[other] == sig[r]).sum(axis=1) >= how.least_agree * how.places]
+                found.append(np.stack([np.minimum(node[close], node[r]), np.maximum(node[close], node[r])], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), "i8")
+        return pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
+
+    return met.groupBy("part").applyInPandas(run, "u long, v long").distinct()
 
 
 def group(docs: DataFrame, how: NearDup = NearDup()) -> DataFrame:
@@ -166,28 +216,30 @@ def group(docs: DataFrame, how: NearDup = NearDup()) -> DataFrame:
     named = rows.where("doc_id IS NOT NULL AND key IS NOT NULL")
     nodes = materialize(named.groupBy("key").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")), "minhash-nodes")
     first = named.join(nodes.select("key", F.col("node").alias("doc_id")), ["key", "doc_id"], "left_semi").dropDuplicates(["key", "doc_id"])
-    spread = materialize(first.select(F.col("doc_id").alias("node"), "n_shingles", F.explode("bands").alias("bucket")), "minhash-bands")
-    buckets = spread.groupBy("bucket").agg(F.min("node").alias("u"), F.count("*").alias("n")).where("n > 1")
-    placed = materialize(join_hot(spread, buckets, "bucket", "n", spread.count()), "minhash-buckets")
-    stars = materialize(placed.select("u", F.col("node").alias("v")).where("u <> v").distinct(), "minhash-stars")
-    ids = placed.select(F.col("node").alias("doc_id")).distinct()
-    sets = materialize(full_sets(docs, ids, how), "minhash-sets")
+    first = materialize(first.select(F.col("doc_id").alias("node"), "bands", "sig"), "minhash-first")
+    spread = first.select("node", F.explode("bands").alias("bucket"))
+    buckets = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    placed = materialize(join_hot(spread, buckets, "bucket", "n", first.count() * how.bands), "minhash-buckets")
+    degree = placed.groupBy("node").agg(F.sum("n").alias("degree"))
+    ranked = placed.join(degree, "node")
+    hubs = ranked.groupBy("bucket", "n").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("u"))
+    members = placed.count()
+    stars = join_hot(placed.drop("n"), hubs, "bucket", "n", members).where("u <> node").select("u", F.col("node").alias("v")).distinct()
+    sigs = first.join(degree, "node", "left_semi").select(F.col("node").alias("doc_id"), "sig")
+    stars = materialize(likely(stars, sigs, how), "minhash-stars")
+    sets = full_sets(docs, placed.select(F.col("node").alias("doc_id")).distinct(), how)
+    sets = materialize(sets, "minhash-sets")
     links = materialize(confirm(stars, sets, how), "minhash-links")
     found = materialize(components(links), "minhash-components")
 
-    # Buckets that still hold several components: every pair across them that its sizes allow, but the tried ones.
-    met = placed.join(found.withColumnRenamed("component", "c"), "node", "left").select("bucket", "node", "n_shingles", "u", F.coalesce("c", "node").alias("c"))
-    split = met.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n")).where("low <> high AND n > 2")
-    open_ = materialize(join_hot(met, split.select("bucket", "n"), "bucket", "n", placed.count()), "minhash-open")
-    counts = open_.groupBy("bucket", "c").agg(F.count("*").alias("k"))
-    main = counts.groupBy("bucket").agg(F.max_by("c", F.struct("k", "c")).alias("main"))
-    small = open_.join(main, "bucket").where("c <> main").select("bucket", F.col("node").alias("x"), F.col("c").alias("cx"), F.col("n_shingles").alias("nx"))
-    least, most = F.least("nx", "n_shingles"), F.greatest("nx", "n_shingles")
-    across = (
-        open_.join(small, "bucket").where((F.col("c") != F.col("cx")) & (100 * least >= how.percent * most) & (F.col("u") != F.col("x")) & (F.col("u") != F.col("node")))
-        .select(F.least("x", "node").alias("u"), F.greatest("x", "node").alias("v")).distinct()
-    )
-    more = confirm(materialize(across, "minhash-across"), sets, how)
+    # Buckets that still hold several components, but for those of two members, which have met.
+    met = placed.where("n > 2").join(found.withColumnRenamed("component", "c"), "node", "left").select("bucket", "node", "n", F.coalesce("c", "node").alias("c"))
+    met = materialize(met, "minhash-met")
+    split = met.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n")).where("low <> high")
+    open_ = materialize(join_hot(met.drop("n"), split.select("bucket", "n"), "bucket", "n", members).select("bucket", "n", "node", "c"), "minhash-open")
+    parts = max(shuffle_parts(docs.sparkSession), open_.count() // TASK_ROWS + 1)
+    pairs = materialize(across(open_.join(sigs.withColumnRenamed("doc_id", "node"), "node"), how, parts), "minhash-across")
+    more = confirm(pairs, sets, how)
     found = components(links.unionByName(more))
     classes = nodes.join(found, "node", "left").select("key", "n", F.coalesce("component", "node").alias("component_id"))
     # A doc_id whose rows have several texts is one node: they share their least component.
