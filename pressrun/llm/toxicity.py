@@ -2,12 +2,12 @@
 
 Examples are labelled rows outside the held-out fold: of each label the SAMPLE rows with the least hash of doc_id
 (the bound of the fitted sample). Terms are the words whose presence goes with the label beyond chance among
-the examples (chi-square of at least MIN_CHI2, the TERMS strongest); weights are (1 + ln tf) * ln(1 + n / df), and
+the examples (chi-square of at least MIN_CHI2 and MIN_PHI2 for each example, the TERMS strongest); weights are (1 + ln tf) * ln(1 + n / df), and
 vectors have length one.
 
 The index keeps, for every term, its postings in blocks of BLOCK examples and each block's largest weight. A
-query sums these into an upper bound for each block and scores blocks by falling bound, until the bound lies
-below the K-th best score found: the K nearest are exact. Their votes, weighted by similarity and by how far
+query sums these into an upper bound for each block, scores the blocks of highest bound, and then only blocks whose
+bound reaches the K-th best score found: the K nearest are exact. Their votes, weighted by similarity and by how far
 the sample thins their label out, together with a vote of weight PRIOR for the label's share, are the score.
 
 Defined cases: null text counts as empty; a text without terms gets the share of label 1; without any
@@ -22,7 +22,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -30,9 +30,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressrun.llm._base import materialize, text_or_empty
+from pressrun.llm.tokens import Store
 
-SAMPLE, TERMS, MIN_CHI2, MIN_DF = 10_000, 4_096, 30.0, 5
-BLOCK, K, PRIOR, THRESHOLD = 64, 25, 0.5, 0.7
+SAMPLE, TERMS, MIN_CHI2, MIN_DF = 10_000, 1_024, 30.0, 5
+#: Least chi-square for each example (squared phi): a bar of strength, which does not sink as examples grow in number.
+MIN_PHI2 = 0.005
+#: Examples of a block, blocks scored one by one at first, neighbours, weight of the prior, score of a toxic text.
+BLOCK, FIRST, K, PRIOR, THRESHOLD = 64, 2, 25, 0.5, 0.7
 WORD = re.compile(r"\w+")
 
 
@@ -51,6 +55,7 @@ class Index:
     labels: np.ndarray
     base: float
     postings: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    scores: Store = field(default_factory=lambda: Store(50_000))
 
     @property
     def blocks(self) -> int:
@@ -72,33 +77,53 @@ class Index:
             _, _, blocks, most, _ = self.postings[t]
             bound[blocks] += q * most
         order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        places, scores = np.empty(0, "i8"), np.empty(0)
-        for b in order:
-            if len(scores) == K and bound[b] < scores[-1]:
-                break
-            acc = np.zeros(BLOCK)
+        acc = np.zeros(self.blocks * BLOCK)
+        for b in order[:FIRST]:
             for t, q in zip(terms, weights):
                 at, weight, blocks, _, starts = self.postings[t]
                 i = np.searchsorted(blocks, b)
                 if i < len(blocks) and blocks[i] == b:
                     run = slice(starts[i], starts[i + 1])
-                    acc[at[run] - b * BLOCK] += q * weight[run]
-            new = np.flatnonzero(acc)
-            places, scores = np.append(places, new + b * BLOCK), np.append(scores, acc[new])
-            top = np.lexsort((places, -scores))[:K]
-            places, scores = places[top], scores[top]
-        return places, scores
+                    acc[at[run]] += q * weight[run]
+        places = best(acc)
+        least = acc[places[-1]] if len(places) == K else 0.0
+        # What the first blocks leave open is scored term by term, over all blocks whose bound reaches the K-th best.
+        live = (bound > 0) & (bound >= least)
+        live[order[:FIRST]] = False
+        if live.any():
+            for t, q in zip(terms, weights):
+                at, weight, _, _, _ = self.postings[t]
+                open_ = live[at // BLOCK]
+                acc[at[open_]] += q * weight[open_]
+            places = best(acc)
+        return places, acc[places]
 
     def score(self, terms: tuple[int, ...], weights: np.ndarray) -> tuple[float, list[int]]:
         if not terms:
             return self.base, []
+        key = (terms, weights.tobytes())
+        known = self.scores.get(key)
+        if known is None:
+            known = self.vote(terms, weights)
+            self.scores.keep(key, known)
+        return known
+
+    def vote(self, terms: tuple[int, ...], weights: np.ndarray) -> tuple[float, list[int]]:
         places, scores = self.nearest(terms, weights)
         vote = scores * self.votes[places]
         value = (float((vote * self.labels[places]).sum()) + PRIOR * self.base) / (float(vote.sum()) + PRIOR)
         return min(1.0, max(0.0, value)), self.ids[places[:3]].tolist()
 
 
+def best(acc: np.ndarray) -> np.ndarray:
+    """Places of the K largest positive values; equal ones by place."""
+    places = np.flatnonzero(acc)
+    if len(places) > K:
+        least = np.partition(acc[places], len(places) - K)[len(places) - K]
+        places = places[acc[places] >= least]
+    return places[np.lexsort((places, -acc[places]))[:K]]
+
+
 def weigh(found: dict[int, int], idf: np.ndarray) -> tuple[tuple[int, ...], np.ndarray]:
     terms = tuple(sorted(found))
     weights = np.array([(1 + math.log(found[t])) * idf[t] for t in terms])
@@ -134,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index:
     a, df = F.col("t").cast("double"), (F.col("t") + F.col("c")).cast("double")
     gap = a * F.lit(float(n)) - df * F.lit(float(n1))
     chi2 = gap * gap * n / (df * F.lit(float(n1) * (n - n1)) * (F.lit(float(n)) - df))
-    strong = words.withColumn("df", df).where((df >= MIN_DF) & (df < n)).withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2)
+    strong = words.withColumn("df", df).where((df >= MIN_DF) & (df < n)).withColumn("chi2", chi2).where(F.col("chi2") >= max(MIN_CHI2, MIN_PHI2 * n))
     picked = strong.orderBy(F.desc("chi2"), "word").limit(TERMS).select("word", "df").collect() if 0 < n1 < n else []  # TERMS rows at most
     terms = {r["word"]: i for i, r in enumerate(sorted(picked, key=lambda r: r["word"]))}
     idf = np.array([math.log(1 + n / r["df"]) for r in sorted(picked, key=lambda r: r["word"])])
