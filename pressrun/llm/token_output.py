@@ -88,22 +88,20 @@ def write(docs: DataFrame, name: str = "word_bpe_49k.json", end_id: int = 1, wid
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), text_or_empty().alias("text"))
     dictionary = train(texts, name, end_id, width)
 
+    shards = max(shuffle_parts(docs.sparkSession), docs.count() // DOCS + 1)
+    ends = texts.agg(F.percentile_approx("doc_id", [i / shards for i in range(1, shards)], 100 * shards)).first()[0] or []
+    sorted_ends = np.array(sorted(set(ends)), "i8")
+
+    # Shards are named here too: a second Python function would run in other workers, each with a store of pieces.
     def compress(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         use = encoder(name)
         writer = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
         for batch in batches:
             ids = [np.append(np.frombuffer(use.encode(x), "<u4"), end_id) for x in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": [len(x) for x in ids], "frame": [writer.compress(serialize(x, width)) for x in ids]})
-
-    shards = max(shuffle_parts(docs.sparkSession), docs.count() // DOCS + 1)
-    ends = texts.agg(F.percentile_approx("doc_id", [i / shards for i in range(1, shards)], 100 * shards)).first()[0] or []
-    frames = texts.mapInPandas(compress, "doc_id long, n_tokens long, frame binary")
-    sorted_ends = sorted(set(ends))
-
-    def place(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(np.array(sorted_ends, "i8"), ids.to_numpy(), "left"))
+            shard = np.searchsorted(sorted_ends, batch["doc_id"].to_numpy("i8"), "left")
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": [len(x) for x in ids], "frame": [writer.compress(serialize(x, width)) for x in ids], "shard": shard})
 
-    frames = frames.withColumn("shard", F.pandas_udf(place, "long")("doc_id"))
+    frames = texts.mapInPandas(compress, "doc_id long, n_tokens long, frame binary, shard long")
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "n_tokens"], kind="stable")
