@@ -1,13 +1,14 @@
-"""Toxicity by nearest labelled examples under exact TF-IDF cosine, found with a block-max inverted index.
+"""Toxicity by nearest labelled examples under exact cosine of label-weighted TF-IDF, found with a block-max index.
 
 Examples are labelled rows outside the held-out fold: of each label the SAMPLE rows with the least hash of doc_id
-(the bound of the fitted sample). Terms are the words whose presence goes with the label beyond chance among
-the examples (chi-square of at least MIN_CHI2 and MIN_PHI2 for each example, the TERMS strongest); weights are (1 + ln tf) * ln(1 + n / df), and
-vectors have length one.
-
-The index keeps, for every term, its postings in blocks of BLOCK examples and each block's largest weight. A
-query sums these into an upper bound for each block, scores the blocks of highest bound, and then only blocks whose
-bound reaches the K-th best score found: the K nearest are exact. Their votes, weighted by similarity and by how far
+(the bound of the fitted sample). Every word of an example is a term and every example is in the index. A weight is
+(1 + ln tf) * ln(1 + n / df) times the word's phi coefficient with the label (the root of chi-square for each example):
+words that do not go with the label count little, and none is left out. Vectors have length one over all their words.
+
+Most terms have postings, from which a query's part over them is summed exactly for every example. The COMMON terms with
+the longest postings for their weight are kept as a matrix, with the largest weight of each block of BLOCK examples:
+these give an upper bound for each example. The FIRST examples of highest bound are scored, and then only those
+whose bound reaches the K-th best score found: the K nearest are exact. Their votes, weighted by similarity and by how far
 the sample thins their label out, together with a vote of weight PRIOR for the label's share, are the score.
 
 Defined cases: null text counts as empty; a text without terms gets the share of label 1; without any
@@ -18,7 +19,7 @@ scored; an empty table gives an empty result; columns besides doc_id, text and t
 
 from __future__ import annotations
 
-import math
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -32,11 +33,11 @@ from pyspark.sql import functions as F
 from pressrun.llm._base import materialize, text_or_empty
 from pressrun.llm.tokens import Store
 
-SAMPLE, TERMS, MIN_CHI2, MIN_DF = 10_000, 1_024, 30.0, 5
-#: Least chi-square for each example (squared phi): a bar of strength, which does not sink as examples grow in number.
-MIN_PHI2 = 0.005
-#: Examples of a block, blocks scored one by one at first, neighbours, weight of the prior, score of a toxic text.
-BLOCK, FIRST, K, PRIOR, THRESHOLD = 64, 2, 25, 0.5, 0.7
+SAMPLE = 10_000
+#: Terms kept as a matrix, examples of a block, examples scored at first, neighbours, weight of the prior, score of a toxic text.
+COMMON, BLOCK, FIRST, K, PRIOR, THRESHOLD = 512, 64, 64, 25, 0.5, 0.7
+#: More than what single precision can take from a bound.
+SLACK = 1e-5
 WORD = re.compile(r"\w+")
 
 
@@ -46,88 +47,91 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 @dataclass
 class Index:
-    """Postings by term and block of the examples' vectors."""
+    """The examples' vectors by term: those of term t are at[starts[t]:starts[t + 1]], with their weights."""
 
     terms: dict[str, int]
-    idf: np.ndarray
+    value: np.ndarray
     ids: np.ndarray
     votes: np.ndarray
     labels: np.ndarray
     base: float
-    postings: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    starts: np.ndarray
+    at: np.ndarray
+    weight: np.ndarray
+    common: np.ndarray
     scores: Store = field(default_factory=lambda: Store(50_000))
 
-    @property
-    def blocks(self) -> int:
-        return -(-len(self.ids) // BLOCK)
+    def __post_init__(self) -> None:
+        """What follows from the fields: each process makes it anew."""
+        self.column = np.full(len(self.value), -1, "i4")
+        self.column[self.common] = np.arange(len(self.common))
+        self.rows = np.zeros((-(-len(self.ids) // BLOCK) * BLOCK, len(self.common)), "f4")
+        for c, t in enumerate(self.common):
+            run = slice(self.starts[t], self.starts[t + 1])
+            self.rows[self.at[run], c] = self.weight[run]
+        self.most = self.rows.reshape(len(self.rows) // BLOCK, BLOCK, len(self.common)).max(axis=1)
+
+    def __reduce__(self) -> tuple:
+        return Index, (self.terms, self.value, self.ids, self.votes, self.labels, self.base, self.starts, self.at, self.weight, self.common)
 
-    def vector(self, text: str) -> tuple[tuple[int, ...], np.ndarray]:
+    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Terms of a text in order, and their weights."""
-        get, found = self.terms.get, Counter()
-        for w in WORD.findall(text.lower()):
-            t = get(w)
-            if t is not None:
-                found[t] += 1
-        return weigh(found, self.idf)
-
-    def nearest(self, terms: tuple[int, ...], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The K examples of highest cosine (then least place) that share a term, and their cosines."""
-        bound = np.zeros(self.blocks)
-        for t, q in zip(terms, weights):
-            _, _, blocks, most, _ = self.postings[t]
-            bound[blocks] += q * most
-        order = np.argsort(-bound, kind="stable")
-        acc = np.zeros(self.blocks * BLOCK)
-        for b in order[:FIRST]:
-            for t, q in zip(terms, weights):
-                at, weight, blocks, _, starts = self.postings[t]
-                i = np.searchsorted(blocks, b)
-                if i < len(blocks) and blocks[i] == b:
-                    run = slice(starts[i], starts[i + 1])
-                    acc[at[run]] += q * weight[run]
-        places = best(acc)
-        least = acc[places[-1]] if len(places) == K else 0.0
-        # What the first blocks leave open is scored term by term, over all blocks whose bound reaches the K-th best.
-        live = (bound > 0) & (bound >= least)
-        live[order[:FIRST]] = False
-        if live.any():
-            for t, q in zip(terms, weights):
-                at, weight, _, _, _ = self.postings[t]
-                open_ = live[at // BLOCK]
-                acc[at[open_]] += q * weight[open_]
-            places = best(acc)
-        return places, acc[places]
-
-    def score(self, terms: tuple[int, ...], weights: np.ndarray) -> tuple[float, list[int]]:
-        if not terms:
+        found = Counter(map(self.terms.get, WORD.findall(text.lower())))
+        found.pop(None, None)
+        terms = np.fromiter(found.keys(), "i8", len(found))
+        order = np.argsort(terms)
+        return weigh(terms[order], np.fromiter(found.values(), "i8", len(found))[order], self.value)
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The K examples of highest cosine (then least doc_id) that share a term, and their cosines."""
+        column = self.column[terms]
+        query = np.zeros(len(self.common), "f4")
+        query[column[column >= 0]] = weights[column >= 0]
+        listed = column < 0
+        starts, ends = self.starts[terms[listed]], self.starts[terms[listed] + 1]
+        acc = np.zeros(len(self.rows))
+        if len(starts):
+            runs = [slice(i, j) for i, j in zip(starts.tolist(), ends.tolist())]
+            parts = np.concatenate([self.weight[r] for r in runs]) * np.repeat(weights[listed], ends - starts)
+            acc = np.bincount(np.concatenate([self.at[r] for r in runs]), parts, len(acc))
+        bound = (acc.reshape(-1, BLOCK) + (self.most @ query)[:, None]).ravel()[: len(self.ids)]
+        first = np.argpartition(bound, -FIRST)[-FIRST:] if len(bound) > FIRST else np.arange(len(bound))
+        least = kth(acc[first] + self.rows[first] @ query)
+        open_ = np.flatnonzero(bound >= least - SLACK)
+        about = acc[open_] + self.rows[open_] @ query
+        places = open_[about >= kth(about) - SLACK]
+        exact = acc[places] + (self.rows[places].astype("f8") * query).sum(axis=1)
+        order = np.lexsort((self.ids[places], -exact))[:K]
+        order = order[exact[order] > 0]
+        return places[order], exact[order]
+
+    def score(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, list[int]]:
+        if not len(terms) or not len(self.ids):
             return self.base, []
-        key = (terms, weights.tobytes())
+        key = hashlib.blake2b(terms.tobytes() + weights.tobytes(), digest_size=16).digest()
         known = self.scores.get(key)
         if known is None:
             known = self.vote(terms, weights)
             self.scores.keep(key, known)
         return known
 
-    def vote(self, terms: tuple[int, ...], weights: np.ndarray) -> tuple[float, list[int]]:
+    def vote(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, list[int]]:
         places, scores = self.nearest(terms, weights)
         vote = scores * self.votes[places]
         value = (float((vote * self.labels[places]).sum()) + PRIOR * self.base) / (float(vote.sum()) + PRIOR)
         return min(1.0, max(0.0, value)), self.ids[places[:3]].tolist()
 
 
-def best(acc: np.ndarray) -> np.ndarray:
-    """Places of the K largest positive values; equal ones by place."""
-    places = np.flatnonzero(acc)
-    if len(places) > K:
-        least = np.partition(acc[places], len(places) - K)[len(places) - K]
-        places = places[acc[places] >= least]
-    return places[np.lexsort((places, -acc[places]))[:K]]
+def kth(scores: np.ndarray) -> float:
+    """The K-th largest value; 0 if there are fewer."""
+    return float(np.partition(scores, -K)[-K]) if len(scores) >= K else 0.0
 
 
-def weigh(found: dict[int, int], idf: np.ndarray) -> tuple[tuple[int, ...], np.ndarray]:
-    terms = tuple(sorted(found))
-    weights = np.array([(1 + math.log(found[t])) * idf[t] for t in terms])
-    return terms, weights / np.sqrt((weights**2).sum()) if terms else weights
+def weigh(terms: np.ndarray, tf: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of any weight, and their weights as a vector of length one."""
+    weights = (1 + np.log(tf)) * value[terms]
+    terms, weights = terms[weights > 0], weights[weights > 0]
+    return terms, weights / np.sqrt((weights**2).sum()) if len(terms) else weights
 
 
 def examples(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
@@ -156,39 +160,42 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index:
     n1, n = sizes.get(1, 0), sum(sizes.values())
     base = totals.get(1, 0) / max(1, sum(totals.values()))
     words = sample.mapInPandas(count, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
-    a, df = F.col("t").cast("double"), (F.col("t") + F.col("c")).cast("double")
-    gap = a * F.lit(float(n)) - df * F.lit(float(n1))
-    chi2 = gap * gap * n / (df * F.lit(float(n1) * (n - n1)) * (F.lit(float(n)) - df))
-    strong = words.withColumn("df", df).where((df >= MIN_DF) & (df < n)).withColumn("chi2", chi2).where(F.col("chi2") >= max(MIN_CHI2, MIN_PHI2 * n))
-    picked = strong.orderBy(F.desc("chi2"), "word").limit(TERMS).select("word", "df").collect() if 0 < n1 < n else []  # TERMS rows at most
-    terms = {r["word"]: i for i, r in enumerate(sorted(picked, key=lambda r: r["word"]))}
-    idf = np.array([math.log(1 + n / r["df"]) for r in sorted(picked, key=lambda r: r["word"])])
+    # The words of 2 * SAMPLE texts at most.
+    found = words.toArrow().to_pandas().sort_values("word", ignore_index=True) if 0 < n1 < n else pd.DataFrame({"word": [], "c": [], "t": []})
+    terms = {w: i for i, w in enumerate(found["word"])}
+    a, df = found["t"].to_numpy("f8"), (found["t"] + found["c"]).to_numpy("f8")
+    value = np.log(1 + n / df) * phi(a, df, n1, n)
+    known = docs.sparkSession.sparkContext.broadcast(terms)
 
     def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [Counter(t for t in map(terms.get, WORD.findall(x.lower())) if t is not None) for x in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": [list(f) for f in found], "tf": [list(f.values()) for f in found]})
+            rows = [sorted(Counter(map(known.value.get, WORD.findall(x.lower()))).items()) for x in batch["text"]] if known.value else [[] for _ in batch["text"]]
+            pairs = [np.array(r, "i4").reshape(-1, 2) for r in rows]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": [p[:, 0].tobytes() for p in pairs], "tf": [p[:, 1].tobytes() for p in pairs]})
 
-    rows = sample.mapInPandas(project, "doc_id long, toxic int, terms array<int>, tf array<int>").where(F.size("terms") > 0).collect()  # 2 * SAMPLE rows at most
-    vectors = [(r["doc_id"], r["toxic"], *weigh(dict(zip(r["terms"], r["tf"])), idf)) for r in sorted(rows, key=lambda r: r["doc_id"])]
+    rows = sample.mapInPandas(project, "doc_id long, toxic int, terms binary, tf binary").toArrow().to_pandas().sort_values("doc_id")  # 2 * SAMPLE rows at most
+    vectors = [(i, y, *weigh(np.frombuffer(t, "i4"), np.frombuffer(f, "i4"), value)) for i, y, t, f in zip(rows["doc_id"], rows["toxic"], rows["terms"], rows["tf"])]
     # Neighbours in the index share their heaviest term, which keeps the blocks' bounds tight.
-    vectors.sort(key=lambda v: (v[2][int(np.argmax(v[3]))], v[0]))
-    return build(vectors, terms, idf, base, {k: totals[k] / max(1, sizes.get(k, 0)) for k in totals})
+    vectors.sort(key=lambda v: (int(v[2][np.argmax(v[3])]) if len(v[2]) else -1, v[0]))
+    return build(vectors, terms, value, base, {k: totals[k] / max(1, sizes.get(k, 0)) for k in totals})
+
+
+def phi(a: np.ndarray, df: np.ndarray, n1: int, n: int) -> np.ndarray:
+    """How far a word in df of n examples, a of n1 toxic ones, goes with the label or against it: 0 to 1."""
+    gap, spread = np.abs(a * n - df * n1), df * (n - df) * n1 * (n - n1)
+    return np.divide(gap, np.sqrt(spread), out=np.zeros(len(df)), where=spread > 0)
 
 
-def build(vectors: list[tuple], terms: dict[str, int], idf: np.ndarray, base: float, thinned: dict[int, float]) -> Index:
+def build(vectors: list[tuple], terms: dict[str, int], value: np.ndarray, base: float, thinned: dict[int, float]) -> Index:
     ids, labels = np.array([v[0] for v in vectors], "i8"), np.array([v[1] for v in vectors], "f8")
-    by_term: list[list[tuple[int, float]]] = [[] for _ in terms]
-    for place, v in enumerate(vectors):
-        for t, w in zip(v[2], v[3]):
-            by_term[t].append((place, w))
-    postings = []
-    for found in by_term:
-        at, weight = np.array([p for p, _ in found], "i8"), np.array([w for _, w in found], "f8")
-        blocks, starts = np.unique(at // BLOCK, return_index=True)
-        most = np.maximum.reduceat(weight, starts) if len(at) else np.empty(0)
-        postings.append((at, weight, blocks, most, np.append(starts, len(at))))
-    return Index(terms, idf, ids, np.array([thinned.get(int(x), 1.0) for x in labels]), labels, base, postings)
+    term = np.concatenate([v[2] for v in vectors] or [np.empty(0, "i4")])
+    order = np.argsort(term, kind="stable")
+    at = np.repeat(np.arange(len(vectors), dtype="i4"), [len(v[2]) for v in vectors])[order]
+    weight = np.concatenate([v[3] for v in vectors] or [np.empty(0)])[order].astype("f4")
+    starts = np.searchsorted(term[order], np.arange(len(value) + 1))
+    # Long postings of little weight cost most for what they tell.
+    common = np.argsort(-np.divide(np.diff(starts), value, out=np.zeros(len(value)), where=value > 0), kind="stable")[:COMMON]
+    return Index(terms, value, ids, np.array([thinned.get(int(x), 1.0) for x in labels]), labels, base, starts, at, weight, common)
 
 
 def score(docs: DataFrame, index: Index) -> DataFrame:

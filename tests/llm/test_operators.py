@@ -224,6 +224,35 @@ def test_toxicity_learns_words_and_takes_odd_texts(spark, empty):
     assert toxicity.classify(d, y.limit(0)).where("score > 0").count() == 0
 
 
+def labelled(spark, extra):
+    """300 documents of random words, each fifth toxic by one of two insults, and extra ones: doc_id, text, label or None."""
+    rnd = random.Random(3)
+    rows = [(i, " ".join([*(rnd.choice(WORDS) for _ in range(20)), *([rnd.choice(["vileword", "badword"])] if i % 5 == 0 else [])]), int(i % 5 == 0)) for i in range(300)] + extra
+    d = spark.createDataFrame([(i, t, "en", "a", 1, "", "") for i, t, _ in rows], SCHEMA)
+    return d, spark.createDataFrame([(i, y) for i, _, y in rows if y is not None], "doc_id long, toxic int")
+
+
+def test_toxicity_weighs_every_word_of_every_example(spark):
+    rnd = random.Random(4)
+    long = " ".join(rnd.choice(WORDS) + rnd.choice(WORDS) for _ in range(3000))
+    d, y = labelled(spark, [(1000 + k, " ".join(long.split(" ")[k::20]), 0) for k in range(20)] + [(2000, long + " badword", None)])
+    index = toxicity.fit(d, y)
+    trained = {r["doc_id"] for r in y.where(~toxicity.held_out()).collect()}
+    assert set(index.ids.tolist()) == trained
+    texts_ = {r["doc_id"]: r["text"] for r in d.collect()}
+    assert set(index.terms) == {w for i in trained for w in texts_[i].split(" ")}
+    assert toxicity.score(d, index).where("doc_id = 2000").first()["score"] < toxicity.THRESHOLD
+    # The nearest by the index are those of all cosines.
+    dense = np.zeros((len(index.ids), len(index.terms)))
+    for t in range(len(index.terms)):
+        run = slice(index.starts[t], index.starts[t + 1])
+        dense[index.at[run], t] = index.weight[run]
+    for i in (3, 5, 1001, 2000):
+        terms, weights = index.vector(texts_[i])
+        best = np.sort(dense[:, terms] @ weights)[::-1][: toxicity.K]
+        assert np.allclose(index.nearest(terms, weights)[1], best[best > 0], atol=1e-6)
+
+
 def test_pages(spark):
     rows = [(i, f"https://h.example/{i}", f"<body><nav>menu</nav><article><p>text {i}</p></article></body>", "g") for i in range(5)] + [(7, None, None, "g"), (8, "https://h.example/8", "", "g"), (8, "https://h.example/8", "", "g")]
     found = html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, `group` string")).orderBy("page_id").collect()
