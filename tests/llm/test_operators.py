@@ -253,6 +253,15 @@ def test_toxicity_weighs_every_word_of_every_example(spark):
         assert np.allclose(index.nearest(terms, weights)[1], best[best > 0], atol=1e-6)
 
 
+def test_toxicity_keeps_rare_insults(spark):
+    rnd = random.Random(5)
+    learnt = [i for i in range(4000, 4100) if zlib.crc32(str(i).encode()) % 3 != 1][:4]
+    text = lambda: " ".join([rnd.choice(WORDS) for _ in range(10)] + ["rareslur"])
+    d, y = labelled(spark, [(i, text(), 1) for i in learnt] + [(5000, text(), None), (5001, text().replace("rareslur", "unseen"), None)])
+    found = {r["doc_id"]: r for r in toxicity.classify(d, y).where("doc_id >= 5000").collect()}
+    assert set(found[5000]["evidence"]) <= set(learnt) and found[5000]["score"] > found[5001]["score"]
+
+
 def test_pages(spark):
     rows = [(i, f"https://h.example/{i}", f"<body><nav>menu</nav><article><p>text {i}</p></article></body>", "g") for i in range(5)] + [(7, None, None, "g"), (8, "https://h.example/8", "", "g"), (8, "https://h.example/8", "", "g")]
     found = html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, `group` string")).orderBy("page_id").collect()
