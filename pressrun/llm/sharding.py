@@ -3,8 +3,10 @@
 Law `rows`: shard counts differ by one row at most. Documents start on shards by a hash of their doc_id. The
 linked ones, those whose text occurs twice or more, are counted by (text, shard): all copies of a text see the
 same neighbours, so a row of that table stands for all its documents. Each round joins every text with the
-shards of its copies, proposes to move copies to the shard with room that holds most of them, and accepts
-proposals in a hashed order up to the quota of each (from, to) pair of shards. Unlinked documents cut no edge
+shards of its copies, proposes to move copies to the shard that holds most of them, and accepts
+proposals in a hashed order up to the quota of each (from, to) pair of shards: as many as go the other way, and what
+the shard has room for. In even rounds copies on shards with room propose shards with room only, so that a group larger
+than a shard gathers on few others; full shards give and take by exchange. Unlinked documents cut no edge
 wherever they lie, so only linked ones count against a shard's capacity while labels move. Afterwards the
 documents of each text are dealt to its shards by rank, and a last exact step gives surplus rows, unlinked ones
 first, to shards that lack rows.
@@ -47,17 +49,22 @@ def _by_shard(links: DataFrame, shards: int) -> list[int]:
 def propagate(links: DataFrame, total: int, shards: int, rounds: int) -> DataFrame:
     """links: digest, shard, n of linked documents. The same after `rounds` rounds at most; total counts all rows."""
     capacity, least = total // shards, max(2, -(-total // HOT_SHARE))
+    idle = 0
     for turn in range(rounds):
         loads = _by_shard(links, shards)
         room = [max(0, capacity - x) for x in loads]
-        open_ = [x > capacity // 100 for x in room]
-        is_open = _pick(open_, F.col("shard"))
-        rank = F.when(is_open, F.struct("n", F.pmod(F.xxhash64("digest", "shard"), F.lit(1 << 20)).alias("tie")))
-        best = F.max_by("shard", rank).over(Window.partitionBy("digest"))
-        moves = links.withColumn("to", F.when(is_open, F.coalesce(best, F.col("shard"))).otherwise(F.col("shard")))
+        is_open = _pick([x > capacity // 100 for x in room], F.col("shard"))
+        rank, copies = F.struct("n", F.pmod(F.xxhash64("digest", "shard", F.lit(turn)), F.lit(1 << 20)).alias("tie")), Window.partitionBy("digest")
+        to = F.max_by("shard", rank).over(copies)
+        if turn % 2 == 0:
+            to = F.when(is_open, F.max_by("shard", F.when(is_open, rank)).over(copies)).otherwise(to)
+        moves = links.withColumn("to", to)
         asked = {(r["shard"], r["to"]): r["n"] for r in moves.where("shard <> to").groupBy("shard", "to").agg(F.sum("n").alias("n")).collect()}  # a row for each pair of shards
-        if not asked:
+        idle = 0 if asked else idle + 1
+        if idle == 2:
             break
+        if not asked:
+            continue
         into = [sum(n for (_, b), n in asked.items() if b == s) for s in range(shards)]
         part = [0.0] * (shards * shards)
         for (a, b), n in asked.items():

@@ -224,6 +224,17 @@ def test_toxicity_learns_words_and_takes_odd_texts(spark, empty):
     assert toxicity.classify(d, y.limit(0)).where("score > 0").count() == 0
 
 
+@pytest.mark.parametrize("times", [2, 3])
+def test_shards_of_a_table_made_of_copies(spark, times):
+    n = 60_000
+    copies = spark.range(n).selectExpr("id AS doc_id", f"concat('text ', id % {n // times}) AS text")
+    found = sharding.shard(copies)
+    counts = [r["count"] for r in found.groupBy("shard").count().collect()]
+    assert len(counts) == 8 and max(counts) - min(counts) <= 1
+    uncut = found.withColumn("text", F.col("doc_id") % (n // times)).groupBy("text").agg(F.countDistinct("shard").alias("s")).where("s = 1").count()
+    assert uncut >= 0.9 * (n // times), uncut / (n // times)
+
+
 def labelled(spark, extra):
     """300 documents of random words, each fifth toxic by one of two insults, and extra ones: doc_id, text, label or None."""
     rnd = random.Random(3)
