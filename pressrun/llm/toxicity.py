@@ -2,7 +2,8 @@
 
 Examples are labelled rows outside the held-out fold: of each label the SAMPLE rows with the least hash of doc_id
 (the bound of the fitted sample). Every word of an example is a term and every example is in the index. A weight is
-(1 + ln tf) * ln(1 + n / df) times the word's phi coefficient with the label (the root of chi-square for each example):
+(1 + ln tf) * ln(1 + n / df), counted over all documents, times the word's phi coefficient with the label among the
+examples (the root of chi-square for each example):
 words that do not go with the label count little, and none is left out. Vectors have length one over all their words.
 
 Most terms have postings, from which a query's part over them is summed exactly for every example. The COMMON terms with
@@ -94,11 +95,11 @@ class Index:
             runs = [slice(i, j) for i, j in zip(starts.tolist(), ends.tolist())]
             parts = np.concatenate([self.weight[r] for r in runs]) * np.repeat(weights[listed], ends - starts)
             acc = np.bincount(np.concatenate([self.at[r] for r in runs]), parts, len(acc))
-        bound = (acc.reshape(-1, BLOCK) + (self.most @ query)[:, None]).ravel()[: len(self.ids)]
+        bound = (acc.reshape(-1, BLOCK) + dots(self.most, query)[:, None]).ravel()[: len(self.ids)]
         first = np.argpartition(bound, -FIRST)[-FIRST:] if len(bound) > FIRST else np.arange(len(bound))
-        least = kth(acc[first] + self.rows[first] @ query)
+        least = kth(acc[first] + dots(self.rows[first], query))
         open_ = np.flatnonzero(bound >= least - SLACK)
-        about = acc[open_] + self.rows[open_] @ query
+        about = acc[open_] + dots(self.rows[open_], query)
         places = open_[about >= kth(about) - SLACK]
         exact = acc[places] + (self.rows[places].astype("f8") * query).sum(axis=1)
         order = np.lexsort((self.ids[places], -exact))[:K]
@@ -122,6 +123,11 @@ class Index:
         return min(1.0, max(0.0, value)), self.ids[places[:3]].tolist()
 
 
+def dots(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Product of each row with the query in this thread alone: the linear-algebra library's threads cost more than they save."""
+    return np.einsum("ij,j->i", rows, query)
+
+
 def kth(scores: np.ndarray) -> float:
     """The K-th largest value; 0 if there are fewer."""
     return float(np.partition(scores, -K)[-K]) if len(scores) >= K else 0.0
@@ -164,9 +170,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index:
     found = words.toArrow().to_pandas().sort_values("word", ignore_index=True) if 0 < n1 < n else pd.DataFrame({"word": [], "c": [], "t": []})
     terms = {w: i for i, w in enumerate(found["word"])}
     a, df = found["t"].to_numpy("f8"), (found["t"] + found["c"]).to_numpy("f8")
-    value = np.log(1 + n / df) * phi(a, df, n1, n)
     known = docs.sparkSession.sparkContext.broadcast(terms)
 
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(len(known.value), "i8")
+        for batch in batches:
+            for text in batch["text"]:
+                own = set(map(known.value.get, WORD.findall(text.lower())))
+                own.discard(None)
+                counts[list(own)] += 1
+        met = np.flatnonzero(counts)
+        yield pd.DataFrame({"term": met, "n": counts[met]})
+
+    every = np.zeros(len(terms))
+    if terms:
+        spreads = docs.select(text_or_empty().alias("text")).mapInPandas(spread, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow().to_pandas()  # one row a term
+        every[spreads["term"].to_numpy()] = spreads["n"]
+    value = np.log(1 + docs.count() / np.maximum(every, 1)) * phi(a, df, n1, n)
+
     def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [sorted(Counter(map(known.value.get, WORD.findall(x.lower()))).items()) for x in batch["text"]] if known.value else [[] for _ in batch["text"]]

@@ -264,6 +264,16 @@ def test_toxicity_weighs_every_word_of_every_example(spark):
         assert np.allclose(index.nearest(terms, weights)[1], best[best > 0], atol=1e-6)
 
 
+def test_toxicity_counts_documents_over_the_whole_table(spark):
+    d, y = labelled(spark, [(6000 + i, "vileword", None) for i in range(500)])
+    index = toxicity.fit(d, y)
+    trained = {r["doc_id"]: r["toxic"] for r in y.where(~toxicity.held_out()).collect()}
+    have = {r["doc_id"] for r in d.collect() if "vileword" in r["text"].split(" ")}
+    a, df, n1, n = sum(trained[i] for i in have & set(trained)), len(have & set(trained)), sum(trained.values()), len(trained)
+    want = np.log(1 + d.count() / len(have)) * toxicity.phi(np.array([float(a)]), np.array([float(df)]), n1, n)[0]
+    assert np.isclose(index.value[index.terms["vileword"]], want)
+
+
 def test_toxicity_keeps_rare_insults(spark):
     rnd = random.Random(5)
     learnt = [i for i in range(4000, 4100) if zlib.crc32(str(i).encode()) % 3 != 1][:4]
