@@ -322,3 +322,31 @@ def test_pipeline_stages_keep_the_columns(spark, empty):
 def test_crc_of_fold(spark):
     row = spark.range(1).select(F.lit(5).alias("doc_id")).select(toxicity.held_out().alias("x")).first()
     assert row["x"] == (zlib.crc32(b"5") % 3 == 1)
+
+
+@pytest.mark.parametrize("block", [10, 3000])
+def test_a_group_of_near_copies_around_the_threshold(spark, monkeypatch, block):
+    """Copies of one text with 0 to 16 of 100 words changed: several components in every bucket, and hubs whose links fail."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", 400 * block)
+    rnd, base = random.Random(11), [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(150):
+        ws = base.copy()
+        for k in rnd.sample(range(100), rnd.randint(0, 16)):
+            ws[k] = rnd.choice(["other", f"n{i}x{k}"])
+        rows.append((i, " ".join(ws), "en", "a", 1, "", ""))
+    d = spark.createDataFrame(rows, SCHEMA)
+    want = brute_near(texts(d), 2)
+    assert 3 < len({c for _, c in want.values()}) < 100
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.group(d).collect()} == want
+
+
+def test_words_are_hashed_alike_wherever_slices_are_cut(monkeypatch):
+    rnd = random.Random(12)
+    found = ["", " ", "A b", "é" * 50, *(" \t\n".join(rnd.choice(WORDS) for _ in range(rnd.randint(1, 80))) for _ in range(30))]
+    whole = minhash.word_hashes(found)
+    monkeypatch.setattr(minhash, "SLICE", 7)
+    for text, a, b in zip(found, whole, minhash.word_hashes(found)):
+        assert a.tolist() == b.tolist() and len(a) == len([w for w in words(text) if w])
+    assert len(set(np.concatenate(whole).tolist())) == len({w.lower() for t in found for w in words(t) if w})
