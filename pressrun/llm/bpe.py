@@ -15,15 +15,18 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
 from pressrun.llm._base import text_or_empty
-from pressrun.llm.tokens import PIECES, WORD_PATTERN, WORDS, Store, byte_letters, path
+from pressrun.llm.tokens import STORE_BYTES, WORD_PATTERN, Store, byte_letters, path
 
 END = "</w>"
+#: Letters of a fragment that is merged in a list.
+LONG = 64
 
 
 class ForcedBPE:
@@ -50,8 +53,7 @@ class ForcedBPE:
         self.normalizer = Tokenizer.from_file(file).normalizer
         self.split = regex.compile(WORD_PATTERN, regex.V0).findall
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")").split
-        self.fragments: Store = Store(WORDS)
-        self.pieces: Store = Store(PIECES // 2)
+        self.fragments, self.pieces = Store(), Store(2 * STORE_BYTES)
 
     def cut(self, word: str) -> list[str]:
         """A word in byte letters, split at its forced boundaries."""
@@ -66,6 +68,8 @@ class ForcedBPE:
         A merge makes pairs of higher rank only, so equal pairs are taken one by one from the left. After each only
         the ranks of its two neighbours change.
         """
+        if len(symbols) > LONG:
+            return self.merge_long(symbols)
         rank, none = self.merges.get, 1 << 60
         ranks = [rank(p, none) for p in zip(symbols, symbols[1:])]
         while ranks:
@@ -81,6 +85,28 @@ class ForcedBPE:
                 ranks[i] = rank((symbols[i], symbols[i + 1]), none)
         return [self.ids[x] for x in symbols]
 
+    def merge_long(self, symbols: list[str]) -> list[int]:
+        """The same merges from a heap over linked symbols: n log n for a word of n letters."""
+        n, rank = len(symbols), self.merges.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i, p in enumerate(zip(symbols, symbols[1:])) if (r := rank(p)) is not None]
+        heapify(heap)
+        while heap:
+            found, i = heappop(heap)
+            j = after[i]
+            if j == n or not symbols[i] or rank((symbols[i], symbols[j])) != found:
+                continue  # one of the two has merged since
+            symbols[i] += symbols[j]
+            symbols[j] = ""
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                if (r := rank((symbols[i], symbols[after[i]]))) is not None:
+                    heappush(heap, (r, i))
+            if before[i] >= 0 and (r := rank((symbols[before[i]], symbols[i]))) is not None:
+                heappush(heap, (r, before[i]))
+        return [self.ids[x] for x in symbols if x]
+
     def word(self, word: str) -> list[int]:
         mapped = word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode()])
         out: list[int] = []
@@ -94,7 +120,7 @@ class ForcedBPE:
                 if last:
                     symbols[-1] += END
                 found = self.merge(symbols)
-                self.fragments.keep(key, found)
+                self.fragments.keep(key, found, len(key) + 8 * len(found))
             out += found
         return out
 
@@ -117,12 +143,14 @@ class ForcedBPE:
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids and of the decoded text. White space parts words, so pieces between blanks stand alone."""
         n, ids, names, known = 0, [], [], self.pieces
+        known.full()
+        self.fragments.full()
         for x in text.split(" "):
             kept = known.get(x)
             if kept is None:
                 found = self.piece(x)
                 kept = (len(found), " ".join(map(str, found)), self.decode(found))
-                known.keep(x, kept)
+                known.keep(x, kept, len(x) + len(kept[1]) + len(kept[2]) + 200)
             if kept[0]:
                 n += kept[0]
                 ids.append(kept[1])

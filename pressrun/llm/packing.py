@@ -105,8 +105,8 @@ def encode(docs: DataFrame, name: str, end_id: int, capacity: int) -> DataFrame:
         use, end = encoder(name), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             counts, crcs = [], []
-            for text in batch["text"]:
-                ids = use.encode(text) + end
+            for ids in use.encode_all(batch["text"].tolist()):
+                ids += end
                 lengths = pieces_of(len(ids) // 4, capacity)
                 ends = np.cumsum(lengths) * 4
                 counts.append(len(ids) // 4)

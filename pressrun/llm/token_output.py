@@ -76,7 +76,7 @@ def train(docs: DataFrame, name: str, end_id: int, width: int) -> bytes:
         some = some.where(F.pmod(F.xxhash64("doc_id"), F.lit(rows // (2 * SAMPLE))) == 0)
     texts = [r["text"] for r in some.select("text").limit(SAMPLE).collect()]  # SAMPLE * SAMPLE_BYTES bytes at most
     use = encoder(name)
-    samples = [serialize(np.append(np.frombuffer(use.encode(x), "<u4"), end_id), width) for x in texts]
+    samples = [serialize(np.append(np.frombuffer(x, "<u4"), np.uint32(end_id)), width) for x in use.encode_all(texts)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
@@ -97,7 +97,7 @@ def write(docs: DataFrame, name: str = "word_bpe_49k.json", end_id: int = 1, wid
         use = encoder(name)
         writer = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
         for batch in batches:
-            ids = [np.append(np.frombuffer(use.encode(x), "<u4"), end_id) for x in batch["text"]]
+            ids = [np.append(np.frombuffer(x, "<u4"), np.uint32(end_id)) for x in use.encode_all(batch["text"].tolist())]
             shard = np.searchsorted(sorted_ends, batch["doc_id"].to_numpy("i8"), "left")
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": [len(x) for x in ids], "frame": [writer.compress(serialize(x, width)) for x in ids], "shard": shard})
 

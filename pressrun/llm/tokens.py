@@ -1,28 +1,35 @@
-"""Exact encoding with public tokenizers, piece by piece: each distinct piece between blanks is encoded once.
+"""Exact encoding with public tokenizers.
 
-A text is cut before every blank that is followed by something other than white space. For both vocabularies
-used here such a place always parts two pre-tokens, so the ids of a text are those of its pieces, one after
-the other. A piece that is new is split into pre-tokens, and a pre-token that is new goes to the byte-pair
-model of the tokenizers library. Pieces with a special token go to the library whole.
+A byte-pair vocabulary whose ids follow the order of its merges is a table of ranks, so the rank encoder of tiktoken gives
+the ids of the tokenizers library, at any length of a word in nearly linear time. `byte_bpe_50k.json` keeps white space:
+whole texts go to the encoder. `word_bpe_49k.json` drops it and marks the ends of words: pieces between blanks stand alone
+there, so each distinct piece is encoded once for a chunk of texts and kept in a store of bounded bytes. Special tokens
+part a text first, as in the library.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import struct
+from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import regex
 
-#: Pieces and pre-tokens that one Python worker keeps. A full store takes no more; after as many misses it starts anew.
-PIECES, WORDS = 600_000, 400_000
+#: Bytes of results that one Python worker keeps, characters of the texts that are encoded together.
+STORE_BYTES, CHUNK = 96_000_000, 4_000_000
+#: What an entry of a store takes besides its key and value.
+ENTRY = 220
 
 # The pre-token patterns of the two vocabularies and white space as they count it.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]+"
-BYTE_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-#: A blank before more white space or at the end: not a certain cut.
-UNSURE = regex.compile(r" (?=\s|$)", regex.V0)
+BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+").findall
+#: Mark the end of a word, and part two pieces; texts that hold them go to the library.
+WORD_END, PARTING = "\x01", "\x02"
 
 
 def path(name: str) -> str:
@@ -44,100 +51,128 @@ def packed(ids: list[int]) -> bytes:
 
 
 class Store(dict):
-    """A bounded memory of results."""
+    """A memory of results. Whoever adds to it asks now and then whether it is full: then it starts anew."""
 
-    def __init__(self, most: int) -> None:
+    def __init__(self, most: int = STORE_BYTES) -> None:
         super().__init__()
-        self.most, self.missed = most, 0
+        self.most, self.held = most, 0
 
     def __reduce__(self) -> tuple:
         return Store, (self.most,)
 
-    def keep(self, key: object, value: object) -> None:
-        if len(self) >= self.most:
-            self.missed += 1
-            if self.missed < self.most:
-                return
-            self.clear()
-            self.missed = 0
+    def full(self) -> bool:
+        if self.held < self.most:
+            return False
+        self.clear()
+        self.held = 0
+        return True
+
+    def keep(self, key: object, value: object, size: int = 0) -> None:
+        """size: bytes of key and value, as far as they vary."""
         self[key] = value
+        self.held += size + ENTRY
 
 
-class PieceEncoder:
+class Encoder:
     """Texts to ids as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, name: str) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path(name))
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
-        #: Whether the blank before a piece belongs to it.
-        self.blank = self.normalizer is None
-        self.split = regex.compile(BYTE_PATTERN if self.blank else WORD_PATTERN, regex.V0).findall
-        self.letters = byte_letters()
+        self.library = Tokenizer.from_file(path(name))
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.normalizer = self.library.normalizer
         with open(path(name), encoding="utf-8") as f:
-            self.specials = [x["content"] for x in json.load(f)["added_tokens"]]
-        self.pieces, self.heads, self.words = Store(PIECES), Store(PIECES // 8), Store(WORDS)
-
-    def cut(self, text: str) -> list[str]:
-        """The first is a text's start; the others follow a blank that is left out."""
-        found = text.split(" ")
-        if self.blank and UNSURE.search(text):
-            out = [found[0]]
-            for x in found[1:]:
-                if not x or x[0].isspace():
-                    out[-1] += " " + x  # not a certain cut
-                else:
-                    out.append(x)
-            return out
-        return found
-
-    def mapped(self, word: str) -> str:
-        if word.isalnum() and word.isascii():
-            return word
-        if word[0] == " " and word[1:].isalnum() and word.isascii():
-            return self.letters[32] + word[1:]
-        return "".join([self.letters[b] for b in word.encode()])
-
-    def word(self, word: str) -> bytes:
-        found = packed([x.id for x in self.model.tokenize(self.mapped(word))])
-        self.words.keep(word, found)
-        return found
-
-    def piece(self, piece: str) -> bytes:
-        if "<|" in piece and any(x in piece for x in self.specials):
-            return packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        if not self.blank:
-            piece = piece.lower() if piece.isascii() else self.normalizer.normalize_str(piece)
-        words = self.words
-        return b"".join([words[x] if x in words else self.word(x) for x in self.split(piece)])
+            spec = json.load(f)
+        model, added = spec["model"], spec["added_tokens"]
+        self.end = model["end_of_word_suffix"] or ""
+        self.specials = {x["content"]: packed([x["id"]]) for x in added}
+        self.parted = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")").split
+        code = {c: b for b, c in enumerate(byte_letters())}
+
+        def key(token: str) -> bytes:
+            last = bool(self.end) and token.endswith(self.end)
+            return bytes([code[c] for c in (token.removesuffix(self.end) if last else token)]) + WORD_END.encode() * last
+
+        merges = [x if isinstance(x, list) else x.split(" ") for x in model["merges"]]
+        order = [model["vocab"][a + b] for a, b in merges]
+        singles = [i for t, i in model["vocab"].items() if len(t.removesuffix(self.end) if self.end else t) == 1]
+        if order != sorted(order) or max(singles) > order[0]:
+            raise ValueError("ids that do not follow the order of the merges are no ranks")
+        ranks = {key(t): i for t, i in model["vocab"].items() if t not in self.specials}
+        self.ranks = tiktoken.Encoding(name, pat_str=rf"[^{WORD_END}]+{WORD_END}" if self.end else BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.split = regex.compile(WORD_PATTERN, regex.V0).findall
+        self.parting = packed([model["vocab"][byte_letters()[ord(PARTING)] + self.end]]) if self.end else b""
+        self.pieces = Store()
+
+    def ranked(self, text: str) -> bytes:
+        return self.ranks.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+
+    def by_library(self, text: str) -> bytes:
+        return packed(self.library.encode(text, add_special_tokens=False).ids)
+
+    def has_special(self, text: str) -> bool:
+        return "<|" in text and any(x in text for x in self.specials)
+
+    def learn(self, pieces: list[str]) -> None:
+        """Ids of new pieces into the store, all in one pass."""
+        odd = [x for x in pieces if WORD_END in x or PARTING in x or "<|" in x]
+        for x in odd:
+            ids = self.by_library(x)
+            self.pieces.keep(x, ids, len(x) + len(ids))
+        if odd:
+            pieces = list(set(pieces).difference(odd))
+        plain = [x for x in pieces if x.isascii()]
+        other = [x for x in pieces if not x.isascii()] if len(plain) < len(pieces) else []
+        for some, lower, split in ((plain, str.lower, ASCII_SPLIT), (other, self.normalizer.normalize_str, self.split)):
+            if some:
+                text = f" {PARTING} ".join(some)
+                found = self.ranked(WORD_END.join([*split(lower(text)), ""]))
+                self.pieces.update(zip(some, parts(found, self.parting), strict=True))
+                self.pieces.held += len(text) + len(found) + ENTRY * len(some)
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text."""
+        if not self.end:
+            for x in texts:
+                yield b"".join([self.specials.get(p) or self.ranked(p) for p in self.parted(x)]) if self.has_special(x) else self.ranked(x)
+            return
+        start = 0
+        while start < len(texts):
+            cut, size = [], 0
+            while start < len(texts) and (size < CHUNK or not cut):
+                cut.append(texts[start].split(" "))
+                size += len(texts[start])
+                start += 1
+            self.pieces.full()
+            new = set().union(*cut).difference(self.pieces)
+            new.discard("")
+            self.learn(list(new))
+            self.pieces.setdefault("", b"")
+            get = self.pieces.__getitem__
+            for x in cut:
+                yield b"".join(map(get, x))
 
     def encode(self, text: str) -> bytes:
-        cut = self.cut(text)
-        head = []
-        if self.blank:
-            first = cut.pop(0)
-            ids = self.heads.get(first)
-            if ids is None:
-                ids = self.piece(first)
-                self.heads.keep(first, ids)
-            head.append(ids)
-        out = list(map(self.pieces.get, cut))
-        at = -1
-        for _ in range(out.count(None)):
-            at = out.index(None, at + 1)
-            x = cut[at]
-            out[at] = ids = self.piece(" " + x if self.blank else x)
-            self.pieces.keep(x, ids)
-        return b"".join(head + out)
+        return next(self.encode_all([text]))
+
+
+def parts(data: bytes, by: bytes) -> Iterator[bytes]:
+    """data between the places of the 4-byte value `by`."""
+    ids = np.frombuffer(data, "<u4")
+    ends = (np.flatnonzero(ids == np.frombuffer(by, "<u4")[0]) * 4).tolist()
+    at = 0
+    for end in [*ends, len(data)]:
+        yield data[at:end]
+        at = end + 4
 
 
 @lru_cache(4)
-def encoder(name: str) -> PieceEncoder:
+def encoder(name: str) -> Encoder:
     """One encoder a worker process. word_bpe_49k.json drops white space, byte_bpe_50k.json keeps it."""
-    return PieceEncoder(name)
+    return Encoder(name)

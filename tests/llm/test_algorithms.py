@@ -37,11 +37,32 @@ def test_forced_boundaries_give_the_library_ids_and_text():
         assert b == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
-def test_a_full_store_starts_anew():
-    store = tokens.Store(2)
+def test_a_full_store_starts_anew(monkeypatch):
+    store = tokens.Store(2 * tokens.ENTRY + 10)
     for i in range(7):
-        store.keep(str(i), i)
-    assert len(store) <= 2
+        store.full()
+        store.keep(str(i), i, 1)
+    assert 0 < len(store) <= 3
+    use = tokens.Encoder("word_bpe_49k.json")
+    use.pieces.most, library = 3000, use.library
+    found = texts(8, 400)
+    monkeypatch.setattr(tokens, "CHUNK", 50)
+    assert [np.frombuffer(x, "<u4").tolist() for x in use.encode_all(found)] == [library.encode(x, add_special_tokens=False).ids for x in found]
+
+
+@pytest.mark.parametrize("word", ["abcdefghij" * 100_000, "a" * 300_000, "日本語" * 20_000, "the" * 7_000])
+def test_words_of_any_length(word):
+    own, library = bpe.ForcedBPE(tokens.path("word_bpe_49k.json")), Tokenizer.from_file(tokens.path("word_bpe_49k.json"))
+    assert own.encode(word) == library.encode(word, add_special_tokens=False).ids
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        use = tokens.encoder(name)
+        assert np.frombuffer(use.encode(word), "<u4").tolist() == use.library.encode(word, add_special_tokens=False).ids
+
+
+def test_merges_from_a_heap_are_those_of_a_list(monkeypatch):
+    own, rnd = bpe.ForcedBPE(tokens.path("word_bpe_49k.json")), random.Random(9)
+    words = [[*("".join(rnd.choice("aeinrst") for _ in range(rnd.randint(1, 60))))] for _ in range(500)]
+    assert [own.merge(x.copy()) for x in words] == [own.merge_long(x.copy()) for x in words]
 
 
 def test_suffix_arrays_equal_sorting():
