@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A key with at least 1/HOT_SHARE of all rows is hot; so there are at most HOT_SHARE hot keys.
 HOT_SHARE = 512
+#: Bits of the bitmap that `among` broadcasts.
+BITMAP = 1 << 26
 #: The white space of the word contracts: space and tab to carriage return.
 SPACES = " \t\n\x0b\f\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -61,5 +63,19 @@ def join_hot(rows: DataFrame, groups: DataFrame, key: str, count: str, total: in
     return first.unionByName(rest)
 
 
+def among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows whose long key is in ids (one column of that name, without repeats): only these are shuffled, and few others.
+
+    A bitmap of BITMAP hashed keys is broadcast, 8 MB whatever the number of ids; what passes it is joined by key. The join
+    is named, so that plans do not change with the size of the table.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(BITMAP))
+    maps = ids.select(F.bitmap_bucket_number(place).alias("map_no"), F.bitmap_bit_position(place).alias("bit")).groupBy("map_no").agg(F.bitmap_construct_agg("bit").alias("map"))
+    bit = f"pmod(bitmap_bit_position(pmod(xxhash64({key}), {BITMAP}L)), 8)"
+    byte = f"conv(hex(substring(map, CAST(bitmap_bit_position(pmod(xxhash64({key}), {BITMAP}L)) DIV 8 AS INT) + 1, 1)), 16, 10)"
+    few = rows.withColumn("map_no", F.bitmap_bucket_number(place)).join(F.broadcast(maps), "map_no").where(F.expr(f"shiftright(CAST({byte} AS INT), CAST({bit} AS INT)) % 2 = 1"))
+    return few.select(*rows.columns).join(ids.hint("merge"), key)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

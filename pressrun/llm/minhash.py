@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressrun.llm._base import join_hot, materialize, shuffle_parts, text_or_empty
+from pressrun.llm._base import among, join_hot, materialize, shuffle_parts, text_or_empty
 from pressrun.llm.graph import components
 
 CUT = re.compile(rb"[ \t\n\x0b\f\r]")
@@ -198,16 +198,20 @@ def full_sets(docs: DataFrame, ids: DataFrame, how: NearDup) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "shingles": [shingles(x, how.shingle).view("i8") for x in word_hashes(batch["text"].tolist())]})
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return texts.join(ids, "doc_id").mapInPandas(run, "doc_id long, shingles array<long>")
+    return among(texts, ids, "doc_id").mapInPandas(run, "doc_id long, shingles array<long>")
 
 
 def _meet(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
-    """pairs (u, v) with the value of both, a and b. A u with many pairs is copied once for each STAR of them."""
+    """pairs (u, v) with the value of both, a and b. A u with many pairs is copied once for each STAR of them.
+
+    The joins are named, so that plans do not change with the size of the table.
+    """
+    values = values.hint("merge")
     fans = pairs.groupBy("u").agg(((F.count("*") / STAR).cast("int") + 1).alias("fans"))
     left = fans.join(values.withColumnRenamed("doc_id", "u"), "u").select("u", F.explode(F.sequence(F.lit(0), F.col("fans") - 1)).alias("fan"), F.col(name).alias("a"))
     fanned = pairs.join(fans, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("fans")).cast("int").alias("fan"))
     right = fanned.join(values.select(F.col("doc_id").alias("v"), F.col(name).alias("b")), "v")
-    return right.join(left, ["u", "fan"]).select("u", "v", "a", "b")
+    return right.join(left.hint("merge"), ["u", "fan"]).select("u", "v", "a", "b")
 
 
 def likely(pairs: DataFrame, sigs: DataFrame, how: NearDup) -> DataFrame:
@@ -315,7 +319,7 @@ def across(open_: DataFrame, nodes: DataFrame, docs: DataFrame, how: NearDup) ->
         out = np.concatenate(out) if out else np.empty(0, "i8")
         return pd.DataFrame({"u": rows["u"].to_numpy()[out], "node": node[out], "c": c[out]})
 
-    met = in_blocks(open_.join(nodes.select("node", "n_shingles", "sig"), "node"), blocks, parts).drop("n")
+    met = in_blocks(open_.join(nodes.select("node", "n_shingles", "sig").hint("merge"), "node"), blocks, parts).drop("n")
     marked = materialize(met.groupBy("part").applyInPandas(mark, "u long, node long, c long").distinct(), "minhash-marked")
     sized = marked.join(nodes.select("node", "n_shingles"), "node")
     groups = sized.groupBy("u").agg((F.sum("n_shingles") * 8 / BLOCK_BYTES + 1).cast("int").alias("blocks"), F.count("*").alias("n"))
@@ -330,7 +334,7 @@ def across(open_: DataFrame, nodes: DataFrame, docs: DataFrame, how: NearDup) ->
         out = [p for x, cross in meetings(rows) for p in joins([sets_[k] for k in x], node[x], c[x], own[x], cross, how.percent)]
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
-    near = join_hot(marked, groups, "u", "n", totals[1]).drop("n").join(sets, "node")
+    near = join_hot(marked, groups, "u", "n", totals[1]).drop("n").join(sets.hint("merge"), "node")
     return in_blocks(near, F.col("blocks"), parts).drop("blocks").groupBy("part").applyInPandas(link, "u long, v long")
 
 
