@@ -6,10 +6,11 @@ Examples are labelled rows outside the held-out fold: of each label the SAMPLE r
 examples (the root of chi-square for each example):
 words that do not go with the label count little, and none is left out. Vectors have length one over all their words.
 
-Most terms have postings, from which a query's part over them is summed exactly for every example. The COMMON terms with
-the longest postings for their weight are kept as a matrix, with the largest weight of each block of BLOCK examples:
-these give an upper bound for each example. The FIRST examples of highest bound are scored, and then only those
-whose bound reaches the K-th best score found: the K nearest are exact. Their votes, weighted by similarity and by how far
+The examples form blocks, clusters by their most frequent terms, which part languages and kinds of text. A block keeps its
+DENSE most frequent terms as a matrix with the largest weight of each term; all other weights are in postings, from which
+a query's part over them is summed for every example. QUERIES texts are searched together: each meets the block of
+highest bound first, and then only those blocks whose bound (their maxima, or the norms) reaches the K-th best score
+found there: the K nearest are exact. Their votes, weighted by similarity and by how far
 the sample thins their label out, together with a vote of weight PRIOR for the label's share, are the score.
 
 Defined cases: null text counts as empty; a text without terms gets the share of label 1; without any
@@ -20,7 +21,6 @@ scored; an empty table gives an empty result; columns besides doc_id, text and t
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -28,6 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +36,10 @@ from pressrun.llm._base import materialize, text_or_empty
 from pressrun.llm.tokens import Store
 
 SAMPLE = 10_000
-#: Terms kept as a matrix, examples of a block, examples scored at first, neighbours, weight of the prior, score of a toxic text.
-COMMON, BLOCK, FIRST, K, PRIOR, THRESHOLD = 512, 64, 64, 25, 0.5, 0.7
+#: Blocks of examples, turns of the clustering, terms that a block keeps as a matrix, queries that are searched together.
+BLOCKS, TURNS, DENSE, QUERIES = 16, 8, 1024, 256
+#: Neighbours, weight of the prior, score of a toxic text.
+K, PRIOR, THRESHOLD = 25, 0.5, 0.7
 #: More than what single precision can take from a bound.
 SLACK = 1e-5
 WORD = re.compile(r"\w+")
@@ -48,7 +51,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 @dataclass
 class Index:
-    """The examples' vectors by term: those of term t are at[starts[t]:starts[t + 1]], with their weights."""
+    """The examples by block. columns[b] names the dense terms of block b, rows[b] holds their weights; the postings of term t
+    outside the dense terms of an example's block are at[starts[t]:starts[t + 1]], with their weights."""
 
     terms: dict[str, int]
     value: np.ndarray
@@ -56,78 +60,121 @@ class Index:
     votes: np.ndarray
     labels: np.ndarray
     base: float
+    edges: np.ndarray
+    columns: list[np.ndarray]
+    rows: list[np.ndarray]
     starts: np.ndarray
     at: np.ndarray
     weight: np.ndarray
-    common: np.ndarray
-    scores: Store = field(default_factory=lambda: Store(50_000))
+    scores: Store = field(default_factory=lambda: Store(8_000_000))
 
     def __post_init__(self) -> None:
         """What follows from the fields: each process makes it anew."""
-        self.column = np.full(len(self.value), -1, "i4")
-        self.column[self.common] = np.arange(len(self.common))
-        self.rows = np.zeros((-(-len(self.ids) // BLOCK) * BLOCK, len(self.common)), "f4")
-        for c, t in enumerate(self.common):
-            run = slice(self.starts[t], self.starts[t + 1])
-            self.rows[self.at[run], c] = self.weight[run]
-        self.most = self.rows.reshape(len(self.rows) // BLOCK, BLOCK, len(self.common)).max(axis=1)
+        self.lengths = np.diff(self.starts)
+        self.column = np.full((len(self.columns), len(self.value)), -1, "i2")
+        for b, terms in enumerate(self.columns):
+            self.column[b, terms] = np.arange(len(terms))
+        self.most = [x.max(axis=0, initial=0) for x in self.rows]
+        self.norms = [float(np.sqrt((x.astype("f8") ** 2).sum(axis=1).max(initial=0))) for x in self.rows]
 
     def __reduce__(self) -> tuple:
-        return Index, (self.terms, self.value, self.ids, self.votes, self.labels, self.base, self.starts, self.at, self.weight, self.common)
+        return Index, (self.terms, self.value, self.ids, self.votes, self.labels, self.base, self.edges, self.columns, self.rows, self.starts, self.at, self.weight)
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Terms of a text in order, and their weights."""
+        """Terms of a text, and their weights."""
         found = Counter(map(self.terms.get, WORD.findall(text.lower())))
         found.pop(None, None)
-        terms = np.fromiter(found.keys(), "i8", len(found))
-        order = np.argsort(terms)
-        return weigh(terms[order], np.fromiter(found.values(), "i8", len(found))[order], self.value)
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The K examples of highest cosine (then least doc_id) that share a term, and their cosines."""
-        column = self.column[terms]
-        query = np.zeros(len(self.common), "f4")
-        query[column[column >= 0]] = weights[column >= 0]
-        listed = column < 0
-        starts, ends = self.starts[terms[listed]], self.starts[terms[listed] + 1]
-        acc = np.zeros(len(self.rows))
-        if len(starts):
-            runs = [slice(i, j) for i, j in zip(starts.tolist(), ends.tolist())]
-            parts = np.concatenate([self.weight[r] for r in runs]) * np.repeat(weights[listed], ends - starts)
-            acc = np.bincount(np.concatenate([self.at[r] for r in runs]), parts, len(acc))
-        bound = (acc.reshape(-1, BLOCK) + dots(self.most, query)[:, None]).ravel()[: len(self.ids)]
-        first = np.argpartition(bound, -FIRST)[-FIRST:] if len(bound) > FIRST else np.arange(len(bound))
-        least = kth(acc[first] + dots(self.rows[first], query))
-        open_ = np.flatnonzero(bound >= least - SLACK)
-        about = acc[open_] + dots(self.rows[open_], query)
-        places = open_[about >= kth(about) - SLACK]
-        exact = acc[places] + (self.rows[places].astype("f8") * query).sum(axis=1)
-        order = np.lexsort((self.ids[places], -exact))[:K]
-        order = order[exact[order] > 0]
-        return places[order], exact[order]
-
-    def score(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, list[int]]:
-        if not len(terms) or not len(self.ids):
-            return self.base, []
-        key = hashlib.blake2b(terms.tobytes() + weights.tobytes(), digest_size=16).digest()
-        known = self.scores.get(key)
-        if known is None:
-            known = self.vote(terms, weights)
-            self.scores.keep(key, known)
-        return known
-
-    def vote(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, list[int]]:
-        places, scores = self.nearest(terms, weights)
+        return weigh(np.fromiter(found.keys(), "i8", len(found)), np.fromiter(found.values(), "f8", len(found)), self.value)
+
+    def listed(self, query: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+        """Each example's part of the cosine with each of n queries over what is in postings."""
+        lengths = self.lengths[term]
+        some = np.flatnonzero(lengths)
+        query, lengths = query[some], lengths[some]
+        start = self.starts[term[some]] - (np.cumsum(lengths) - lengths)
+        found = np.arange(int(lengths.sum())) + np.repeat(start, lengths)
+        parts = self.weight[found] * np.repeat(weight[some], lengths)
+        goes = self.at[found] + np.repeat(query * len(self.ids), lengths)
+        return np.bincount(goes, parts, n * len(self.ids)).reshape(n, len(self.ids))
+
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query the K examples of highest cosine (then least doc_id) that share a term, and their cosines."""
+        n, blocks = len(queries), len(self.rows)
+        query = np.repeat(np.arange(n), [len(t) for t, _ in queries])
+        term, weight = (np.concatenate(x) for x in zip(*queries))
+        sums = self.listed(query, term, weight, n)
+        dense, bound = [], np.empty((n, blocks))
+        for b in range(blocks):
+            column = self.column[b][term]
+            held = np.flatnonzero(column >= 0)
+            q = np.zeros((n, len(self.columns[b])), "f4")
+            q[query[held], column[held]] = weight[held]
+            dense.append(q)
+            lists = sums[:, self.edges[b] : self.edges[b + 1]].max(axis=1)
+            bound[:, b] = lists + np.minimum(q @ self.most[b], np.sqrt((q**2).sum(axis=1)) * self.norms[b]) + SLACK
+        scores = np.zeros((n, len(self.ids)))
+        best = bound.argmax(axis=1)
+        least = np.zeros(n)
+        done = np.zeros((n, blocks), bool)
+        # Each query meets its most promising block first, then the blocks whose bound reaches what it found there.
+        for turn in (0, 1):
+            for b in range(blocks):
+                here = np.flatnonzero(best == b if turn == 0 else ~done[:, b] & (bound[:, b] >= least))
+                if len(here):
+                    own = slice(self.edges[b], self.edges[b + 1])
+                    scores[here, own] = sums[here, own] + dense[b][here] @ self.rows[b].T
+                    done[here, b] = True
+            if turn == 0:
+                least = np.array([kth(x[self.edges[b] : self.edges[b + 1]]) for x, b in zip(scores, best)]) - SLACK
+        out = []
+        for i, (x, low) in enumerate(zip(scores, least)):
+            places = np.flatnonzero(x >= max(low, 1e-9))
+            places = places[x[places] >= kth(x[places]) - SLACK]
+            block = np.searchsorted(self.edges, places, "right") - 1
+            exact = sums[i, places]
+            for b in np.unique(block).tolist():
+                mine = block == b
+                exact[mine] += (self.rows[b][places[mine] - self.edges[b]].astype("f8") * dense[b][i]).sum(axis=1)
+            order = np.lexsort((self.ids[places], -exact))[:K]
+            out.append((places[order], exact[order]))
+        return out
+
+    def score(self, texts: list[str]) -> list[tuple[float, list[int]]]:
+        """Score and nearest examples of each text; equal texts are scored once."""
+        out: dict[bytes, tuple[float, list[int]]] = {}
+        keys = [xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in texts]
+        todo: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+        self.scores.full()
+
+        def flush() -> None:
+            for key, found in zip(todo, self.nearest(list(todo.values()))):
+                out[key] = self.vote(*found)
+                self.scores.keep(key, out[key], 200)
+            todo.clear()
+
+        for key, text in zip(keys, texts):
+            if key in out or key in todo:
+                continue
+            if key in self.scores:
+                out[key] = self.scores[key]
+                continue
+            terms, weights = self.vector(text)
+            if not len(terms) or not len(self.ids):
+                out[key] = self.base, []
+                continue
+            todo[key] = terms, weights
+            if len(todo) == QUERIES:
+                flush()
+        if todo:
+            flush()
+        return [out[k] for k in keys]
+
+    def vote(self, places: np.ndarray, scores: np.ndarray) -> tuple[float, list[int]]:
         vote = scores * self.votes[places]
         value = (float((vote * self.labels[places]).sum()) + PRIOR * self.base) / (float(vote.sum()) + PRIOR)
         return min(1.0, max(0.0, value)), self.ids[places[:3]].tolist()
 
 
-def dots(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Product of each row with the query in this thread alone: the linear-algebra library's threads cost more than they save."""
-    return np.einsum("ij,j->i", rows, query)
-
-
 def kth(scores: np.ndarray) -> float:
     """The K-th largest value; 0 if there are fewer."""
     return float(np.partition(scores, -K)[-K]) if len(scores) >= K else 0.0
@@ -175,12 +222,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index:
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(len(known.value), "i8")
         for batch in batches:
+            met: list[int] = []
             for text in batch["text"]:
                 own = set(map(known.value.get, WORD.findall(text.lower())))
                 own.discard(None)
-                counts[list(own)] += 1
-        met = np.flatnonzero(counts)
-        yield pd.DataFrame({"term": met, "n": counts[met]})
+                met.extend(own)
+            counts += np.bincount(np.fromiter(met, "i8", len(met)), minlength=len(counts))
+        some = np.flatnonzero(counts)
+        yield pd.DataFrame({"term": some, "n": counts[some]})
 
     every = np.zeros(len(terms))
     if terms:
@@ -196,8 +245,6 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index:
 
     rows = sample.mapInPandas(project, "doc_id long, toxic int, terms binary, tf binary").toArrow().to_pandas().sort_values("doc_id")  # 2 * SAMPLE rows at most
     vectors = [(i, y, *weigh(np.frombuffer(t, "i4"), np.frombuffer(f, "i4"), value)) for i, y, t, f in zip(rows["doc_id"], rows["toxic"], rows["terms"], rows["tf"])]
-    # Neighbours in the index share their heaviest term, which keeps the blocks' bounds tight.
-    vectors.sort(key=lambda v: (int(v[2][np.argmax(v[3])]) if len(v[2]) else -1, v[0]))
     return build(vectors, terms, value, base, {k: totals[k] / max(1, sizes.get(k, 0)) for k in totals})
 
 
@@ -207,16 +254,62 @@ def phi(a: np.ndarray, df: np.ndarray, n1: int, n: int) -> np.ndarray:
     return np.divide(gap, np.sqrt(spread), out=np.zeros(len(df)), where=spread > 0)
 
 
+def cluster(rows: np.ndarray) -> np.ndarray:
+    """A number below BLOCKS for each row: spherical k-means from far apart rows."""
+    rows = rows / np.maximum(np.sqrt((rows**2).sum(axis=1, keepdims=True)), 1e-12)
+    centres = [rows[0]]
+    near = rows @ centres[0]
+    while len(centres) < min(BLOCKS, len(rows)):
+        centres.append(rows[int(near.argmin())])
+        near = np.maximum(near, rows @ centres[-1])
+    middle = np.stack(centres)
+    for _ in range(TURNS):
+        own = (rows @ middle.T).argmax(axis=1)
+        middle = np.stack([rows[own == k].sum(axis=0) if (own == k).any() else middle[k] for k in range(len(middle))])
+        middle /= np.maximum(np.sqrt((middle**2).sum(axis=1, keepdims=True)), 1e-12)
+    return own
+
+
 def build(vectors: list[tuple], terms: dict[str, int], value: np.ndarray, base: float, thinned: dict[int, float]) -> Index:
-    ids, labels = np.array([v[0] for v in vectors], "i8"), np.array([v[1] for v in vectors], "f8")
-    term = np.concatenate([v[2] for v in vectors] or [np.empty(0, "i4")])
-    order = np.argsort(term, kind="stable")
-    at = np.repeat(np.arange(len(vectors), dtype="i4"), [len(v[2]) for v in vectors])[order]
-    weight = np.concatenate([v[3] for v in vectors] or [np.empty(0)])[order].astype("f4")
-    starts = np.searchsorted(term[order], np.arange(len(value) + 1))
-    # Long postings of little weight cost most for what they tell.
-    common = np.argsort(-np.divide(np.diff(starts), value, out=np.zeros(len(value)), where=value > 0), kind="stable")[:COMMON]
-    return Index(terms, value, ids, np.array([thinned.get(int(x), 1.0) for x in labels]), labels, base, starts, at, weight, common)
+    """vectors: doc_id, label, terms, weights of each example."""
+    n = len(vectors)
+    term = np.concatenate([v[2] for v in vectors] or [np.empty(0)]).astype("i8")
+    weight = np.concatenate([v[3] for v in vectors] or [np.empty(0)]).astype("f4")
+    of = np.repeat(np.arange(n), [len(v[2]) for v in vectors])
+    often = np.bincount(term, minlength=len(value))
+    # Blocks are clusters by the most frequent terms.
+    common = np.argsort(-often, kind="stable")[:DENSE]
+    column = np.full(len(value), -1)
+    column[common] = np.arange(len(common))
+    rows = np.zeros((n, len(common)), "f4")
+    held = column[term] >= 0
+    rows[of[held], column[term[held]]] = weight[held]
+    block = cluster(rows) if n else np.empty(0, "i8")
+    ids = np.array([v[0] for v in vectors], "i8")
+    order = np.lexsort((ids, block))
+    place = np.empty(n, "i8")
+    place[order] = np.arange(n)
+    names, numbers = np.unique(block, return_counts=True)
+    edges = np.append(0, np.cumsum(numbers))
+    columns, dense, listed = [], [], np.ones(len(term), bool)
+    for b, name in enumerate(names):
+        mine = np.flatnonzero(block[of] == name)
+        count = np.bincount(term[mine], minlength=len(value))
+        own = np.argsort(-count, kind="stable")[:DENSE]
+        own = np.sort(own[count[own] > 1])
+        column[:] = -1
+        column[own] = np.arange(len(own))
+        mine = mine[column[term[mine]] >= 0]
+        rows = np.zeros((numbers[b], len(own)), "f4")
+        rows[place[of[mine]] - edges[b], column[term[mine]]] = weight[mine]
+        listed[mine] = False
+        columns.append(own)
+        dense.append(rows)
+    term, weight, at = term[listed], weight[listed], place[of[listed]].astype("i4")
+    by = np.argsort(term, kind="stable")
+    starts = np.searchsorted(term[by], np.arange(len(value) + 1))
+    labels = np.array([v[1] for v in vectors], "f8")[order]
+    return Index(terms, value, ids[order], np.array([thinned.get(int(x), 1.0) for x in labels]), labels, base, edges, columns, dense, starts, at[by], weight[by])
 
 
 def score(docs: DataFrame, index: Index) -> DataFrame:
@@ -227,7 +320,7 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         use = shared.value
         for batch in batches:
-            found = [use.score(*use.vector(x)) for x in batch["text"]]
+            found = use.score(batch["text"].tolist())
             yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "score": [x[0] for x in found], "predicted": [int(x[0] >= THRESHOLD) for x in found], "evidence": [x[1] for x in found]})
 
     rows = docs.select("doc_id", held_out().alias("held_out"), text_or_empty().alias("text"))

@@ -159,21 +159,37 @@ def test_containers_round_trip_and_know_their_dictionary():
     assert zlib.crc32(reader.ids(7).astype("<u4").tobytes()) == zlib.crc32(docs[7].astype("<u4").tobytes())
 
 
-def test_block_max_search_equals_brute_force():
+@pytest.mark.parametrize(("blocks", "dense"), [(16, 1024), (5, 6), (1, 0)])
+def test_block_max_search_equals_brute_force(blocks, dense, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCKS", blocks)
+    monkeypatch.setattr(toxicity, "DENSE", dense)
     rnd = np.random.default_rng(6)
-    idf = rnd.uniform(0.5, 3, 40)
-    vectors = [(i, int(rnd.random() < 0.3), *toxicity.weigh({int(t): int(rnd.integers(1, 4)) for t in rnd.choice(40, rnd.integers(1, 6), replace=False)}, idf)) for i in range(700)]
-    index = toxicity.build(vectors, {str(i): i for i in range(40)}, idf, 0.3, {0: 1.0, 1: 1.0})
-    for _ in range(60):
-        terms, weights = toxicity.weigh({int(t): 1 for t in rnd.choice(40, 4, replace=False)}, idf)
-        scores = np.zeros(700)
-        for place, v in enumerate(vectors):
-            for t, q in zip(terms, weights):
-                if t in v[2]:
-                    scores[place] += q * v[3][v[2].index(t)]
-        best = np.lexsort((np.arange(700), -scores))[: toxicity.K]
-        places, found = index.nearest(terms, weights)
-        assert places.tolist() == best[: len(places)].tolist() and np.allclose(found, scores[best][: len(found)])
+    value = rnd.uniform(0.5, 3, 80)
+
+    def drawn(most):
+        low = int(rnd.integers(0, 4)) * 15  # texts keep to a part of the words, as those of one language
+        terms = np.sort(low + rnd.choice(35, rnd.integers(1, most), replace=False))
+        return toxicity.weigh(terms, rnd.integers(1, 4, len(terms)), value)
+
+    vectors = [(i, int(rnd.random() < 0.3), *drawn(6)) for i in range(700)]
+    index = toxicity.build(vectors, {str(i): i for i in range(80)}, value, 0.3, {0: 1.0, 1: 1.0})
+    queries = [drawn(9) for _ in range(60)]
+    for (terms, weights), (places, found) in zip(queries, index.nearest(queries)):
+        q = np.zeros(80)
+        q[terms] = weights
+        scores = np.array([w @ q[t] for _, _, t, w in vectors])
+        best = np.lexsort((np.arange(700), -scores.round(6)))[: toxicity.K]
+        best = best[scores[best] > 0]
+        assert np.allclose(found, scores[best], atol=1e-6) and len(set(places)) == len(best)
+        assert all(np.isclose(scores[i], x, atol=1e-6) for i, x in zip(index.ids[places], found))
+
+
+def test_blocks_hold_every_example_and_weight(monkeypatch):
+    monkeypatch.setattr(toxicity, "DENSE", 3)
+    vectors = [(9 - i, i % 2, np.arange(i % 5), np.full(i % 5, 0.25)) for i in range(10)]
+    index = toxicity.build(vectors, {}, np.ones(5), 0.5, {})
+    assert sorted(index.ids) == list(range(10)) and index.edges[-1] == 10
+    assert sum((x > 0).sum() for x in index.rows) + len(index.at) == sum(len(v[2]) for v in vectors)
 
 
 PAGE = (

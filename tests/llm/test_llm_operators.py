@@ -258,10 +258,41 @@ def test_toxicity_weighs_every_word_of_every_example(spark):
     for t in range(len(index.terms)):
         run = slice(index.starts[t], index.starts[t + 1])
         dense[index.at[run], t] = index.weight[run]
-    for i in (3, 5, 1001, 2000):
-        terms, weights = index.vector(texts_[i])
+    for b, columns in enumerate(index.columns):
+        dense[index.edges[b] : index.edges[b + 1], columns] = index.rows[b]
+    assert np.allclose((dense**2).sum(axis=1), 1, atol=1e-5)
+    queries = [index.vector(texts_[i]) for i in (3, 5, 1001, 2000)]
+    for (terms, weights), (_, found) in zip(queries, index.nearest(queries)):
         best = np.sort(dense[:, terms] @ weights)[::-1][: toxicity.K]
-        assert np.allclose(index.nearest(terms, weights)[1], best[best > 0], atol=1e-6)
+        assert np.allclose(found, best[best > 0], atol=1e-6)
+
+
+def test_toxicity_equals_brute_force_on_a_table(spark):
+    """Vectors, neighbours and votes from the definition, without an index; copies and rows of one id are each scored."""
+    d, y = labelled(spark, [(7000 + i, "vileword " + WORDS[i], 1) for i in range(5)] + [(8000, None, None), (8001, "vileword", None), (8001, "vileword", None)])
+    full = [(r["doc_id"], r["text"] or "") for r in d.collect()]
+    train = {r["doc_id"]: r["toxic"] for r in y.where(~toxicity.held_out()).collect()}
+    bags = {i: Counter(t.lower().split()) for i, t in full}
+    n, n1 = len(train), sum(train.values())
+    spread = Counter(w for i, t in full for w in set(t.lower().split()))
+    df, a = Counter(), Counter()
+    for i, label in train.items():
+        df.update(bags[i].keys())
+        a.update(bags[i].keys() if label else [])
+    value = {w: np.log(1 + len(full) / spread[w]) * abs(a[w] * n - df[w] * n1) / np.sqrt(df[w] * (n - df[w]) * n1 * (n - n1)) if df[w] < n else 0.0 for w in df}
+
+    def vector(bag):
+        v = {w: (1 + np.log(k)) * value[w] for w, k in bag.items() if value.get(w)}
+        size = np.sqrt(sum(x * x for x in v.values()))
+        return {w: x / size for w, x in v.items()}
+
+    known = {i: vector(bags[i]) for i in train}
+    for r in toxicity.classify(d, y).collect():
+        q = vector(bags[r["doc_id"]])
+        cosines = sorted(((sum(x * known[i].get(w, 0.0) for w, x in q.items()), -i) for i in train), reverse=True)[: toxicity.K]
+        total = sum(c for c, _ in cosines)
+        want = (sum(c * train[-i] for c, i in cosines) + toxicity.PRIOR * n1 / n) / (total + toxicity.PRIOR) if q else n1 / n
+        assert abs(r["score"] - want) < 1e-4, (r["doc_id"], r["score"], want)
 
 
 def test_toxicity_counts_documents_over_the_whole_table(spark):
