@@ -1,31 +1,44 @@
 """Main text of web pages by wrapper induction.
 
 Pages of one host are parsed into trees and aligned with the largest of them by simple tree matching. A node
-whose text stays the same on most of the aligned pages belongs to the template, one whose text varies is a slot for
+whose text stays the same below most of the matched nodes belongs to the template, one whose text varies is a slot for
 content. Menus, headers, footers, sidebars, notices, adverts, forms, scripts and reader comments are left out by
-element and by name; the element that holds most of the slots' text is the article.
+element and by name. Where a page has article or main elements, the one that holds most of the slots' text is the article;
+elsewhere the slots of the whole page are, so there the alignment alone tells content from template.
 
-Pages of a host are aligned in blocks of about BLOCK pages, so a host with a third of all pages is many groups;
-each block is induced on its own.
+Pages are dealt by host, and those of a large host by (host, salt) too, so html moves once and no task holds a hot host.
+A task reads its pages in order and induces BLOCK to 2 * BLOCK pages of a host at a time.
+
+Matching depends on the labels of a subtree only, so each pair of shapes is matched once. Lists of children are matched by
+dynamic programming whatever their length, beyond CELLS cells by halving one list (Hirschberg), with the same result; no
+step recurses with the depth of a page.
 
 Defined cases: null or empty html gives an empty text; a null url is the host ''; fewer than MIN_PAGES distinct
-pages in a block prove no template; equal pages vote once; a template never takes more than half of an article, so
-copies of an article do not erase it; repeated rows are each returned; an empty table gives an empty result;
+pages in a block prove no template; equal pages vote once; a template never takes more than half of an article, nor
+all of a page without one, so copies of an article do not erase it; repeated rows are each returned; an empty table gives an empty result;
 columns besides page_id, url and html are not read.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 from html import unescape
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK, MIN_PAGES, SAME = 200, 4, 0.8
-#: Cells of one table of child matches; beyond that only the longest run of equal labels at both ends is matched.
-CELLS = 250_000
+from pressrun.llm._base import HOT_SHARE
+
+#: Pages that are induced together, those that prove a template, share of them with one text.
+BLOCK, MIN_PAGES, SAME = 100, 4, 0.8
+#: Bytes of html that are induced together at most, but for MIN_PAGES pages.
+BLOCK_BYTES = 32_000_000
+#: Cells of a table of child matches that is kept whole, and of one that is filled without arrays.
+CELLS, FEW = 4_000_000, 600
 
 # Kinds of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,10 +62,10 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "name", "role", "hidden", "children", "parent", "shape", "size", "text", "fixed")
+    __slots__ = ("tag", "name", "role", "hidden", "children", "inner", "parent", "shape", "size", "text", "fixed")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = "") -> None:
-        self.tag, self.parent, self.children, self.name, self.role, self.hidden = tag, parent, [], "", "", False
+        self.tag, self.parent, self.children, self.inner, self.name, self.role, self.hidden = tag, parent, [], [], "", "", False
         self.shape, self.size, self.text, self.fixed = 0, 1, "", False
         if attributes.strip(" /"):
             for key, a, b, c in ATTRIBUTE.findall(attributes):
@@ -123,90 +136,143 @@ def measure(root: Node) -> None:
     while stack:
         node = stack.pop()
         order.append(node)
-        stack += [x for x in node.children if not isinstance(x, str)]
+        node.inner = [x for x in node.children if not isinstance(x, str)]
+        stack += node.inner
     for node in reversed(order):
-        inner = [x for x in node.children if not isinstance(x, str)]
         node.text = SPACE.sub(" ", " ".join([x for x in node.children if isinstance(x, str)])).strip()
-        node.size = 1 + sum(x.size for x in inner)
-        node.shape = hash((node.label, tuple([x.shape for x in inner])))
+        node.size = 1 + sum(x.size for x in node.inner)
+        node.shape = hash((node.label, tuple([x.shape for x in node.inner])))
 
 
-def align(a: Node, b: Node, memo: dict) -> int:
-    """Simple tree matching: the size of the largest match that keeps labels, parents and order."""
-    if a.label != b.label:
-        return 0
-    if a.shape == b.shape:
-        return a.size
-    key = (id(a), id(b))
-    if key not in memo:
-        memo[key] = (1 + sum(w for _, _, w in matches(a, b, memo)))
-    return memo[key]
-
-
-def matches(a: Node, b: Node, memo: dict) -> list[tuple[Node, Node, int]]:
-    """Matched children of two matched nodes."""
-    x = [c for c in a.children if not isinstance(c, str)]
-    y = [c for c in b.children if not isinstance(c, str)]
-    head = 0
-    while head < min(len(x), len(y)) and x[head].shape == y[head].shape:
+#: Weight of the largest match of two shapes, and the places of the matched children.
+Memo = dict[tuple[int, int], tuple[int, list[tuple[int, int]]]]
+
+
+def ends(a: Node, b: Node) -> tuple[int, int]:
+    """How many children at both ends have equal shapes. Some largest match pairs them: none can weigh more."""
+    x, y = a.inner, b.inner
+    most, head, tail = min(len(x), len(y)), 0, 0
+    while head < most and x[head].shape == y[head].shape:
         head += 1
-    tail = 0
-    while tail < min(len(x), len(y)) - head and x[-1 - tail].shape == y[-1 - tail].shape:
+    while tail < most - head and x[-1 - tail].shape == y[-1 - tail].shape:
         tail += 1
-    out = [(p, q, p.size) for p, q in zip(x[:head], y[:head])]
-    end = [(p, q, p.size) for p, q in zip(x[len(x) - tail :], y[len(y) - tail :])]
-    x, y = x[head : len(x) - tail], y[head : len(y) - tail]
-    if not x or not y:
-        return out + end
-    if len(x) * len(y) > CELLS:
-        middle = [(p, q, w) for p, q in zip(x, y) if (w := align(p, q, memo))]
-        return out + middle + end
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    weight = [[align(p, q, memo) for q in y] for p in x]
-    for i in range(1, len(x) + 1):
-        above, row, w = best[i - 1], best[i], weight[i - 1]
-        for j in range(1, len(y) + 1):
-            row[j] = max(above[j], row[j - 1], above[j - 1] + w[j - 1])
-    middle, i, j = [], len(x), len(y)
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
+    return head, tail
+
+
+def align(a: Node, b: Node, memo: Memo) -> int:
+    """Simple tree matching: the size of the largest match that keeps labels, parents and order."""
+    stack = [(a, b)]
+    while stack:
+        p, q = stack[-1]
+        key = p.shape, q.shape
+        if key in memo:
+            stack.pop()
+        elif p.label != q.label:
+            memo[key] = 0, []
+        elif p.shape == q.shape:
+            memo[key] = p.size, [(k, k) for k in range(len(p.inner))]
+        else:
+            head, tail = ends(p, q)
+            x, y = p.inner[head : len(p.inner) - tail], q.inner[head : len(q.inner) - tail]
+            kinds_x, kinds_y = {c.shape: c for c in x}, {c.shape: c for c in y}
+            need = [(c, d) for c in kinds_x.values() for d in kinds_y.values() if (c.shape, d.shape) not in memo]
+            if need:
+                stack += need
+                continue
+            weight = np.array([[memo[c, d][0] for d in kinds_y] for c in kinds_x], "i8").reshape(len(kinds_x), len(kinds_y))
+            at_x, at_y = {c: k for k, c in enumerate(kinds_x)}, {d: k for k, d in enumerate(kinds_y)}
+            middle = best_pairs(np.array([at_x[c.shape] for c in x], "i8"), np.array([at_y[d.shape] for d in y], "i8"), weight)
+            found = [(k, k) for k in range(head)] + [(head + i, head + j) for i, j in middle] + [(len(p.inner) - k, len(q.inner) - k) for k in range(tail, 0, -1)]
+            same = sum(c.size for c in p.inner[:head]) + sum(c.size for c in p.inner[len(p.inner) - tail :])
+            memo[key] = 1 + same + sum(int(weight[at_x[x[i].shape], at_y[y[j].shape]]) for i, j in middle), found
+    return memo[a.shape, b.shape][0]
+
+
+def best_pairs(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs in order of greatest weight in all; weight is by kinds, x and y are the kinds of both lists."""
+    if not len(x) or not len(y) or not weight.any():
+        return []
+    if len(x) * len(y) > CELLS and len(x) > 1:
+        half = len(x) // 2
+        split = int((last_row(x[:half], y, weight) + last_row(x[half:][::-1], y[::-1], weight)[::-1]).argmax())
+        return best_pairs(x[:half], y[:split], weight) + [(i + half, j + split) for i, j in best_pairs(x[half:], y[split:], weight)]
+    if len(x) * len(y) <= FEW:
+        best = [[0] * (len(y) + 1)]
+        for a in x.tolist():
+            w, above, row = weight[a, y].tolist(), best[-1], [0]
+            for j, v in enumerate(w):
+                row.append(max(above[j + 1], row[j], above[j] + v))
+            best.append(row)
+        up = [[p == q for p, q in zip(r[1:], s[1:])] for s, r in zip(best, best[1:])]
+        left = [[p == q for p, q in zip(r[1:], r)] for r in best[1:]]
+    else:
+        up, left = np.empty((len(x), len(y)), bool), np.empty((len(x), len(y)), bool)
+        row = np.zeros(len(y) + 1, "i8")
+        for i, a in enumerate(x):
+            new = next_row(row, weight[a, y])
+            up[i], left[i] = new[1:] == row[1:], new[1:] == new[:-1]
+            row = new
+    out, i, j = [], len(x) - 1, len(y) - 1
+    while i >= 0 and j >= 0:
+        if up[i][j]:
             i -= 1
-        elif best[i][j] == best[i][j - 1]:
+        elif left[i][j]:
             j -= 1
         else:
+            out.append((i, j))
             i, j = i - 1, j - 1
-            middle.append((x[i], y[j], weight[i][j]))
-    return out + middle[::-1] + end
+    return out[::-1]
+
+
+def next_row(row: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    out = row.copy()
+    out[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + weight))
+    return out
+
 
+def last_row(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    row = np.zeros(len(y) + 1, "i8")
+    for a in x:
+        row = next_row(row, weight[a, y])
+    return row
 
-def pairs(a: Node, b: Node) -> list[tuple[Node, Node]]:
+
+def pairs(a: Node, b: Node, memo: Memo | None = None) -> list[tuple[Node, Node]]:
     """All matched nodes of two trees."""
-    memo: dict = {}
-    out, stack = [], [(a, b)]
+    memo = {} if memo is None else memo
+    align(a, b, memo)
+    out, stack = [], [(a, b)] if a.label == b.label else []
     while stack:
         p, q = stack.pop()
         out.append((p, q))
-        stack += [(c, d) for c, d, _ in matches(p, q, memo)]
+        if p.shape == q.shape:
+            stack += list(zip(p.inner, q.inner))[::-1]
+        else:
+            stack += [(p.inner[i], q.inner[j]) for i, j in reversed(memo[p.shape, q.shape][1])]
     return out
 
 
 def induce(trees: list[Node]) -> None:
-    """Marks the template's nodes (`fixed`) in every tree."""
+    """Marks the template's nodes (`fixed`) in every tree.
+
+    A child of a matched node is constant if most nodes matched there have a child of its label and text: among
+    children of one label a match fixes their order only, not which of them stands for which.
+    """
     if len(trees) < MIN_PAGES:
         return
-    seed = max(trees, key=lambda t: t.size)
-    met = [pairs(seed, t) for t in trees]
-    seen: dict[int, int] = {}
-    same: dict[int, int] = {}
+    seed, memo = max(trees, key=lambda t: t.size), {}
+    met = [pairs(seed, t, memo) for t in trees]
+    matched: Counter = Counter()
+    seen: Counter = Counter()
     for found in met:
         for p, q in found:
-            if p.text:
-                seen[id(p)] = seen.get(id(p), 0) + 1
-                same[id(p)] = same.get(id(p), 0) + (p.text == q.text)
+            matched[id(p)] += 1
+            seen.update({(id(p), c.tag, c.name, c.text) for c in q.inner if c.text})
     for found in met:
         for p, q in found:
-            n = seen.get(id(p), 0)
-            q.fixed = n >= MIN_PAGES and same[id(p)] >= SAME * n and p.text == q.text
+            n = matched[id(p)]
+            for c in q.inner:
+                c.fixed = bool(c.text) and n >= MIN_PAGES and seen[id(p), c.tag, c.name, c.text] >= SAME * n
 
 
 def boilerplate(node: Node, inside: bool) -> bool:
@@ -293,13 +359,8 @@ def extract(root: Node) -> str:
                 article = x
     else:
         article = root
-        while True:
-            inner = [c for c in article.children if not isinstance(c, str) and c.tag not in INLINE and slots.get(id(c), 0) >= 0.9 * max(1, slots.get(id(article), 0))]
-            if not inner or not [c for c in inner[0].children if not isinstance(c, str) and c.tag not in INLINE]:
-                break
-            article = inner[0]
     kept, taken = blocks(article, True)
-    if sum(map(len, taken)) > sum(map(len, kept)):
+    if sum(map(len, taken)) > sum(map(len, kept)) and (mains or not kept):
         kept, _ = blocks(article, False)
     return "\n\n".join(kept)
 
@@ -328,14 +389,59 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     kind = dict(pages.dtypes)["page_id"]
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), host.alias("host"))
-    large = rows.groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("host", (F.col("n") / BLOCK + 1).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("blocks", F.lit(1)))
-    # One column names the group: with two, pages dealt by host alone would count as dealt, a hot host to one task.
-    dealt = rows.join(large, "host", "left").select("page_id", "url", "html", F.concat_ws("#", "host", block).alias("group"))
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("page_id", kind="stable")
-        texts = main_texts(group["html"].tolist())
-        return pd.DataFrame({"page_id": group["page_id"], "url": group["url"], "text": texts, "n_chars": [len(x) for x in texts]})
-
-    return dealt.groupBy("group").applyInPandas(run, f"page_id {kind}, url string, text string, n_chars long")
+    # At most HOT_SHARE hosts have so many of all pages.
+    many = max(2 * BLOCK, -(-rows.count() // HOT_SHARE))
+    large = rows.groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") >= many).select("host", (F.col("n") / BLOCK + 1).cast("int").alias("salts"))
+    place = F.xxhash64("page_id", "url")
+    dealt = rows.join(F.broadcast(large), "host", "left").withColumn("salt", F.pmod(place, F.coalesce("salts", F.lit(1)))).withColumn("place", place)
+    dealt = dealt.select("host", "salt", "place", "page_id", "url", "html").repartition("host", "salt").sortWithinPartitions("host", "salt", "place", "page_id", "url")
+
+    def texts(block: pd.DataFrame) -> pd.DataFrame:
+        found = main_texts(block["html"].tolist())
+        return pd.DataFrame({"page_id": block["page_id"], "url": block["url"], "text": found, "n_chars": [len(x) for x in found]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(map(len, held)) < 2 * BLOCK and sum(x["html"].map(len).sum() for x in held) < BLOCK_BYTES:
+                continue
+            rest = pd.concat(held)
+            cut, left = blocks_of(rest, True)
+            for a, b in cut:
+                yield texts(rest.iloc[a:b])
+            held = [rest.iloc[left:]]
+        if held:
+            rest = pd.concat(held)
+            for a, b in blocks_of(rest, False)[0]:
+                yield texts(rest.iloc[a:b])
+
+    return dealt.mapInPandas(run, f"page_id {kind}, url string, text string, n_chars long")
+
+
+def blocks_of(rows: pd.DataFrame, more: bool) -> tuple[list[tuple[int, int]], int]:
+    """Places of the blocks of rows in order, and where the rows begin whose block depends on rows to come (`more`).
+
+    A run of one (host, salt) is cut after every BLOCK rows, unless fewer than BLOCK follow, and where it holds BLOCK_BYTES.
+    """
+    new = ((rows["host"] != rows["host"].shift()) | (rows["salt"] != rows["salt"].shift())).to_numpy()
+    sizes, edges = rows["html"].map(len).tolist(), [*np.flatnonzero(new).tolist(), len(rows)]
+    out = []
+    for a, b in zip(edges, edges[1:]):
+        open_, held, k = more and b == len(rows), 0, a
+        while k < b:
+            held += sizes[k]
+            k += 1
+            full = held >= BLOCK_BYTES and k - a >= MIN_PAGES
+            if not full and k - a == BLOCK:
+                if open_ and b - k < BLOCK:
+                    return out, a
+                full = b - k >= BLOCK
+            if full:
+                out.append((a, k))
+                a, held = k, 0
+        if open_:
+            return out, a
+        if a < b:
+            out.append((a, b))
+    return out, len(rows)

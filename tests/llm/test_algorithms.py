@@ -216,3 +216,74 @@ def test_tree_matching_keeps_order_and_labels():
     html.measure(b)
     assert html.align(a, b, {}) == 4
     assert [(p.tag, q.tag) for p, q in html.pairs(a, b)][:2] == [("#root", "#root"), ("ul", "ul")]
+
+
+def brute_match(a, b):
+    if a.label != b.label:
+        return 0
+    best = [[0] * (len(b.inner) + 1) for _ in range(len(a.inner) + 1)]
+    for i, p in enumerate(a.inner):
+        for j, q in enumerate(b.inner):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + brute_match(p, q))
+    return 1 + best[-1][-1]
+
+
+@pytest.mark.parametrize(("few", "cells"), [(600, 4_000_000), (0, 4_000_000), (0, 6)])
+def test_tree_matching_equals_brute_force(few, cells, monkeypatch):
+    monkeypatch.setattr(html, "FEW", few)
+    monkeypatch.setattr(html, "CELLS", cells)
+    rnd = random.Random(13)
+
+    def tree(depth):
+        tag = rnd.choice("bip")
+        return f"<{tag}>" + "".join(tree(depth - 1) for _ in range(rnd.randint(0, 4) if depth else 0)) + f"</{tag}>"
+
+    for _ in range(120):
+        a, b = (html.parse("<div>" + "".join(tree(2).replace("p>", "u>") for _ in range(3)) + "</div>") for _ in range(2))
+        html.measure(a)
+        html.measure(b)
+        found = html.pairs(a, b)
+        assert html.align(a, b, {}) == brute_match(a, b) == len(found)
+        assert len({id(p) for p, _ in found}) == len({id(q) for _, q in found}) == len(found)
+        assert all(p.label == q.label for p, q in found)
+
+
+def test_an_inserted_child_shifts_no_match_at_any_length():
+    for n in (600, 3000):
+        a = html.parse("<div>" + "".join(f"<p><b>{i}</b></p>" if i % 2 else "<p>x</p>" for i in range(n)) + "</div>")
+        b = html.parse("<div><h2>new</h2>" + "".join(f"<p><b>{i}</b></p>" if i % 2 else "<p>x</p>" for i in range(n - 1)) + "<h3>end</h3><p>x</p></div>")
+        html.measure(a)
+        html.measure(b)
+        assert html.align(a, b, {}) == a.size - 1 and len(html.pairs(a, b)) == a.size - 1
+
+
+def test_deep_pages_and_long_texts():
+    deep = ["<div>" * 5000 + f"<p>text {i}</p><{'b' if i % 2 else 'i'}>x{i}</{'b' if i % 2 else 'i'}>" + "</div>" * 5000 for i in range(6)]
+    assert html.main_texts(deep) == [f"text {i}\n\nx{i}" for i in range(6)]
+    long = "word " * 400_000
+    assert html.main_texts([f"<article><p>{long}</p></article>"]) == [long.strip()]
+
+
+def test_alignment_alone_finds_the_text_of_pages_without_telling_names():
+    """No article, no names: an advert and a bar stand at places that shift with the number of paragraphs."""
+    page = "<body><div><p>Acme Daily</p><p>All rights belong to Acme</p></div><div><h1>Title {n}</h1>{body}<p>Write to us today</p></div><div><p>Made by Acme</p></div></body>"
+    pages = [page.replace("{n}", str(i)).replace("{body}", "".join(f"<p>story {i} part {k}</p>" for k in range(1 + i % 4))) for i in range(12)]
+    for i, text in enumerate(html.main_texts(pages)):
+        assert text == "\n\n".join([f"Title {i}", *(f"story {i} part {k}" for k in range(1 + i % 4))])
+    assert "Made by Acme" in html.main_texts(pages[:3])[0]
+
+
+def test_pages_come_in_the_same_blocks_however_they_arrive():
+    import pandas as pd
+
+    rnd = random.Random(14)
+    rows = pd.DataFrame([(h, s, "x" * rnd.choice([10, 10, 9_000_000])) for h, s, n in (("a", 0, 450), ("a", 1, 99), ("b", 0, 230), ("c", 0, 1)) for _ in range(n)], columns=["host", "salt", "html"])
+    whole, left = html.blocks_of(rows, False)
+    assert left == len(rows) and [a for a, _ in whole[1:]] == [b for _, b in whole[:-1]]
+    at, end, parts = 0, 0, []
+    while end < len(rows):
+        end = min(len(rows), end + rnd.randint(1, 260))
+        found, left = html.blocks_of(rows.iloc[at:end], end < len(rows))
+        parts += [(at + a, at + b) for a, b in found]
+        at += left
+    assert parts == whole

@@ -315,9 +315,20 @@ def test_toxicity_keeps_rare_insults(spark):
 
 
 def test_pages(spark):
-    rows = [(i, f"https://h.example/{i}", f"<body><nav>menu</nav><article><p>text {i}</p></article></body>", "g") for i in range(5)] + [(7, None, None, "g"), (8, "https://h.example/8", "", "g"), (8, "https://h.example/8", "", "g")]
-    found = html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, `group` string")).orderBy("page_id").collect()
-    assert [r["text"] for r in found] == [f"text {i}" for i in range(5)] + ["", "", ""] and all(r["n_chars"] == len(r["text"]) for r in found)
+    schema = "page_id long, url string, html string, `group` string, host string, salt long"
+    rows = [(i, f"https://h.example/{i}", f"<body><nav>menu</nav><article><p>text {i}</p></article></body>", "g", "h", 1) for i in range(5)]
+    rows += [(7, None, None, "g", None, 1), (8, "https://h.example/8", "", "g", "h", 1), (8, "https://h.example/8", "", "g", "h", 1), (None, "https://h.example/9", "<p>no id</p>", "g", "h", 1)]
+    found = html.extract_pages(spark.createDataFrame(rows, schema)).orderBy(F.col("page_id").asc_nulls_last()).collect()
+    assert [r["text"] for r in found] == [f"text {i}" for i in range(5)] + ["", "", "", "no id"] and all(r["n_chars"] == len(r["text"]) for r in found)
+    assert html.extract_pages(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_pages_of_a_hot_host_keep_their_wrapper(spark):
+    """A host with most pages is cut into blocks; each finds the template, which only alignment can tell."""
+    page = "<body><div><p>Acme Daily</p></div><div><p>story {n}</p></div><div><p>Made by Acme</p></div></body>"
+    rows = [(i, f"https://{'hot' if i % 10 else f'h{i % 40}'}.example/{i}", page.replace("{n}", str(i))) for i in range(1500)]
+    found = html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(found) == 1500 and all(r["text"] == f"story {r['page_id']}" for r in found)
 
 
 def test_pipeline_equals_brute_force(spark, tmp_path):
