@@ -1,9 +1,10 @@
 """From raw documents to packed sequences: five operators, one after the other.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written as Parquet and read again as
-the next stage's docs. All but the last return the columns of documents. A doc_id names one document: rows
-without one are rejected by the first stage, and of rows that share one the first stage keeps the longest text (ties: the
-least text).
+the next stage's docs. All but the last return the columns of documents. Verdicts go back to rows by doc_id and a hash
+of the text, so rows that share a doc_id but not their text are judged each on its own, and rows without a doc_id are
+judged by the rules and exact copies too. Near-duplicate grouping tells rows apart by doc_id alone: rows that share
+one stay or go together, and rows without one stay; they lose no bytes either.
 """
 
 from __future__ import annotations
@@ -12,43 +13,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressrun.llm import exact, minhash, packing, quality, suffix
-from pressrun.llm._base import materialize, table
+from pressrun.llm._base import materialize, table, text_or_empty
 
 NEAR = minhash.NearDup(shingle=5, percent=80)
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs but those whose doc_id is in ids. Spark broadcasts ids only if their stored size allows it."""
-    return docs.join(ids.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+def _marked(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("text_mark_", F.xxhash64(text_or_empty()))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs but those whose doc_id and mark are in gone."""
+    gone = gone.select(F.col("doc_id").alias("gone_id_"), F.col("text_mark_").alias("gone_mark_")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id_")) & (F.col("text_mark_") == F.col("gone_mark_"))
+    return _marked(docs).join(gone, same, "left_anti").select(*docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    named = docs.where("doc_id IS NOT NULL")
-    if named.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        text = F.coalesce("text", F.lit(""))
-        named = named.groupBy("doc_id").agg(F.max_by(F.struct(*docs.columns), F.struct(F.length(text), -F.xxhash64(text))).alias("row")).select("row.*")
-    verdicts = materialize(quality.judge(named).select("doc_id", "kept"), "pipeline-quality")
-    return _without(named, verdicts.where("NOT kept"))
+    verdicts = quality.judge(_marked(docs), carry=["text_mark_"]).where("NOT kept")
+    return _without(docs, materialize(verdicts.select("doc_id", "text_mark_"), "pipeline-quality"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = materialize(exact.dedup(docs).select("doc_id", "kept"), "pipeline-exact")
-    return _without(docs, found.where("NOT kept"))
+    found = exact.dedup(_marked(docs), carry=["text_mark_"]).where("NOT kept")
+    return _without(docs, materialize(found.select("doc_id", "text_mark_"), "pipeline-exact"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = materialize(minhash.group(docs, NEAR).select("doc_id", "kept"), "pipeline-near")
-    return _without(docs, found.where("NOT kept"))
+    found = materialize(minhash.group(docs, NEAR).where("NOT kept").select("doc_id").distinct(), "pipeline-near")
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
 
 def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes that the operator removes, nor what is left of characters that it cut."""
-    cut = suffix.remove_repeats(docs, with_text=True).where("n_removed > 0").select("doc_id", F.col("text").alias("left_over"))
-    cut = materialize(cut, "pipeline-suffix")
-    text = F.coalesce("left_over", "text")
+    cut = suffix.remove_repeats(docs, with_text=True).where("n_removed > 0")
+    cut = cut.select(F.col("doc_id").alias("cut_id_"), F.col("sha").alias("cut_sha_"), F.col("text").alias("left_over_"))
+    cut = materialize(cut.dropDuplicates(["cut_id_", "cut_sha_"]), "pipeline-suffix")
+    text = F.coalesce("left_over_", "text")
     new = {"text": text} | ({"n_chars": F.length(text).cast(dict(docs.dtypes)["n_chars"])} if "n_chars" in docs.columns else {})
-    joined = docs.join(cut, "doc_id", "left")
-    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    same = (F.col("doc_id") == F.col("cut_id_")) & (F.unhex(F.sha2(text_or_empty().cast("binary"), 256)) == F.col("cut_sha_"))
+    return docs.join(cut, same, "left").select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,15 +34,16 @@ class QualityRules:
             raise ValueError("window must be 2 or more and max_host_rate in (0, 1]")
 
 
-def features(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of each row; no shuffle.
+def features(docs: DataFrame, rules: QualityRules = QualityRules(), carry: list[str] = []) -> DataFrame:  # noqa: B006
+    """The columns `carry`, doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of each row; no shuffle.
 
     Windows are compared by 64-bit hashes of their words. Places are sorted only in texts where a hash repeats.
     """
     w = rules.window
-    text = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"), text_or_empty().alias("text"))
+    text = docs.select(*carry, "doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"), text_or_empty().alias("text"))
     lines = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     words = text.select(
+        *carry,
         "doc_id",
         "host",
         F.length(F.regexp_replace("text", SPACE_RUN, "")).cast("long").alias("word_chars"),
@@ -51,6 +52,7 @@ def features(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame
         F.transform(F.filter(F.split("text", SPACE_RUN), lambda x: x != ""), lambda x: F.xxhash64(x)).alias("words"),
     )
     windows = words.select(
+        *carry,
         "doc_id",
         "host",
         "word_chars",
@@ -69,7 +71,7 @@ def features(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame
         lambda acc, x: F.struct(x.alias("last"), (acc["n"] + F.least(F.lit(w), x - acc["last"])).alias("n")),
         lambda acc: acc["n"],
     )
-    return placed.select("doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"))
+    return placed.select(*carry, "doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"))
 
 
 def beta_prior(hosts: DataFrame, rules: QualityRules = QualityRules()) -> tuple[float, float]:
@@ -85,17 +87,17 @@ def beta_prior(hosts: DataFrame, rules: QualityRules = QualityRules()) -> tuple[
     return mean * strength, (1 - mean) * strength
 
 
-def judge(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """One row per input row: doc_id, figures, base_failed, host_rate, kept."""
+def judge(docs: DataFrame, rules: QualityRules = QualityRules(), carry: list[str] = []) -> DataFrame:  # noqa: B006
+    """One row per input row: doc_id, figures, base_failed, kept, host, host_rate, and its columns `carry`."""
     failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
-    stored = materialize(features(docs, rules).withColumn("base_failed", failed), "quality")
+    stored = materialize(features(docs, rules, carry).withColumn("base_failed", failed), "quality")
     hosts = stored.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("fails"))
     hosts = materialize(hosts, "quality-hosts")
     a, b = beta_prior(hosts, rules)
     total = hosts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     verdicts = hosts.select("host", "n", ((F.col("fails") + F.lit(a)) / (F.col("n") + F.lit(a + b))).alias("host_rate"))
     joined = join_hot(stored, verdicts, "host", "n", total)
-    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.col("host_rate") <= rules.max_host_rate)).alias("kept"), "host", "host_rate")
+    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.col("host_rate") <= rules.max_host_rate)).alias("kept"), "host", "host_rate", *carry)
 
 
 ORACLE = r"""

@@ -244,7 +244,7 @@ def strip(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, int, bytes]
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row.
 
-    with_text adds the text left of rows that lost bytes, without parts of characters; null for the others.
+    with_text adds the text left of rows that lost bytes, without parts of characters (null for the others), and the SHA-256 of the whole text.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
@@ -340,6 +340,6 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
         F.when(is_copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(is_copy, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(is_copy, nothing).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"),
-        *([F.when(is_copy, "").otherwise(F.col("text")).alias("text")] if with_text else []),
+        *([F.when(is_copy, "").otherwise(F.col("text")).alias("text"), "sha"] if with_text else []),
     )
     return out
