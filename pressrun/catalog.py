@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pressrun.config import AXES, CandidateConfig, DigestConfig, EvaluationConfig, SelectConfig
 from pressrun.functions import ids, text, time
 from pressrun.operators import candidates, checks, clusters, digest, evaluation, judging, pool, references, selection, similarity
-from pressrun.operators.graph import stored
+from pressrun.operators.graph import stored, with_position
 from pressrun.sources.tables import ITEMS_SQL, NORM_SQL, featured, items, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,7 +88,9 @@ gram_rows AS (SELECT t, unnest(CASE WHEN length(t) >= 3 THEN list_transform(rang
 gram_counts AS (SELECT t, gram, count(*) AS c FROM gram_rows GROUP BY ALL), gram_sizes AS (SELECT t, count(*) AS n FROM gram_rows GROUP BY t),
 dice AS (SELECT a.t AS ta, b.t AS tb, floor(2.0 * sum(least(a.c, b.c)) / (any_value(x.n) + any_value(y.n)) * 10000 + 0.5) / 10000 AS score
   FROM gram_counts a JOIN gram_counts b ON a.gram = b.gram AND a.t < b.t JOIN gram_sizes x ON x.t = a.t JOIN gram_sizes y ON y.t = b.t GROUP BY a.t, b.t),
-similar_pairs AS (SELECT least(x.id, y.id) AS item_a, greatest(x.id, y.id) AS item_b, score FROM dice JOIN norm x ON x.title_norm = ta JOIN norm y ON y.title_norm = tb WHERE score >= 0.9)"""
+similar_pairs AS (SELECT least(x.id, y.id) AS item_a, greatest(x.id, y.id) AS item_b, score FROM dice JOIN norm x ON x.title_norm = ta JOIN norm y ON y.title_norm = tb WHERE score >= 0.9),
+title_reps AS (SELECT title_norm AS t, min(id) AS m, count(*) AS n FROM norm WHERE title_norm IS NOT NULL GROUP BY title_norm),
+similar_reps AS (SELECT least(x.m, y.m) AS item_a, greatest(x.m, y.m) AS item_b, score, x.n * y.n AS n_links FROM dice JOIN title_reps x ON x.t = ta JOIN title_reps y ON y.t = tb WHERE score >= 0.9)"""
 
 
 @query(f"WITH {NORM_SQL}, {GRAMS_SQL} SELECT gram, sum(c)::BIGINT AS n FROM gram_counts GROUP BY gram")
@@ -100,18 +102,25 @@ def title_ngrams(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- pairs and clusters
 
 
-@query(f"WITH {NORM_SQL} SELECT a.id AS item_a, b.id AS item_b FROM norm a JOIN norm b ON a.url_norm = b.url_norm AND a.id < b.id")
+def class_sql(column: str) -> str:
+    return f"WITH {NORM_SQL} SELECT id, min(id) OVER (PARTITION BY {column}) AS class_id, count(*) OVER (PARTITION BY {column}) - 1 AS n_links FROM norm WHERE {column} IS NOT NULL"
+
+
+@query(class_sql("url_norm"))
 def same_url_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return similarity.equal_pairs(normal(spark, d), "url_norm")
+    """Each item with a URL, its class and its number of links."""
+    return similarity.members(normal(spark, d), "url_norm")
 
 
-@query(f"WITH {NORM_SQL} SELECT a.id AS item_a, b.id AS item_b FROM norm a JOIN norm b ON a.title_norm = b.title_norm AND a.id < b.id")
+@query(class_sql("title_norm"))
 def same_title_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return similarity.equal_pairs(normal(spark, d), "title_norm")
+    """Each item with a title, its class and its number of links."""
+    return similarity.members(normal(spark, d), "title_norm")
 
 
-@query(f"WITH {NORM_SQL}, {GRAMS_SQL} SELECT item_a, item_b, score FROM similar_pairs")
+@query(f"WITH {NORM_SQL}, {GRAMS_SQL} SELECT item_a, item_b, score, n_links FROM similar_reps")
 def title_similarity_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Similar titles, named by the least item of each, and the item pairs they stand for."""
     return similarity.similar_titles(stored(normal(spark, d)))
 
 
@@ -128,8 +137,14 @@ found AS (SELECT root, 'cluster:' || sha256(string_agg(id, chr(10) ORDER BY id))
 WITH_CLUSTERS = f"WITH RECURSIVE {CLUSTERS_SQL}"
 
 
-@query(f"""WITH {EDGES_SQL} SELECT item_a, item_b, type, confidence, score,
-row_number() OVER (ORDER BY CASE type WHEN 'same-url' THEN 0 WHEN 'same-title' THEN 1 ELSE 2 END, item_a, item_b) AS pos FROM edges""")
+RELATED_SQL = f"""{NORM_SQL}, {GRAMS_SQL},
+url_class AS (SELECT id, min(id) OVER (PARTITION BY url_norm) AS class_id FROM norm WHERE url_norm IS NOT NULL), title_class AS (SELECT id, min(id) OVER (PARTITION BY title_norm) AS class_id FROM norm WHERE title_norm IS NOT NULL),
+related AS (SELECT class_id AS item_a, id AS item_b, 'same-url' AS type, 1.0::DOUBLE AS confidence, NULL::DOUBLE AS score FROM url_class WHERE id <> class_id
+  UNION ALL SELECT class_id, id, 'same-title', 0.98, NULL FROM title_class WHERE id <> class_id UNION ALL SELECT item_a, item_b, 'title-similarity', score, score FROM similar_reps)"""
+
+
+@query(f"""WITH {RELATED_SQL} SELECT item_a, item_b, type, confidence, score,
+row_number() OVER (ORDER BY CASE type WHEN 'same-url' THEN 0 WHEN 'same-title' THEN 1 ELSE 2 END, item_a, item_b) AS pos FROM related""")
 def relationships_all(spark: SparkSession, d: str) -> DataFrame:
     return similarity.with_position(similarity.relationships(stored(normal(spark, d))))
 
@@ -149,21 +164,25 @@ def clusters_found(spark: SparkSession, d: str) -> DataFrame:
 UNION ALL SELECT 'items', sum(item_count)::BIGINT FROM found UNION ALL SELECT t, (SELECT count(*) FROM edges WHERE type = t) FROM (VALUES ('same-url'), ('same-title'), ('title-similarity')) v(t)""")
 def cluster_stats(spark: SparkSession, d: str) -> DataFrame:
     rows, members = clustered(spark, d)
-    return clusters.stats(similarity.relationships(rows), clusters.clusters(members))
+    return clusters.stats(similarity.link_counts(rows), clusters.clusters(members))
 
 
 @query(f"""{WITH_CLUSTERS} SELECT f.cluster_id, f.item_count, count(*) AS n_edges FROM edges e JOIN members a ON a.id = e.item_a JOIN members b ON b.id = e.item_b AND a.root = b.root JOIN found f ON f.root = a.root
 GROUP BY ALL""")
 def cluster_review(spark: SparkSession, d: str) -> DataFrame:
     rows, members = clustered(spark, d)
-    inner = clusters.intra_edges(similarity.relationships(rows), members).groupBy("root").agg(F.count("*").alias("n_edges"))
+    inner = similarity.link_counts(rows, members).groupBy("root").agg(F.sum("n_links").alias("n_edges"))
     return clusters.clusters(members).join(inner, "root").select("cluster_id", "item_count", "n_edges")
 
 
-@query(f"{WITH_CLUSTERS} SELECT id, 'unassigned' AS rule FROM norm WHERE id NOT IN (SELECT id FROM members)")
+@query(f"WITH {ITEMS_SQL} SELECT id, 'unassigned' AS rule FROM items WHERE key % 50 = 0 UNION ALL SELECT id, 'duplicate' FROM items WHERE key % 50 <> 0 AND key % 70 = 1 UNION ALL SELECT 'lost:' || id, 'unknown' FROM items WHERE key % 90 = 2")
 def invariant_checks(spark: SparkSession, d: str) -> DataFrame:
+    """A membership with planted faults: items without a cluster, with two, and members that are no items."""
     rows, members = clustered(spark, d)
-    return clusters.violations(rows, members)
+    keyed = members.join(rows.select("id", "key"), "id")
+    kept = keyed.where("key % 50 <> 0").select("id", "root")
+    faulty = kept.unionByName(keyed.where("key % 50 <> 0 AND key % 70 = 1").select("id", "root")).unionByName(keyed.where("key % 90 = 2").select(F.concat(F.lit("lost:"), "id").alias("id"), "root"))
+    return clusters.violations(rows, faulty)
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -217,23 +236,27 @@ def title_terms(spark: SparkSession, d: str) -> DataFrame:
     return normal(spark, d).select("id", joined("terms").alias("terms"))
 
 
-@query(f"""WITH {TERMS_SQL} SELECT a.id AS item_a, b.id AS item_b, floor(len(list_intersect(x.terms, y.terms)) / len(list_distinct(list_concat(x.terms, y.terms)))::DOUBLE * 10000 + 0.5) / 10000 AS overlap
-FROM norm a JOIN norm b ON a.url_norm IS NOT NULL AND a.host = b.host AND a.id < b.id JOIN term_rows x ON x.id = a.id JOIN term_rows y ON y.id = b.id WHERE len(x.terms) + len(y.terms) > 0""")
+@query(f"""WITH {TERMS_SQL}, firsts AS (SELECT id, min(id) OVER (PARTITION BY host) AS first FROM norm WHERE host IS NOT NULL)
+SELECT f.first AS item_a, f.id AS item_b, floor(len(list_intersect(x.terms, y.terms)) / len(list_distinct(list_concat(x.terms, y.terms)))::DOUBLE * 10000 + 0.5) / 10000 AS overlap
+FROM firsts f JOIN term_rows x ON x.id = f.first JOIN term_rows y ON y.id = f.id WHERE f.id <> f.first AND len(x.terms) + len(y.terms) > 0""")
 def term_jaccard_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Overlap of title terms of pages of one host."""
-    rows = normal(spark, d).select("id", "host", "terms")
-    pairs = similarity.equal_pairs(rows, "host")
+    """Overlap of title terms of each page with the least page of its host."""
+    rows = stored(normal(spark, d).select("id", "host", "terms"))
     a, b = (rows.select(F.col("id").alias(f"item_{s}"), F.col("terms").alias(s)) for s in "ab")
-    met = pairs.join(a, "item_a").join(b, "item_b").where(F.size("a") + F.size("b") > 0)
+    stars = similarity.members(rows, "host").where("id <> class_id").select(F.col("class_id").alias("item_a"), F.col("id").alias("item_b"))
+    met = stars.join(a, "item_a").join(b, "item_b").where(F.size("a") + F.size("b") > 0)
     return met.select("item_a", "item_b", text.rounded(text.jaccard(F.col("a"), F.col("b"))).alias("overlap"))
 
 
-@query(f"""WITH {NORM_SQL} SELECT a.id AS item_a, b.id AS item_b, floor(abs(a.published_ms - b.published_ms) / 3600000.0::DOUBLE * 10000 + 0.5) / 10000 AS hours,
-coalesce(floor(abs(a.published_ms - b.published_ms) / 3600000.0::DOUBLE * 10000 + 0.5) / 10000 <= 168, true) AS in_window FROM norm a JOIN norm b ON a.title_norm = b.title_norm AND a.id < b.id""")
+@query(f"""WITH {NORM_SQL}, firsts AS (SELECT id, min(id) OVER (PARTITION BY title_norm) AS first FROM norm WHERE title_norm IS NOT NULL)
+SELECT a.id AS item_a, b.id AS item_b, floor(abs(a.published_ms - b.published_ms) / 3600000.0::DOUBLE * 10000 + 0.5) / 10000 AS hours,
+coalesce(floor(abs(a.published_ms - b.published_ms) / 3600000.0::DOUBLE * 10000 + 0.5) / 10000 <= 168, true) AS in_window FROM firsts f JOIN norm a ON a.id = f.first JOIN norm b ON b.id = f.id WHERE f.id <> f.first""")
 def hours_apart_pairs(spark: SparkSession, d: str) -> DataFrame:
-    rows = normal(spark, d)
+    """Hours between each item and the least item of its title."""
+    rows = stored(normal(spark, d))
     a, b = (rows.select(F.col("id").alias(f"item_{s}"), F.col("published_ms").alias(s)) for s in "ab")
-    met = similarity.equal_pairs(rows, "title_norm").join(a, "item_a").join(b, "item_b")
+    stars = similarity.members(rows, "title_norm").where("id <> class_id").select(F.col("class_id").alias("item_a"), F.col("id").alias("item_b"))
+    met = stars.join(a, "item_a").join(b, "item_b")
     return met.select("item_a", "item_b", time.rounded_hours(F.col("a"), F.col("b")).alias("hours_apart")).select("item_a", "item_b", F.col("hours_apart").alias("hours"), candidates.in_window().alias("in_window"))
 
 
@@ -263,12 +286,12 @@ def flat(pairs: DataFrame) -> DataFrame:
     return pairs.select("item_a", "item_b", "title_similarity", "token_overlap", F.size("shared_terms").alias("n_terms"), F.size("shared_proper").alias("n_proper"), "hours_apart", "same_hostname", "same_category", "different_provider", "candidate_score")
 
 
-@query(f"WITH {PAIR_SQL} SELECT s.* FROM pair_scores s JOIN norm a ON a.id = s.item_a JOIN norm b ON b.id = s.item_b WHERE a.title_norm = b.title_norm")
+@query(f"WITH {PAIR_SQL}, {RELATED_SQL.removeprefix(NORM_SQL).lstrip().lstrip(',').replace('gram_', 'long_gram_').replace('dice', 'long_dice')}, links AS (SELECT DISTINCT item_a, item_b FROM related) SELECT s.* FROM pair_scores s JOIN links USING (item_a, item_b)")
 def candidate_scores(spark: SparkSession, d: str) -> DataFrame:
-    """Signals and scores of pairs with one title."""
-    rows = candidates.prepared(normal(spark, d))
-    pairs = similarity.equal_pairs(rows, "title_norm").select(F.col("item_a").alias("id_a"), F.col("item_b").alias("id_b"))
-    return flat(candidates.signals(pairs, rows))
+    """Signals and scores of all relationships."""
+    normal_ = stored(normal(spark, d))
+    pairs = similarity.relationships(normal_).select(F.col("item_a").alias("id_a"), F.col("item_b").alias("id_b")).distinct()
+    return flat(candidates.signals(pairs, candidates.prepared(normal_)))
 
 
 @query(f"WITH {PAIR_SQL} SELECT * FROM gated")
@@ -283,19 +306,22 @@ def candidate_topk(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- judgments
 
-JUDG_SQL = """judg AS (SELECT least('x:' || doc_id, 'x:' || (doc_id + 1)) AS item_a, greatest('x:' || doc_id, 'x:' || (doc_id + 1)) AS item_b,
-  CASE (doc_id // 10) % 3 WHEN 0 THEN 'same-event' WHEN 1 THEN 'related-event' ELSE 'different-event' END AS relationship, (doc_id % 100) / 100.0::DOUBLE AS confidence,
-  CASE WHEN doc_id % 70 = 0 THEN 'failed' ELSE 'ok' END AS status, doc_id FROM documents WHERE doc_id % 10 = 0 AND doc_id + 1 IN (SELECT doc_id FROM documents))"""
+JUDG_SQL = """judg AS (SELECT least('x:' || d.doc_id, 'x:' || e.doc_id) AS item_a, greatest('x:' || d.doc_id, 'x:' || e.doc_id) AS item_b,
+  CASE WHEN e.doc_id = d.doc_id + 2 THEN 'different-event' WHEN d.doc_id % 3 < 2 THEN 'same-event' WHEN (d.doc_id // 3) % 2 = 0 THEN 'related-event' ELSE 'different-event' END AS relationship,
+  (d.doc_id % 100) / 100.0::DOUBLE AS confidence, CASE WHEN d.doc_id % 70 = 0 THEN 'failed' ELSE 'ok' END AS status, d.doc_id FROM documents d JOIN documents e ON e.doc_id = d.doc_id + 1 OR e.doc_id = d.doc_id + 2)"""
 HASH_SQL = rf"""{ITEMS_SQL}, {JUDG_SQL}, hashes AS (SELECT id, sha256(id || chr(31) || coalesce(title, '') || chr(31) || coalesce(summary, '') || chr(31) || coalesce(category, '') || chr(31) || coalesce(published_ms::VARCHAR, '')) AS content_hash FROM items),
 keyed AS (SELECT j.*, sha256(item_a || chr(31) || item_b || chr(31) || a.content_hash || chr(31) || b.content_hash || chr(31) || 'external' || chr(31) || 'judge-v1') AS cache_key FROM judg j JOIN hashes a ON a.id = item_a JOIN hashes b ON b.id = item_b)"""
 
 
 def judgments(spark: SparkSession, d: str) -> DataFrame:
-    """External judgments stand in as a table: neighbours by doc_id, labelled by arithmetic."""
+    """External judgments stand in as a table: of every document with the next two by doc_id, labelled by arithmetic.
+
+    Threes are the same event by their neighbours, which the judgment of the outer two contradicts.
+    """
     docs = table(spark, d, "documents").select("doc_id")
-    both = docs.where("doc_id % 10 = 0").join(docs.select((F.col("doc_id") - 1).alias("doc_id")), "doc_id")
-    a, b = F.concat(F.lit("x:"), F.col("doc_id").cast("string")), F.concat(F.lit("x:"), (F.col("doc_id") + 1).cast("string"))
-    kind = F.expr("CASE (doc_id div 10) % 3 WHEN 0 THEN 'same-event' WHEN 1 THEN 'related-event' ELSE 'different-event' END")
+    both = docs.select("doc_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("step")).join(docs.select(F.col("doc_id").alias("other")), F.expr("other = doc_id + step"))
+    a, b = F.concat(F.lit("x:"), F.col("doc_id").cast("string")), F.concat(F.lit("x:"), F.col("other").cast("string"))
+    kind = F.expr("CASE WHEN step = 2 THEN 'different-event' WHEN doc_id % 3 < 2 THEN 'same-event' WHEN (doc_id div 3) % 2 = 0 THEN 'related-event' ELSE 'different-event' END")
     return both.select(F.least(a, b).alias("item_a"), F.greatest(a, b).alias("item_b"), kind.alias("relationship"), ((F.col("doc_id") % 100) / 100.0).alias("confidence"), F.expr("CASE WHEN doc_id % 70 = 0 THEN 'failed' ELSE 'ok' END").alias("status"), "doc_id")
 
 
@@ -309,21 +335,21 @@ def content_hashes(spark: SparkSession, d: str) -> DataFrame:
     return judging.hashed(items(spark, d).withColumn("published_at", F.col("published_ms").cast("string")))
 
 
-@query(f"WITH {HASH_SQL}, cache AS (SELECT * FROM keyed WHERE doc_id % 20 = 0) SELECT k.item_a, k.item_b, c.relationship, c.confidence, c.cache_key IS NOT NULL AS cache_hit FROM keyed k LEFT JOIN cache c ON c.cache_key = k.cache_key AND c.status = 'ok'")
+@query(f"WITH {HASH_SQL}, cache AS (SELECT * FROM keyed WHERE doc_id % 2 = 0) SELECT k.item_a, k.item_b, c.relationship, c.confidence, c.cache_key IS NOT NULL AS cache_hit FROM keyed k LEFT JOIN cache c ON c.cache_key = k.cache_key AND c.status = 'ok'")
 def cache_probe(spark: SparkSession, d: str) -> DataFrame:
-    """Half of the judgments are cached."""
+    """The cache holds the judgments of even doc_ids."""
     keyed = stored(keyed_judgments(spark, d))
-    cache = keyed.where("doc_id % 20 = 0").select("cache_key", "relationship", "confidence", "status")
+    cache = keyed.where("doc_id % 2 = 0").select("cache_key", "relationship", "confidence", "status")
     return judging.probe(keyed.select("item_a", "item_b", "cache_key"), cache).select("item_a", "item_b", "relationship", "confidence", "cache_hit")
 
 
-@query(f"""WITH {HASH_SQL}, cache AS (SELECT cache_key FROM keyed WHERE doc_id % 20 = 0 AND status = 'ok'), p AS (SELECT k.item_a, k.item_b, c.cache_key IS NOT NULL AS cache_hit FROM keyed k LEFT JOIN cache c USING (cache_key))
+@query(f"""WITH {HASH_SQL}, cache AS (SELECT cache_key FROM keyed WHERE doc_id % 2 = 0 AND status = 'ok'), p AS (SELECT k.item_a, k.item_b, c.cache_key IS NOT NULL AS cache_hit FROM keyed k LEFT JOIN cache c USING (cache_key))
 SELECT item_a, item_b, cache_hit, NOT cache_hit AND sum((NOT cache_hit)::INT) OVER (ORDER BY item_a, item_b ROWS UNBOUNDED PRECEDING) <= 20 AS requested FROM p""")
 def request_limit(spark: SparkSession, d: str) -> DataFrame:
     keyed = stored(keyed_judgments(spark, d))
-    cache = keyed.where("doc_id % 20 = 0").select("cache_key", "relationship", "confidence", "status")
+    cache = keyed.where("doc_id % 2 = 0").select("cache_key", "relationship", "confidence", "status")
     probed = judging.probe(keyed.select("item_a", "item_b", "cache_key"), cache).select("item_a", "item_b", "cache_hit")
-    return judging.limited(probed, [F.asc("item_a"), F.asc("item_b")], 20)
+    return judging.limited(probed, [F.asc("item_a"), F.asc("item_b")], 20, ["item_a", "item_b"])
 
 
 @query(f"WITH {JUDG_SQL} SELECT status, relationship, count(*) AS n FROM judg GROUP BY ALL")
@@ -527,41 +553,59 @@ def select_stats(spark: SparkSession, d: str) -> DataFrame:
     return selection.stats(packed(spark, d)[1])
 
 
-@query(f"{WITH_EVAL} SELECT cluster_id FROM found WHERE false")
+@query(f"{WITH_EVAL} SELECT cluster_id FROM based WHERE key % 13 = 0 UNION ALL SELECT cluster_id FROM based WHERE key % 13 <> 0 AND key % 17 = 1")
 def select_partition(spark: SparkSession, d: str) -> DataFrame:
-    return selection.partition_errors(*packed(spark, d))
+    """Decisions with planted faults: clusters that none names and clusters that two name."""
+    scored = evaluated(spark, d)[2]
+    decided = scored.where("key % 13 <> 0").select("cluster_id").unionByName(scored.where("key % 13 <> 0 AND key % 17 = 1").select("cluster_id"))
+    return selection.partition_errors(scored, decided)
 
 
-# ---------------------------------------------------------------- digest: the ten clusters of highest base score stand for an edition
+# ---------------------------------------------------------------- digest
 
-TOP_SQL = rf"{EVAL_SQL}, top AS (SELECT *, row_number() OVER (ORDER BY base_score DESC, item_count DESC, cluster_id)::INT AS rank FROM based QUALIFY rank <= 10)"
+DIGEST_SQL = rf"{EVAL_SQL}, top AS (SELECT *, row_number() OVER (ORDER BY base_score DESC, item_count DESC, cluster_id) AS rank FROM based)"
 
 
-def edition(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """The edition's clusters and their items."""
+def all_selected(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Every cluster as if it were selected, in order of its score, and their items: what an edition's join works on."""
     rows, members, scored = evaluated(spark, d)
-    top = stored(scored.orderBy(F.desc("base_score"), F.desc("item_count"), "cluster_id").limit(10))
-    ranked = top.selectExpr("*", "row_number() OVER (ORDER BY base_score DESC, item_count DESC, cluster_id) AS rank", "CASE WHEN key % 2 = 0 THEN 'major' ELSE 'personal' END AS lane")
-    found = clusters.clusters(members).select("cluster_id", "item_ids")
-    joined_ = digest.joined(ranked.select("cluster_id", "rank", "lane"), found, rows.drop("rank"))
+    ranked = with_position(scored, [F.desc("base_score"), F.desc("item_count"), F.asc("cluster_id")], "rank").withColumn("lane", F.expr("CASE WHEN key % 2 = 0 THEN 'major' ELSE 'personal' END"))
+    joined_ = digest.joined(ranked.select("cluster_id", "rank", "lane"), clusters.clusters(members).select("cluster_id", "item_ids"), rows)
     return ranked, joined_.join(ranked.select("cluster_id", "rep_id"), "cluster_id").withColumn("is_representative", F.col("id") == F.col("rep_id"))
 
 
-@query(f"WITH RECURSIVE {TOP_SQL} SELECT t.cluster_id, t.rank AS sel_rank, r.id, r.provider FROM top t JOIN ranked r USING (root)")
+def edition(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The clusters that the packing selected, and their items."""
+    rows, members, scored = evaluated(spark, d)
+    recs = stored(selection.with_lanes(scored))
+    recs = stored(selection.with_topic(selection.related_groups(recs, judged_clusters(spark, d, members, recs)), topic_config()))
+    chosen = selection.pack(recs).where("decision = 'selected'").select("cluster_id", "lane", "rank")
+    top = stored(recs.drop("lane", "rank").join(chosen, "cluster_id"))
+    joined_ = digest.joined(top.select("cluster_id", "rank", "lane"), clusters.clusters(members).select("cluster_id", "item_ids"), rows)
+    return top, joined_.join(top.select("cluster_id", "rep_id"), "cluster_id").withColumn("is_representative", F.col("id") == F.col("rep_id"))
+
+
+@query(f"WITH RECURSIVE {DIGEST_SQL} SELECT t.cluster_id, t.rank AS sel_rank, r.id, r.provider FROM top t JOIN ranked r USING (root)")
 def digest_join(spark: SparkSession, d: str) -> DataFrame:
-    return edition(spark, d)[1].select("cluster_id", "sel_rank", "id", "provider")
+    return all_selected(spark, d)[1].select("cluster_id", "sel_rank", "id", "provider")
 
 
-@query(f"""WITH RECURSIVE {TOP_SQL}, m AS (SELECT t.cluster_id, r.id, r.id = t.rep_id AS rep, coalesce(r.provider, '') AS p, coalesce(r.url, '') AS u, coalesce('url:' || nullif(r.url, ''), 'id:' || r.id) AS same FROM top t JOIN ranked r USING (root)),
+@query(f"""WITH RECURSIVE {DIGEST_SQL}, m AS (SELECT t.cluster_id, r.id, r.id = t.rep_id AS rep, coalesce(r.provider, '') AS p, coalesce(r.url, '') AS u, coalesce('url:' || nullif(r.url, ''), 'id:' || r.id) AS same FROM top t JOIN ranked r USING (root)),
 f AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY cluster_id, same ORDER BY rep DESC, p, u, id) = 1) SELECT cluster_id, id, row_number() OVER (PARTITION BY cluster_id ORDER BY rep DESC, p, u, id)::INT AS pos FROM f""")
 def digest_sources(spark: SparkSession, d: str) -> DataFrame:
-    return digest.sources(edition(spark, d)[1]).select("cluster_id", "id", "pos")
+    return digest.sources(all_selected(spark, d)[1]).select("cluster_id", "id", "pos")
+
+
+@query(f"""WITH RECURSIVE {DIGEST_SQL} SELECT cluster_id, id, pos::INT AS pos FROM (SELECT t.cluster_id, r.id, row_number() OVER (PARTITION BY t.cluster_id ORDER BY r.published_ms DESC NULLS LAST, r.id) AS pos
+FROM top t JOIN ranked r USING (root) WHERE r.id <> t.rep_id) WHERE pos <= {DigestConfig().max_supporting}""")
+def digest_supporting(spark: SparkSession, d: str) -> DataFrame:
+    return digest.supporting(all_selected(spark, d)[1]).select("cluster_id", "id", "pos")
 
 
-@query(f"WITH RECURSIVE {TOP_SQL} SELECT cluster_id, title AS headline, summary, NULL::VARCHAR AS why FROM top")
+@query(f"WITH RECURSIVE {DIGEST_SQL} SELECT cluster_id, title AS headline, summary, NULL::VARCHAR AS why FROM top")
 def digest_fallback(spark: SparkSession, d: str) -> DataFrame:
     text_ = digest.fallback(F.col("title"), F.col("summary"))
-    return edition(spark, d)[0].select("cluster_id", *[c.alias(n) for n, c in text_.items()])
+    return all_selected(spark, d)[0].select("cluster_id", *[c.alias(n) for n, c in text_.items()])
 
 
 @query("SELECT event_id, strftime(ts + INTERVAL 9 HOUR, '%Y-%m-%d') AS digest_date FROM events")
@@ -573,7 +617,7 @@ def digest_date(spark: SparkSession, d: str) -> DataFrame:
 def digest_markdown(spark: SparkSession, d: str) -> DataFrame:
     top, members = edition(spark, d)
     n = digest.sources(members).groupBy("cluster_id").agg(F.count("*").cast("int").alias("n_sources"))
-    rows = top.join(n, "cluster_id").select("lane", "rank", F.col("title").alias("headline"), F.substring("summary", 1, 80).alias("summary"), F.lit(None).cast("string").alias("why"), "provider", "url", "n_sources")
+    rows = top.join(n, "cluster_id").select("lane", "rank", F.col("title").alias("headline"), "summary", F.lit(None).cast("string").alias("why"), "provider", "url", "n_sources")
     return digest.markdown(rows, F.lit("2024-01-31"))
 
 
@@ -639,7 +683,7 @@ def visual_roles(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- checks
 
 
-@query(r"""SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 'same_run_fetch_required' WHEN event_id % 11 = 0 THEN 'collection_unverified' WHEN event_id % 7 = 0 THEN 'collection_invalid' WHEN event_id % 72 > 36 THEN 'collection_stale' END AS fault FROM events""")
+@query(r"""SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 'x_same_run_fetch_required' WHEN event_id % 11 = 0 THEN 'x_collection_unverified' WHEN event_id % 7 = 0 THEN 'x_collection_invalid' WHEN event_id % 72 > 36 THEN 'x_collection_stale' END AS fault FROM events""")
 def freshness_gate(spark: SparkSession, d: str) -> DataFrame:
     n, now = F.col("event_id"), F.lit("2024-03-01T00:00:00Z")
     late = F.timestamp_seconds(F.unix_timestamp(F.lit("2024-03-01 00:00:00")) - (n % 72) * 3600)

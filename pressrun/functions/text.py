@@ -45,16 +45,21 @@ def utf16_length(c: Column) -> Column:
 
 
 def grams(c: Column, n: int = 3) -> Column:
-    """Character n-grams in order; the whole text if it is shorter."""
+    """Character n-grams in order, the whole text if it is shorter; the time grows with its length only."""
+    chars = F.regexp_extract_all(c, F.lit("(?s)(.)"), F.lit(1))
+    many = F.size(chars) - (n - 1)
     whole = F.when(F.length(c) > 0, F.array(c)).otherwise(F.array().cast("array<string>"))
-    return F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: F.substring(c, i, F.lit(n)))).otherwise(whole)
+    joined = F.slice(chars, 1, F.greatest(many, F.lit(0)))
+    for k in range(1, n):
+        joined = F.zip_with(joined, F.slice(chars, k + 1, F.greatest(many, F.lit(0))), lambda x, y: F.concat(x, y))
+    return F.when(many > 0, joined).otherwise(whole)
 
 
-def with_numbered(df: DataFrame, source: Column, name: str) -> DataFrame:
-    """Adds the elements of an array, each with its occurrence number, so that multiset overlap is set overlap."""
-    ordered = df.withColumn(f"_{name}", F.array_sort(source))
-    number = lambda x, i: F.concat(x, F.lit("\x1f"), (i - F.array_position(f"_{name}", x) + 2).cast("string"))
-    return ordered.withColumn(name, F.transform(f"_{name}", number)).drop(f"_{name}")
+def numbered_grams(rows: DataFrame, key: str, text: Column, n: int = 3) -> DataFrame:
+    """key, gram: a row for each gram of each text, hashed with its occurrence number, so that multiset overlap is set overlap."""
+    each = rows.select(key, F.explode(F.transform(grams(text, n), lambda x: F.xxhash64(x))).alias("gram"))
+    counted = each.groupBy(key, "gram").agg(F.count("*").cast("int").alias("c"))
+    return counted.select(key, F.explode(F.transform(F.sequence(F.lit(1), F.col("c")), lambda k: F.xxhash64("gram", k))).alias("gram"))
 
 
 def rounded(c: Column) -> Column:

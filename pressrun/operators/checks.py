@@ -63,9 +63,9 @@ def freshness(config: FreshnessConfig = FreshnessConfig()) -> Column:
     ahead = F.lit(int(config.future_minutes * 60_000))
     same_run = (F.col("fetch_status") == "succeeded") & (F.col("fetch_run") == F.col("run_id")) & (ms("fetched_at") >= ms("started_at"))
     return (
-        F.when(~F.coalesce(same_run, F.lit(False)), "same_run_fetch_required").when(F.col("collected_at").isNull(), "collection_unverified").when(ms("collected_at").isNull(), "collection_invalid")
-        .when(ms("exported_at").isNull(), "export_invalid").when(ms("fetched_at") > ms("now") + ahead, "same_run_fetch_required").when(ms("now") - ms("collected_at") > int(config.max_age_hours * 3_600_000), "collection_stale")
-        .when(ms("collected_at") - ms("now") > ahead, "collection_future").when(ms("exported_at") < ms("collected_at") - ahead, "export_before_collection").when(ms("exported_at") - ms("now") > ahead, "export_future")
+        F.when(~F.coalesce(same_run, F.lit(False)), "x_same_run_fetch_required").when(F.col("collected_at").isNull(), "x_collection_unverified").when(ms("collected_at").isNull(), "x_collection_invalid")
+        .when(ms("exported_at").isNull(), "x_export_invalid").when(ms("fetched_at") > ms("now") + ahead, "x_same_run_fetch_required").when(ms("now") - ms("collected_at") > int(config.max_age_hours * 3_600_000), "x_collection_stale")
+        .when(ms("collected_at") - ms("now") > ahead, "x_collection_future").when(ms("exported_at") < ms("collected_at") - ahead, "x_export_before_collection").when(ms("exported_at") - ms("now") > ahead, "x_export_future")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pressrun.config import ClusterConfig
 from pressrun.functions.ids import cluster_id
 from pressrun.operators.graph import components, stored
-from pressrun.operators.similarity import equal_pairs, similar_titles
+from pressrun.operators.similarity import members, similar_titles
 
 
 def forming_edges(items: DataFrame, config: ClusterConfig = ClusterConfig()) -> DataFrame:
@@ -16,11 +16,8 @@ def forming_edges(items: DataFrame, config: ClusterConfig = ClusterConfig()) ->
     titled = items.withColumn("title_long", F.when(F.length("title_norm") >= config.same_title_min_length, F.col("title_norm")))
     stars = []
     for column in ("url_norm", "title_long"):
-        named = titled.where(F.col(column).isNotNull()).select("id", column)
-        first = named.groupBy(column).agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
-        stars.append(named.join(first, column).where("id <> a").select("a", F.col("id").alias("b")))
-    texts = items.where(F.length("title_norm") >= config.min_length).groupBy("title_norm").agg(F.min("id").alias("id"))
-    similar = similar_titles(texts, config).select(F.col("item_a").alias("a"), F.col("item_b").alias("b"))
+        stars.append(members(titled, column).where("id <> class_id").select(F.col("class_id").alias("a"), F.col("id").alias("b")))
+    similar = similar_titles(items, config).select(F.col("item_a").alias("a"), F.col("item_b").alias("b"))
     return stars[0].unionByName(stars[1]).unionByName(similar)
 
 
@@ -35,12 +32,6 @@ def clusters(members: DataFrame) -> DataFrame:
     return grouped.select(cluster_id(F.col("item_ids")).alias("cluster_id"), "item_ids", F.size("item_ids").cast("long").alias("item_count"), "root")
 
 
-def intra_edges(edges: DataFrame, members: DataFrame) -> DataFrame:
-    """Edges whose ends lie in one cluster, with its root."""
-    a = edges.join(members.select(F.col("id").alias("item_a"), F.col("root").alias("ra")), "item_a")
-    return a.join(members.select(F.col("id").alias("item_b"), F.col("root").alias("rb")), "item_b").where("ra = rb").drop("rb").withColumnRenamed("ra", "root")
-
-
 def violations(items: DataFrame, members: DataFrame) -> DataFrame:
     """Rows that break an invariant: an item in no cluster or several, a member that is no item."""
     lost = items.select("id").join(members, "id", "left_anti").select("id", F.lit("unassigned").alias("rule"))
@@ -49,13 +40,9 @@ def violations(items: DataFrame, members: DataFrame) -> DataFrame:
     return lost.unionByName(extra).unionByName(twice)
 
 
-def stats(edges: DataFrame, found: DataFrame) -> DataFrame:
-    """name, n: clusters by kind and relationships by type, zeros included."""
-    kinds = found.agg(F.count("*").alias("clusters"), F.count_if(F.col("item_count") > 1).alias("multi"), F.count_if(F.col("item_count") == 1).alias("single"), F.sum("item_count").alias("items"))
-    types = edges.agg(*[F.count_if(F.col("type") == t).alias(t) for t in ("same-url", "same-title", "title-similarity")])
+def stats(links: DataFrame, found: DataFrame) -> DataFrame:
+    """name, n: clusters by kind and relationships by type, zeros included. links: type, n_links."""
+    kinds = found.agg(F.count("*").alias("clusters"), F.count_if(F.col("item_count") > 1).alias("multi"), F.count_if(F.col("item_count") == 1).alias("single"), F.coalesce(F.sum("item_count"), F.lit(0)).alias("items"))
+    types = links.agg(*[F.coalesce(F.sum(F.when(F.col("type") == t, F.col("n_links"))), F.lit(0)).alias(t) for t in ("same-url", "same-title", "title-similarity")])
     unpivot = lambda df: df.unpivot([], df.columns, "name", "n")
     return unpivot(kinds.select(*[F.col(c).cast("long") for c in kinds.columns])).unionByName(unpivot(types))
-
-
-def equal_title_pairs(items: DataFrame) -> DataFrame:
-    return equal_pairs(items, "title_norm")

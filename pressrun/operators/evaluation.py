@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pressrun.config import AXES, EvaluationConfig
 from pressrun.functions.ids import key
 from pressrun.functions.text import nonblank, rounded
+from pressrun.operators.graph import with_position
 
 
 def representative_order() -> list[Column]:
@@ -57,7 +58,7 @@ def base_score(scores: dict[str, Column], weights: dict[str, float]) -> Column:
 def evaluation_order(clusters: DataFrame) -> DataFrame:
     """pos: clusters of several items first, then diversity, size, newest, id."""
     order = [F.desc(F.col("item_count") > 1), F.desc("source_diversity"), F.desc("item_count"), F.desc_nulls_last("published_ms"), F.asc("cluster_id")]
-    return clusters.withColumn("pos", F.row_number().over(Window.orderBy(*order)))
+    return with_position(clusters, order)
 
 
 def cache_key(cluster: Column, model: str, version: str) -> Column:

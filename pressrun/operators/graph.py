@@ -1,19 +1,26 @@
-"""Connected components of string ids by label propagation with pointer jumping."""
+"""Stored tables, joins with groups of any size, positions in a total order, connected components."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+#: A group with at least 1/HOT_SHARE of all rows is hot; so there are at most HOT_SHARE of them.
+HOT_SHARE = 512
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df written to the folder in spark.checkpoint.dir and read again; a temporary folder where none is set."""
+    """df written to the folder in spark.checkpoint.dir and read again; a temporary one only in a session of one process that names none."""
     spark: SparkSession = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/tables/{uuid.uuid4().hex}"
@@ -21,6 +28,26 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """rows with the one row of their group. Hot groups, HOT_SHARE at most, are broadcast, so that their rows are not shuffled."""
+    least = max(2, -(-total // HOT_SHARE))
+    hot, cold = groups.where(F.col(count) >= least), groups.where(F.col(count) < least)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(rest.join(cold, key))
+
+
+def with_position(df: DataFrame, order: list[Column], name: str = "pos") -> DataFrame:
+    """df with the place of each row in a total order, from 1. Rows are sorted in ranges, and ranges are offset by their counts."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    row = "row_in_range"
+    sorted_ = stored(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn(row, F.monotonically_increasing_id()))
+    span = F.shiftright(row, 33)
+    counts = sorted_.groupBy(span.alias("range_no")).agg(F.count("*").alias("c"))
+    before = counts.select("range_no", (F.sum("c").over(Window.orderBy("range_no")) - F.col("c")).alias("earlier"))  # a row a range
+    place = F.col("earlier") + F.col(row).bitwiseAND((1 << 33) - 1) + 1
+    return sorted_.withColumn("range_no", span).join(F.broadcast(before), "range_no").withColumn(name, place.cast("long")).drop("range_no", "earlier", row)
+
+
 def components(nodes: DataFrame, edges: DataFrame, rounds: int = 100) -> DataFrame:
     """nodes: id. edges: a, b. Returns id, root: the least id reachable.
 

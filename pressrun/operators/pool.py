@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressrun.operators.graph import with_position
+
 
 def union(*feeds: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
@@ -25,16 +27,8 @@ def newest_first(id_col: str = "id") -> list:
 
 
 def ordered(pool: DataFrame) -> DataFrame:
-    """pos: the place in the pool. A total order needs one task for the count of rows; the sort before it is spread.
-
-    Rows are first ranked inside time slots of a day and slots are offset by their counts, so no task sees all rows.
-    """
-    slot = F.floor(F.col("published_ms") / 86_400_000)
-    slotted = pool.withColumn("slot", slot)
-    counts = slotted.groupBy("slot").agg(F.count("*").alias("c"))
-    before = counts.withColumn("before", F.sum("c").over(Window.orderBy(F.desc_nulls_last("slot"))) - F.col("c")).drop("c")
-    inside = slotted.withColumn("rank", F.row_number().over(Window.partitionBy("slot").orderBy(*newest_first())))
-    return inside.join(F.broadcast(before), inside["slot"].eqNullSafe(before["slot"])).select(inside["*"], (F.col("before") + F.col("rank")).alias("pos")).drop("slot", "rank")
+    """pos: the place in the pool."""
+    return with_position(pool, newest_first())
 
 
 def count_by(rows: DataFrame, column: str) -> DataFrame:

@@ -51,7 +51,9 @@ def overlap_rows(records: DataFrame, config: SelectConfig = SelectConfig()) -> D
     titles = records.where("title IS NOT NULL").select("title").distinct()
     full = titles.withColumn("nfkc", text.nfkc("title")).withColumn("norm", text.normalized_title(F.col("nfkc")))
     full = full.withColumn("terms", text.terms(F.col("nfkc"), F.col("title"))).withColumn("proper", text.proper_nouns(F.col("title")))
-    return stored(text.with_numbered(full, text.grams(F.coalesce("norm", F.lit("")), 3), "grams").drop("nfkc"))
+    full = stored(full.drop("nfkc"))
+    grams = text.numbered_grams(full.where("norm IS NOT NULL"), "title", F.col("norm")).groupBy("title").agg(F.collect_list("gram").alias("grams"))
+    return stored(full.join(grams, "title", "left").withColumn("grams", F.coalesce("grams", F.array().cast("array<long>"))))
 
 
 def overlap(pairs: DataFrame, rows: DataFrame, config: SelectConfig = SelectConfig()) -> DataFrame:

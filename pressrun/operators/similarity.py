@@ -1,69 +1,125 @@
-"""Pairs of items: equal URLs, equal titles, similar titles."""
+"""Links between items: equal URLs, equal titles, similar titles.
+
+Items with one value form a class named after its least item. A class of n items stands for n (n - 1) / 2 links, and a
+pair of similar titles for the product of their classes: nothing lists these links unless `expanded` is asked to.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressrun.config import ClusterConfig
-from pressrun.functions.text import grams, rounded, with_numbered
-from pressrun.operators.graph import stored
+from pressrun.functions.text import numbered_grams, rounded
+from pressrun.operators.graph import join_groups, stored
+from pressrun.operators.graph import with_position as positions
 
 EDGE = ["item_a", "item_b", "type", "confidence", "score"]
+#: The most frequent grams, which come last in the order of a prefix; the others are in order of their hashes.
+FREQUENT = 65_536
+
+
+def classes(items: DataFrame, column: str) -> DataFrame:
+    """Of each non-null value: the least id that has it and how many have it."""
+    return items.where(F.col(column).isNotNull()).groupBy(column).agg(F.min("id").alias("class_id"), F.count("*").alias("n"))
+
+
+def members(items: DataFrame, column: str) -> DataFrame:
+    """id, class_id, n_links of every item with a value: its class and how many others have the value."""
+    named = items.where(F.col(column).isNotNull()).select("id", column)
+    met = join_groups(named, classes(items, column), column, "n", items.count())
+    return met.select("id", "class_id", (F.col("n") - 1).alias("n_links"))
 
 
 def equal_pairs(items: DataFrame, column: str) -> DataFrame:
-    """item_a < item_b with the same non-null value; an equi-join, so equal values meet by one shuffle."""
+    """item_a < item_b with the same non-null value, every one: the square of a class."""
     a = items.where(F.col(column).isNotNull()).select(F.col("id").alias("item_a"), column)
     b = a.withColumnRenamed("item_a", "item_b")
     return a.join(b, column).where("item_a < item_b").select("item_a", "item_b")
 
 
-def _prefix(tokens: Column, ratio: float) -> Column:
+def _prefix(size: Column, ratio: float) -> Column:
     """How many rarest tokens of a set must hold one that any set of Jaccard >= ratio shares."""
-    n = F.size(tokens)
-    return (n - F.ceil(n * F.lit(ratio) - 1e-9) + 1).cast("int")
+    return (size - F.ceil(size * F.lit(ratio) - 1e-9) + 1).cast("int")
+
+
+def ranked_grams(rows: DataFrame, key: str, text: Column, ngram: int) -> DataFrame:
+    """key, g: the numbered grams of each text, rare ones first, in one order for all texts."""
+    posted = stored(numbered_grams(rows, key, text, ngram))
+    frequent = posted.groupBy("gram").agg(F.count("*").alias("df")).orderBy(F.desc("df"), "gram").limit(FREQUENT)
+    weighed = posted.join(F.broadcast(frequent), "gram", "left").select(key, F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram").alias("x"))
+    return weighed.groupBy(key).agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["gram"]).alias("g"))
 
 
 def dice_pairs(texts: DataFrame, threshold: float, ngram: int = 3) -> DataFrame:
-    """texts: distinct t. Pairs t_a < t_b whose rounded multiset Dice reaches the threshold, with their score.
+    """texts: id, t (distinct). Pairs id_a < id_b whose rounded multiset Dice reaches the threshold, with their score.
 
-    Lossless prefix filter: numbered grams are put in order of rarity, and a pair can only qualify if it shares one
-    of the first n - ceil(n r) + 1 grams of both, r being the Jaccard bound of the threshold before rounding.
+    Lossless prefix filter: a pair can only qualify if it shares one of the first n - ceil(n r) + 1 grams of both, r
+    being the Jaccard bound of the threshold before rounding, and if enough grams can follow the shared one.
     """
     low = threshold - 0.00005
     ratio = low / (2 - low)
-    sets = with_numbered(texts.where("t <> ''"), grams(F.col("t"), ngram), "g")
-    posted = sets.select("t", F.explode("g").alias("gram"))
-    rarity = posted.groupBy("gram").agg(F.count("*").alias("df"))
-    ranked = posted.join(rarity, "gram").groupBy("t").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("ranked"))
-    kept = stored(ranked.select("t", F.transform("ranked", lambda x: x["gram"]).alias("g")))
-    rare = kept.select("t", F.size("g").alias("n"), F.explode(F.slice("g", F.lit(1), _prefix(F.col("g"), ratio))).alias("gram"))
-    a, b = rare.select(F.col("t").alias("t_a"), F.col("n").alias("n_a"), "gram"), rare.select(F.col("t").alias("t_b"), F.col("n").alias("n_b"), "gram")
-    near = (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(ratio) - 1e-9)
-    candidates = a.join(b, "gram").where((F.col("t_a") < F.col("t_b")) & near).select("t_a", "t_b").distinct()
-    sides = candidates.join(kept.select(F.col("t").alias("t_a"), F.col("g").alias("g_a")), "t_a").join(kept.select(F.col("t").alias("t_b"), F.col("g").alias("g_b")), "t_b")
-    scored = sides.select("t_a", "t_b", rounded(2.0 * F.size(F.array_intersect("g_a", "g_b")) / (F.size("g_a") + F.size("g_b"))).alias("score"))
+    kept = stored(ranked_grams(texts.where("t <> ''"), "id", F.col("t"), ngram))
+    n = F.size("g")
+    rare = kept.select("id", n.alias("n"), F.posexplode(F.slice("g", F.lit(1), _prefix(n, ratio))).alias("at", "gram"))
+    a, b = (rare.select("gram", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "at")]) for s in "ab")
+    most = F.least("at_a", "at_b") + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    near = 2 * most >= F.lit(low) * (F.col("n_a") + F.col("n_b")) - 1e-9
+    candidates = a.join(b, "gram").where((F.col("id_a") < F.col("id_b")) & near).select("id_a", "id_b").distinct()
+    sides = candidates.join(kept.select(F.col("id").alias("id_a"), F.col("g").alias("g_a")), "id_a").join(kept.select(F.col("id").alias("id_b"), F.col("g").alias("g_b")), "id_b")
+    scored = sides.select("id_a", "id_b", rounded(2.0 * F.size(F.array_intersect("g_a", "g_b")) / (F.size("g_a") + F.size("g_b"))).alias("score"))
     return scored.where(F.col("score") >= threshold)
 
 
 def similar_titles(items: DataFrame, config: ClusterConfig = ClusterConfig()) -> DataFrame:
-    """Item pairs of different normalised titles; similarity is computed once for each pair of distinct titles."""
-    titled = items.where(F.length("title_norm") >= config.min_length).select("id", "title_norm")
-    pairs = dice_pairs(titled.select(F.col("title_norm").alias("t")).distinct(), config.threshold, config.ngram)
-    met = pairs.join(titled.select(F.col("title_norm").alias("t_a"), F.col("id").alias("x")), "t_a").join(titled.select(F.col("title_norm").alias("t_b"), F.col("id").alias("y")), "t_b")
-    return met.select(F.least("x", "y").alias("item_a"), F.greatest("x", "y").alias("item_b"), "score")
+    """item_a < item_b: the least items of two similar titles, the score, and n_links, how many pairs of items they stand for."""
+    titles = stored(classes(items.where(F.length("title_norm") >= config.min_length), "title_norm"))
+    pairs = dice_pairs(titles.select(F.col("class_id").alias("id"), F.col("title_norm").alias("t")), config.threshold, config.ngram)
+    a, b = (titles.select(F.col("class_id").alias(f"id_{s}"), F.col("n").alias(f"n_{s}")) for s in "ab")
+    return pairs.join(a, "id_a").join(b, "id_b").select(F.col("id_a").alias("item_a"), F.col("id_b").alias("item_b"), "score", (F.col("n_a") * F.col("n_b")).alias("n_links"))
 
 
 def relationships(items: DataFrame, config: ClusterConfig = ClusterConfig()) -> DataFrame:
-    """All typed edges. items: id, title_norm, url_norm."""
+    """All typed links in classes. items: id, title_norm, url_norm.
+
+    same-url and same-title: a row from the least item of a class to each other one; title-similarity: a row for two
+    titles, between their least items.
+    """
+    none = F.lit(None).cast("double")
+    star = lambda column: members(items, column).where("id <> class_id").select(F.col("class_id").alias("item_a"), F.col("id").alias("item_b"))
+    by_url = star("url_norm").select("item_a", "item_b", F.lit("same-url").alias("type"), F.lit(config.same_url_confidence).alias("confidence"), none.alias("score"))
+    by_title = star("title_norm").select("item_a", "item_b", F.lit("same-title").alias("type"), F.lit(config.same_title_confidence).alias("confidence"), none.alias("score"))
+    similar = similar_titles(items, config).select("item_a", "item_b", F.lit("title-similarity").alias("type"), F.col("score").alias("confidence"), "score")
+    return by_url.unionByName(by_title).unionByName(similar)
+
+
+def expanded(items: DataFrame, config: ClusterConfig = ClusterConfig()) -> DataFrame:
+    """All typed links pair by pair, for pools small enough to list them."""
     none = F.lit(None).cast("double")
     by_url = equal_pairs(items, "url_norm").select("item_a", "item_b", F.lit("same-url").alias("type"), F.lit(config.same_url_confidence).alias("confidence"), none.alias("score"))
     by_title = equal_pairs(items, "title_norm").select("item_a", "item_b", F.lit("same-title").alias("type"), F.lit(config.same_title_confidence).alias("confidence"), none.alias("score"))
-    similar = similar_titles(items, config).select("item_a", "item_b", F.lit("title-similarity").alias("type"), F.col("score").alias("confidence"), "score")
+    class_of = members(items, "title_norm").select("id", "class_id")
+    pairs = similar_titles(items, config)
+    met = pairs.join(class_of.select(F.col("class_id").alias("item_a"), F.col("id").alias("x")), "item_a").join(class_of.select(F.col("class_id").alias("item_b"), F.col("id").alias("y")), "item_b")
+    similar = met.select(F.least("x", "y").alias("item_a"), F.greatest("x", "y").alias("item_b"), F.lit("title-similarity").alias("type"), F.col("score").alias("confidence"), "score")
     return by_url.unionByName(by_title).unionByName(similar)
 
 
+def link_counts(items: DataFrame, roots: DataFrame | None = None, config: ClusterConfig = ClusterConfig()) -> DataFrame:
+    """type, n_links; with `roots` (id, root) by root too, counting links inside one root only. Sums over classes, no pair is listed."""
+    by = ["root"] if roots is not None else []
+    placed = items.join(roots, "id") if roots is not None else items
+    out = []
+    for column, kind in (("url_norm", "same-url"), ("title_norm", "same-title")):
+        sizes = placed.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count("*").alias("n"))
+        out.append(sizes.select(*by, F.lit(kind).alias("type"), (F.col("n") * (F.col("n") - 1) / 2).cast("long").alias("n_links")))
+    similar = similar_titles(items, config)
+    if roots is not None:  # Similar titles are long enough to form a cluster, so their classes lie in one.
+        similar = similar.join(roots.select(F.col("id").alias("item_a"), "root"), "item_a")
+    out.append(similar.select(*by, F.lit("title-similarity").alias("type"), "n_links"))
+    return out[0].unionByName(out[1]).unionByName(out[2]).groupBy(*by, "type").agg(F.sum("n_links").alias("n_links")).where("n_links > 0")
+
+
 def with_position(edges: DataFrame) -> DataFrame:
     order = F.when(F.col("type") == "same-url", 0).when(F.col("type") == "same-title", 1).otherwise(2)
-    return edges.withColumn("pos", F.row_number().over(Window.orderBy(order, "item_a", "item_b")))
+    return positions(edges, [order, F.col("item_a"), F.col("item_b")])

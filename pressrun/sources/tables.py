@@ -1,6 +1,6 @@
 """The synthetic tables as news items, one flat row each.
 
-Pages are web items, documents are short posts. Publication times are those of events, dealt to keys by a
+Pages are web items. Documents are posts: the first line is the title, the whole text the summary. Publication times are those of events, dealt to keys by a
 multiplier that spreads them over the whole period; every 17th key has none.
 """
 
@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from pressrun.functions import ids, text, url
 
-TITLE = 120
-SUMMARY = 400
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,7 +26,7 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     documents = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("key"), F.concat(F.lit("x:"), F.col("doc_id").cast("string")).alias("id"), F.lit("x").alias("source_type"), F.col("source").alias("provider"), F.lit(None).cast("string").alias("url"),
-        text.nonblank(F.substring(F.substring_index("text", "\n", 1), 1, TITLE)).alias("title"), F.substring("text", 1, SUMMARY).alias("summary"), F.col("lang").alias("category"),
+        text.nonblank(F.substring_index("text", "\n", 1)).alias("title"), F.col("text").alias("summary"), F.col("lang").alias("category"),
     )
     return pages.unionByName(documents)
 
@@ -60,7 +57,7 @@ raw_items AS (
     nullif(regexp_replace(replace(replace(replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '^\s+|\s+$', '', 'g'), '') AS title,
     NULL::VARCHAR AS summary, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS category FROM pages
   UNION ALL
-  SELECT doc_id, 'x:' || doc_id, 'x', source, NULL, nullif(regexp_replace(left(split_part(text, chr(10), 1), 120), '^\s+|\s+$', '', 'g'), ''), left(text, 400), lang FROM documents),
+  SELECT doc_id, 'x:' || doc_id, 'x', source, NULL, nullif(regexp_replace(split_part(text, chr(10), 1), '^\s+|\s+$', '', 'g'), ''), text, lang FROM documents),
 items AS (SELECT r.*, ms AS published_ms, ms + 3600000 * (key % 5) AS collected_ms FROM raw_items r, n LEFT JOIN ev ON key % 17 <> 0 AND event_id = (key * 7919) % n.n)
 """.strip()
 #: Normalised titles and URLs.

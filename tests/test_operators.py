@@ -45,8 +45,8 @@ def test_dice_pairs_equal_brute_force(spark):
         score = int(2 * sum(min(c, y.get(g, 0)) for g, c in x.items()) / (n + m) * 10000 + 0.5) / 10000
         if score >= 0.7:
             want[a, b] = score
-    found = similarity.dice_pairs(spark.createDataFrame([(t,) for t in texts], "t string"), 0.7)
-    assert {(r["t_a"], r["t_b"]): r["score"] for r in found.collect()} == want
+    found = similarity.dice_pairs(spark.createDataFrame([(f"{i:04}", t) for i, t in enumerate(texts)], "id string, t string"), 0.7)
+    assert {(texts[int(r["id_a"])], texts[int(r["id_b"])]): r["score"] for r in found.collect()} == want
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -103,7 +103,7 @@ def test_constrained_merge(spark, seed):
 def test_cache_and_limit(spark):
     pairs = spark.createDataFrame([(f"k{i}",) for i in range(6)], "cache_key string")
     cache = spark.createDataFrame([("k1", "same-event", 0.9, "ok"), ("k2", "same-event", 0.9, "failed")], "cache_key string, relationship string, confidence double, status string")
-    got = judging.limited(judging.probe(pairs, cache), [F.asc("cache_key")], 2)
+    got = judging.limited(judging.probe(pairs, cache), [F.asc("cache_key")], 2, ["cache_key"])
     assert [r["cache_key"] for r in got.where("requested").orderBy("cache_key").collect()] == ["k0", "k2"]
     judged = judging.judge(got.where("requested").select("cache_key"), lambda row: {"relationship": "same-event", "confidence": 0.5} if row["cache_key"] == "k0" else 1 / 0)
     rows = {r["cache_key"]: r for r in judged.collect()}
@@ -191,8 +191,8 @@ def test_digest_sources_and_markdown(spark):
 
 def test_freshness_gates(spark):
     good = {"fetch_status": "succeeded", "fetch_run": "r", "run_id": "r", "fetched_at": "2024-01-02T00:00:00Z", "started_at": "2024-01-01T23:00:00Z", "collected_at": "2024-01-01T12:00:00Z", "exported_at": "2024-01-01T12:00:00Z", "now": "2024-01-02T00:00:00Z"}
-    cases = [({}, None), ({"fetch_status": "failed"}, "same_run_fetch_required"), ({"collected_at": None}, "collection_unverified"), ({"collected_at": "x"}, "collection_invalid"), ({"exported_at": "x"}, "export_invalid"),
-             ({"collected_at": "2023-12-31T11:59:00Z", "exported_at": "2024-01-01T00:00:00Z"}, "collection_stale"), ({"collected_at": "2023-12-31T12:00:00Z"}, None), ({"collected_at": "2024-01-02T00:06:00Z"}, "collection_future"), ({"exported_at": "2024-01-01T11:54:00Z"}, "export_before_collection")]
+    cases = [({}, None), ({"fetch_status": "failed"}, "x_same_run_fetch_required"), ({"collected_at": None}, "x_collection_unverified"), ({"collected_at": "x"}, "x_collection_invalid"), ({"exported_at": "x"}, "x_export_invalid"),
+             ({"collected_at": "2023-12-31T11:59:00Z", "exported_at": "2024-01-01T00:00:00Z"}, "x_collection_stale"), ({"collected_at": "2023-12-31T12:00:00Z"}, None), ({"collected_at": "2024-01-02T00:06:00Z"}, "x_collection_future"), ({"exported_at": "2024-01-01T11:54:00Z"}, "x_export_before_collection")]
     df = spark.createDataFrame([tuple((good | c)[k] for k in good) for c, _ in cases], ", ".join(f"{k} string" for k in good))
     assert [r[0] for r in df.select(checks.freshness()).collect()] == [want for _, want in cases]
 
