@@ -25,6 +25,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -36,8 +37,8 @@ from pressrun.llm._base import materialize, text_or_empty
 from pressrun.llm.tokens import Store
 
 SAMPLE = 10_000
-#: Blocks of examples, turns of the clustering, terms that a block keeps as a matrix, queries that are searched together.
-BLOCKS, TURNS, DENSE, QUERIES = 16, 8, 1024, 256
+#: Blocks of examples, turns of the clustering, terms that a block keeps as a matrix, queries that are searched and summed together.
+BLOCKS, TURNS, DENSE, QUERIES, FEW = 16, 8, 1024, 256, 32
 #: Neighbours, weight of the prior, score of a toxic text.
 K, PRIOR, THRESHOLD = 25, 0.5, 0.7
 #: More than what single precision can take from a bound.
@@ -70,6 +71,7 @@ class Index:
 
     def __post_init__(self) -> None:
         """What follows from the fields: each process makes it anew."""
+        self.starts = self.starts.astype("i4")
         self.lengths = np.diff(self.starts)
         self.column = np.full((len(self.columns), len(self.value)), -1, "i2")
         for b, terms in enumerate(self.columns):
@@ -80,28 +82,35 @@ class Index:
     def __reduce__(self) -> tuple:
         return Index, (self.terms, self.value, self.ids, self.votes, self.labels, self.base, self.edges, self.columns, self.rows, self.starts, self.at, self.weight)
 
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Terms of a text, and their weights."""
-        found = Counter(map(self.terms.get, WORD.findall(text.lower())))
-        found.pop(None, None)
-        return weigh(np.fromiter(found.keys(), "i8", len(found)), np.fromiter(found.values(), "f8", len(found)), self.value)
+    def vectors(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the text, term and weight of all entries of the texts' vectors."""
+        found = [Counter(WORD.findall(x.lower())) for x in texts]
+        size = sum(map(len, found))
+        term = np.fromiter(chain.from_iterable(map(self.terms.get, x, repeat(-1)) for x in found), "i8", size)
+        tf = np.fromiter(chain.from_iterable(x.values() for x in found), "f8", size)
+        row = np.repeat(np.arange(len(texts)), [len(x) for x in found])
+        known = np.flatnonzero(term >= 0)
+        return weigh(row[known], term[known], tf[known], self.value, len(texts))
 
     def listed(self, query: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
         """Each example's part of the cosine with each of n queries over what is in postings."""
-        lengths = self.lengths[term]
-        some = np.flatnonzero(lengths)
-        query, lengths = query[some], lengths[some]
-        start = self.starts[term[some]] - (np.cumsum(lengths) - lengths)
-        found = np.arange(int(lengths.sum())) + np.repeat(start, lengths)
-        parts = self.weight[found] * np.repeat(weight[some], lengths)
-        goes = self.at[found] + np.repeat(query * len(self.ids), lengths)
-        return np.bincount(goes, parts, n * len(self.ids)).reshape(n, len(self.ids))
-
-    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each query the K examples of highest cosine (then least doc_id) that share a term, and their cosines."""
-        n, blocks = len(queries), len(self.rows)
-        query = np.repeat(np.arange(n), [len(t) for t, _ in queries])
-        term, weight = (np.concatenate(x) for x in zip(*queries))
+        out = np.empty((n, len(self.ids)))
+        for at in range(0, n, FEW):  # few queries at a time, whose sums stay in the cache
+            some = slice(*np.searchsorted(query, [at, at + FEW]))
+            lengths = self.lengths[term[some]]
+            ends = np.cumsum(lengths, dtype="i4")
+            found = np.arange(int(ends[-1]) if len(ends) else 0, dtype="i4") + np.repeat(self.starts[term[some]] - (ends - lengths), lengths)
+            parts = self.weight[found] * np.repeat(weight[some].astype("f4"), lengths)
+            goes = self.at[found] + np.repeat((query[some] - at).astype("i4") * np.int32(len(self.ids)), lengths)
+            many = min(FEW, n - at)
+            out[at : at + many] = np.bincount(goes, parts, many * len(self.ids)).reshape(many, -1)
+        return out
+
+    def nearest(self, query: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each of n queries the K examples of highest cosine (then least doc_id) that share a term, and their cosines."""
+        blocks = len(self.rows)
+        if not blocks:
+            return [(np.empty(0, "i8"), np.empty(0))] * n
         sums = self.listed(query, term, weight, n)
         dense, bound = [], np.empty((n, blocks))
         for b in range(blocks):
@@ -112,61 +121,53 @@ class Index:
             dense.append(q)
             lists = sums[:, self.edges[b] : self.edges[b + 1]].max(axis=1)
             bound[:, b] = lists + np.minimum(q @ self.most[b], np.sqrt((q**2).sum(axis=1)) * self.norms[b]) + SLACK
-        scores = np.zeros((n, len(self.ids)))
         best = bound.argmax(axis=1)
         least = np.zeros(n)
         done = np.zeros((n, blocks), bool)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         # Each query meets its most promising block first, then the blocks whose bound reaches what it found there.
         for turn in (0, 1):
             for b in range(blocks):
                 here = np.flatnonzero(best == b if turn == 0 else ~done[:, b] & (bound[:, b] >= least))
-                if len(here):
-                    own = slice(self.edges[b], self.edges[b + 1])
-                    scores[here, own] = sums[here, own] + dense[b][here] @ self.rows[b].T
+                if not len(here):
+                    continue
+                own = slice(self.edges[b], self.edges[b + 1])
+                scores = dense[b][here] @ self.rows[b].T
+                scores += sums[here, own]
+                if turn == 0:
                     done[here, b] = True
-            if turn == 0:
-                least = np.array([kth(x[self.edges[b] : self.edges[b + 1]]) for x, b in zip(scores, best)]) - SLACK
-        out = []
-        for i, (x, low) in enumerate(zip(scores, least)):
-            places = np.flatnonzero(x >= max(low, 1e-9))
-            places = places[x[places] >= kth(x[places]) - SLACK]
-            block = np.searchsorted(self.edges, places, "right") - 1
-            exact = sums[i, places]
-            for b in np.unique(block).tolist():
-                mine = block == b
-                exact[mine] += (self.rows[b][places[mine] - self.edges[b]].astype("f8") * dense[b][i]).sum(axis=1)
-            order = np.lexsort((self.ids[places], -exact))[:K]
-            out.append((places[order], exact[order]))
-        return out
+                    least[here] = kth(scores) - SLACK
+                q, place = np.nonzero(scores >= np.maximum(least[here], 1e-9)[:, None].astype("f4"))
+                found.append((here[q], place + self.edges[b], scores[q, place]))
+        query, places, about = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((-about, query))
+        ends = np.searchsorted(query[order], np.arange(n + 1))
+        return [self.exactly(places[order[i:j]], about[order[i:j]], sums[k], [x[k] for x in dense]) for k, (i, j) in enumerate(zip(ends, ends[1:]))]
+
+    def exactly(self, places: np.ndarray, about: np.ndarray, sums: np.ndarray, dense: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The K best of candidates in order of nearly exact cosines, by exact ones."""
+        if len(places) > K:
+            places = places[about >= about[K - 1] - SLACK]
+        block = np.searchsorted(self.edges, places, "right") - 1
+        exact = sums[places]
+        for b in np.unique(block).tolist():
+            mine = block == b
+            exact[mine] += (self.rows[b][places[mine] - self.edges[b]].astype("f8") * dense[b]).sum(axis=1)
+        order = np.lexsort((self.ids[places], -exact))[:K]
+        return places[order], exact[order]
 
     def score(self, texts: list[str]) -> list[tuple[float, list[int]]]:
-        """Score and nearest examples of each text; equal texts are scored once."""
-        out: dict[bytes, tuple[float, list[int]]] = {}
-        keys = [xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in texts]
-        todo: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+        """Score and nearest examples of each text; equal texts are scored once. A text without neighbours gets the base."""
         self.scores.full()
-
-        def flush() -> None:
-            for key, found in zip(todo, self.nearest(list(todo.values()))):
+        keys = [xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in texts]
+        out = {k: self.scores[k] for k in keys if k in self.scores}
+        todo = {k: x for k, x in zip(keys, texts) if k not in out}
+        names = list(todo)
+        for at in range(0, len(names), QUERIES):
+            some = names[at : at + QUERIES]
+            for key, found in zip(some, self.nearest(*self.vectors([todo[k] for k in some]), len(some))):
                 out[key] = self.vote(*found)
                 self.scores.keep(key, out[key], 200)
-            todo.clear()
-
-        for key, text in zip(keys, texts):
-            if key in out or key in todo:
-                continue
-            if key in self.scores:
-                out[key] = self.scores[key]
-                continue
-            terms, weights = self.vector(text)
-            if not len(terms) or not len(self.ids):
-                out[key] = self.base, []
-                continue
-            todo[key] = terms, weights
-            if len(todo) == QUERIES:
-                flush()
-        if todo:
-            flush()
         return [out[k] for k in keys]
 
     def vote(self, places: np.ndarray, scores: np.ndarray) -> tuple[float, list[int]]:
@@ -175,16 +176,17 @@ class Index:
         return min(1.0, max(0.0, value)), self.ids[places[:3]].tolist()
 
 
-def kth(scores: np.ndarray) -> float:
-    """The K-th largest value; 0 if there are fewer."""
-    return float(np.partition(scores, -K)[-K]) if len(scores) >= K else 0.0
+def kth(scores: np.ndarray) -> np.ndarray:
+    """The K-th largest value of each row; 0 if there are fewer."""
+    return np.partition(scores, -K, axis=1)[:, -K] if scores.shape[1] >= K else np.zeros(len(scores))
 
 
-def weigh(terms: np.ndarray, tf: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The terms of any weight, and their weights as a vector of length one."""
-    weights = (1 + np.log(tf)) * value[terms]
-    terms, weights = terms[weights > 0], weights[weights > 0]
-    return terms, weights / np.sqrt((weights**2).sum()) if len(terms) else weights
+def weigh(row: np.ndarray, term: np.ndarray, tf: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, term and weight of the entries of any weight, as n vectors of length one."""
+    weight = (1 + np.log(tf)) * value[term]
+    held = np.flatnonzero(weight > 0)
+    row, term, weight = row[held], term[held], weight[held]
+    return row, term, weight / np.sqrt(np.bincount(row, weight * weight, n))[row]
 
 
 def examples(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
@@ -224,9 +226,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index:
         for batch in batches:
             met: list[int] = []
             for text in batch["text"]:
-                own = set(map(known.value.get, WORD.findall(text.lower())))
-                own.discard(None)
-                met.extend(own)
+                met += map(known.value.get, set(WORD.findall(text.lower())))
+            met = [x for x in met if x is not None]
             counts += np.bincount(np.fromiter(met, "i8", len(met)), minlength=len(counts))
         some = np.flatnonzero(counts)
         yield pd.DataFrame({"term": some, "n": counts[some]})
@@ -244,8 +245,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": [p[:, 0].tobytes() for p in pairs], "tf": [p[:, 1].tobytes() for p in pairs]})
 
     rows = sample.mapInPandas(project, "doc_id long, toxic int, terms binary, tf binary").toArrow().to_pandas().sort_values("doc_id")  # 2 * SAMPLE rows at most
-    vectors = [(i, y, *weigh(np.frombuffer(t, "i4"), np.frombuffer(f, "i4"), value)) for i, y, t, f in zip(rows["doc_id"], rows["toxic"], rows["terms"], rows["tf"])]
-    return build(vectors, terms, value, base, {k: totals[k] / max(1, sizes.get(k, 0)) for k in totals})
+    term, tf = (np.frombuffer(b"".join(rows[c]), "i4") for c in ("terms", "tf"))
+    row = np.repeat(np.arange(len(rows)), [len(x) // 4 for x in rows["terms"]])
+    thinned = {k: totals[k] / max(1, sizes.get(k, 0)) for k in totals}
+    return build(rows["doc_id"].to_numpy("i8"), rows["toxic"].to_numpy("i8"), *weigh(row, term.astype("i8"), tf, value, len(rows)), terms, value, base, thinned)
 
 
 def phi(a: np.ndarray, df: np.ndarray, n1: int, n: int) -> np.ndarray:
@@ -270,12 +273,9 @@ def cluster(rows: np.ndarray) -> np.ndarray:
     return own
 
 
-def build(vectors: list[tuple], terms: dict[str, int], value: np.ndarray, base: float, thinned: dict[int, float]) -> Index:
-    """vectors: doc_id, label, terms, weights of each example."""
-    n = len(vectors)
-    term = np.concatenate([v[2] for v in vectors] or [np.empty(0)]).astype("i8")
-    weight = np.concatenate([v[3] for v in vectors] or [np.empty(0)]).astype("f4")
-    of = np.repeat(np.arange(n), [len(v[2]) for v in vectors])
+def build(ids: np.ndarray, labels: np.ndarray, of: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: dict[str, int], value: np.ndarray, base: float, thinned: dict[int, float]) -> Index:
+    """An index of the examples with these ids and labels; of, term and weight are the entries of their vectors."""
+    n, weight = len(ids), weight.astype("f4")
     often = np.bincount(term, minlength=len(value))
     # Blocks are clusters by the most frequent terms.
     common = np.argsort(-often, kind="stable")[:DENSE]
@@ -285,7 +285,6 @@ def build(vectors: list[tuple], terms: dict[str, int], value: np.ndarray, base:
     held = column[term] >= 0
     rows[of[held], column[term[held]]] = weight[held]
     block = cluster(rows) if n else np.empty(0, "i8")
-    ids = np.array([v[0] for v in vectors], "i8")
     order = np.lexsort((ids, block))
     place = np.empty(n, "i8")
     place[order] = np.arange(n)
@@ -308,7 +307,7 @@ def build(vectors: list[tuple], terms: dict[str, int], value: np.ndarray, base:
     term, weight, at = term[listed], weight[listed], place[of[listed]].astype("i4")
     by = np.argsort(term, kind="stable")
     starts = np.searchsorted(term[by], np.arange(len(value) + 1))
-    labels = np.array([v[1] for v in vectors], "f8")[order]
+    labels = labels.astype("f8")[order]
     return Index(terms, value, ids[order], np.array([thinned.get(int(x), 1.0) for x in labels]), labels, base, edges, columns, dense, starts, at[by], weight[by])
 
 

@@ -166,30 +166,34 @@ def test_block_max_search_equals_brute_force(blocks, dense, monkeypatch):
     rnd = np.random.default_rng(6)
     value = rnd.uniform(0.5, 3, 80)
 
-    def drawn(most):
-        low = int(rnd.integers(0, 4)) * 15  # texts keep to a part of the words, as those of one language
-        terms = np.sort(low + rnd.choice(35, rnd.integers(1, most), replace=False))
-        return toxicity.weigh(terms, rnd.integers(1, 4, len(terms)), value)
-
-    vectors = [(i, int(rnd.random() < 0.3), *drawn(6)) for i in range(700)]
-    index = toxicity.build(vectors, {str(i): i for i in range(80)}, value, 0.3, {0: 1.0, 1: 1.0})
-    queries = [drawn(9) for _ in range(60)]
-    for (terms, weights), (places, found) in zip(queries, index.nearest(queries)):
-        q = np.zeros(80)
-        q[terms] = weights
-        scores = np.array([w @ q[t] for _, _, t, w in vectors])
+    def drawn(n, most):
+        """Texts keep to a part of the words, as those of one language."""
+        terms = [int(rnd.integers(0, 4)) * 15 + rnd.choice(35, rnd.integers(1, most), replace=False) for _ in range(n)]
+        row, term = np.repeat(np.arange(n), [len(t) for t in terms]), np.concatenate(terms)
+        return toxicity.weigh(row, term, rnd.integers(1, 4, len(term)), value, n)
+
+    def dense(row, term, weight, n):
+        out = np.zeros((n, 80))
+        out[row, term] = weight
+        return out
+
+    vectors, queries = drawn(700, 6), drawn(60, 9)
+    index = toxicity.build(np.arange(700), rnd.integers(0, 2, 700), *vectors, {str(i): i for i in range(80)}, value, 0.3, {0: 1.0, 1: 1.0})
+    cosines = dense(*queries, 60) @ dense(*vectors, 700).T
+    for scores, (places, found) in zip(cosines, index.nearest(*queries, 60)):
         best = np.lexsort((np.arange(700), -scores.round(6)))[: toxicity.K]
         best = best[scores[best] > 0]
         assert np.allclose(found, scores[best], atol=1e-6) and len(set(places)) == len(best)
-        assert all(np.isclose(scores[i], x, atol=1e-6) for i, x in zip(index.ids[places], found))
+        assert np.allclose(scores[index.ids[places]], found, atol=1e-6)
 
 
 def test_blocks_hold_every_example_and_weight(monkeypatch):
     monkeypatch.setattr(toxicity, "DENSE", 3)
-    vectors = [(9 - i, i % 2, np.arange(i % 5), np.full(i % 5, 0.25)) for i in range(10)]
-    index = toxicity.build(vectors, {}, np.ones(5), 0.5, {})
+    sizes = [i % 5 for i in range(10)]
+    of, term = np.repeat(np.arange(10), sizes), np.concatenate([np.arange(k) for k in sizes])
+    index = toxicity.build(np.arange(10)[::-1], np.arange(10) % 2, of, term, np.full(len(term), 0.25), {}, np.ones(5), 0.5, {})
     assert sorted(index.ids) == list(range(10)) and index.edges[-1] == 10
-    assert sum((x > 0).sum() for x in index.rows) + len(index.at) == sum(len(v[2]) for v in vectors)
+    assert sum((x > 0).sum() for x in index.rows) + len(index.at) == len(term)
 
 
 PAGE = (

@@ -295,9 +295,9 @@ def test_toxicity_weighs_every_word_of_every_example(spark):
     for b, columns in enumerate(index.columns):
         dense[index.edges[b] : index.edges[b + 1], columns] = index.rows[b]
     assert np.allclose((dense**2).sum(axis=1), 1, atol=1e-5)
-    queries = [index.vector(texts_[i]) for i in (3, 5, 1001, 2000)]
-    for (terms, weights), (_, found) in zip(queries, index.nearest(queries)):
-        best = np.sort(dense[:, terms] @ weights)[::-1][: toxicity.K]
+    row, term, weight = index.vectors([texts_[i] for i in (3, 5, 1001, 2000)])
+    for k, (_, found) in enumerate(index.nearest(row, term, weight, 4)):
+        best = np.sort(dense[:, term[row == k]] @ weight[row == k])[::-1][: toxicity.K]
         assert np.allclose(found, best[best > 0], atol=1e-6)
 
 
