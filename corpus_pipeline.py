@@ -3,8 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written as Parquet and read again as
 the next stage's docs. All but the last return the columns of documents. Verdicts go back to rows by doc_id and a hash
 of the text, so rows that share a doc_id but not their text are judged each on its own, and rows without a doc_id are
-judged by the rules and exact copies too. Near-duplicate grouping tells rows apart by doc_id alone: rows that share
-one stay or go together, and rows without one stay; they lose no bytes either.
+judged by the rules and as exact copies too. Near-duplicate grouping tells rows apart by doc_id alone: rows that share
+one stay or go together, and rows without one stay. They lose no bytes either, and of several texts of one doc_id one
+may lose bytes.
 """
 
 from __future__ import annotations
@@ -46,13 +47,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes that the operator removes, nor what is left of characters that it cut."""
-    cut = suffix.remove_repeats(docs, with_text=True).where("n_removed > 0")
-    cut = cut.select(F.col("doc_id").alias("cut_id_"), F.col("sha").alias("cut_sha_"), F.col("text").alias("left_over_"))
-    cut = materialize(cut.dropDuplicates(["cut_id_", "cut_sha_"]), "pipeline-suffix")
-    text = F.coalesce("left_over_", "text")
-    new = {"text": text} | ({"n_chars": F.length(text).cast(dict(docs.dtypes)["n_chars"])} if "n_chars" in docs.columns else {})
-    same = (F.col("doc_id") == F.col("cut_id_")) & (F.unhex(F.sha2(text_or_empty().cast("binary"), 256)) == F.col("cut_sha_"))
-    return docs.join(cut, same, "left").select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    return suffix.without_repeats(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

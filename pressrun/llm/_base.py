@@ -46,6 +46,14 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Empties tables of `materialize` that nothing reads any more."""
+    for df in tables:
+        paths = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        for path in paths:
+            df.sparkSession.createDataFrame([], df.schema).coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
@@ -66,18 +74,27 @@ def join_hot(rows: DataFrame, groups: DataFrame, key: str, count: str, total: in
     return first.unionByName(rest)
 
 
-def among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """The rows whose long key is in ids (one column of that name, without repeats): only these are shuffled, and few others.
+def mapped(rows: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows that may have their long key in ids (one column of that name), and those that surely have not.
 
-    A bitmap of BITMAP hashed keys is broadcast, 8 MB whatever the number of ids; what passes it is joined by key. The join
-    is named, so that plans do not change with the size of the table.
+    A bitmap of BITMAP hashed keys is broadcast, 8 MB whatever the number of ids, so neither part is shuffled here.
     """
     place = F.pmod(F.xxhash64(key), F.lit(BITMAP))
     maps = ids.select(F.bitmap_bucket_number(place).alias("map_no"), F.bitmap_bit_position(place).alias("bit")).groupBy("map_no").agg(F.bitmap_construct_agg("bit").alias("map"))
-    bit = f"pmod(bitmap_bit_position(pmod(xxhash64({key}), {BITMAP}L)), 8)"
-    byte = f"conv(hex(substring(map, CAST(bitmap_bit_position(pmod(xxhash64({key}), {BITMAP}L)) DIV 8 AS INT) + 1, 1)), 16, 10)"
-    few = rows.withColumn("map_no", F.bitmap_bucket_number(place)).join(F.broadcast(maps), "map_no").where(F.expr(f"shiftright(CAST({byte} AS INT), CAST({bit} AS INT)) % 2 = 1"))
-    return few.select(*rows.columns).join(ids.hint("merge"), key)
+    maps = materialize(maps, "bitmap")
+    at = f"bitmap_bit_position(pmod(xxhash64({key}), {BITMAP}L))"
+    held = F.expr(f"shiftright(CAST(conv(hex(substring(map, CAST({at} DIV 8 AS INT) + 1, 1)), 16, 10) AS INT), CAST({at} % 8 AS INT)) % 2 = 1")
+    met = rows.withColumn("map_no", F.bitmap_bucket_number(place)).join(F.broadcast(maps), "map_no", "left")
+    held = F.coalesce(held, F.lit(False))
+    return met.where(held).select(*rows.columns), met.where(~held).select(*rows.columns)
+
+
+def among(rows: DataFrame, others: DataFrame, key: str) -> DataFrame:
+    """The inner join of rows with others, one row a key, where few rows have a partner: those without are not shuffled.
+
+    The join is named, so that plans do not change with the size of the table.
+    """
+    return mapped(rows, others.select(key), key)[0].join(others.hint("merge"), key)
 
 
 def shuffle_parts(spark: SparkSession) -> int:

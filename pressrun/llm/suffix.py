@@ -13,8 +13,8 @@ Skew: exact copies of a text are settled by a count, without windows. Owners tha
 are hot: they are spread over SALTS shards each, and what is left of every class there meets in a second round,
 by its own bytes. The sample decides only where windows meet, never which.
 
-Defined cases: null text has no bytes; texts shorter than `width` lose nothing; rows that share a doc_id never
-remove each other's bytes; rows with a null doc_id lose and cause nothing; an empty table gives an empty result;
+Defined cases: null text has no bytes; texts shorter than `width` lose nothing; of the texts of one doc_id the one of
+least SHA-256 takes part, so rows that share a doc_id never remove each other's bytes; rows with a null doc_id lose and cause nothing; an empty table gives an empty result;
 columns besides doc_id and text are not read.
 """
 
@@ -23,14 +23,15 @@ from __future__ import annotations
 import hashlib
 import pickle
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressrun.llm._base import join_hot, materialize, shuffle_parts, text_or_empty
+from pressrun.llm._base import among, join_hot, mapped, materialize, release, shuffle_parts, text_or_empty
 from pressrun.llm.minhash import mix
 from pressrun.llm.sais import common_prefixes, suffix_array
 
@@ -241,11 +242,23 @@ def strip(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, int, bytes]
     return int(gone.sum()), int((np.diff(gone.astype("i1"), prepend=0) == 1).sum()), np.frombuffer(text, "u1")[~gone].tobytes()
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row.
+@dataclass
+class Repeats:
+    """rows: doc_id, n_bytes, sha, first (least doc_id of the text) of each row; longer: doc_id, text of the texts that take
+    part; spans: doc_id, lo, hi of the texts that lose bytes; aside: doc_id, mark, copy of the texts that do not take
+    part, since the text occurs before or the doc_id has another one."""
 
-    with_text adds the text left of rows that lost bytes, without parts of characters (null for the others), and the SHA-256 of the whole text.
-    """
+    rows: DataFrame
+    longer: DataFrame
+    spans: DataFrame
+    aside: DataFrame
+
+
+def text_mark() -> Column:
+    return F.xxhash64(F.unhex(F.sha2("text", 256)))
+
+
+def find_repeats(docs: DataFrame) -> Repeats:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
     rows = materialize(texts.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("sha")), "repeats")
@@ -254,10 +267,14 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     figures = rows.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
     total, parts = figures[0], max(shuffle_parts(spark), figures[1] // SHARD_BYTES + 1)
     placed = materialize(join_hot(known, groups, "sha", "n", total), "repeats-placed")
-    copies = placed.where((F.col("doc_id") > F.col("first")) & (F.col("n_bytes") >= WIDTH))
-    copies = materialize(copies.select("doc_id", F.xxhash64("sha").alias("mark")).distinct(), "repeats-copies")
-    longer = texts.where((F.octet_length("text") >= WIDTH) & F.col("doc_id").isNotNull())
-    longer = longer.withColumn("mark", F.xxhash64(F.unhex(F.sha2("text", 256)))).join(copies, ["doc_id", "mark"], "left_anti").select("doc_id", "text")
+    long = placed.where(F.col("n_bytes") >= WIDTH)
+    copies = long.where(F.col("doc_id") > F.col("first")).select("doc_id", F.xxhash64("sha").alias("mark"), F.lit(True).alias("copy"))
+    several = long.groupBy("doc_id").agg(F.min("sha").alias("least"), F.max("sha").alias("most")).where("least <> most").select("doc_id", "least")
+    spare = long.where("doc_id = first").join(several, "doc_id").where("sha <> least").select("doc_id", F.xxhash64("sha").alias("mark"), F.lit(False).alias("copy"))
+    aside = materialize(copies.unionByName(spare).distinct(), "repeats-aside")
+    some, rest = mapped(texts.where((F.octet_length("text") >= WIDTH) & F.col("doc_id").isNotNull()), aside.select("doc_id"), "doc_id")
+    some = some.withColumn("mark", text_mark()).join(aside.hint("merge"), ["doc_id", "mark"], "left_anti").select("doc_id", "text")
+    longer = rest.unionByName(some)
     hot = spark.sparkContext.broadcast(find_hot(longer, total))
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -315,31 +332,52 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
         head, _ = runs_of(doc[order])
         return pd.DataFrame({"doc_id": doc[order][head], "lo": [x.tobytes() for x in np.split(lo[order], head[1:])], "hi": [x.tobytes() for x in np.split(hi[order], head[1:])]})
 
-    once = longer.join(runs, "doc_id").mapInPandas(stretches, "part long, data binary").groupBy("part").applyInPandas(each, SETTLED)
+    once = among(longer, runs, "doc_id").mapInPandas(stretches, "part long, data binary").groupBy("part").applyInPandas(each, SETTLED)
     once = materialize(once, "repeats-once")
     again = once.where("again").select("part", "data").groupBy("part").applyInPandas(each, SETTLED)
     found = materialize(once.where("NOT again").unionByName(again).groupBy("part").applyInPandas(spans, "doc_id long, lo binary, hi binary"), "repeats-spans")
 
+    release(runs, once)
+    return Repeats(placed.select("doc_id", "n_bytes", "sha", "first").unionByName(rows.where("doc_id IS NULL").withColumn("first", F.lit(None).cast("long"))), longer, found, aside)
+
+
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row."""
+    found = find_repeats(docs)
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             done = [strip(t, np.frombuffer(a, "i8"), np.frombuffer(b, "i8")) for t, a, b in zip(batch["text"], batch["lo"], batch["hi"])]
-            out = pd.DataFrame({"doc_id": batch["doc_id"], "sha": [hashlib.sha256(t).digest() for t in batch["text"]], "n_removed": [x[0] for x in done], "n_spans": [x[1] for x in done], "kept_sha256": [hashlib.sha256(x[2]).hexdigest() for x in done]})
-            yield out.assign(text=[x[2].decode("utf-8", "ignore") for x in done]) if with_text else out
-
-    text_type = ", text string" if with_text else ""
-    trimmed = longer.join(found, "doc_id").mapInPandas(cut, f"doc_id long, sha binary, n_removed long, n_spans long, kept_sha256 string{text_type}")
-    trimmed = materialize(trimmed, "repeats-trimmed")
-    if trimmed.groupBy("doc_id", "sha").count().where("count > 1").limit(1).count():
-        trimmed = trimmed.dropDuplicates(["doc_id", "sha"])
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "sha": [hashlib.sha256(t).digest() for t in batch["text"]], "n_removed": [x[0] for x in done], "n_spans": [x[1] for x in done], "kept_sha256": [hashlib.sha256(x[2]).hexdigest() for x in done]})
+
+    trimmed = among(found.longer, found.spans, "doc_id").mapInPandas(cut, "doc_id long, sha binary, n_removed long, n_spans long, kept_sha256 string")
+    trimmed = materialize(trimmed.dropDuplicates(["doc_id", "sha"]), "repeats-trimmed")
     nothing = hashlib.sha256(b"").hexdigest()
     is_copy = F.coalesce((F.col("doc_id") > F.col("first")) & (F.col("n_bytes") >= WIDTH), F.lit(False))
-    all_rows = placed.select("doc_id", "n_bytes", "sha", "first").unionByName(rows.where("doc_id IS NULL").withColumn("first", F.lit(None).cast("long")))
-    joined = all_rows.join(trimmed, ["doc_id", "sha"], "left")
-    out = joined.select(
+    return found.rows.join(trimmed.hint("merge"), ["doc_id", "sha"], "left").select(
         "doc_id", "n_bytes",
         F.when(is_copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(is_copy, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(is_copy, nothing).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"),
-        *([F.when(is_copy, "").otherwise(F.col("text")).alias("text"), "sha"] if with_text else []),
     )
-    return out
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """docs with the texts that are left, without parts of characters. Rows that lose nothing are not shuffled."""
+    found = find_repeats(docs)
+    names = {c: f"own_{k}_" for k, c in enumerate(docs.columns)}
+    keyed = docs.select(*[F.col(c).alias(n) for c, n in names.items()], F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
+    losing = found.spans.select("doc_id").unionByName(found.aside.select("doc_id")).distinct()
+    some, rest = mapped(keyed, losing, "doc_id")
+    some = some.withColumn("mark", text_mark()).join(found.aside.hint("merge"), ["doc_id", "mark"], "left").join(found.spans.hint("merge"), "doc_id", "left")
+
+    def cut(texts: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.Series:
+        return pd.Series([strip(t, np.frombuffer(a, "i8"), np.frombuffer(b, "i8"))[2].decode("utf-8", "ignore") if a is not None else t.decode() for t, a, b in zip(texts, lo, hi)])
+
+    left = F.pandas_udf(cut, "string")("text", "lo", "hi")
+    loses = F.col("copy").isNull() & F.col("lo").isNotNull() & (F.octet_length("text") >= WIDTH)
+    own = F.col(names["text"])
+    text = F.when(F.col("copy"), F.lit("")).when(loses, left).otherwise(own)
+    new = {"text": text} | ({"n_chars": F.when(F.col("copy") | loses, F.length(text).cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col(names["n_chars"]))} if "n_chars" in docs.columns else {})
+    changed = some.select(*[new.get(c, F.col(n)).alias(c) for c, n in names.items()])
+    return rest.select(*[F.col(n).alias(c) for c, n in names.items()]).unionByName(changed)
