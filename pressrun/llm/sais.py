@@ -1,13 +1,20 @@
-"""Suffix arrays by induced sorting, in whole-array steps.
+"""Suffix arrays by induced sorting.
 
-Scanning a bucket of the suffix array induces the places of the suffixes before it. All entries of a bucket that
-are known at one moment are taken as one batch, so a bucket costs as many steps as its longest run of one byte.
+Suffixes are classified as smaller or larger than the next one, the leftmost-smaller substrings are sorted by induction and
+named, and the string of their names, at most half as long, is sorted the same way, at every size, until all names differ.
+
+Scanning a bucket of the suffix array induces the places of the suffixes before it. Where letters are few, all entries of a
+bucket that are known at one moment are taken as one batch, so a bucket costs as many steps as its longest run of one
+letter; the many buckets of a string of names are scanned entry by entry.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+#: Letters up to which buckets are taken in batches.
+FEW_LETTERS = 1024
+
 
 def types(text: np.ndarray) -> np.ndarray:
     """True for suffixes smaller than the next one; the last is taken as such."""
@@ -77,26 +84,33 @@ def _induce(text: np.ndarray, up: np.ndarray, seeds: np.ndarray, sizes: np.ndarr
     return sa
 
 
-def _ranks(names: np.ndarray, reach: int) -> np.ndarray:
-    """Order of the suffixes of a string of names by their first `reach` names at least, by doubling."""
-    rank, k, n = names.astype("i8"), 1, len(names)
-    while True:
-        second = np.zeros(n, "i8")
-        second[: max(0, n - k)] = rank[k:] + 1
-        key = rank * (n + 2) + second
-        order = np.argsort(key, kind="stable")
-        new = np.empty(n, "i8")
-        new[order] = np.cumsum(np.append(0, key[order][1:] != key[order][:-1]))
-        rank, k = new, 2 * k
-        if rank.max() == n - 1 or k >= min(n, reach):
-            return np.argsort(rank, kind="stable")
-
-
-def suffix_array(text: np.ndarray, letters: int, reach: int = 1 << 60, depth: int = 0) -> np.ndarray:
-    """text: small non-negative integers; the last is 0 and occurs there only.
-
-    reach: suffixes that agree in so many letters may stand in any order. A name covers a letter at least.
-    """
+def _induce_each(text: np.ndarray, up: np.ndarray, seeds: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """As `_induce`, entry by entry."""
+    letter, rises = text.tolist(), up.tolist()
+    ends = np.cumsum(sizes)
+    sa, tail, head = [-1] * len(letter), ends.tolist(), (ends - sizes).tolist()
+    for i in reversed(seeds.tolist()):
+        c = letter[i]
+        tail[c] -= 1
+        sa[tail[c]] = i
+    for k in range(len(sa)):
+        i = sa[k] - 1
+        if i >= 0 and not rises[i]:
+            c = letter[i]
+            sa[head[c]] = i
+            head[c] += 1
+    tail = ends.tolist()
+    for k in range(len(sa) - 1, -1, -1):
+        i = sa[k] - 1
+        if i >= 0 and rises[i]:
+            c = letter[i]
+            tail[c] -= 1
+            sa[tail[c]] = i
+    return np.array(sa, "i4")
+
+
+def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
+    """text: small non-negative integers; the last is 0 and occurs there only."""
     n = len(text)
     if n < 3:
         return np.argsort(text, kind="stable").astype("i4")
@@ -104,7 +118,8 @@ def suffix_array(text: np.ndarray, letters: int, reach: int = 1 << 60, depth: in
     left = np.flatnonzero(up[1:] & ~up[:-1]) + 1
     sizes = np.bincount(text, minlength=letters)
     seeds = left[np.argsort(text[left], kind="stable")].astype("i4")
-    sa = _induce(text, up, seeds, sizes)
+    induce = _induce if letters <= FEW_LETTERS else _induce_each
+    sa = induce(text, up, seeds, sizes)
     if len(left) < 2:
         return sa
     # Names of the leftmost-smaller substrings, in their sorted order.
@@ -128,11 +143,9 @@ def suffix_array(text: np.ndarray, letters: int, reach: int = 1 << 60, depth: in
     names[place[ordered]] = np.cumsum(differs) - 1
     if differs.all():
         order = place[ordered]
-    elif int(differs.sum()) <= 1024 and depth < 8:
-        order = suffix_array(np.append(names + 1, 0), int(differs.sum()) + 1, reach, depth + 1)[1:]
     else:
-        order = _ranks(names, reach)
-    return _induce(text, up, left[order].astype("i4"), sizes)
+        order = suffix_array(np.append(names + 1, 0), int(differs.sum()) + 1)[1:]
+    return induce(text, up, left[order].astype("i4"), sizes)
 
 
 def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:

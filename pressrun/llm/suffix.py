@@ -145,7 +145,7 @@ def classes(text: np.ndarray, at: np.ndarray, numbers: np.ndarray, least: np.nda
     inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
     joined[np.repeat(goes, size) + inside] = text[np.repeat(at, size) + inside].astype("i4") + 2
     joined[-1] = 0
-    sa = suffix_array(joined, 258, WIDTH)
+    sa = suffix_array(joined, 258)
     # A separator looks like byte 0 here, but windows end before one.
     shared = common_prefixes(np.where(joined < 2, 0, joined - 2).astype("u1"), sa, WIDTH)[sa] >= WIDTH
     owner = np.repeat(np.arange(len(at)), size + 1)

@@ -80,6 +80,27 @@ def test_suffix_arrays_equal_sorting():
             assert shared[b] == n
 
 
+def test_induced_sorting_recurses_on_names_at_every_size(monkeypatch):
+    """Each level sorts the names of the level above, until all differ; both ways of induction give the same array."""
+    rnd, levels = np.random.default_rng(8), []
+    words = [rnd.integers(98, 123, int(n)).astype("u1").tobytes() for n in rnd.integers(2, 9, 500)]
+    data = b" ".join(words[int(k)] for k in rnd.integers(0, 500, 6000))
+    text = np.append(np.frombuffer(data, "u1").astype("i4") + 1, 0)
+    whole = sais.suffix_array
+
+    def counted(text, letters):
+        levels.append((len(text), letters))
+        return whole(text, letters)
+
+    monkeypatch.setattr(sais, "suffix_array", counted)
+    found = sais.suffix_array(text, 258)
+    assert found[1:].tolist() == sorted(range(len(data)), key=lambda i: data[i : i + 5000])
+    assert len(levels) >= 3 and max(x[1] for x in levels) > sais.FEW_LETTERS and all(b[0] <= a[0] // 2 + 1 for a, b in zip(levels, levels[1:]))
+    for few in (0, 1 << 30):
+        monkeypatch.setattr(sais, "FEW_LETTERS", few)
+        assert whole(text[-3000:], 258).tolist() == [i - (len(text) - 3000) for i in found if i >= len(text) - 3000]
+
+
 def test_equal_windows_have_equal_owners():
     rnd = np.random.default_rng(2)
     core = rnd.integers(97, 101, 80).astype("u1").tobytes()
