@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressrun.llm import exact, minhash, packing, quality, suffix
-from pressrun.llm._base import materialize, table, text_or_empty
+from pressrun.llm._base import mapped, materialize, table, text_or_empty
 
 NEAR = minhash.NearDup(shingle=5, percent=80)
 
@@ -24,10 +24,12 @@ def _marked(docs: DataFrame) -> DataFrame:
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs but those whose doc_id and mark are in gone."""
-    gone = gone.select(F.col("doc_id").alias("gone_id_"), F.col("text_mark_").alias("gone_mark_")).distinct()
+    """docs but those whose doc_id and mark are in gone. Rows whose mark is surely not there are not shuffled."""
+    gone = gone.select(F.col("doc_id").alias("gone_id_"), "text_mark_").distinct()
+    some, rest = mapped(_marked(docs), gone.select("text_mark_"), "text_mark_")
+    gone = gone.withColumnRenamed("text_mark_", "gone_mark_").hint("merge")
     same = F.col("doc_id").eqNullSafe(F.col("gone_id_")) & (F.col("text_mark_") == F.col("gone_mark_"))
-    return _marked(docs).join(gone, same, "left_anti").select(*docs.columns)
+    return rest.unionByName(some.join(gone, same, "left_anti")).select(*docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +43,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = materialize(minhash.group(docs, NEAR).where("NOT kept").select("doc_id").distinct(), "pipeline-near")
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    found = minhash.group(docs, NEAR).where("NOT kept").select(F.col("doc_id").alias("id_key_")).distinct()
+    found = materialize(found, "pipeline-near")
+    some, rest = mapped(docs.withColumn("id_key_", F.col("doc_id").cast("long")), found, "id_key_")
+    return rest.unionByName(some.join(found.hint("merge"), "id_key_", "left_anti")).select(*docs.columns)
 
 
 def suffix_array(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

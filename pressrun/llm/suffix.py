@@ -39,7 +39,7 @@ WIDTH, GRAM = 50, 24
 SPAN = WIDTH - GRAM + 1
 SALTS = 64
 #: Bytes of text of one pass in a task, of one suffix array, and text that a shard of owners stands for.
-PASS_BYTES, ARRAY_BYTES, SHARD_BYTES = 4_000_000, 1_000_000, 6_000_000
+PASS_BYTES, ARRAY_BYTES, SHARD_BYTES = 3_000_000, 1_000_000, 4_000_000
 #: Documents in the sample for hot owners, and how many of them make an owner hot.
 SAMPLE, HOT_IN_SAMPLE = 2_000, 20
 BASE = 0x9E3779B97F4A7C15

@@ -84,13 +84,7 @@ class Index:
 
     def vectors(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Number of the text, term and weight of all entries of the texts' vectors."""
-        found = [Counter(WORD.findall(x.lower())) for x in texts]
-        size = sum(map(len, found))
-        term = np.fromiter(chain.from_iterable(map(self.terms.get, x, repeat(-1)) for x in found), "i8", size)
-        tf = np.fromiter(chain.from_iterable(x.values() for x in found), "f8", size)
-        row = np.repeat(np.arange(len(texts)), [len(x) for x in found])
-        known = np.flatnonzero(term >= 0)
-        return weigh(row[known], term[known], tf[known], self.value, len(texts))
+        return weigh(*entries(texts, self.terms), self.value, len(texts))
 
     def listed(self, query: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
         """Each example's part of the cosine with each of n queries over what is in postings."""
@@ -176,6 +170,17 @@ class Index:
         return min(1.0, max(0.0, value)), self.ids[places[:3]].tolist()
 
 
+def entries(texts: list[str], terms: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the text, term and how often it occurs there, of all known terms of the texts."""
+    words = [WORD.findall(x.lower()) for x in texts]
+    lengths = [len(x) for x in words]
+    term = np.fromiter(chain.from_iterable(map(terms.get, x, repeat(-1)) for x in words), "i8", sum(lengths))
+    key = np.repeat(np.arange(len(texts)) * len(terms), lengths) + term
+    key, tf = np.unique(key[term >= 0], return_counts=True)
+    row = key // max(1, len(terms))
+    return row, key - row * len(terms), tf
+
+
 def kth(scores: np.ndarray) -> np.ndarray:
     """The K-th largest value of each row; 0 if there are fewer."""
     return np.partition(scores, -K, axis=1)[:, -K] if scores.shape[1] >= K else np.zeros(len(scores))
@@ -224,11 +229,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Index:
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(len(known.value), "i8")
         for batch in batches:
-            met: list[int] = []
-            for text in batch["text"]:
-                met += map(known.value.get, set(WORD.findall(text.lower())))
-            met = [x for x in met if x is not None]
-            counts += np.bincount(np.fromiter(met, "i8", len(met)), minlength=len(counts))
+            texts = batch["text"].tolist()
+            for at in range(0, len(texts), QUERIES):
+                counts += np.bincount(entries(texts[at : at + QUERIES], known.value)[1], minlength=len(counts))
         some = np.flatnonzero(counts)
         yield pd.DataFrame({"term": some, "n": counts[some]})
 
