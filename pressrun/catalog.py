@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from pressrun.config import AXES, CandidateConfig, DigestConfig, EvaluationConfig, SelectConfig
 from pressrun.functions import ids, text, time
-from pressrun.operators import candidates, checks, clusters, digest, evaluation, judging, pool, references, selection, similarity
+from pressrun.operators import answers, candidates, checks, clusters, digest, evaluation, judging, pool, references, selection, similarity
 from pressrun.operators.graph import stored, with_position
+from pressrun.plans import documents
+from pressrun.sources import feeds, fetching
 from pressrun.sources.tables import ITEMS_SQL, NORM_SQL, featured, items, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -708,3 +710,186 @@ def schema_violations(spark: SparkSession, d: str) -> DataFrame:
     scores = F.when(n % 19 != 0, F.struct(*[F.lit(1.0).alias(s) for s in ("informationValue", "personalRelevance", "impact", "attentionSignal", "importance")]))
     rows = table(spark, d, "documents").select(F.concat(F.lit("x:"), n.cast("string")).alias("id"), source.alias("source"), scores.alias("scores"))
     return checks.broken(rows, "id", checks.item_rules())
+
+
+# ---------------------------------------------------------------- what stages hand on
+
+
+@query(f"{WITH_CLUSTERS} SELECT cluster_id, item_count, row_number() OVER (ORDER BY item_count DESC, cluster_id) AS pos FROM found")
+def cluster_order(spark: SparkSession, d: str) -> DataFrame:
+    return documents.cluster_order(clusters.clusters(clustered(spark, d)[1])).select("cluster_id", "item_count", "pos")
+
+
+@query(f"WITH RECURSIVE {GROUPS_SQL} SELECT related_group_id, n, row_number() OVER (ORDER BY n DESC, related_group_id) AS pos FROM (SELECT related_group_id, count(*) AS n FROM roles GROUP BY related_group_id)")
+def group_order(spark: SparkSession, d: str) -> DataFrame:
+    return documents.group_order(grouped_records(spark, d))
+
+
+@query()
+def evidence_order(spark: SparkSession, d: str) -> DataFrame:
+    rows, members, scored = evaluated(spark, d)
+    recs = stored(selection.with_lanes(scored))
+    judged = judged_clusters(spark, d, members, recs)
+    named = selection.related_groups(recs, judged).select(F.col("cluster_id").alias("cluster_a"), "related_group_id")
+    return documents.evidence_order(selection.group_edges(recs, judged).join(named, "cluster_a"))
+
+
+@query()
+def decision_order(spark: SparkSession, d: str) -> DataFrame:
+    return documents.decision_order(packed(spark, d)[1])
+
+
+@query(f"WITH {REF_SQL} SELECT id, value, row_number() OVER (ORDER BY value DESC, id) AS pos FROM cand")
+def reference_order(spark: SparkSession, d: str) -> DataFrame:
+    return documents.reference_order(references.candidates(reference_rows(spark, d))).select("id", "value", "pos")
+
+
+@query(f"{WITH_EVAL} SELECT cluster_id, rep_id AS item_id, title, category, provider, url FROM based")
+def representative_fields(spark: SparkSession, d: str) -> DataFrame:
+    rows = evaluated(spark, d)[2].withColumnRenamed("rep_id", "id").withColumns({"source_type": F.split("id", ":")[0], "published_at": F.col("published_ms").cast("string")})
+    r = documents.representative()
+    return rows.select("cluster_id", r["itemId"].alias("item_id"), r["title"].alias("title"), r["category"].alias("category"), r["source"]["provider"].alias("provider"), r["source"]["url"].alias("url"))
+
+
+@query(f"""WITH {HASH_SQL}, cache AS (SELECT cache_key FROM keyed WHERE doc_id % 2 = 0 AND status = 'ok'), p AS (SELECT k.*, c.cache_key IS NOT NULL AS hit FROM keyed k LEFT JOIN cache c USING (cache_key))
+SELECT count(*) AS candidates, count(*) FILTER (hit) AS cache_hits, count(*) FILTER (NOT hit) AS cache_misses, count(*) FILTER (NOT hit) AS estimated_requests,
+  count(*) FILTER (status = 'ok' AND relationship = 'same-event') AS same_event, count(*) FILTER (status = 'ok' AND relationship = 'related-event') AS related_event, count(*) FILTER (status = 'ok' AND relationship = 'different-event') AS different_event,
+  count(*) FILTER (status = 'failed') AS failed, count(*) AS judged, 0::BIGINT AS unjudged, false AS dry_run FROM p""")
+def semantic_stats(spark: SparkSession, d: str) -> DataFrame:
+    keyed = stored(keyed_judgments(spark, d))
+    cache = keyed.where("doc_id % 2 = 0").select("cache_key", "relationship", "confidence", "status")
+    probed = judging.probe(keyed.select("item_a", "item_b", "cache_key"), cache)
+    return documents.semantic_stats(judging.limited(probed, [], None, []), True, keyed)
+
+
+@query(f"""WITH {NORM_SQL}, firsts AS (SELECT id, min(id) OVER (PARTITION BY title_norm) AS first FROM norm WHERE title_norm IS NOT NULL),
+h AS (SELECT f.first AS item_a, f.id AS item_b, floor(abs(a.published_ms - b.published_ms) / 3600000.0::DOUBLE * 10000 + 0.5) / 10000 AS h FROM firsts f JOIN norm a ON a.id = f.first JOIN norm b ON b.id = f.id WHERE f.id <> f.first)
+SELECT item_a, item_b, CASE WHEN h IS NULL THEN 'n/a' WHEN h < 10 THEN printf('%.1f', floor(h * 10 + 0.5) / 10) || 'h' ELSE floor(h + 0.5)::BIGINT || 'h' END AS hours FROM h""")
+def hours_text(spark: SparkSession, d: str) -> DataFrame:
+    return hours_apart_pairs(spark, d).select("item_a", "item_b", documents.hours_text(F.col("hours")).alias("hours"))
+
+
+# ---------------------------------------------------------------- models
+
+
+@query(f"""{WITH_EVAL} SELECT b.cluster_id, b.rep_id, CASE WHEN length(b.summary) > 400 THEN left(b.summary, 400) || '…' ELSE b.summary END AS summary, s.item_count, s.providers,
+  (SELECT count(*) FROM ranked r WHERE r.root = b.root AND r.rank BETWEEN 2 AND 5) AS n_supporting FROM based b JOIN signals s USING (root)""")
+def evaluation_requests(spark: SparkSession, d: str) -> DataFrame:
+    """What an evaluator is given, read back from its JSON."""
+    rows, members = clustered(spark, d)
+    ranked = stored(evaluation.ranked_members(rows, members).withColumn("published_at", F.col("published_ms").cast("string")))
+    found = clusters.clusters(members).select("root", "cluster_id")
+    facts = evaluation.representatives(ranked).join(evaluation.signals(rows, members), "root").join(found, "root")
+    asked = answers.evaluation_requests(facts, evaluation.supporting(ranked).withColumnRenamed("rank", "pos"))
+    get = lambda p: F.get_json_object("request", p)
+    listed = F.array_join(F.from_json(get("$.signals.providers"), "array<string>"), "|")
+    return asked.select("cluster_id", F.col("id").alias("rep_id"), get("$.representative.summary").alias("summary"), get("$.signals.itemCount").cast("long").alias("item_count"), listed.alias("providers"), F.json_array_length(get("$.supportingItems")).cast("long").alias("n_supporting"))
+
+
+@query("SELECT doc_id, doc_id % 5 IN (0, 2, 3) AS hidden FROM documents")
+def hidden_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Requests of which some show a verdict: on top, in the representative, deep inside, only in a quoted text, nowhere."""
+    n = F.col("doc_id")
+    quoted = F.lit('he said "reason": none')
+    request = (
+        F.when(n % 5 == 0, F.to_json(F.struct(F.lit(1).alias("rank"), "text"))).when(n % 5 == 1, F.to_json(F.struct(quoted.alias("title"), "text")))
+        .when(n % 5 == 2, F.to_json(F.struct(F.struct(F.lit(2).alias("personalRelevance")).alias("representative")))).when(n % 5 == 3, F.to_json(F.struct(F.array(F.struct(F.lit(3.5).alias("baseScore"))).alias("list")))).otherwise(F.to_json(F.struct("text")))
+    )
+    return table(spark, d, "documents").select("doc_id", answers.shows_hidden(request).alias("hidden"))
+
+
+def _evaluator(request: dict) -> dict:
+    n = request["doc_id"]
+    if n % 23 == 0:
+        raise ValueError("service down")
+    scores = {a: 1 + (n + k) % 5 for k, a in enumerate(AXES)}
+    if n % 19 == 0:
+        scores.pop(AXES[2])
+    return {"scores": scores | ({AXES[0]: 2.5} if n % 17 == 0 else {}), "reason": None if n % 13 == 0 else " r "}
+
+
+@query("""WITH e AS (SELECT doc_id, CASE WHEN doc_id % 23 = 0 THEN 'service down' WHEN doc_id % 13 = 0 THEN 'invalid-reason' WHEN doc_id % 17 = 0 THEN 'invalid-score' WHEN doc_id % 19 = 0 THEN 'missing-axis' END AS error FROM documents)
+SELECT doc_id, error, CASE WHEN error IS NULL THEN 'ok' ELSE 'failed' END AS status, CASE WHEN error IS NULL THEN (1 + doc_id % 5)::INT END AS importance, CASE WHEN error IS NULL THEN (1 + (doc_id + 4) % 5)::INT END AS "personalRelevance",
+CASE WHEN error IS NULL THEN 'r' END AS reason FROM e""")
+def evaluator_answers(spark: SparkSession, d: str) -> DataFrame:
+    """A model by arithmetic, some of whose answers break a rule."""
+    rows = table(spark, d, "documents").select("doc_id", F.to_json(F.struct("doc_id")).alias("request"))
+    return answers.evaluate(rows, _evaluator).select("doc_id", "error", "status", "importance", "personalRelevance", "reason")
+
+
+def _generator(request: dict) -> dict:
+    n = request["doc_id"]
+    text = {"headline": f"Headline of {n:06}", "summary": f"Summary of {n}.", "whyItMatters": "Because."}
+    bad = {0: {"headline": "short"}, 1: {"summary": "https://made.up/x"}, 2: {"whyItMatters": "今後が注目される"}, 3: {"summary": 5}}
+    return text | (bad[n // 7 % 4] if n % 7 == 0 else {})
+
+
+@query("""WITH e AS (SELECT doc_id, text, source, CASE WHEN doc_id % 7 = 0 THEN ['invalid-headline-length', 'ungrounded-url', 'banned-why-phrase', 'invalid-fields'][1 + (doc_id // 7) % 4] END AS error FROM documents)
+SELECT doc_id, error, CASE WHEN error IS NULL THEN 'ok' ELSE 'fallback' END AS status, CASE WHEN error IS NULL THEN printf('Headline of %06d', doc_id) ELSE source END AS headline,
+CASE WHEN error IS NULL THEN 'Summary of ' || doc_id || '.' ELSE text END AS body, CASE WHEN error IS NULL THEN 'Because.' END AS why FROM e""")
+def generator_answers(spark: SparkSession, d: str) -> DataFrame:
+    """A generator by arithmetic; texts that break a rule give way to the item's own."""
+    rows = table(spark, d, "documents").select("doc_id", F.col("source").alias("title"), F.col("text").alias("summary"), F.to_json(F.struct("doc_id")).alias("request"))
+    return answers.generate(rows, _generator).select("doc_id", "error", "status", "headline", "body", "why")
+
+
+# ---------------------------------------------------------------- input checks
+
+
+@query(f"""WITH {ITEMS_SQL} SELECT CASE WHEN key % 31 = 0 THEN ' ' ELSE id END AS key, r AS rule FROM items, (VALUES ('cluster-id', 31, 0), ('items', 37, 1), ('unique-items', 41, 2), ('item-ids', 43, 3)) v(r, m, s)
+WHERE key % m = 0 AND (s = 0 OR s = 1 OR s = 2 AND key % 37 <> 0 OR s = 3 AND key % 37 <> 0 AND key % 41 <> 0)
+UNION ALL SELECT ' ', 'duplicate' FROM items WHERE key % 31 = 0 HAVING count(*) > 1""")
+def stage_input_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Clusters of one item with planted faults: a blank id, no items, an item twice, a blank item."""
+    n = F.col("key")
+    ids_ = F.when(n % 37 == 0, F.array().cast("array<string>")).when(n % 41 == 0, F.array("id", "id")).when(n % 43 == 0, F.array("id", F.lit(""))).otherwise(F.array("id"))
+    rows = items(spark, d).select(F.when(n % 31 == 0, " ").otherwise(F.col("id")).alias("cluster_id"), ids_.alias("item_ids"))
+    return checks.stage_input(rows, checks.cluster_rules())
+
+
+@query(f"WITH {ITEMS_SQL} SELECT id AS cluster_id FROM items WHERE key % 29 = 0 OR key % 31 = 0 OR key % 37 = 0")
+def membership_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Clusters that lost an item, that changed its order, that are gone."""
+    before = items(spark, d).select("key", F.col("id").alias("cluster_id"), F.array("id", F.concat("id", F.lit("b"))).alias("item_ids"))
+    now = F.when(F.col("key") % 29 == 0, F.slice("item_ids", 1, 1)).when(F.col("key") % 31 == 0, F.reverse("item_ids")).otherwise(F.col("item_ids"))
+    after = before.where("key % 37 <> 0").select("cluster_id", now.alias("item_ids"))
+    return checks.membership_changes(before, after)
+
+
+@query("SELECT doc_id::VARCHAR AS cluster_id, CASE WHEN doc_id % 11 = 0 THEN 'missing' WHEN doc_id % 13 = 0 THEN 'rank-changed' ELSE 'order' END AS rule FROM documents WHERE doc_id % 11 = 0 OR doc_id % 13 = 0 OR doc_id % 17 = 0")
+def digest_order_faults(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("doc_id")
+    chosen = table(spark, d, "documents").select("doc_id", n.cast("string").alias("cluster_id"), (n + 1).cast("int").alias("rank"))
+    rank = F.when(n % 13 == 0, F.col("rank") + 1).otherwise(F.col("rank"))
+    made = chosen.where("doc_id % 11 <> 0").select("cluster_id", rank.alias("rank"), F.when(n % 17 == 0, rank + 1).otherwise(rank).alias("display_order"))
+    return checks.digest_faults(chosen, made)
+
+
+@query("""SELECT page_id::VARCHAR AS provider, CASE WHEN page_id % 7 > 1 AND page_id % 5 > 0 THEN 'succeeded' ELSE 'failed' END AS status,
+CASE WHEN page_id % 7 = 0 THEN 'fetch_malformed' WHEN page_id % 7 = 1 THEN 'fetch_timeout' WHEN page_id % 5 = 0 THEN 'fetch_malformed' WHEN page_id % 3 = 0 THEN 'web_metadata_old' END AS diagnostic FROM pages""")
+def fetch_receipts(spark: SparkSession, d: str) -> DataFrame:
+    """Sources and what was seen of them: some never fetched, some too late, some not parsed, some old."""
+    n = F.col("page_id")
+    rows = table(spark, d, "pages").select("page_id", n.cast("string").alias("provider"), F.concat(F.lit("https://s.example/"), n.cast("string")).alias("url"))
+    sources = rows.select("provider", "url", F.when(n % 5 == 0, "error").otherwise("ok").alias("status"), F.when(n % 3 == 0, "2024-01-01T00:00:00Z").alias("generated_at"), F.lit(1).alias("item_count"))
+    late = n % 7 == 1
+    seen = rows.where("page_id % 7 <> 0").select("url", F.when(late, "failed").otherwise("succeeded").alias("status"), F.when(~late, "2024-02-01T00:00:00Z").alias("fetched_at"), F.when(late, "fetch_timeout").alias("diagnostic"))
+    return fetching.with_observation(sources, seen, F.to_timestamp(F.lit("2024-02-01T00:00:00Z"))).select("provider", "status", "diagnostic")
+
+
+@query("""SELECT rule, n FROM (SELECT unnest(['schema-version', 'generated-at', 'item-count-matches', 'item-id', 'item-text-title', 'item-score-impact', 'item-source-type', 'item-field-author']) AS rule,
+unnest([count(*) FILTER (doc_id % 11 = 0), count(*) FILTER (doc_id % 13 = 0), count(*) FILTER (doc_id % 17 = 0), count(*) FILTER (doc_id % 19 = 0), count(*) FILTER (doc_id % 23 = 0), count(*) FILTER (doc_id % 29 = 0), count(*) FILTER (doc_id % 31 = 0), count(*) FILTER (doc_id % 37 = 0)]) AS n FROM documents) WHERE n > 0""")
+def raw_feed_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Each document as a feed of one item, with planted faults, counted by rule."""
+    n = F.col("doc_id")
+    text_ = lambda bad, good: F.when(n % bad == 0, F.lit("5")).otherwise(F.concat(F.lit('"'), good, F.lit('"')))
+    item = F.concat(
+        F.lit('{"id":'), F.when(n % 19 == 0, F.lit('" "')).otherwise(F.concat(F.lit('"'), n.cast("string"), F.lit('"'))), F.lit(',"title":'), text_(23, F.col("source")), F.lit(',"summary":'), F.to_json(F.struct("text")).substr(F.lit(9), F.length(F.to_json(F.struct("text"))) - 9),
+        F.lit(',"category":null,"sourceType":'), F.when(n % 31 == 0, F.lit('"web"')).otherwise(F.lit('"x"')), F.lit(',"sourceUrl":null,"postedAt":null,"collectedAt":null'), F.when(n % 37 == 0, F.lit("")).otherwise(F.lit(',"author":{"name":"a"}')),
+        F.lit(',"scores":{"impact":'), F.when(n % 29 == 0, F.lit('"high"')).otherwise(F.lit("2.5")), F.lit("}}"),
+    )
+    value = F.concat(
+        F.lit('{"schemaVersion":'), F.when(n % 11 == 0, F.lit("2")).otherwise(F.lit("1")), F.lit(f',"source":"{feeds.FEED_SOURCE}","generatedAt":'), F.when(n % 13 == 0, F.lit('" "')).otherwise(F.lit('"2024-01-01T00:00:00Z"')),
+        F.lit(',"scope":{"type":"x","itemCount":'), F.when(n % 17 == 0, F.lit("2")).otherwise(F.lit("1")), F.lit('},"items":['), item, F.lit("]}"),
+    )
+    return checks.raw_feed_faults(table(spark, d, "documents").select(value.alias("value")), feeds.FEED_SOURCE).groupBy("rule").agg(F.count("*").alias("n"))

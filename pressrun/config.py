@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
 from dataclasses import dataclass, field
+from pathlib import Path
 
 
 class ConfigError(ValueError):
@@ -158,3 +161,95 @@ class FreshnessConfig:
 
     def __post_init__(self) -> None:
         _check(self.max_age_hours > 0 and self.future_minutes >= 0 and self.old_days > 0, "freshness limits must be positive")
+
+
+@dataclass(frozen=True)
+class ModelConfig:
+    timeout_s: float = 30.0
+    retries: int = 1
+
+    def __post_init__(self) -> None:
+        _check(self.timeout_s > 0 and self.retries >= 0, "timeouts must be positive and retries not negative")
+
+
+@dataclass(frozen=True)
+class RunConfig:
+    stage_deadline_s: float = 300.0
+    run_deadline_s: float = 1800.0
+    fetch_timeout_s: float = 30.0
+    history_days: int = 30
+
+    def __post_init__(self) -> None:
+        _check(0 < self.stage_deadline_s <= self.run_deadline_s and self.fetch_timeout_s > 0 and self.history_days >= 0, "deadlines must be positive, a stage's no longer than the run's")
+
+
+# Where the settings stand in the JSON files of each kind.
+_MS = 1000.0
+FILES: dict[str, tuple[type, dict[str, str]]] = {
+    "cluster": (ClusterConfig, {"tracking_params": "url.trackingParams", "ngram": "title.nGramSize", "threshold": "title.similarityThreshold", "min_length": "title.minLength", "same_title_min_length": "title.sameTitleMinLength", "same_url_confidence": "confidence.sameUrl", "same_title_confidence": "confidence.sameTitle"}),
+    "semantic": (CandidateConfig, {"min_title_similarity": "candidate.minTitleSimilarity", "min_token_overlap": "candidate.minTokenOverlap", "min_shared_proper_nouns": "candidate.minSharedProperNouns", "max_per_item": "candidate.maxCandidatesPerItem", "max_total": "candidate.maxTotalCandidates", "max_hours_apart": "candidate.maxPublishedHoursApart", "ngram": "candidate.nGramSize", "min_title_length": "candidate.minTitleLength", "judge_version": "judgeVersion", "model": "model"}),
+    "evaluation": (EvaluationConfig, {"weights": "weights", "max_items": "maxItemsPerCluster", "clip": "summaryClipChars", "version": "evaluatorVersion", "model": "model"}),
+    "select": (SelectConfig, {"target": "digestTarget", "most": "digestMax", "major_cap": "majorCap", "personal_cap": "personalCap", "major_protect": "majorTopProtect", "topic_soft": "topicSoftMax", "topic_free": "topicFreeMax", "general_min_base": "generalMinBaseScore", "floor_information": "qualityFloor.maxInformationValueAlone", "floor_low": "qualityFloor.lowImportance qualityFloor.lowImpact qualityFloor.lowInformationValue", "major_gate": "majorGate.minImportance majorGate.minImpact", "personal_gate": "personalGate.minPersonalRelevance personalGate.minInformationValue", "major_weights": "majorRankWeights", "personal_weights": "personalRankWeights", "overlap_dice": "titleOverlap.minDice", "overlap_title_length": "titleOverlap.minTitleLength", "overlap_proper": "titleOverlap.minSharedProperNouns", "overlap_cjk_run": "titleOverlap.minSharedCjkRun", "overlap_long_term": "titleOverlap.minLongSharedTermLength", "overlap_terms": "titleOverlap.minSharedTermsWithLong", "priority": "topicPriority", "keywords": "topicKeywords", "fallback": "categoryFallback"}),
+    "digest": (DigestConfig, {"max_supporting": "maxSupportingItems", "clip": "summaryClipChars", "headline": "headlineMinChars headlineMaxChars", "summary_most": "summaryMaxChars", "why_most": "whyItMattersMaxChars"}),
+    "references-selection": (ReferenceConfig, {"primary": "primaryMinValue"}),
+    "freshness": (FreshnessConfig, {"max_age_hours": "freshness.x.maxAgeHours", "future_minutes": "freshness.x.futureToleranceMinutes", "old_days": "freshness.web.oldMetadataDiagnosticDays"}),
+    "run": (RunConfig, {"stage_deadline_s": "execution.stageDeadlineMs", "run_deadline_s": "execution.runDeadlineMs", "fetch_timeout_s": "fetch.timeoutMs", "history_days": "retention.historyDays"}),
+    "model": (ModelConfig, {"timeout_s": "openai.timeoutMs", "retries": "openai.maxRetries"}),
+}
+
+
+def document(path: str | Path, label: str) -> dict:
+    """A JSON object of schemaVersion 1; missing and invalid files are told apart."""
+    try:
+        found = json.loads(Path(path).read_text(encoding="utf-8"))
+    except FileNotFoundError:
+        raise ConfigError(f"{label} is missing: {path}") from None
+    except ValueError as e:
+        raise ConfigError(f"{label} is not valid JSON") from e
+    _check(isinstance(found, dict), f"{label} must be an object")
+    _check(found.get("schemaVersion") == 1, f"{label} has schemaVersion {found.get('schemaVersion')!r}, not 1")
+    return found
+
+
+def read(kind: str, path: str | Path) -> object:
+    """Validated settings of one kind from its file; every setting must be there."""
+    made, places = FILES[kind]
+    found = document(path, f"{kind} settings")
+
+    def at(place: str) -> object:
+        value: object = found
+        for part in place.split("."):
+            _check(isinstance(value, Mapping) and part in value, f"{kind} settings lack {place}")
+            value = value[part]  # type: ignore[index]
+        if place.endswith("Ms"):
+            _check(isinstance(value, (int, float)) and not isinstance(value, bool), f"{place} must be a number")
+            return value / _MS  # type: ignore[operator]
+        return tuple(value) if isinstance(value, list) else {k: tuple(v) if isinstance(v, list) else v for k, v in value.items()} if isinstance(value, dict) else value
+
+    values = {name: tuple(map(at, place.split())) if " " in place else at(place) for name, place in places.items()}
+    usual = made()
+    for name, value in values.items():
+        default = getattr(usual, name)
+        number = isinstance(default, (int, float))
+        _check(isinstance(value, (int, float)) and not isinstance(value, bool) if number else isinstance(value, type(default)), f"{kind} settings: {places[name]} is of the wrong type")
+        _check(not isinstance(default, int) or value == int(value), f"{kind} settings: {places[name]} must be a whole number")
+    return made(**values)
+
+
+def model_of(configured: str, variable: str, environment: Mapping[str, str]) -> str:
+    """The model named by the stage's own variable, by the common one, or by the settings."""
+    return next((x for v in (variable, "OPENAI_MODEL") if (x := environment.get(v, "").strip())), configured)
+
+
+def named_entries(path: str | Path, kind: str) -> list[dict]:
+    """Web sources (kind `sources`) or pool inputs (kind `inputs`), with unique ids and their required fields."""
+    entries = document(path, kind).get(kind)
+    _check(isinstance(entries, list) and all(isinstance(x, dict) for x in entries), f"{kind} must be a list of objects")
+    text = {"sources": ("id", "name", "type", "url"), "inputs": ("id", "path")}[kind]
+    flag = {"sources": "enabled", "inputs": "required"}[kind]
+    for x in entries:
+        _check(all(isinstance(x.get(k), str) and x[k].strip() for k in text), f"{kind}: {', '.join(text)} must be text")
+        _check(isinstance(x.get(flag, True), bool), f"{kind}: {flag} must be true or false")
+        _check(kind == "inputs" or x["type"] in ("rss", "atom") and x["url"].startswith(("http://", "https://")), f"{kind}: type and url of {x['id']}")
+    _check(len({x["id"] for x in entries}) == len(entries), f"{kind}: ids must be unique")
+    return entries

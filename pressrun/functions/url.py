@@ -19,6 +19,16 @@ def host(c: Column) -> Column:
     return F.lower(F.try_parse_url(trimmed(c), F.lit("HOST")))
 
 
+def without_dots(path: Column) -> Column:
+    """A path with its . and .. segments resolved; the walk is made only where there are any."""
+    none = F.array().cast("array<string>")
+    dots = lambda s, n: F.lower(F.regexp_replace(s, "(?i)%2e", ".")) == "." * n
+    step = lambda acc, s: F.when(dots(s, 1), acc).when(dots(s, 2), F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1)))).otherwise(F.concat(acc, F.array(s)))
+    end = F.when(path.rlike(r"(?i)/(\.|%2e){1,2}$"), "/").otherwise("")
+    walked = F.concat(F.array_join(F.aggregate(F.split(path, "/"), none, step), "/"), end)
+    return F.when(path.rlike(r"(?i)/(\.|%2e){1,2}(/|$)"), walked).otherwise(path)
+
+
 def normalized_url(c: Column, tracking: tuple[str, ...] = TRACKING_PARAMS) -> Column:
     """http(s) without scheme, user, default port, last slash, fragment and tracking parameters; parameters sorted."""
     raw = trimmed(c)
@@ -28,6 +38,7 @@ def normalized_url(c: Column, tracking: tuple[str, ...] = TRACKING_PARAMS) -> Co
     port = F.regexp_extract(authority, r":(\d+)$", 1)
     usual = (port == "") | ((scheme == "http") & (port == "80")) | ((scheme == "https") & (port == "443"))
     path = F.regexp_extract(raw, r"^(?i)https?://[^/?#]*([^?#]*)", 1)
+    path = without_dots(path)
     path = F.when(path == "", "/").when(F.length(path) > 1, F.regexp_replace(path, "/$", "")).otherwise(path)
     pairs = F.filter(F.split(F.regexp_extract(raw, r"^[^?#]*\?([^#]*)", 1), "&"), lambda p: (p != "") & ~F.lower(F.split(p, "=")[0]).isin(*tracking))
     pairs = F.array_sort(F.transform(pairs, lambda p: F.when(F.contains(p, F.lit("=")), p).otherwise(F.concat(p, F.lit("=")))))

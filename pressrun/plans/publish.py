@@ -6,17 +6,20 @@ import hashlib
 import json
 import os
 import shutil
-import threading
+import socket
 import time
 import uuid
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 from pathlib import Path
 
+from pyspark import InheritableThread
 from pyspark.sql import SparkSession
 
+from pressrun.errors import PressError
 
-class PublishError(RuntimeError):
+
+class PublishError(PressError, RuntimeError):
     """A candidate, pointer or run that must not be published."""
 
 
@@ -54,37 +57,101 @@ def confined(root: str | Path, name: str) -> Path:
 
 
 def digest(path: Path) -> str:
-    return hashlib.sha256(path.read_bytes()).hexdigest()
+    """SHA-256 of a file, or of the names and digests of the files of a folder that Spark wrote."""
+    if not path.is_dir():
+        return hashlib.sha256(path.read_bytes()).hexdigest()
+    found = sorted(x for x in path.rglob("*") if x.is_file() and not x.name.startswith((".", "_")))
+    return hashlib.sha256("\n".join(f"{x.relative_to(path)} {digest(x)}" for x in found).encode()).hexdigest()
+
+
+OWNER = "owner.json"
 
 
 class Lock:
-    """An exclusive folder that names its owner; the lock of a dead owner is taken over."""
+    """An exclusive folder that names its owner. It is never taken over unasked: see `recover`."""
 
-    def __init__(self, path: str | Path) -> None:
-        self.path = Path(path)
+    def __init__(self, path: str | Path, run_id: str = "") -> None:
+        self.path, self.run_id, self.token = Path(path), run_id, uuid.uuid4().hex
+
+    def owner(self) -> dict:
+        return json.loads((self.path / OWNER).read_text(encoding="utf-8"))
 
     def __enter__(self) -> Lock:
-        for _ in range(2):
-            try:
-                self.path.mkdir(parents=True)
-                write_json(self.path / "owner.json", {"pid": os.getpid()})
-                return self
-            except FileExistsError:
-                try:
-                    os.kill(json.loads((self.path / "owner.json").read_text())["pid"], 0)
-                except (ProcessLookupError, FileNotFoundError, ValueError, KeyError):
-                    shutil.rmtree(self.path, ignore_errors=True)
-                    continue
-                raise PublishError("another run holds the lock") from None
-        raise PublishError("the lock could not be taken")
+        self.path.parent.mkdir(parents=True, exist_ok=True)
+        try:
+            self.path.mkdir()
+        except FileExistsError:
+            raise PublishError("the lock is taken; recover it if its owner is dead") from None
+        try:
+            write_json(self.path / OWNER, {"token": self.token, "pid": os.getpid(), "hostname": socket.gethostname(), "runId": self.run_id})
+        except OSError:
+            self.path.rmdir()
+            raise
+        return self
+
+    def check(self) -> None:
+        """Fails if the lock is no longer this one's."""
+        if not (self.path / OWNER).is_file() or self.owner()["token"] != self.token:
+            raise PublishError("the lock has another owner now")
 
     def __exit__(self, *_: object) -> None:
-        shutil.rmtree(self.path, ignore_errors=True)
+        self.check()
+        (self.path / OWNER).unlink()
+        self.path.rmdir()
+
+
+def recover(lock: str | Path, root: str | Path | None = None) -> str:
+    """Frees the lock of an owner that is certainly dead, on this host, and marks its unfinished run as interrupted. Returns its run.
+
+    An owner that lives, is on another host or is not named is left alone; two recoveries exclude each other.
+    """
+    held = Lock(lock)
+    try:
+        owner = held.owner()
+        pid, host, run_id = owner["pid"], owner["hostname"], owner["runId"]
+        if not owner["token"] or host != socket.gethostname() or not isinstance(pid, int) or pid <= 0:
+            raise PublishError("the lock's owner is uncertain")
+    except (OSError, ValueError, KeyError, TypeError) as e:
+        raise PublishError("the lock's owner is uncertain") from e
+    try:
+        os.kill(pid, 0)
+        raise PublishError("the lock's owner lives")
+    except ProcessLookupError:
+        pass
+    except PermissionError:
+        raise PublishError("the lock's owner lives") from None
+    claim = held.path / "recovery"
+    try:
+        os.close(os.open(claim, os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+    except FileExistsError:
+        raise PublishError("another recovery is at work") from None
+    try:
+        if held.owner()["token"] != owner["token"]:
+            raise PublishError("the lock has another owner now")
+        if root is not None and run_id and (state := confined(root, f"runs/{run_id}") / "state.json").is_file():
+            interrupt(state)
+        (held.path / OWNER).unlink()
+    finally:
+        claim.unlink()
+    held.path.rmdir()
+    return run_id
+
+
+def interrupt(path: Path) -> None:
+    """Ends the record of a run whose process is gone."""
+    state = json.loads(path.read_text(encoding="utf-8"))
+    if state["status"] not in ("running", "publishing"):
+        return
+    for stage in state["stages"]:
+        if stage["status"] in ("running", "pending"):
+            stage |= {"status": "failed" if stage["status"] == "running" else "skipped", "diagnostic": "interrupted"}
+    write_json(path, state | {"status": "interrupted"})
 
 
 #: Moves of a run and of a stage.
-RUN_MOVES = {"pending": {"running"}, "running": {"succeeded", "partial", "failed"}}
-STAGE_MOVES = {"pending": {"running", "skipped"}, "running": {"succeeded", "degraded", "failed"}}
+ENDED = {"succeeded", "succeeded_degraded", "failed", "interrupted"}
+RUN_MOVES = {"pending": {"running"}, "running": {"publishing"} | ENDED, "publishing": ENDED}
+STAGE_MOVES = {"pending": {"running", "skipped"}, "running": {"succeeded", "degraded", "failed", "skipped"}}
 
 
 @dataclass
@@ -106,6 +173,11 @@ class RunState:
     def move(self, status: str) -> None:
         if status not in RUN_MOVES.get(self.status, ()):
             raise PublishError(f"a run cannot go from {self.status} to {status}")
+        ends = [s.status for s in self.stages]
+        if status in ("publishing", "succeeded", "succeeded_degraded") and not set(ends) <= {"succeeded", "degraded", "skipped"}:
+            raise PublishError("a stage has failed or is not done")
+        if status == "succeeded" and "degraded" in ends or status == "succeeded_degraded" and "degraded" not in ends:
+            raise PublishError(f"a run with these stages cannot end as {status}")
         self.status = status
 
     def move_stage(self, stage: StageState, status: str, diagnostic: str | None = None) -> None:
@@ -120,17 +192,20 @@ class RunState:
 
 @dataclass(frozen=True)
 class Stage:
+    """run(work) gives the names of the outputs, or these and diagnostics that leave the stage degraded."""
+
     id: str
-    run: Callable[[Path], list[str]]
+    run: Callable[[Path], list[str] | tuple[list[str], list[str]]]
     degradable: bool = False
     deadline_s: float = 300.0
 
 
 def run_stages(spark: SparkSession, stages: list[Stage], root: str | Path, run_id: str, deadline_s: float = 1800.0) -> RunState:
-    """Runs stages in order; each returns the names of its outputs under the run's work folder, which are hashed.
+    """Runs stages in order; outputs are files and folders under the run's work folder, which are hashed.
 
-    State is saved after every move. Stage and run deadlines cancel the stage's Spark jobs. A degradable stage may
-    fail and leaves the run partial; any other failure ends it.
+    State is saved after every move. A stage works in a thread of its own: at its deadline or the run's its Spark jobs are
+    cancelled and the run goes on without it, whatever its Python code still does. A degradable stage may fail and leaves
+    the run degraded; any other failure ends it, and the stages after it are skipped.
     """
     home = confined(root, f"runs/{run_id}")
     work = home / "work"
@@ -139,38 +214,43 @@ def run_stages(spark: SparkSession, stages: list[Stage], root: str | Path, run_i
     save = lambda: write_json(home / "state.json", asdict(state))
     state.move("running")
     save()
-    began, partial = time.monotonic(), False
+    began = time.monotonic()
     for stage, record in zip(stages, state.stages):
+        if any(x.status == "failed" for x in state.stages):
+            state.move_stage(record, "skipped", "upstream_failed")
+            continue
         state.move_stage(record, "running")
         save()
-        left = min(stage.deadline_s, deadline_s - (time.monotonic() - began))
-        group, late = f"{run_id}:{stage.id}", threading.Event()
-        spark.sparkContext.setJobGroup(group, stage.id, interruptOnCancel=True)
+        left = deadline_s - (time.monotonic() - began)
+        group = f"{run_id}:{stage.id}"
+        done: list = []
 
-        def cancel(group: str = group, late: threading.Event = late) -> None:
-            late.set()
+        def work_on(stage: Stage = stage, group: str = group, done: list = done) -> None:
+            spark.sparkContext.setJobGroup(group, stage.id, interruptOnCancel=True)
+            try:
+                done.append(stage.run(work))
+            except Exception as e:
+                done.append(e)
+
+        thread = InheritableThread(target=work_on, daemon=True)
+        thread.start()
+        thread.join(max(0.0, min(stage.deadline_s, left)))
+        if not done:
             spark.sparkContext.cancelJobGroup(group)
-
-        timer = threading.Timer(max(0.0, left), cancel)
-        timer.start()
+            result: object = PressError("deadline", "stage_deadline" if stage.deadline_s <= left else "run_deadline")
+        else:
+            result = done[0]
         try:
-            outputs = stage.run(work)
-            if late.is_set():
-                raise TimeoutError("deadline")
+            if isinstance(result, Exception):
+                raise result
+            outputs, diagnostics = result if isinstance(result, tuple) else (result, [])
             record.outputs = {name: digest(confined(work, name)) for name in outputs}
-            state.move_stage(record, "succeeded")
+            state.move_stage(record, "degraded" if diagnostics else "succeeded", ", ".join(diagnostics) or None)
         except Exception as e:
-            why = "deadline" if late.is_set() else type(e).__name__
-            state.move_stage(record, "degraded" if stage.degradable else "failed", why)
-            partial = True
-            if not stage.degradable:
-                state.move("failed")
-                save()
-                return state
-        finally:
-            timer.cancel()
+            state.move_stage(record, "degraded" if stage.degradable else "failed", e.code if isinstance(e, PressError) else type(e).__name__)
         save()
-    state.move("partial" if partial else "succeeded")
+    ends = {x.status for x in state.stages}
+    state.move("failed" if "failed" in ends else "succeeded_degraded" if "degraded" in ends else "succeeded")
     save()
     return state
 
@@ -190,7 +270,7 @@ def validate_candidate(folder: str | Path) -> dict:
         raise PublishError("manifest is not of a known form")
     for name, stated in manifest["files"].items():
         path = confined(folder, name)
-        if not path.is_file() or digest(path) != stated:
+        if not path.exists() or digest(path) != stated:
             raise PublishError(f"file differs from its manifest: {name}")
     return manifest
 
@@ -210,7 +290,8 @@ def promote(work: str | Path, root: str | Path) -> dict:
             for name in [*manifest["files"], "manifest.json"]:
                 copy = temporary / name
                 copy.parent.mkdir(parents=True, exist_ok=True)
-                shutil.copyfile(Path(work) / name, copy)
+                own = Path(work) / name
+                shutil.copytree(own, copy) if own.is_dir() else shutil.copyfile(own, copy)
             validate_candidate(temporary)
             os.replace(temporary, target)
         finally:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pressrun.errors import ValidationError
 from pressrun.functions import ids, text, time
-from pressrun.operators.checks import broken, feed_rules, require
+from pressrun.operators.checks import raw_feed_faults
 from pressrun.operators.references import media, vision, visual_roles, visual_value
 from pressrun.schema import FEED, POOL, SCORES
 
@@ -41,6 +44,22 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FEED).option("mode", "FAILFAST").json(path, multiLine=True)
 
 
+def read_document(spark: SparkSession, path: str, schema: T.StructType, label: str) -> DataFrame:
+    """A JSON document as a row; missing and unreadable ones are told apart."""
+    try:
+        found = spark.read.schema(schema).option("mode", "FAILFAST").json(path, multiLine=True)
+        found.limit(1).collect()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise ValidationError(f"{label} is missing: {path}", "MISSING") from e
+        raise
+    except (PySparkException, Py4JJavaError) as e:
+        if "MALFORMED" in str(e) or "BAD_RECORD" in str(e):
+            raise ValidationError(f"{label} is not valid JSON", "INVALID_JSON") from e
+        raise
+    return found
+
+
 def read_pool(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(POOL).json(path, multiLine=True).select("generatedAt", F.inline("items"))
 
@@ -58,9 +77,19 @@ def feed_items(feed: DataFrame, provider: str = FEED_SOURCE) -> DataFrame:
 
 
 def ingest_feed(spark: SparkSession, path: str) -> DataFrame:
-    feed = read_feed(spark, path)
-    require(broken(feed, "generatedAt", feed_rules(FEED_SOURCE)), path)
-    return feed_items(feed)
+    """Items of a landed feed. Its raw text is checked before a schema is laid over it."""
+    faults = raw_feed_faults(spark.read.text(path, wholetext=True), FEED_SOURCE).orderBy(F.col("at").isNotNull(), "at", "rule").limit(1).collect()
+    if faults:
+        raise ValidationError(f"{path}: {faults[0]['rule']} at {faults[0]['at']}")
+    return feed_items(read_feed(spark, path))
+
+
+def envelope(feed: DataFrame, items: DataFrame, now: str, url: str | None, provider: str = FEED_SOURCE) -> DataFrame:
+    """One row about normalised items: when they were made, from which feed."""
+    counted = items.agg(F.count("*").alias("itemCount"))
+    one = feed.select("generatedAt").join(F.broadcast(counted))  # one row each
+    source = F.struct(F.lit(provider).alias("provider"), F.lit("x").alias("type"), F.lit(url).cast("string").alias("url"), F.col("generatedAt").alias("sourceGeneratedAt"), "itemCount")
+    return one.select(F.lit(1).alias("schemaVersion"), F.lit(now).alias("generatedAt"), F.array(source).alias("sourceFeeds"))
 
 
 def _escaped(xml: Column) -> Column:
@@ -73,10 +102,22 @@ def _category_of(c: Column) -> Column:
     return F.get(F.filter(F.transform(F.coalesce(c, F.array().cast(_category)), lambda x: F.coalesce(text.nonblank(x["_VALUE"]), text.nonblank(x["_term"]), text.nonblank(x["_label"]))), lambda x: x.isNotNull()), F.lit(0))
 
 
+def too_large() -> Column:
+    return F.octet_length("xml") > MOST_BYTES
+
+
+def document_faults(documents: DataFrame) -> DataFrame:
+    """provider, error of documents that are too large or no feed at all."""
+    kind = F.col("xml").rlike(r"(?i)<(rss|feed)[\s>]")
+    closed = F.col("xml").rlike(r"(?is)</(rss|feed)\s*>\s*$")
+    error = F.when(too_large(), "body-too-large").when(~F.coalesce(kind & closed, F.lit(False)), "malformed-xml")
+    return documents.select("provider", error.alias("fault")).where("fault IS NOT NULL")
+
+
 def parse_xml(documents: DataFrame) -> DataFrame:
     """documents: provider, xml. Flat entries: provider, guid, url, title, summary, published, category, author."""
     kind = F.when(F.col("xml").rlike(r"(?i)<rss[\s>]"), "rss").when(F.col("xml").rlike(r"(?i)<feed[\s>]"), "atom")
-    rows = documents.where(F.octet_length("xml") <= MOST_BYTES).select("provider", kind.alias("kind"), _escaped(F.col("xml")).alias("xml"))
+    rows = documents.where(~too_large()).select("provider", kind.alias("kind"), _escaped(F.col("xml")).alias("xml"))
     options = {"ignoreNamespace": "false"}
     n = text.nonblank
     rss = rows.where("kind = 'rss'").select("provider", F.explode(F.from_xml("xml", RSS, options)["channel"]["item"]).alias("i"))
@@ -122,19 +163,20 @@ def ingest_web(spark: SparkSession, paths: dict[str, str], sources: DataFrame, c
     items = web_items(parse_xml(documents), enabled, collected_at)
     each = items.groupBy(F.col("source.provider").alias("provider")).agg(F.count("*").alias("item_count"), F.count_if(F.col("id").isNull()).alias("nameless"), F.count_distinct("id").alias("distinct_ids"))
     error = F.when(F.col("item_count").isNull(), "no-items").when(F.col("nameless") > 0, "no-identity").when(F.col("distinct_ids") < F.col("item_count"), "duplicate-id")
-    status = enabled.select(F.col("id").alias("provider")).join(each, "provider", "left").select("provider", F.when(error.isNull(), "ok").otherwise("error").alias("status"), F.coalesce("item_count", F.lit(0)).alias("item_count"), error.alias("error"))
+    error = F.coalesce("fault", error)
+    status = enabled.select(F.col("id").alias("provider")).join(each, "provider", "left").join(document_faults(documents), "provider", "left").select("provider", F.when(error.isNull(), "ok").otherwise("error").alias("status"), F.coalesce("item_count", F.lit(0)).alias("item_count"), error.alias("error"))
     good = status.where("status = 'ok'").select(F.col("provider").alias("p"))
     return items.join(F.broadcast(good), items["source.provider"] == good["p"], "left_semi"), status  # one row a configured source
 
 
 def read_cache(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A cache that cannot be read is empty."""
+    """A cache that was never written is empty; any other failure to read it is an error."""
     try:
-        found = spark.read.schema(schema).parquet(path)
-        found.limit(1).collect()
-    except Exception:
-        return spark.createDataFrame([], schema)
-    return found
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
 
 
 def read_inputs(spark: SparkSession, inputs: list[dict]) -> list[DataFrame]:

@@ -15,7 +15,7 @@ def one(spark, value, f):
     ("given", "want"),
     [
         ("http://Example.com:80/a/?b=2&utm_source=x&a=1#frag", "//example.com/a?a=1&b=2"), ("https://u:p@example.com./", "//example.com/"), ("https://example.com:8443/x", "//example.com:8443/x"),
-        ("https://example.com?UTM_Medium=z", "//example.com/"), ("https://example.com/a?b", "//example.com/a?b="), ("ftp://example.com/", None), ("nonsense", None), ("  ", None), (None, None),
+        ("https://example.com?UTM_Medium=z", "//example.com/"), ("https://example.com/a?b", "//example.com/a?b="), ("https://example.com/a/../b/./c", "//example.com/b/c"), ("https://example.com/a/b/..", "//example.com/a"), ("https://example.com/../x/%2E%2e/y", "//example.com/y"), ("ftp://example.com/", None), ("nonsense", None), ("  ", None), (None, None),
     ],
 )
 def test_normalized_url(spark, given, want):

@@ -197,7 +197,8 @@ def test_freshness_gates(spark):
     assert [r[0] for r in df.select(checks.freshness()).collect()] == [want for _, want in cases]
 
 
-FEED = {"schemaVersion": 1, "source": feeds.FEED_SOURCE, "generatedAt": "2024-01-01T00:00:00Z", "scope": {"type": "x", "itemCount": 2}, "items": [{"id": "1", "title": "t", "sourceType": None, "scores": {"impact": 3}}, {"id": "2", "sourceType": "x"}]}
+EMPTY = dict.fromkeys(("id", "title", "summary", "category", "sourceType", "sourceUrl", "postedAt", "collectedAt", "author", "scores"))
+FEED = {"schemaVersion": 1, "source": feeds.FEED_SOURCE, "generatedAt": "2024-01-01T00:00:00Z", "scope": {"type": "x", "itemCount": 2}, "items": [EMPTY | {"id": "1", "title": "t", "scores": {"impact": 3}}, EMPTY | {"id": "2", "sourceType": "x"}]}
 
 
 def test_json_feed(spark, tmp_path):
@@ -206,7 +207,7 @@ def test_json_feed(spark, tmp_path):
     rows = {r["id"]: r for r in feeds.ingest_feed(spark, str(path)).collect()}
     first = rows[f"x:{feeds.FEED_SOURCE}:1"]
     assert first["source"]["type"] == "x" and first["scores"]["impact"] == 3 and first["collectedAt"] == FEED["generatedAt"] and rows[f"x:{feeds.FEED_SOURCE}:2"]["scores"]["impact"] is None
-    for change in ({"schemaVersion": 2}, {"source": "y"}, {"scope": {"itemCount": 3}}, {"items": [{"id": "1"}, {"id": "1"}]}):
+    for change in ({"schemaVersion": 2}, {"source": "y"}, {"scope": {"itemCount": 3}}, {"items": [FEED["items"][0]] * 2}, {"items": [{"id": "1"}, FEED["items"][1]]}, {"items": [FEED["items"][0] | {"title": 5}, FEED["items"][1]]}, {"items": [FEED["items"][0] | {"scores": {"impact": "high"}}, FEED["items"][1]]}, {"generatedAt": " "}, {"scope": None}):
         path.write_text(json.dumps(FEED | change))
         with pytest.raises(checks.ValidationError):
             feeds.ingest_feed(spark, str(path))
@@ -226,7 +227,7 @@ def test_xml_feeds(spark, tmp_path):
     sources = spark.createDataFrame([(n, True, "World" if n == "rss" else None) for n in paths], "id string, enabled boolean, defaultCategory string")
     items, status = feeds.ingest_web(spark, paths, sources, "2024-10-03T00:00:00Z")
     rows = {r["id"]: r for r in items.collect()}
-    assert {r["provider"]: r["error"] for r in status.collect()} == {"rss": None, "atom": None, "twice": "duplicate-id", "broken": "no-items"}
+    assert {r["provider"]: r["error"] for r in status.collect()} == {"rss": None, "atom": None, "twice": "duplicate-id", "broken": "malformed-xml"}
     a, b, e = rows["web:rss:g1"], rows["web:rss:https://a.example/2"], rows["web:atom:urn:1"]
     assert (a["title"], a["summary"], a["category"], a["publishedAt"], a["source"]["url"]) == ("A & B", "Hi & bye", "News", "2024-10-02T13:00:00.000Z", "https://a.example/?x=1&amp;y=2")
     assert (b["category"], b["publishedAt"]) == ("World", None)

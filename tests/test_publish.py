@@ -1,6 +1,9 @@
 """Files, editions and runs."""
 
 import json
+import os
+import socket
+import time
 
 import pytest
 
@@ -43,13 +46,31 @@ def test_paths_stay_inside(tmp_path):
 
 
 def test_lock(tmp_path):
-    with publish.Lock(tmp_path / "lock"), pytest.raises(publish.PublishError), publish.Lock(tmp_path / "lock"):
+    path = tmp_path / "lock"
+    with publish.Lock(path, "r0"), pytest.raises(publish.PublishError), publish.Lock(path):
         pass
-    (tmp_path / "lock").mkdir()
-    publish.write_json(tmp_path / "lock" / "owner.json", {"pid": 2**22 + 1})
-    with publish.Lock(tmp_path / "lock"):
+    assert not path.exists()
+    # A lock that is made but not yet signed belongs to somebody.
+    path.mkdir()
+    with pytest.raises(publish.PublishError), publish.Lock(path):
         pass
-    assert not (tmp_path / "lock").exists()
+    with pytest.raises(publish.PublishError, match="uncertain"):
+        publish.recover(path)
+    owner = {"token": "t", "pid": os.getpid(), "hostname": socket.gethostname(), "runId": "r1"}
+    for change, why in (({}, "lives"), ({"hostname": "elsewhere"}, "uncertain"), ({"pid": "1"}, "uncertain")):
+        publish.write_json(path / "owner.json", owner | change)
+        with pytest.raises(publish.PublishError, match=why):
+            publish.recover(path)
+    publish.write_json(path / "owner.json", owner | {"pid": 2**22 + 1})
+    publish.write_json(tmp_path / "runs/r1/state.json", {"status": "running", "stages": [{"id": "a", "status": "running"}, {"id": "b", "status": "pending"}]})
+    assert publish.recover(path, tmp_path) == "r1" and not path.exists()
+    state = json.loads((tmp_path / "runs/r1/state.json").read_text())
+    assert state["status"] == "interrupted" and [s["status"] for s in state["stages"]] == ["failed", "skipped"]
+    lock = publish.Lock(path).__enter__()
+    publish.write_json(path / "owner.json", owner)
+    with pytest.raises(publish.PublishError, match="another owner"):
+        lock.__exit__()
+    assert path.exists()
 
 
 def test_runs(spark, tmp_path):
@@ -61,10 +82,16 @@ def test_runs(spark, tmp_path):
         raise ValueError("no")
 
     state = publish.run_stages(spark, [publish.Stage("a", ok), publish.Stage("b", bad, degradable=True)], tmp_path, "r1")
-    assert state.status == "partial" and [s.status for s in state.stages] == ["succeeded", "degraded"]
+    assert state.status == "succeeded_degraded" and [s.status for s in state.stages] == ["succeeded", "degraded"]
     assert json.loads((tmp_path / "runs/r1/state.json").read_text())["stages"][0]["outputs"]["a.txt"] == publish.digest(tmp_path / "runs/r1/work/a.txt")
     assert publish.run_stages(spark, [publish.Stage("b", bad), publish.Stage("a", ok)], tmp_path, "r2").status == "failed"
     slow = publish.Stage("slow", lambda work: [str(spark.range(1 << 40).selectExpr("sum(id % 7)").collect())], deadline_s=1)
-    assert publish.run_stages(spark, [slow], tmp_path, "r3").stages[0].diagnostic == "deadline"
+    assert publish.run_stages(spark, [slow], tmp_path, "r3").stages[0].diagnostic == "stage_deadline"
+    idle = publish.Stage("idle", lambda work: time.sleep(60) or [], deadline_s=0.5)
+    after = publish.run_stages(spark, [idle, publish.Stage("a", ok)], tmp_path, "r4")
+    assert [(s.status, s.diagnostic) for s in after.stages] == [("failed", "stage_deadline"), ("skipped", "upstream_failed")] and after.status == "failed"
+    assert publish.run_stages(spark, [idle], tmp_path, "r5", deadline_s=0.2).stages[0].diagnostic == "run_deadline"
+    noted = publish.run_stages(spark, [publish.Stage("a", lambda work: (ok(work), ["note"]))], tmp_path, "r6")
+    assert noted.status == "succeeded_degraded" and noted.stages[0].diagnostic == "note" and noted.stages[0].outputs
     with pytest.raises(publish.PublishError):
         state.move("running")
