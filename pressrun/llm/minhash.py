@@ -44,7 +44,7 @@ CHUNK, SLICE = 100_000, 500_000
 #: Links that one copy of a hub confirms; members of one block of signatures; rows of blocks in a task.
 STAR, BLOCK, TASK_ROWS = 512, 3_000, 20_000
 #: Bytes of one block of full sets, and of blocks in a task.
-BLOCK_BYTES, TASK_BYTES = 4_000_000, 16_000_000
+BLOCK_BYTES, TASK_BYTES = 2_000_000, 8_000_000
 
 
 @dataclass(frozen=True)

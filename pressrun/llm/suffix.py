@@ -21,13 +21,11 @@ columns besides doc_id and text are not read.
 from __future__ import annotations
 
 import hashlib
-import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +37,13 @@ WIDTH, GRAM = 50, 24
 SPAN = WIDTH - GRAM + 1
 SALTS = 64
 #: Bytes of text of one pass in a task, of one suffix array, and text that a shard of owners stands for.
-PASS_BYTES, ARRAY_BYTES, SHARD_BYTES = 3_000_000, 1_000_000, 4_000_000
+PASS_BYTES, ARRAY_BYTES, SHARD_BYTES = 1_500_000, 1_000_000, 2_000_000
+#: What a shard gets: runs of windows with one owner, or their strings beside records of where they stand; ranges of bytes.
+MET = np.dtype([("owner", "<u4"), ("run", "<u4"), ("id", "<i8")])
+STRETCH = np.dtype([("key", "<u8"), ("id", "<i8"), ("start", "<i8"), ("number", "<i4"), ("up", "<i4")])
+RANGE = np.dtype([("id", "<i8"), ("lo", "<i8"), ("hi", "<i8")])
+#: The run of a document that goes on for its hot owners.
+WARM = (1 << 32) - 1
 #: Documents in the sample for hot owners, and how many of them make an owner hot.
 SAMPLE, HOT_IN_SAMPLE = 2_000, 20
 BASE = 0x9E3779B97F4A7C15
@@ -90,12 +94,30 @@ def owners(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return doc[first], first - (ends - lengths)[doc[first]], number, least[first] >> np.uint64(6)
 
 
-def dump(*arrays: object) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, 5))
+def records(kind: np.dtype, **columns: np.ndarray) -> np.ndarray:
+    out = np.empty(len(next(iter(columns.values()))), kind)
+    for name, values in columns.items():
+        out[name] = values
+    return out
 
 
-def load(data: bytes) -> tuple:
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+def dealt(key: np.ndarray, parts: int, rows: np.ndarray, texts: Callable[[np.ndarray], bytes] | None = None, lengths: np.ndarray | None = None) -> pd.DataFrame:
+    """part, data, text: the rows of each part as bytes, and their texts, in one copy of each whatever the number of parts."""
+    part = (key % np.uint64(parts)).astype("i8")
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    at = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.empty(0, "i8")
+    ends = np.append(at[1:], len(part))
+    data, width = rows[order].tobytes(), rows.itemsize
+    out = {"part": part[at], "data": [data[a:b] for a, b in zip((at * width).tolist(), (ends * width).tolist())]}
+    if texts is None:
+        return pd.DataFrame(out | {"text": [b""] * len(at)})
+    body, place = texts(order), np.append(0, np.cumsum(lengths[order]))
+    return pd.DataFrame(out | {"text": [body[a:b] for a, b in zip(place[at].tolist(), place[ends].tolist())]})
+
+
+def gathered(column: pd.Series, kind: np.dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(column), kind)
 
 
 def passes(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
@@ -112,14 +134,6 @@ def salted(owner: np.ndarray, ids: np.ndarray, hot: np.ndarray) -> tuple[np.ndar
     return np.where(is_hot, mix(owner + salt * np.uint64(BASE)), mix(owner)), is_hot
 
 
-def by_part(key: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
-    part = (key % np.uint64(parts)).astype("i8")
-    order = np.argsort(part, kind="stable")
-    edges = np.flatnonzero(np.diff(part[order], prepend=-1))
-    for a, b in zip(edges, np.append(edges[1:], len(order))):
-        yield int(part[order[a]]), order[a:b]
-
-
 def find_hot(texts: DataFrame, rows: int) -> np.ndarray:
     """Owners in many documents of a sample; HOT_IN_SAMPLE bounds their number by the sample's size."""
 
@@ -196,11 +210,11 @@ def lows(keys: np.ndarray, text: np.ndarray, at: np.ndarray, numbers: np.ndarray
     return low
 
 
-def settle(group: pd.DataFrame, parts: int) -> Iterator[pd.DataFrame]:
-    """Removed ranges of bytes by part of the documents, and the windows that go to the second round."""
-    keys, ids, starts, numbers, up, texts = (list(x) for x in zip(*map(load, group["data"])))
-    keys, ids, starts, numbers, up = map(np.concatenate, (keys, ids, starts, numbers, up))
-    text = np.frombuffer(b"".join(texts), "u1")
+def settle(group: pd.DataFrame, parts: int) -> pd.DataFrame:
+    """Removed ranges of bytes by part of the documents, and the windows that go to the second round (again)."""
+    rec = gathered(group["data"], STRETCH)
+    keys, ids, starts, numbers, up = rec["key"], rec["id"], rec["start"], rec["number"].astype("i8"), rec["up"] > 0
+    text = gathered(group["text"], np.dtype("u1"))
     lengths = numbers + WIDTH - 1
     at = np.cumsum(lengths) - lengths
     sums = prefix_hashes(text)
@@ -217,20 +231,20 @@ def settle(group: pd.DataFrame, parts: int) -> Iterator[pd.DataFrame]:
     doc, lo = ids[row[gone]], (starts[row] + window)[gone]
     order = np.lexsort((lo, doc))
     doc, lo = doc[order], lo[order]
+    out = []
     if len(lo):
         new = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (lo[1:] > lo[:-1] + WIDTH)))
         hi = lo[np.append(new[1:], len(lo)) - 1] + WIDTH
-        for part, i in by_part(mix(doc[new].view("u8")), parts):
-            yield pd.DataFrame({"part": [part], "again": [False], "data": [dump(doc[new][i], lo[new][i], hi[i])]})
+        out.append(dealt(mix(doc[new].view("u8")), parts, records(RANGE, id=doc[new], lo=lo[new], hi=hi)).assign(again=False))
     if left.any():
         base = (at[row] + window)[left]
         key = window_hashes(sums, base, np.full(len(base), WIDTH))
-        for part, i in by_part(key, parts):
-            pieces = text[base[i][:, None] + np.arange(WIDTH)].tobytes()
-            yield pd.DataFrame({"part": [part], "again": [True], "data": [dump(key[i], ids[row[left]][i], (starts[row] + window)[left][i], np.ones(len(i), "i8"), np.zeros(len(i), bool), pieces)]})
+        rows = records(STRETCH, key=key, id=ids[row[left]], start=(starts[row] + window)[left], number=np.ones(len(base), "i4"), up=np.zeros(len(base), "i4"))
+        out.append(dealt(key, parts, rows, lambda i: text[base[i][:, None] + np.arange(WIDTH)].tobytes(), np.full(len(base), WIDTH)).assign(again=True))
+    return pd.concat(out) if out else pd.DataFrame({"part": [], "data": [], "text": [], "again": []}).astype({"again": bool})
 
 
-SETTLED = "part long, again boolean, data binary"
+DEALT = "part long, data binary, text binary"
 
 
 def strip(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, int, bytes]:
@@ -283,15 +297,17 @@ def find_repeats(docs: DataFrame) -> Repeats:
                 doc, _, _, owner = owners(part["text"].tolist())
                 ids = part["doc_id"].to_numpy("i8")
                 warm = np.isin(owner, hot.value)
-                out = [(p, dump(np.empty(0, "u4"), np.empty(0, "i8"), np.empty(0, "u4"), ids[np.unique(doc[warm])][i])) for p, i in by_part(mix(ids[np.unique(doc[warm])].view("u8")), parts)]
-                run = (np.arange(len(doc)) - np.searchsorted(doc, doc))[~warm].astype("u4")
+                hot_ids = ids[np.unique(doc[warm])]
+                run = (np.arange(len(doc)) - np.searchsorted(doc, doc))[~warm]
                 doc, owner = doc[~warm], mix(owner[~warm])
                 # Inside a part 32 bits tell owners apart; the few that they confuse only go on in vain.
-                out += [(p, dump((owner[i] >> np.uint64(32)).astype("u4"), ids[doc[i]], run[i], np.empty(0, "i8"))) for p, i in by_part(owner & np.uint64(0xFFFFFFFF), parts)]
-                yield pd.DataFrame(out, columns=["part", "data"])
+                rows = records(MET, owner=np.append(owner >> np.uint64(32), np.zeros(len(hot_ids), "u8")), run=np.append(run, np.full(len(hot_ids), WARM)), id=np.append(ids[doc], hot_ids))
+                yield dealt(np.append(owner & np.uint64(0xFFFFFFFF), mix(hot_ids.view("u8"))), parts, rows).drop(columns="text")
 
     def shared(group: pd.DataFrame) -> pd.DataFrame:
-        owner, ids, run, warm = (np.concatenate(x) for x in zip(*map(load, group["data"])))
+        rec = gathered(group["data"], MET)
+        warm, rec = rec["id"][rec["run"] == WARM], rec[rec["run"] != WARM]
+        owner, ids, run = rec["owner"], rec["id"], rec["run"]
         order = np.argsort(owner, kind="stable")
         head, count = runs_of(owner[order])
         several = np.minimum.reduceat(ids[order], head) != np.maximum.reduceat(ids[order], head) if len(head) else np.empty(0, bool)
@@ -316,25 +332,23 @@ def find_repeats(docs: DataFrame) -> Repeats:
                     keep[head[d] + np.frombuffer(b"".join(found), "u4").astype("i8")] = True
                 doc, start, number, owner = doc[keep], start[keep], number[keep], owner[keep]
                 key, is_hot = salted(owner, ids[doc], hot.value)
-                out = []
-                for p, i in by_part(key, parts):
-                    text = b"".join([texts_[d][a : a + w + WIDTH - 1] for d, a, w in zip(doc[i].tolist(), start[i].tolist(), number[i].tolist())])
-                    out.append((p, dump(key[i], ids[doc[i]], start[i], number[i], is_hot[i], text)))
-                yield pd.DataFrame(out, columns=["part", "data"])
+                rows = records(STRETCH, key=key, id=ids[doc], start=start, number=number, up=is_hot)
+                cut = lambda i: b"".join([texts_[d][a : a + w + WIDTH - 1] for d, a, w in zip(doc[i].tolist(), start[i].tolist(), number[i].tolist())])  # noqa: B023, E731
+                yield dealt(key, parts, rows, cut, number + WIDTH - 1)
 
     def each(group: pd.DataFrame) -> pd.DataFrame:
-        out = list(settle(group, parts))
-        return pd.concat(out) if out else pd.DataFrame({"part": [], "again": [], "data": []}).astype({"again": bool})
+        return settle(group, parts)
 
     def spans(group: pd.DataFrame) -> pd.DataFrame:
-        doc, lo, hi = (np.concatenate(x) for x in zip(*map(load, group["data"])))
-        order = np.argsort(doc, kind="stable")
-        head, _ = runs_of(doc[order])
-        return pd.DataFrame({"doc_id": doc[order][head], "lo": [x.tobytes() for x in np.split(lo[order], head[1:])], "hi": [x.tobytes() for x in np.split(hi[order], head[1:])]})
+        rec = gathered(group["data"], RANGE)
+        order = np.argsort(rec["id"], kind="stable")
+        rec = rec[order]
+        head, _ = runs_of(rec["id"])
+        return pd.DataFrame({"doc_id": rec["id"][head], "lo": [x.tobytes() for x in np.split(rec["lo"], head[1:])], "hi": [x.tobytes() for x in np.split(rec["hi"], head[1:])]})
 
-    once = among(longer, runs, "doc_id").mapInPandas(stretches, "part long, data binary").groupBy("part").applyInPandas(each, SETTLED)
+    once = among(longer, runs, "doc_id").mapInPandas(stretches, DEALT).groupBy("part").applyInPandas(each, DEALT + ", again boolean")
     once = materialize(once, "repeats-once")
-    again = once.where("again").select("part", "data").groupBy("part").applyInPandas(each, SETTLED)
+    again = once.where("again").drop("again").groupBy("part").applyInPandas(each, DEALT + ", again boolean")
     found = materialize(once.where("NOT again").unionByName(again).groupBy("part").applyInPandas(spans, "doc_id long, lo binary, hi binary"), "repeats-spans")
 
     release(runs, once)
