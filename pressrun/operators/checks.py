@@ -101,6 +101,16 @@ def selected_rules() -> dict[str, Column]:
     return {"cluster-id": nonblank(F.col("cluster_id")).isNotNull(), "rank": F.col("rank") >= 1}
 
 
+def reference_rules(roles: tuple[str, ...], threshold: int) -> dict[str, Column]:
+    """For references that selection reads: id, value, roles, media."""
+    return {
+        "id": nonblank(F.col("id")).isNotNull(),
+        "value": F.col("value").between(threshold, 5),
+        "roles": F.forall("roles", lambda r: F.coalesce(r.isin(*roles), F.lit(False))),
+        "media": F.size("media") >= 1,
+    }
+
+
 def repeated(rows: DataFrame, key: str) -> DataFrame:
     """key, rule of every value of key in several rows."""
     return rows.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias("key")).agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit("duplicate").alias("rule"))

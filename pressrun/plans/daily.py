@@ -236,7 +236,11 @@ class Daily:
 
     def do_references_select(self, work: Path) -> None:
         path = work / "processed/references-candidates"
-        found = self.read(work, "processed/references-candidates") if path.is_dir() else self.spark.createDataFrame([], "id string, value int, roles array<string>")
+        if path.is_dir():
+            found = self.read(work, "processed/references-candidates")
+            checks.require(checks.stage_input(found, checks.reference_rules(references.ROLES, self.reference.threshold), "id"), "references")
+        else:
+            found = self.spark.createDataFrame([], "id string, value int, roles array<string>")
         self.write(work, "processed/references", references.selection(found, self.reference))
 
     def do_validate_edition(self, work: Path) -> None:

@@ -231,3 +231,32 @@ def test_runs_that_fail(spark, tmp_path):
         with pytest.raises(PressError) as e:
             run.do_ingest_x(tmp_path / code)
         assert e.value.code == code
+
+
+def test_previews_and_envelope(spark, tmp_path):
+    items = spark.createDataFrame([("a", "P", "Title"), ("b", None, None)], "id string, provider string, title string")
+    pairs = spark.createDataFrame([("a", "b", 0.5, 0.7, None), ("b", "c", 0.9, None, 12.6)], "item_a string, item_b string, candidate_score double, title_similarity double, hours_apart double")
+    lines = [r["line"] for r in documents.candidate_preview(pairs.where("item_a = 'a'"), items).collect()]
+    assert lines == ["1. score=0.5 dice=0.7 time=n/a\n   P | Title\n   unknown | (untitled)"]
+    targets = spark.createDataFrame([(2, 1, "P", "T"), (1, 3, None, None)], "pos long, item_count long, provider string, title string")
+    assert [r["line"] for r in documents.target_preview(targets, 1).collect()] == ["1. items=3 unknown | (untitled)"]
+    assert documents.summary("s", {"a": 1}, ["x"]) == "s\n  a: 1\nx"
+    (tmp_path / "x.json").write_text(json.dumps({"schemaVersion": 1, "generatedAt": "g", "items": []}))
+    row = feeds.envelope(feeds.read_feed(spark, str(tmp_path / "x.json")), items, "now", "https://f").first()
+    assert row["generatedAt"] == "now" and row["sourceFeeds"][0]["itemCount"] == 2 and row["sourceFeeds"][0]["sourceGeneratedAt"] == "g"
+
+
+def test_command_line_reports(tmp_path, capsys):
+    from pressrun.__main__ import main
+
+    assert main(["current", "--root", str(tmp_path)]) == 1 and main(["recover", "--root", str(tmp_path)]) == 1
+    publish.write_text(tmp_path / "work/a.txt", "a")
+    publish.create_candidate(tmp_path / "work", ["a.txt"], "e1")
+    publish.promote(tmp_path / "work", tmp_path)
+    assert main(["current", "--root", str(tmp_path)]) == 0 and capsys.readouterr().out.strip() == "e1"
+
+
+def test_reference_rules(spark):
+    rows = spark.createDataFrame([("a", 3, ["evidence"], [1]), ("b", 2, ["evidence"], [1]), ("c", 4, ["what"], [1]), ("d", 5, ["other"], []), ("", 5, ["other"], [1])], "id string, value int, roles array<string>, media array<int>")
+    found = checks.stage_input(rows, checks.reference_rules(("evidence", "other"), 3), "id")
+    assert sorted((r["key"], r["rule"]) for r in found.collect()) == [("", "id"), ("b", "value"), ("c", "roles"), ("d", "media")]
