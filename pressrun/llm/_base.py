@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A key with at least 1/HOT_SHARE of all rows is hot; so there are at most HOT_SHARE hot keys.
 HOT_SHARE = 512
+#: Rows of a batch that a Python function gets while a table is written.
+BATCH, BATCH_KEY = 2_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Bits of the bitmap that `among` broadcasts.
 BITMAP = 1 << 26
 #: The white space of the word contracts: space and tab to carriage return.
@@ -33,14 +37,17 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends at committed files."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    # Python functions of this job get small batches: texts may be long, and a task holds several copies of a batch.
+    size = spark.conf.get(BATCH_KEY)
+    spark.conf.set(BATCH_KEY, str(min(BATCH, int(size)) if int(size) > 0 else BATCH))
+    try:
+        df.write.mode("errorifexists").parquet(path)
+    finally:
+        spark.conf.set(BATCH_KEY, size)
     # Shuffle files of the finished job go once the driver's JVM has collected what refers to them.
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
@@ -54,6 +61,27 @@ def release(*tables: DataFrame) -> None:
             df.sparkSession.createDataFrame([], df.schema).coalesce(1).write.mode("overwrite").parquet(path)
 
 
+def trim() -> None:
+    """Gives freed memory back to the system: Python workers live on between stages."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches that trims its worker when it is done."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        trim()
+
+    return wrapped
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

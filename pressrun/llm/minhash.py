@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressrun.llm._base import among, join_hot, materialize, shuffle_parts, text_or_empty
+from pressrun.llm._base import among, join_hot, lean, materialize, shuffle_parts, text_or_empty
 from pressrun.llm.graph import components
 
 CUT = re.compile(rb"[ \t\n\x0b\f\r]")
@@ -187,7 +187,7 @@ def sketch(docs: DataFrame, how: NearDup) -> DataFrame:
                 yield pd.DataFrame({"doc_id": pd.array(ids[start:end], "object"), "n_shingles": [len(x) for x in sets], "key": keys, "sig": [x.tobytes() for x in sig]})
                 start = end
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInPandas(run, "doc_id long, n_shingles long, key binary, sig binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInPandas(lean(run), "doc_id long, n_shingles long, key binary, sig binary")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, how: NearDup) -> DataFrame:
@@ -198,7 +198,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, how: NearDup) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "shingles": [shingles(x, how.shingle).view("i8") for x in word_hashes(batch["text"].tolist())]})
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return among(texts, ids, "doc_id").mapInPandas(run, "doc_id long, shingles array<long>")
+    return among(texts, ids, "doc_id").mapInPandas(lean(run), "doc_id long, shingles array<long>")
 
 
 def _meet(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
@@ -222,7 +222,7 @@ def likely(pairs: DataFrame, sigs: DataFrame, how: NearDup) -> DataFrame:
             a, b = (np.frombuffer(b"".join(batch[c]), "u2").reshape(len(batch), how.places) for c in "ab")
             yield batch.loc[(a == b).sum(axis=1) >= how.least_agree * how.places, ["u", "v"]]
 
-    return _meet(pairs, sigs, "sig").mapInPandas(run, "u long, v long")
+    return _meet(pairs, sigs, "sig").mapInPandas(lean(run), "u long, v long")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, how: NearDup) -> DataFrame:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressrun.llm._base import materialize, shuffle_parts, text_or_empty
+from pressrun.llm._base import lean, materialize, shuffle_parts, text_or_empty
 from pressrun.llm.tokens import encoder
 
 #: Documents of one block, in which ranks are counted.
@@ -113,7 +113,7 @@ def encode(docs: DataFrame, name: str, end_id: int, capacity: int) -> DataFrame:
                 crcs.append([zlib.crc32(ids[b - 4 * n : b]) for n, b in zip(lengths, ends)])
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": counts, "crcs": crcs})
 
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInPandas(run, f"doc_id {kind}, n_tokens long, crcs array<long>")
+    return docs.select("doc_id", text_or_empty().alias("text")).mapInPandas(lean(run), f"doc_id {kind}, n_tokens long, crcs array<long>")
 
 
 def pack(docs: DataFrame, name: str = "byte_bpe_50k.json", end_id: int = 0, cap: Capacities = Capacities()) -> DataFrame:

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressrun.llm._base import among, join_hot, mapped, materialize, release, shuffle_parts, text_or_empty
+from pressrun.llm._base import among, join_hot, lean, mapped, materialize, release, shuffle_parts, text_or_empty
 from pressrun.llm.minhash import mix
 from pressrun.llm.sais import common_prefixes, suffix_array
 
@@ -144,7 +144,7 @@ def find_hot(texts: DataFrame, rows: int) -> np.ndarray:
                 yield pd.DataFrame({"owner": owner.view("i8"), "doc": part["doc_id"].to_numpy()[doc]}).drop_duplicates()[["owner"]]
 
     some = texts.where(F.pmod(F.xxhash64("doc_id", F.lit("hot")), F.lit(max(1, rows // SAMPLE))) == 0)
-    found = some.mapInPandas(run, "owner long").groupBy("owner").count().where(F.col("count") >= HOT_IN_SAMPLE).select("owner").collect()
+    found = some.mapInPandas(lean(run), "owner long").groupBy("owner").count().where(F.col("count") >= HOT_IN_SAMPLE).select("owner").collect()
     return np.array(sorted(r[0] for r in found), "i8").view("u8")
 
 
@@ -317,7 +317,7 @@ def find_repeats(docs: DataFrame) -> Repeats:
         docs_, runs_ = ids[keep][first].tolist() + warm.tolist(), [x.tobytes() for x in np.split(run[keep], first[1:])] if len(keep) else []
         return pd.DataFrame({"doc_id": docs_, "runs": runs_ + [b""] * len(warm)})
 
-    met = longer.mapInPandas(meet, "part long, data binary").groupBy("part").applyInPandas(shared, "doc_id long, runs binary")
+    met = longer.mapInPandas(lean(meet), "part long, data binary").groupBy("part").applyInPandas(shared, "doc_id long, runs binary")
     runs = materialize(met.groupBy("doc_id").agg(F.collect_list("runs").alias("runs")), "repeats-runs")
 
     def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -346,7 +346,7 @@ def find_repeats(docs: DataFrame) -> Repeats:
         head, _ = runs_of(rec["id"])
         return pd.DataFrame({"doc_id": rec["id"][head], "lo": [x.tobytes() for x in np.split(rec["lo"], head[1:])], "hi": [x.tobytes() for x in np.split(rec["hi"], head[1:])]})
 
-    once = among(longer, runs, "doc_id").mapInPandas(stretches, DEALT).groupBy("part").applyInPandas(each, DEALT + ", again boolean")
+    once = among(longer, runs, "doc_id").mapInPandas(lean(stretches), DEALT).groupBy("part").applyInPandas(each, DEALT + ", again boolean")
     once = materialize(once, "repeats-once")
     again = once.where("again").drop("again").groupBy("part").applyInPandas(each, DEALT + ", again boolean")
     found = materialize(once.where("NOT again").unionByName(again).groupBy("part").applyInPandas(spans, "doc_id long, lo binary, hi binary"), "repeats-spans")
@@ -364,7 +364,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             done = [strip(t, np.frombuffer(a, "i8"), np.frombuffer(b, "i8")) for t, a, b in zip(batch["text"], batch["lo"], batch["hi"])]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "sha": [hashlib.sha256(t).digest() for t in batch["text"]], "n_removed": [x[0] for x in done], "n_spans": [x[1] for x in done], "kept_sha256": [hashlib.sha256(x[2]).hexdigest() for x in done]})
 
-    trimmed = among(found.longer, found.spans, "doc_id").mapInPandas(cut, "doc_id long, sha binary, n_removed long, n_spans long, kept_sha256 string")
+    trimmed = among(found.longer, found.spans, "doc_id").mapInPandas(lean(cut), "doc_id long, sha binary, n_removed long, n_spans long, kept_sha256 string")
     trimmed = materialize(trimmed.dropDuplicates(["doc_id", "sha"]), "repeats-trimmed")
     nothing = hashlib.sha256(b"").hexdigest()
     is_copy = F.coalesce((F.col("doc_id") > F.col("first")) & (F.col("n_bytes") >= WIDTH), F.lit(False))

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressrun.llm._base import materialize, shuffle_parts, text_or_empty
+from pressrun.llm._base import lean, materialize, shuffle_parts, text_or_empty
 from pressrun.llm.tokens import encoder
 
 SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES = 1024, 16_384, 65_536
@@ -106,7 +106,7 @@ def write(docs: DataFrame, name: str = "word_bpe_49k.json", end_id: int = 1, wid
             shard = np.searchsorted(sorted_ends, batch["doc_id"].to_numpy("i8"), "left")
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": [len(x) for x in ids], "frame": [writer.compress(serialize(x, width)) for x in ids], "shard": shard})
 
-    frames = texts.mapInPandas(compress, "doc_id long, n_tokens long, frame binary, shard long")
+    frames = texts.mapInPandas(lean(compress), "doc_id long, n_tokens long, frame binary, shard long")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard, part, held, size = None, 0, [], 0
@@ -127,7 +127,7 @@ def write(docs: DataFrame, name: str = "word_bpe_49k.json", end_id: int = 1, wid
             yield flush()
 
     dealt = frames.repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "n_tokens")
-    return materialize(dealt.mapInPandas(pack, "shard long, part long, n_docs long, n_tokens long, data binary"), "ids"), dictionary
+    return materialize(dealt.mapInPandas(lean(pack), "shard long, part long, n_docs long, n_tokens long, data binary"), "ids"), dictionary
 
 
 def read(containers: DataFrame, dictionary: bytes) -> DataFrame:

@@ -13,11 +13,15 @@ import json
 import re
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from typing import TYPE_CHECKING
 
 import numpy as np
 import regex
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 #: Bytes of results that one Python worker keeps, characters of the texts that are encoded together.
 STORE_BYTES, CHUNK = 96_000_000, 4_000_000
 #: What an entry of a store takes besides its key and value.
@@ -77,16 +81,9 @@ class Encoder:
     """Texts to ids as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, name: str) -> None:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path(name))
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.normalizer = self.library.normalizer
+        self.name = name
         with open(path(name), encoding="utf-8") as f:
             spec = json.load(f)
         model, added = spec["model"], spec["added_tokens"]
@@ -110,6 +107,19 @@ class Encoder:
         self.parting = packed([model["vocab"][byte_letters()[ord(PARTING)] + self.end]]) if self.end else b""
         self.pieces = Store()
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        """The tokenizers library's own; texts without word ends or odd pieces never need it."""
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_file(path(self.name))
+        out.no_truncation()
+        out.no_padding()
+        return out
+
     def ranked(self, text: str) -> bytes:
         return self.ranks.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
@@ -129,7 +139,7 @@ class Encoder:
             pieces = list(set(pieces).difference(odd))
         plain = [x for x in pieces if x.isascii()]
         other = [x for x in pieces if not x.isascii()] if len(plain) < len(pieces) else []
-        for some, lower, split in ((plain, str.lower, ASCII_SPLIT), (other, self.normalizer.normalize_str, self.split)):
+        for some, lower, split in ((plain, str.lower, ASCII_SPLIT), (other, self.library.normalizer.normalize_str, self.split)):
             if some:
                 text = f" {PARTING} ".join(some)
                 found = self.ranked(WORD_END.join([*split(lower(text)), ""]))
