@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from pressrun.llm._base import text_or_empty
-from pressrun.llm.tokens import STORE_BYTES, WORD_PATTERN, Store, byte_letters, path
+from pressrun.llm.tokens import CHUNK, STORE_BYTES, WORD_PATTERN, Store, byte_letters, path
 
 END = "</w>"
 #: Letters of a fragment that is merged in a list.
@@ -53,7 +53,7 @@ class ForcedBPE:
         self.normalizer = Tokenizer.from_file(file).normalizer
         self.split = regex.compile(WORD_PATTERN, regex.V0).findall
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")").split
-        self.fragments, self.pieces = Store(), Store(2 * STORE_BYTES)
+        self.fragments, self.words, self.pieces = Store(STORE_BYTES // 2), Store(), Store(STORE_BYTES)
 
     def cut(self, word: str) -> list[str]:
         """A word in byte letters, split at its forced boundaries."""
@@ -108,8 +108,11 @@ class ForcedBPE:
         return [self.ids[x] for x in symbols if x]
 
     def word(self, word: str) -> list[int]:
+        out = self.words.get(word)
+        if out is not None:
+            return out
         mapped = word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode()])
-        out: list[int] = []
+        out = []
         parts = self.cut(mapped)
         for i, part in enumerate(parts):
             last = i == len(parts) - 1
@@ -120,8 +123,10 @@ class ForcedBPE:
                 if last:
                     symbols[-1] += END
                 found = self.merge(symbols)
-                self.fragments.keep(key, found, len(key) + 8 * len(found))
+                if len(parts) > 1:  # a word of one fragment is kept as a word
+                    self.fragments.keep(key, found, len(key) + 8 * len(found))
             out += found
+        self.words.keep(word, out, len(word) + 8 * len(out))
         return out
 
     def plain(self, text: str) -> list[int]:
@@ -140,22 +145,29 @@ class ForcedBPE:
     def encode(self, text: str) -> list[int]:
         return [i for x in text.split(" ") for i in self.piece(x)]
 
-    def digest(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, SHA-256 of the ids and of the decoded text. White space parts words, so pieces between blanks stand alone."""
-        n, ids, names, known = 0, [], [], self.pieces
-        known.full()
-        self.fragments.full()
-        for x in text.split(" "):
-            kept = known.get(x)
-            if kept is None:
+    def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """Number of ids, SHA-256 of the ids and of the decoded text, of each text. White space parts words, so pieces between blanks stand alone."""
+        out, start, known = [], 0, self.pieces
+        sha = lambda x: hashlib.sha256(" ".join(filter(None, x)).encode()).hexdigest()
+        while start < len(texts):
+            for store in (self.pieces, self.words, self.fragments):
+                store.full()
+            cut, size = [], 0
+            while start < len(texts) and (size < CHUNK or not cut):
+                cut.append(texts[start].split(" "))
+                size += len(texts[start])
+                start += 1
+            for x in set().union(*cut).difference(known):
                 found = self.piece(x)
                 kept = (len(found), " ".join(map(str, found)), self.decode(found))
                 known.keep(x, kept, len(x) + len(kept[1]) + len(kept[2]) + 200)
-            if kept[0]:
-                n += kept[0]
-                ids.append(kept[1])
-                names.append(kept[2])
-        return n, hashlib.sha256(" ".join(ids).encode()).hexdigest(), hashlib.sha256(" ".join(names).encode()).hexdigest()
+            for pieces in cut:
+                counts, ids, names = zip(*map(known.__getitem__, pieces))
+                out.append((sum(counts), sha(ids), sha(names)))
+        return out
+
+    def digest(self, text: str) -> tuple[int, str, str]:
+        return self.digests([text])[0]
 
 
 @lru_cache(2)
@@ -170,7 +182,7 @@ def encode_decode(docs: DataFrame, name: str = "word_bpe_49k.json") -> DataFrame
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = load(path(name))
         for batch in batches:
-            found = [bpe.digest(x) for x in batch["text"]]
+            found = bpe.digests(batch["text"].tolist())
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": [x[0] for x in found], "ids_sha256": [x[1] for x in found], "decoded_sha256": [x[2] for x in found]})
 
     return docs.select("doc_id", text_or_empty().alias("text")).mapInPandas(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
