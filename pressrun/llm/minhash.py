@@ -374,3 +374,16 @@ def group(docs: DataFrame, how: NearDup = NearDup()) -> DataFrame:
     alone = rows.where("doc_id IS NULL OR key IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     out = grouped.select("doc_id", "n_shingles", "component_id").unionByName(alone)
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE len(ws) WHEN 0 THEN [] WHEN 1 THEN ws ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS met FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * met >= 80 * (x.n + y.n - met)),
+reach AS (SELECT doc_id AS id, doc_id AS least FROM n UNION SELECT b, least FROM reach JOIN links ON a = id),
+c AS (SELECT id, min(least) AS component_id FROM reach GROUP BY id)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component_id, w.doc_id) AS component_id, coalesce(component_id, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.id = w.doc_id
+"""

@@ -62,4 +62,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
-ORACLES: dict[str, str] = {"op1_quality_rules": quality.ORACLE, "op2_exact_dedup": exact.ORACLE}
+ORACLES: dict[str, str] = {"op1_quality_rules": quality.ORACLE, "op2_exact_dedup": exact.ORACLE, "op5_suffix_array": suffix.ORACLE, "op7_minhash": minhash.ORACLE}

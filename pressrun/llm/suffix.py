@@ -395,3 +395,17 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     new = {"text": text} | ({"n_chars": F.when(F.col("copy") | loses, F.length(text).cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col(names["n_chars"]))} if "n_chars" in docs.columns else {})
     changed = some.select(*[new.get(c, F.col(n)).alias(c) for c, n in names.items()])
     return rest.select(*[F.col(n).alias(c) for c, n in names.items()]).unionByName(changed)
+
+
+ORACLE = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+xs AS (SELECT doc_id, length(h) // 2 AS n, o, substr(h, 2 * o + 1, 1098) AS x FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2, 500)) AS o FROM d)),
+b AS (SELECT doc_id, n, o, x, unnest(range(least(500, n - o))) AS q FROM xs),
+win AS (SELECT doc_id, o + q AS p, substr(x, 2 * q + 1, 2) AS byte, CASE WHEN o + q + 50 <= n THEN substr(x, 2 * q + 1, 100) END AS s FROM b),
+firsts AS (SELECT s, min(doc_id) AS least FROM win WHERE s IS NOT NULL GROUP BY s),
+f AS (SELECT doc_id, p, byte, max(CASE WHEN least < doc_id THEN p END) OVER (PARTITION BY doc_id ORDER BY p ROWS UNBOUNDED PRECEDING) AS last FROM win LEFT JOIN firsts USING (s)),
+g AS (SELECT doc_id, p, byte, coalesce(p - last < 50, false) AS gone FROM f),
+r AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS new FROM g),
+a AS (SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (gone) AS n_removed, count(*) FILTER (new) AS n_spans, string_agg(byte, '' ORDER BY p) FILTER (NOT gone) AS left_over FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(left_over, ''))) AS kept_sha256 FROM d LEFT JOIN a USING (doc_id)
+"""
