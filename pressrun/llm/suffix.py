@@ -248,12 +248,15 @@ DEALT = "part long, data binary, text binary"
 
 
 def strip(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, int, bytes]:
-    """Bytes removed, maximal runs, what is left."""
-    edge = np.zeros(len(text) + 1, "i8")
-    np.add.at(edge, lo, 1)
-    np.add.at(edge, hi, -1)
-    gone = np.cumsum(edge[:-1]) > 0
-    return int(gone.sum()), int((np.diff(gone.astype("i1"), prepend=0) == 1).sum()), np.frombuffer(text, "u1")[~gone].tobytes()
+    """Bytes removed, maximal runs, what is left of a text without the ranges, which may overlap."""
+    if not len(lo):
+        return 0, 0, text
+    order = np.argsort(lo, kind="stable")
+    lo, far = lo[order], np.maximum.accumulate(hi[order])
+    first = np.append(True, lo[1:] > far[:-1])
+    starts, ends = lo[first], far[np.append(first[1:], True)]
+    kept = [text[i:j] for i, j in zip([0, *ends.tolist()], [*starts.tolist(), len(text)])]
+    return int((ends - starts).sum()), len(starts), b"".join(kept)
 
 
 @dataclass
@@ -394,7 +397,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     text = F.when(F.col("copy"), F.lit("")).when(loses, left).otherwise(own)
     new = {"text": text} | ({"n_chars": F.when(F.col("copy") | loses, F.length(text).cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col(names["n_chars"]))} if "n_chars" in docs.columns else {})
     changed = some.select(*[new.get(c, F.col(n)).alias(c) for c, n in names.items()])
-    return rest.select(*[F.col(n).alias(c) for c, n in names.items()]).unionByName(changed)
+    return rest.select(*[F.col(n).alias(c) for c, n in names.items()]).unionByName(materialize(changed, "repeats-changed"))
 
 
 ORACLE = """
