@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressrun.llm import bpe, exact, html, minhash, packing, quality, sharding, suffix, token_output, toxicity
+from pressrun.llm import bpe, exact, html, minhash, packing, periodic, phrases, quality, sharding, suffix, token_output, toxicity, urls
 from pressrun.llm._base import table
 
 
@@ -50,6 +50,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.collapse(periodic.planted(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": lambda s, d: op1_quality_rules(s, d).drop("host", "host_rate"),
     "op2_exact_dedup": op2_exact_dedup,
@@ -61,5 +73,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
+    "op11_phrases": op11_phrases,
+    "op12_url_filter": op12_url_filter,
+    "op13_periodic_runs": op13_periodic_runs,
 }
-ORACLES: dict[str, str] = {"op1_quality_rules": quality.ORACLE, "op2_exact_dedup": exact.ORACLE, "op5_suffix_array": suffix.ORACLE, "op7_minhash": minhash.ORACLE}
+ORACLES: dict[str, str] = {"op1_quality_rules": quality.ORACLE, "op2_exact_dedup": exact.ORACLE, "op5_suffix_array": suffix.ORACLE, "op7_minhash": minhash.ORACLE, "op11_phrases": phrases.ORACLE}
