@@ -5,7 +5,7 @@ k words agree share a node, whose front (without the last word) and suffix link
 the level before; nodes that end at the same places form a state, with one endpos count for all its phrases. Counts of
 all shards are added up by phrase.
 
-A phrase is frequent only if its words and pairs of words are, so two cheaper rounds come first, of depth 1 and 2: shards send 32 bits
+A phrase is frequent only if all shorter ones in it are, so cheaper rounds come first, of depth 1, 2, and so on: shards send 32 bits
 of a phrase's hash and its count, at most `least`, and where the sums reach `least` a bit is set in a bitmap of BITS bits (8 MB, whatever the
 input). The next round's automata leave out nodes without a bit. Collisions and a full bitmap only let more phrases
 pass: the last round counts phrases by their words, exactly.
@@ -247,7 +247,7 @@ def mine(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, top: int = TOP
     texts = docs.select(text_or_empty().cast("binary").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     parts, filters = max(shuffle_parts(spark), size // PART_BYTES + 1), []
-    for _ in range(min(2, depth)):
+    for _ in range(max(1, depth - 1)):
         filters.append(frequent(texts, filters, least, parts))
     known = materialize(counts(texts, filters, depth, least), "phrases")
     words = known.where("phrase = '' AND n > 0").select("lang", F.col("n").alias("n"))
