@@ -197,12 +197,12 @@ def collapsed(words: list[bytes], found: list[tuple[int, int, int]]) -> bytes:
     return b" ".join(words)
 
 
-def _passes(texts: list[bytes | None]) -> Iterator[list[list[bytes]]]:
-    """Words of texts, in order, about PASS_WORDS at a time; a longer text is alone."""
+def _passes(texts: list[bytes | None], most: int) -> Iterator[list[list[bytes]]]:
+    """Words of texts, in order, about `most` at a time; a longer text is alone."""
     part, size = [], 0
     for text in texts:
         words = (text or b"").split()  # of bytes, at \x20 and \x09 to \x0D alone
-        if part and size + len(words) > PASS_WORDS:
+        if part and size + len(words) > most:
             yield part
             part, size = [], 0
         part.append(words)
@@ -211,7 +211,7 @@ def _passes(texts: list[bytes | None]) -> Iterator[list[list[bytes]]]:
         yield part
 
 
-def collapse(docs: DataFrame, carry: list[str] = []) -> DataFrame:  # noqa: B006
+def collapse(docs: DataFrame, carry: list[str] = [], pass_words: int = PASS_WORDS) -> DataFrame:  # noqa: B006
     """doc_id, runs (start, length, period in words, by start and period), collapsed (words joined by one space) of each row, and its columns `carry`."""
     rows = docs.select("doc_id", *carry, text_or_empty().cast("binary").alias("text_bytes_"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]), f"runs {RUNS}", "collapsed string"])
@@ -222,7 +222,7 @@ def collapse(docs: DataFrame, carry: list[str] = []) -> DataFrame:  # noqa: B006
         for batch in batches:
             found: list[list[tuple[int, int, int]]] = []
             left: list[str] = []
-            for texts in _passes(batch.column("text_bytes_").to_pylist()):
+            for texts in _passes(batch.column("text_bytes_").to_pylist(), pass_words):
                 if len(store) > STORE:
                     store = defaultdict(count().__next__)
                 some = runs_of_texts(texts, store)

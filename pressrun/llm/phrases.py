@@ -101,8 +101,7 @@ def automaton(ids: np.ndarray, hashes: np.ndarray, depth: int, filters: list[np.
             level = Level(end, times, front, key - front * nodes, mix(levels[-1].hash[front] * BASE + hashes[ids[end] - 1]))
         if k <= len(filters):
             keep = passing(level.hash, filters[k - 1])
-            new = np.where(keep, np.cumsum(keep) - 1, -1)
-            at = np.where(at >= 0, new[at], -1)
+            at = np.append(np.where(keep, np.cumsum(keep) - 1, -1), -1)[at]
             level = Level(*[getattr(level, f)[keep] for f in ("end", "count", "front", "link", "hash")])
         levels.append(level)
     return levels
@@ -148,8 +147,8 @@ def passing(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
     return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype("u1")) & 1 > 0
 
 
-def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, list[bytes]]]:
-    """lang, numbered pieces and words of about SHARD_BYTES of texts of one language."""
+def shards(batches: Iterator[pa.RecordBatch], most: int = SHARD_BYTES) -> Iterator[tuple[str, np.ndarray, list[bytes]]]:
+    """lang, numbered pieces and words of about `most` bytes of texts of one language."""
     held: dict[str, tuple[dict[bytes, int], list[np.ndarray]]] = {}
     sizes: dict[str, int] = defaultdict(int)
 
@@ -165,21 +164,21 @@ def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray,
             waiting[lang].append(text.as_py())
             waits[lang] += len(waiting[lang][-1])
             if waits[lang] >= CHUNK_BYTES:
-                yield from _number(lang, waiting.pop(lang), waits.pop(lang), held, sizes, done)
+                yield from _number(lang, waiting.pop(lang), waits.pop(lang), held, sizes, done, most)
         for lang, texts in waiting.items():
-            yield from _number(lang, texts, waits[lang], held, sizes, done)
-        while sum(sizes.values()) >= SHARD_BYTES:  # of many languages the largest goes
+            yield from _number(lang, texts, waits[lang], held, sizes, done, most)
+        while sum(sizes.values()) >= most:  # of many languages the largest goes
             yield done(max(sizes, key=sizes.__getitem__))
     for lang in list(held):
         yield done(lang)
 
 
-def _number(lang: str, texts: list[bytes], size: int, held: dict, sizes: dict, done) -> Iterator:
+def _number(lang: str, texts: list[bytes], size: int, held: dict, sizes: dict, done, most: int) -> Iterator:
     if lang not in held:
         held[lang] = new_store(), []
     held[lang][1].append(numbered(texts, held[lang][0]))
     sizes[lang] += size
-    if sizes[lang] >= SHARD_BYTES:
+    if sizes[lang] >= most:
         yield done(lang)
 
 
@@ -188,18 +187,18 @@ def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), "u8", len(words))
 
 
-def frequent(texts: DataFrame, filters: list[np.ndarray], least: int, parts: int) -> np.ndarray:
+def frequent(texts: DataFrame, filters: list[np.ndarray], least: int, parts: int, shard_bytes: int = SHARD_BYTES) -> np.ndarray:
     """The bitmap of the phrases one word longer than the filters are for, with a bit for each one that occurs `least` times or more."""
     depth = len(filters) + 1
     given = texts.sparkSession.sparkContext.broadcast(filters)
-    most = min(least, 255)
+    enough = min(least, 255)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, ids, words in shards(batches):
+        for lang, ids, words in shards(batches, shard_bytes):
             level = automaton(ids, word_hashes(lang, words), depth, given.value)[-1]
             part = (level.hash & np.uint64(0xFFFFFFFF)) % np.uint64(parts)
             rows = np.empty(len(part), SENT)
-            rows["key"], rows["n"] = level.hash >> np.uint64(32), np.minimum(level.count, most)
+            rows["key"], rows["n"] = level.hash >> np.uint64(32), np.minimum(level.count, enough)
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(parts + 1, dtype="u8"))
             data = rows[order]
@@ -212,7 +211,7 @@ def frequent(texts: DataFrame, filters: list[np.ndarray], least: int, parts: int
         key = rows["key"][order]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         total = np.add.reduceat(rows["n"][order].astype("i8"), first)
-        return pd.DataFrame({"bit": np.unique(key[first[total >= most]] % BITS).astype("i8") + 1})
+        return pd.DataFrame({"bit": np.unique(key[first[total >= enough]] % BITS).astype("i8") + 1})
 
     bits = texts.mapInArrow(lean(send), "part long, data binary").groupBy("part").applyInPandas(add, "bit long")
     maps = bits.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
@@ -223,12 +222,12 @@ def frequent(texts: DataFrame, filters: list[np.ndarray], least: int, parts: int
     return out
 
 
-def counts(texts: DataFrame, filters: list[np.ndarray], depth: int, least: int) -> DataFrame:
+def counts(texts: DataFrame, filters: list[np.ndarray], depth: int, least: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """lang, phrase, n of all phrases of up to `depth` words that occur `least` times, and of each lang, with an empty phrase, all words."""
     given = texts.sparkSession.sparkContext.broadcast(filters)
 
     def count_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, ids, words in shards(batches):
+        for lang, ids, words in shards(batches, shard_bytes):
             found = states(automaton(ids, word_hashes(lang, words), depth, given.value))
             names, times = phrases(found, ids, [w.decode("utf-8", "replace") for w in words])
             names.append("")
@@ -241,15 +240,15 @@ def counts(texts: DataFrame, filters: list[np.ndarray], depth: int, least: int)
     return rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("phrase") == ""))
 
 
-def mine(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, top: int = TOP) -> DataFrame:
+def mine(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, top: int = TOP, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of the first `top` collocations of 2 to `depth` words of each lang. least: at most 255."""
     spark = docs.sparkSession
     texts = docs.select(text_or_empty().cast("binary").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     parts, filters = max(shuffle_parts(spark), size // PART_BYTES + 1), []
     for _ in range(max(1, depth - 1)):
-        filters.append(frequent(texts, filters, least, parts))
-    known = materialize(counts(texts, filters, depth, least), "phrases")
+        filters.append(frequent(texts, filters, least, parts, shard_bytes))
+    known = materialize(counts(texts, filters, depth, least, shard_bytes), "phrases")
     words = known.where("phrase = '' AND n > 0").select("lang", F.col("n").alias("n"))
     named = known.where("phrase <> ''").withColumn("key", F.concat_ws(" ", "lang", "phrase"))
     found = named.where(F.col("phrase").contains(" ")).select("lang", "phrase", F.col("n").alias("a"), F.split("phrase", " ").alias("w"))

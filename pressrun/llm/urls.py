@@ -24,6 +24,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressrun.functions import text
+
 #: Lengths of n-grams, places for them, weight of the penalty, score from which a URL is blocked, rows of the label table.
 GRAMS, FEATURES, PENALTY, THRESHOLD, SAMPLE = (3, 4, 5), 1 << 18, 0.003, 0.5, 20_000
 
@@ -83,8 +85,7 @@ def grams() -> Column:
 
     def of(mark: str, column: str, n: int) -> Column:
         ended = F.concat(F.lit("^"), F.regexp_replace(column, "[0-9]", "0"), F.lit("$"))
-        starts = F.sequence(F.lit(1), F.greatest(F.length(ended) - n + 1, F.lit(1)))
-        return F.transform(starts, lambda i: F.concat(F.lit(mark), F.substr(ended, i, F.lit(n))))
+        return F.transform(text.grams(ended, n), lambda x: F.concat(F.lit(mark), x))
 
     return F.array_distinct(F.concat(*[of(mark, column, n) for mark, column in (("h", "host"), ("p", "path")) for n in GRAMS]))
 
