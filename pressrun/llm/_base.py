@@ -102,18 +102,27 @@ def join_hot(rows: DataFrame, groups: DataFrame, key: str, count: str, total: in
     return first.unionByName(rest)
 
 
+def fresh(name: str, *tables: DataFrame) -> str:
+    """A column name that none of the tables has in any case."""
+    taken = {c.lower() for df in tables for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mapped(rows: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """The rows that may have their long key in ids (one column of that name), and those that surely have not.
 
     A bitmap of BITMAP hashed keys is broadcast, 8 MB whatever the number of ids, so neither part is shuffled here.
     """
     place = F.pmod(F.xxhash64(key), F.lit(BITMAP))
-    maps = ids.select(F.bitmap_bucket_number(place).alias("map_no"), F.bitmap_bit_position(place).alias("bit")).groupBy("map_no").agg(F.bitmap_construct_agg("bit").alias("map"))
+    no, map_ = fresh("map_no", rows), fresh("map", rows)
+    maps = ids.select(F.bitmap_bucket_number(place).alias(no), F.bitmap_bit_position(place).alias("bit")).groupBy(no).agg(F.bitmap_construct_agg("bit").alias(map_))
     maps = materialize(maps, "bitmap")
-    at = f"bitmap_bit_position(pmod(xxhash64({key}), {BITMAP}L))"
-    held = F.expr(f"shiftright(CAST(conv(hex(substring(map, CAST({at} DIV 8 AS INT) + 1, 1)), 16, 10) AS INT), CAST({at} % 8 AS INT)) % 2 = 1")
-    met = rows.withColumn("map_no", F.bitmap_bucket_number(place)).join(F.broadcast(maps), "map_no", "left")
-    held = F.coalesce(held, F.lit(False))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col(map_), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = F.coalesce(F.call_function("shiftright", byte, (at % 8).cast("int")) % 2 == 1, F.lit(False))
+    met = rows.withColumn(no, F.bitmap_bucket_number(place)).join(F.broadcast(maps), no, "left")
     return met.where(held).select(*rows.columns), met.where(~held).select(*rows.columns)
 
 

@@ -438,3 +438,20 @@ def test_words_are_hashed_alike_wherever_slices_are_cut(monkeypatch):
     for text, a, b in zip(found, whole, minhash.word_hashes(found)):
         assert a.tolist() == b.tolist() and len(a) == len([w for w in words(text) if w])
     assert len(set(np.concatenate(whole).tolist())) == len({w.lower() for t in found for w in words(t) if w})
+
+
+NAMES = "map map_no MAP_NO_ bit block text_mark_ id_key_ gone_id_ gone_mark_ mark copy lo hi part data kept host digest first sha n own_0_ chars runs doc label root b".split()
+
+
+def test_no_inner_name_of_the_pipeline_meets_a_column(spark):
+    """Columns of every inner name keep their values through all stages, and no other row goes than without them."""
+    docs = spark.createDataFrame(make(6, 80), SCHEMA)
+    more = docs.select("*", *[F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in NAMES])
+    plain = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        more, plain = _base.materialize(stage(spark, more, ""), "more"), _base.materialize(stage(spark, plain, ""), "plain")
+        rows = more.collect()
+        assert rows and sorted((r["doc_id"], r["text"] or "") for r in rows) == sorted((r["doc_id"], r["text"] or "") for r in plain.collect())
+        assert all(r[c] == f"{c}:{r['doc_id']}" for r in rows for c in NAMES)
+    packed = corpus_pipeline.STAGES[-1][1]
+    assert packed(spark, more, "").count() == packed(spark, plain, "").count()
