@@ -36,6 +36,17 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, count: str, total:
     return rows.join(F.broadcast(hot), key).unionByName(rest.join(cold, key))
 
 
+def frequent_keys(rows: DataFrame, key: str, total: int) -> DataFrame:
+    """The keys with at least 1/HOT_SHARE of `total` rows."""
+    return rows.groupBy(key).agg(F.count("*").alias("rows_of_key")).where(F.col("rows_of_key") >= max(2, -(-total // HOT_SHARE))).select(key)
+
+
+def join_split(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """rows with the one row of `table` for their key. hot: the frequent keys, HOT_SHARE at most, whose rows stay where they are."""
+    first = rows.join(F.broadcast(table.join(F.broadcast(hot), key, "left_semi")), key)
+    return first.unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(table, key))
+
+
 def with_position(df: DataFrame, order: list[Column], name: str = "pos") -> DataFrame:
     """df with the place of each row in a total order, from 1. Rows are sorted in ranges, and ranges are offset by their counts."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -52,15 +63,18 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 100) -> DataFra
     """nodes: id. edges: a, b. Returns id, root: the least id reachable.
 
     Each round takes the least label among neighbours and then the label of that label, so a chain of n nodes
-    settles in about log n rounds. Only nodes with edges take part.
+    settles in about log n rounds. Only nodes with edges take part. Nodes with many edges, and labels of many nodes, are
+    looked up by broadcast, so the centre of a star is no task of its own.
     """
     both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
+    total = both.count()
+    centres = stored(frequent_keys(both, "b", total))
     label = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("root")))
     for _ in range(rounds):
-        near = both.join(label.select(F.col("id").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("m"))
-        lower = label.join(near, F.col("id") == F.col("a")).select("id", F.least("root", "m").alias("root"), F.col("root").alias("old"))
-        jump = lower.select(F.col("id").alias("root"), F.col("root").alias("far"))
-        new = stored(lower.join(jump, "root", "left").select("id", F.least("root", F.coalesce("far", "root")).alias("root"), "old"))
+        near = join_split(both, label.withColumnRenamed("id", "b"), "b", centres).groupBy("a").agg(F.min("root").alias("m"))
+        lower = stored(label.join(near, F.col("id") == F.col("a")).select("id", F.least("root", "m").alias("root"), F.col("root").alias("old")))
+        jump = lower.select(F.col("id").alias("root"), F.col("root").alias("far"))  # a root is a node with edges, or itself
+        new = stored(join_split(lower, jump, "root", frequent_keys(lower, "root", total)).select("id", F.least("root", "far").alias("root"), "old"))
         label = new.select("id", "root")
         if not new.where("root <> old").limit(1).count():
             break

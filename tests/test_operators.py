@@ -14,7 +14,7 @@ from pressrun.sources import feeds
 
 def test_components(spark):
     rnd = random.Random(3)
-    nodes = [f"n{i:03}" for i in range(120)]
+    nodes = [f"n{i:03}" for i in range(40)]
     edges = [(nodes[i], nodes[i + 1]) for i in range(40)] + [tuple(rnd.sample(nodes[50:], 2)) for _ in range(40)]
     parent = {n: n for n in nodes}
 
@@ -85,21 +85,50 @@ def plain_merge(members, judged):
     return {frozenset(g) for g in groups.values()}, conflicts + inside
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_constrained_merge(spark, seed):
+@pytest.mark.parametrize("seed, small", [(0, 100_000), (1, 100_000), (2, 0), (3, 0), (4, 12)])
+def test_constrained_merge(spark, seed, small):
+    """Settled by tasks, by rounds, or by rounds until a component is small: as one by one."""
     rnd = random.Random(seed)
     members = [(f"i{i:02}", f"i{i - i % 2:02}") for i in range(24)]
     judged = [(*sorted(rnd.sample([m[0] for m in members], 2)), rnd.choice(["same-event", "same-event", "different-event", "related-event"]), rnd.choice(["ok", "ok", "failed"])) for _ in range(30)]
+    check_merge(spark, members, judged, small)
+
+
+def check_merge(spark, members, judged, small):
     groups, conflicts = plain_merge(members, judged)
-    merged, found = judging.merge(spark.createDataFrame(members, "id string, root string"), spark.createDataFrame(judged, "item_a string, item_b string, relationship string, status string"))
+    merged, found = judging.merge(spark.createDataFrame(members, "id string, root string"), spark.createDataFrame(judged, "item_a string, item_b string, relationship string, status string"), small)
     got = {}
     for r in merged.collect():
         got.setdefault(r["root"], set()).add(r["id"])
-    assert {frozenset(g) for g in got.values()} == groups
+    assert {frozenset(g) for g in got.values()} == groups and all(r == min(g) for r, g in got.items())
     key = lambda c: tuple(x or "" for x in c)
     assert sorted(map(tuple, found.collect()), key=key) == sorted(set(conflicts), key=key)
 
 
+def test_merge_of_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    """A chain in the order of its pairs, in which each merge waits for the one before, with a forbidden pair in the middle and a star."""
+    chain = [f"c{i:03}" for i in range(40)]
+    star = [f"s{i:03}" for i in range(20)]
+    members = [(i, i) for i in chain + star]
+    judged = [(a, b, "same-event", "ok") for a, b in zip(chain, chain[1:])] + [("c010", "c030", "different-event", "ok")]
+    judged += [("s000", s, "same-event", "ok") for s in star[1:]] + [("s010", "s015", "different-event", "ok")]
+    rounds = []
+    plain = judging.contracted
+    monkeypatch.setattr(judging, "contracted", lambda *a: rounds.append(1) or plain(*a))
+    check_merge(spark, members, judged, 0)
+    assert len(rounds) <= 4
+
+
+def test_components_of_a_star(spark):
+    """The centre of a star has a third of all edges: its rows are not shuffled to one task."""
+    leaves = [f"l{i:04}" for i in range(2000)]
+    edges = [("a", x) for x in leaves[:700]] + [(leaves[i], leaves[i + 1]) for i in range(699, 1999)]
+    both = spark.createDataFrame(edges, "a string, b string")
+    found = graph.components(spark.createDataFrame([(x,) for x in ["a", *leaves, "alone"]], "id string"), both)
+    assert {r["id"]: r["root"] for r in found.collect()} == {x: "a" for x in ["a", *leaves]} | {"alone": "alone"}
+    assert [r["b"] for r in graph.frequent_keys(both.select("b").unionByName(both.select(graph.F.col("a").alias("b"))), "b", 4000).collect()] == ["a"]
+
+
 def test_cache_and_limit(spark):
     pairs = spark.createDataFrame([(f"k{i}",) for i in range(6)], "cache_key string")
     cache = spark.createDataFrame([("k1", "same-event", 0.9, "ok"), ("k2", "same-event", 0.9, "failed")], "cache_key string, relationship string, confidence double, status string")
