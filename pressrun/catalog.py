@@ -591,7 +591,7 @@ def edition(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return top, joined_.join(top.select("cluster_id", "rep_id"), "cluster_id").withColumn("is_representative", F.col("id") == F.col("rep_id"))
 
 
-@query(f"WITH RECURSIVE {DIGEST_SQL} SELECT t.cluster_id, t.rank AS sel_rank, r.id, r.provider FROM top t JOIN ranked r USING (root)")
+@query(f"WITH RECURSIVE {DIGEST_SQL.replace('members AS (', 'members AS MATERIALIZED (', 1)} SELECT t.cluster_id, t.rank AS sel_rank, m.id, i.provider FROM top t JOIN members m ON m.root = t.root JOIN items i ON i.id = m.id")
 def digest_join(spark: SparkSession, d: str) -> DataFrame:
     return all_selected(spark, d)[1].select("cluster_id", "sel_rank", "id", "provider")
 

@@ -10,6 +10,8 @@ from pressrun.config import AXES, SelectConfig
 from pressrun.functions import text
 from pressrun.functions.ids import group_id
 from pressrun.functions.text import rounded
+from pressrun.operators import blocking
+from pressrun.operators.candidates import ranked_tokens
 from pressrun.operators.evaluation import complete
 from pressrun.operators.graph import components, stored
 
@@ -47,47 +49,73 @@ def with_topic(records: DataFrame, config: SelectConfig = SelectConfig()) -> Dat
 
 
 def overlap_rows(records: DataFrame, config: SelectConfig = SelectConfig()) -> DataFrame:
-    """What title overlap compares, computed once for each distinct title."""
-    titles = records.where("title IS NOT NULL").select("title").distinct()
+    """What title overlap compares, computed once for each distinct title; id: a short name of the title."""
+    titles = records.where("title IS NOT NULL").select("title").distinct().withColumn("id", F.md5(F.col("title").cast("binary")))
     full = titles.withColumn("nfkc", text.nfkc("title")).withColumn("norm", text.normalized_title(F.col("nfkc")))
     full = full.withColumn("terms", text.terms(F.col("nfkc"), F.col("title"))).withColumn("proper", text.proper_nouns(F.col("title")))
     full = stored(full.drop("nfkc"))
-    grams = text.numbered_grams(full.where("norm IS NOT NULL"), "title", F.col("norm")).groupBy("title").agg(F.collect_list("gram").alias("grams"))
-    return stored(full.join(grams, "title", "left").withColumn("grams", F.coalesce("grams", F.array().cast("array<long>"))))
+    grams = text.numbered_grams(full.where("norm IS NOT NULL"), "id", F.col("norm")).groupBy("id").agg(F.collect_list("gram").alias("grams"))
+    return stored(full.join(grams, "id", "left").withColumn("grams", F.coalesce("grams", F.array().cast("array<long>"))))
+
+
+def long_terms(terms: Column, proper: Column, config: SelectConfig = SelectConfig()) -> Column:
+    return F.filter(terms, lambda t: (F.length(t) >= config.overlap_long_term) & (F.array_contains(proper, t) | t.rlike(f"[{text.CJK}]")))
 
 
 def overlap(pairs: DataFrame, rows: DataFrame, config: SelectConfig = SelectConfig()) -> DataFrame:
-    """pairs: title_a, title_b. Adds detail: the first rule that holds; rows without one are dropped."""
+    """pairs: id_a, id_b. title_a < title_b and detail: the first rule that holds; pairs without one are dropped."""
     side = lambda s: rows.select(*[F.col(c).alias(f"{c}_{s}") for c in rows.columns])
-    met = pairs.join(side("a"), "title_a").join(side("b"), "title_b")
+    met = pairs.join(side("a"), "id_a").join(side("b"), "id_b")
     terms, proper = F.array_intersect("terms_a", "terms_b"), F.array_intersect("proper_a", "proper_b")
-    long = F.filter(terms, lambda t: (F.length(t) >= config.overlap_long_term) & (F.array_contains(proper, t) | t.rlike(f"[{text.CJK}]")))
     comparable = F.least(F.length("norm_a"), F.length("norm_b")) >= config.overlap_title_length
+    comparable = comparable & F.col("norm_a").isNotNull() & F.col("norm_b").isNotNull()
     close = comparable & (rounded(text.dice(F.col("grams_a"), F.col("grams_b"))) >= config.overlap_dice) & (F.size(proper) >= config.overlap_proper)
-    run = text.longest_shared_run(F.col("title_a"), F.col("title_b"))
+    first, second = F.least("title_a", "title_b"), F.greatest("title_a", "title_b")
+    run = text.longest_shared_run(first, second)
     detail = (
         F.when(F.col("norm_a") == F.col("norm_b"), "exact-title").when(close, "high-dice").when(text.distinctive_run(run, config.overlap_cjk_run), "shared-cjk-run")
-        .when((F.size(long) >= 1) & (F.size(terms) >= config.overlap_terms), "long-shared-term")
+        .when((F.size(long_terms(terms, proper, config)) >= 1) & (F.size(terms) >= config.overlap_terms), "long-shared-term")
     )
-    return met.select("title_a", "title_b", detail.alias("detail")).where("detail IS NOT NULL")
+    return met.select(first.alias("title_a"), second.alias("title_b"), detail.alias("detail")).where("detail IS NOT NULL")
 
 
-def overlapping_titles(records: DataFrame, config: SelectConfig = SelectConfig()) -> DataFrame:
-    """title_a < title_b, detail of distinct titles that overlap; blocks lose nothing.
+def overlap_blocks(rows: DataFrame, config: SelectConfig = SelectConfig()) -> DataFrame:
+    """id, k: keys such that titles that overlap by any rule share one. A frequent noun or term is a key only beside another one.
 
-    Titles overlap only if they are equal after normalisation, or share a proper noun (high Dice, long Latin term)
-    or a pair of CJK characters (runs, long CJK terms). Proper nouns of two letters do not exist, so terms and
-    nouns are the blocks; a long Latin term must itself be a shared noun.
+    * equal normal forms;
+    * high Dice needs `overlap_proper` nouns in common: the pair of any two of them;
+    * a shared run of CJK characters lies in a run of the other title: every piece of a run as long as the least run;
+    * a long term needs others beside it: the long term with one of the rarest others, of which titles with enough terms
+      in common share one.
     """
+    hashed = lambda c: F.transform(c, lambda x: F.xxhash64(x))
+    key = lambda kind, *parts: F.xxhash64(F.lit(kind), *parts).alias("k")
+    equal = rows.where("norm IS NOT NULL").select("id", key("norm", "norm"))
+    nouns = rows.select("id", hashed("proper").alias("p"))
+    if config.overlap_proper >= 2:
+        both = F.flatten(F.transform("p", lambda x: F.transform(F.filter("p", lambda y: y > x), lambda y: F.struct(x.alias("x"), y.alias("y")))))
+        nouns = nouns.select("id", F.explode(both).alias("q")).select("id", key("nouns", "q.x", "q.y"))
+    else:
+        nouns = nouns.select("id", F.explode("p").alias("q")).select("id", key("nouns", "q"))
+    long_runs = F.filter(text.cjk_runs(F.col("title")), lambda r: F.length(r) >= config.overlap_cjk_run)
+    pieces = rows.select("id", F.explode(long_runs).alias("run")).select("id", F.explode(text.grams(F.col("run"), config.overlap_cjk_run)).alias("piece")).select("id", key("run", "piece")).distinct()
+    # A long term that two titles share through their nouns is a noun of both.
+    found = rows.select("id", long_terms(F.col("terms"), F.col("proper"), config).alias("long"), "terms").where(F.size("long") > 0)
+    others = config.overlap_terms - 1
+    if others >= 1:
+        ranked = ranked_tokens(found.select(F.col("id").alias("class_id"), "terms"), "terms").withColumnRenamed("class_id", "id")
+        each = found.select("id", F.explode(hashed("long")).alias("long")).join(ranked, "id")
+        rest = F.filter("terms", lambda t: t != F.col("long"))
+        beside = each.select("id", "long", F.explode(F.slice(rest, F.lit(1), F.greatest(F.size(rest) - others + 1, F.lit(0)))).alias("t")).select("id", key("long", "long", "t"))
+    else:
+        beside = found.select("id", F.explode(hashed("long")).alias("long")).select("id", key("long", "long"))
+    return equal.unionByName(nouns).unionByName(pieces).unionByName(beside)
+
+
+def overlapping_titles(records: DataFrame, config: SelectConfig = SelectConfig()) -> DataFrame:
+    """title_a < title_b, detail of distinct titles that overlap; blocks lose nothing."""
     rows = overlap_rows(records, config)
-    by_noun = rows.select("title", F.explode(F.array_distinct(F.concat(F.transform("proper", lambda x: F.concat(F.lit("p"), x)), F.transform(F.filter("terms", lambda t: t.rlike(f"[{text.CJK}]")), lambda x: F.concat(F.lit("t"), x))))).alias("k"))
-    block = by_noun.unionByName(rows.where("norm IS NOT NULL").select("title", F.concat(F.lit("n"), "norm").alias("k")))
-    a, b = block.select(F.col("title").alias("title_a"), "k"), block.select(F.col("title").alias("title_b"), "k")
-    shared = a.join(b, "k").where("title_a < title_b")
-    # Two shared nouns, a shared noun long enough, CJK or equality: what some rule needs at least.
-    strong = F.max((F.col("k").startswith("n") | F.col("k").startswith("t") | (F.length("k") > config.overlap_long_term)).cast("int"))
-    pairs = shared.groupBy("title_a", "title_b").agg(F.count("*").alias("n"), strong.alias("strong")).where((F.col("strong") == 1) | (F.col("n") >= config.overlap_proper)).select("title_a", "title_b")
-    return overlap(pairs, rows, config)
+    return overlap(stored(blocking.pairs(overlap_blocks(rows, config), [], F.lit(True))), rows, config)
 
 
 def group_edges(records: DataFrame, judged: DataFrame, config: SelectConfig = SelectConfig()) -> DataFrame:
