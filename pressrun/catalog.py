@@ -157,9 +157,11 @@ def clustered(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return rows, clusters.membership(rows, clusters.forming_edges(rows))
 
 
-@query(f"{WITH_CLUSTERS} SELECT cluster_id, item_ids, item_count FROM found")
+@query(f"{WITH_CLUSTERS} SELECT m.id, cluster_id, item_count FROM members m JOIN found f USING (root)")
 def clusters_found(spark: SparkSession, d: str) -> DataFrame:
-    return clusters.clusters(clustered(spark, d)[1]).select("cluster_id", joined("item_ids").alias("item_ids"), "item_count")
+    """Every item with its cluster and the size of that."""
+    members = clustered(spark, d)[1]
+    return clusters.named_members(members, clusters.clusters(members)).select("id", "cluster_id", "item_count")
 
 
 @query(f"""{WITH_CLUSTERS} SELECT 'clusters' AS name, count(*) AS n FROM found UNION ALL SELECT 'multi', count(*) FILTER (item_count > 1) FROM found UNION ALL SELECT 'single', count(*) FILTER (item_count = 1) FROM found
@@ -366,7 +368,8 @@ def judgment_counts(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def semantic_clusters(spark: SparkSession, d: str) -> DataFrame:
     merged, _ = judging.merge(clustered(spark, d)[1], judgments(spark, d))
-    return judging.merged_clusters(merged).select("cluster_id", joined("item_ids").alias("item_ids"))
+    merged = stored(merged)
+    return clusters.named_members(merged, clusters.clusters(merged)).select("id", "cluster_id", "item_count")
 
 
 @query()
@@ -576,7 +579,7 @@ def all_selected(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Every cluster as if it were selected, in order of its score, and their items: what an edition's join works on."""
     rows, members, scored = evaluated(spark, d)
     ranked = with_position(scored, [F.desc("base_score"), F.desc("item_count"), F.asc("cluster_id")], "rank").withColumn("lane", F.expr("CASE WHEN key % 2 = 0 THEN 'major' ELSE 'personal' END"))
-    joined_ = digest.joined(ranked.select("cluster_id", "rank", "lane"), clusters.clusters(members).select("cluster_id", "item_ids"), rows)
+    joined_ = digest.joined(ranked.select("cluster_id", "rank", "lane"), clusters.named_members(members, clusters.clusters(members)), rows)
     return ranked, joined_.join(ranked.select("cluster_id", "rep_id"), "cluster_id").withColumn("is_representative", F.col("id") == F.col("rep_id"))
 
 
@@ -587,7 +590,7 @@ def edition(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     recs = stored(selection.with_topic(selection.related_groups(recs, judged_clusters(spark, d, members, recs)), topic_config()))
     chosen = selection.pack(recs).where("decision = 'selected'").select("cluster_id", "lane", "rank")
     top = stored(recs.drop("lane", "rank").join(chosen, "cluster_id"))
-    joined_ = digest.joined(top.select("cluster_id", "rank", "lane"), clusters.clusters(members).select("cluster_id", "item_ids"), rows)
+    joined_ = digest.joined(top.select("cluster_id", "rank", "lane"), clusters.named_members(members, clusters.clusters(members)), rows)
     return top, joined_.join(top.select("cluster_id", "rep_id"), "cluster_id").withColumn("is_representative", F.col("id") == F.col("rep_id"))
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from pressrun.config import ClusterConfig
 from pressrun.functions.ids import cluster_id
-from pressrun.operators.graph import components, stored
+from pressrun.operators.graph import components, join_groups, stored
+from pressrun.operators.naming import list_digests
 from pressrun.operators.similarity import members, similar_titles
 
 
@@ -27,7 +28,17 @@ def membership(items: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def clusters(members: DataFrame) -> DataFrame:
-    """cluster_id, item_ids (sorted), item_count, root."""
+    """cluster_id, item_count, root of each cluster; the id is the hash of its sorted item ids, which no row holds together."""
+    return list_digests(members, "\n").select(F.concat(F.lit("cluster:"), "sha").alias("cluster_id"), F.col("n").alias("item_count"), "root")
+
+
+def named_members(members: DataFrame, found: DataFrame) -> DataFrame:
+    """id, cluster_id, item_count, root of every member. found: `clusters` of them."""
+    return join_groups(members.select("id", "root"), stored(found.select("root", "cluster_id", "item_count")), "root", "item_count", members.count())
+
+
+def listed(members: DataFrame) -> DataFrame:
+    """cluster_id, item_ids (sorted), item_count, root: a row holds a cluster, as the documents of a run do."""
     grouped = members.groupBy("root").agg(F.array_sort(F.collect_list("id")).alias("item_ids"))
     return grouped.select(cluster_id(F.col("item_ids")).alias("cluster_id"), "item_ids", F.size("item_ids").cast("long").alias("item_count"), "root")
 

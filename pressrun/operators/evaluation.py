@@ -16,9 +16,13 @@ def representative_order() -> list[Column]:
     return [F.desc_nulls_last("published_ms"), F.desc_nulls_last("collected_ms"), F.desc(has("title")), F.desc(has("summary")), F.asc("id")]
 
 
-def ranked_members(items: DataFrame, members: DataFrame) -> DataFrame:
-    """items with root and their rank in the cluster; rank 1 represents it."""
-    return items.join(members, "id").withColumn("rank", F.row_number().over(Window.partitionBy("root").orderBy(*representative_order())))
+def ranked_members(items: DataFrame, members: DataFrame, config: EvaluationConfig = EvaluationConfig()) -> DataFrame:
+    """The first `max_items` items of each cluster with root and rank; rank 1 represents it.
+
+    A limit on a rank is taken in each task before rows are shuffled, so a cluster of any size sends `max_items` rows a task.
+    """
+    ranked = items.join(members, "id").withColumn("rank", F.row_number().over(Window.partitionBy("root").orderBy(*representative_order())))
+    return ranked.where(F.col("rank") <= max(1, config.max_items))
 
 
 def representatives(ranked: DataFrame) -> DataFrame:

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from pressrun.config import AXES, SelectConfig
 from pressrun.functions import text
-from pressrun.functions.ids import group_id
 from pressrun.functions.text import rounded
 from pressrun.operators import blocking
 from pressrun.operators.candidates import ranked_tokens
 from pressrun.operators.evaluation import complete
-from pressrun.operators.graph import components, stored
+from pressrun.operators.graph import components, join_groups, stored
+from pressrun.operators.naming import list_digests
 
 
 def axes(prefix: str = "") -> dict[str, Column]:
@@ -137,11 +137,13 @@ def related_groups(records: DataFrame, judged: DataFrame, config: SelectConfig =
     """records with related_group_id and editorial_role; ineligible clusters take part. A main event leads its group."""
     edges = group_edges(records, judged, config)
     found = components(records.select(F.col("cluster_id").alias("id")), edges.select(F.col("cluster_a").alias("a"), F.col("cluster_b").alias("b")))
-    named = records.join(found.select(F.col("id").alias("cluster_id"), F.col("root").alias("group_root")), "cluster_id")
-    ids = named.groupBy("group_root").agg(group_id(F.collect_list("cluster_id")).alias("related_group_id"))
-    order = [F.desc(F.coalesce("major_rank", F.lit(-1.0))), F.desc(F.coalesce("informationValue", F.lit(-1))), F.desc_nulls_last("published_ms"), F.asc("cluster_id")]
-    led = named.withColumn("place", F.row_number().over(Window.partitionBy("group_root").orderBy(*order)))
-    return led.join(ids, "group_root").withColumn("editorial_role", F.when(F.col("place") == 1, "main-event").otherwise("related")).drop("group_root", "place")
+    named = stored(records.join(found.select(F.col("id").alias("cluster_id"), F.col("root").alias("group_root")), "cluster_id"))
+    order = F.struct(-F.coalesce("major_rank", F.lit(-1.0)), -F.coalesce("informationValue", F.lit(-1)), F.col("published_ms").isNull(), -F.coalesce("published_ms", F.lit(0)), F.col("cluster_id"))
+    leaders = named.groupBy("group_root").agg(F.min_by("cluster_id", order).alias("leader"), F.count("*").alias("n_clusters"))
+    ids = list_digests(named.select(F.col("group_root").alias("root"), F.col("cluster_id").alias("id")), "|")
+    ids = ids.select(F.col("root").alias("group_root"), F.concat(F.lit("rel:"), F.substring("sha", 1, 16)).alias("related_group_id"))
+    led = join_groups(named, stored(leaders.join(ids, "group_root")), "group_root", "n_clusters", named.count())
+    return led.withColumn("editorial_role", F.when(F.col("cluster_id") == F.col("leader"), "main-event").otherwise("related")).drop("group_root", "leader", "n_clusters")
 
 
 PACKED = "cluster_id string, decision string, reason string, lane string, rank int, priority double"
@@ -161,15 +163,14 @@ def pack(records: DataFrame, config: SelectConfig = SelectConfig()) -> DataFrame
         "personal": [F.desc(F.coalesce("personal_rank", low)), F.desc_nulls_last("published_ms"), F.asc("cluster_id")],
         "general": [F.desc(F.coalesce("base_score", low)), F.desc("importance"), F.desc_nulls_last("published_ms"), F.asc("cluster_id")],
     }
-    ranked = records
+    ranked = stored(records)
+    keep, firsts = 2 * config.most + 1, None
     for lane, order in orders.items():
-        # Rows outside the lane come last, so the first places are those of the lane.
-        inside = main & F.col(lane)
-        place = F.row_number().over(Window.partitionBy(F.when(inside, F.col("topic_group"))).orderBy(*order))
-        ranked = ranked.withColumn(f"{lane}_place", F.when(inside, place))
-    ranked = stored(ranked)
-    keep = 2 * config.most + 1
-    some = ranked.where(F.least("major_place", "personal_place", "general_place") <= keep)
+        # Only rows of the lane are ranked, and a limit on a rank is taken in each task before rows are shuffled.
+        place = F.row_number().over(Window.partitionBy("topic_group").orderBy(*order))
+        found = ranked.where(main & F.col(lane)).withColumn("place", place).where(F.col("place") <= keep).select("cluster_id")
+        firsts = found if firsts is None else firsts.unionByName(found)
+    some = ranked.join(F.broadcast(firsts.distinct()), "cluster_id", "left_semi")  # `keep` rows a lane and topic
     columns = ["cluster_id", "topic_group", "major", "personal", "general", "major_rank", "personal_rank", "base_score", "informationValue", "importance", "published_ms"]
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:

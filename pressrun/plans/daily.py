@@ -149,7 +149,7 @@ class Daily:
         rows = self.rows(work)
         members = clusters.membership(rows, clusters.forming_edges(rows, self.cluster))
         checks.require(clusters.violations(rows, members).withColumnRenamed("id", "key"), "clusters")
-        for name, df in documents.cluster_outputs(clusters.clusters(members), similarity.link_counts(rows, members, self.cluster)).items():
+        for name, df in documents.cluster_outputs(clusters.listed(members), similarity.link_counts(rows, members, self.cluster)).items():
             self.write(work, "processed/clusters" if name == "clusters" else "processed/clusters-review", df)
 
     def do_semantic(self, work: Path) -> None:
@@ -167,13 +167,13 @@ class Daily:
             raise StageError(code="semantic_incomplete")
         merged, _ = judging.merge(found, judgments)
         self.write(work, "processed/judgments", documents.semantic_output(True, pairs, judgments)["judgments"])
-        self.write(work, "processed/semantic", judging.merged_clusters(merged))
+        self.write(work, "processed/semantic", clusters.listed(merged).select("cluster_id", "item_ids"))
 
     def do_evaluate(self, work: Path) -> None:
         rows, found = self.rows(work), self.read(work, "processed/semantic")
         checks.require(checks.stage_input(found, checks.cluster_rules()), "clusters")
         members = found.select("cluster_id", F.explode("item_ids").alias("id")).select("id", F.col("cluster_id").alias("root"))
-        ranked = stored(evaluation.ranked_members(rows, members))
+        ranked = stored(evaluation.ranked_members(rows, members, self.evaluation))
         facts = evaluation.representatives(ranked).drop("rank").join(evaluation.signals(rows, members), "root")
         asked = answers.evaluation_requests(facts, evaluation.supporting(ranked, self.evaluation).withColumnRenamed("rank", "pos"), self.evaluation)
         asked = stored(asked.withColumn("cluster_id", F.col("root")).withColumn("cache_key", key(F.col("root"), F.sha2(F.col("request").cast("binary"), 256), F.lit(self.evaluation.model), F.lit(self.evaluation.version))))
@@ -206,7 +206,7 @@ class Daily:
         checks.require(checks.stage_input(chosen, checks.selected_rules()), "selected")
         facts = self.read(work, "processed/evaluated").drop("status", "error", "reason", "request", "cache_key")
         top = stored(chosen.join(facts, "cluster_id"))
-        items = digest.joined(chosen, facts.select("cluster_id", "item_ids"), self.rows(work)).join(top.select("cluster_id", F.col("id").alias("rep_id")), "cluster_id").withColumn("is_representative", F.col("id") == F.col("rep_id"))
+        items = digest.joined(chosen, facts.select("cluster_id", F.explode("item_ids").alias("id")), self.rows(work)).join(top.select("cluster_id", F.col("id").alias("rep_id")), "cluster_id").withColumn("is_representative", F.col("id") == F.col("rep_id"))
         items = stored(items)
         asked = answers.digest_requests(top, digest.supporting(items, self.digest), self.digest)
         asked = stored(asked.withColumn("cache_key", key(F.col("cluster_id"), F.sha2(F.col("request").cast("binary"), 256), F.lit("digest"))))

@@ -1,5 +1,6 @@
 """Operators on small tables, against brute force where order decides."""
 
+import hashlib
 import itertools
 import json
 import random
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pressrun.config import SelectConfig
-from pressrun.operators import candidates, checks, clusters, digest, evaluation, graph, judging, pool, references, selection, similarity
+from pressrun.operators import candidates, checks, clusters, digest, evaluation, graph, judging, naming, pool, references, selection, similarity
 from pressrun.sources import feeds
 
 
@@ -261,3 +262,30 @@ def test_xml_feeds(spark, tmp_path):
     assert (a["title"], a["summary"], a["category"], a["publishedAt"], a["source"]["url"]) == ("A & B", "Hi & bye", "News", "2024-10-02T13:00:00.000Z", "https://a.example/?x=1&amp;y=2")
     assert (b["category"], b["publishedAt"]) == ("World", None)
     assert (e["source"]["url"], e["summary"], e["category"], e["source"]["author"]["name"]) == ("https://alt.example", "body", "tech", "Ann")
+
+
+@pytest.mark.parametrize("chunk", [1_000_000, 40])
+def test_cluster_ids_without_lists(spark, chunk):
+    """Ids are hashes of the sorted item ids, also of a cluster with a third of all items that spans ranges and pieces."""
+    rnd = random.Random(8)
+    members = [("a0000", f"i{i:05}é") for i in range(700)] + [(f"r{i % 400:03}", f"j{i:05}") for i in range(1400)] + [("z", "z")]
+    rnd.shuffle(members)
+    rows = spark.createDataFrame(members, "root string, id string").repartition(3)
+    want = {}
+    for root, i in sorted(members):
+        want.setdefault(root, []).append(i)
+    for separator in ("\n", "|"):
+        found = {r["root"]: (r["n"], r["sha"]) for r in naming.list_digests(rows, separator, chunk).collect()}
+        assert found == {root: (len(ids), hashlib.sha256(separator.join(ids).encode()).hexdigest()) for root, ids in want.items()}
+    both = clusters.named_members(rows, clusters.clusters(rows)).collect()
+    lists = {r["root"]: r["cluster_id"] for r in clusters.listed(rows).collect()}
+    assert len(both) == len(members) and all((r["cluster_id"], r["item_count"]) == (lists[r["root"]], len(want[r["root"]])) for r in both)
+    assert naming.list_digests(rows.limit(0), "|").count() == 0
+
+
+def test_ranks_send_few_rows_of_a_cluster(spark):
+    """The plan limits the rank before its shuffle."""
+    items = spark.range(3000).select(F.col("id").cast("string").alias("id"), F.col("id").alias("published_ms"), F.col("id").alias("collected_ms"), F.when(F.col("id") >= 0, "t").alias("title"), F.lit("s").alias("summary"))
+    ranked = evaluation.ranked_members(items, items.select("id", F.substring("title", 1, 1).alias("root")))
+    assert [r["id"] for r in ranked.orderBy("rank").collect()] == ["2999", "2998", "2997", "2996", "2995"]
+    assert "WindowGroupLimit" in ranked._jdf.queryExecution().executedPlan().toString()
