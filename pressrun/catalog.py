@@ -307,7 +307,16 @@ def candidate_gate(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.col("id_a").alias("item_a"), F.col("id_b").alias("item_b"), "title_similarity", "token_overlap", F.size("shared_terms").alias("n_terms"), F.size("shared_proper").alias("n_proper"), "n_links")
 
 
-@query()
+FLAT_SQL = "item_a, item_b, title_similarity, token_overlap, n_terms, n_proper, hours_apart, same_hostname, same_category, different_provider, candidate_score"
+
+
+@query(f"""WITH RECURSIVE {PAIR_SQL.replace("gated AS (", "gated AS MATERIALIZED (")},
+ordered AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY candidate_score DESC, item_a, item_b) AS place FROM gated),
+greedy AS (SELECT 0::BIGINT AS place, []::VARCHAR[] AS used, 0 AS n, false AS taken
+  UNION ALL SELECT place, CASE WHEN taken THEN list_concat(used, [item_a, item_b]) ELSE used END, n + taken::INT, taken
+  FROM (SELECT o.place, o.item_a, o.item_b, g.used, g.n, len(list_filter(g.used, lambda x: x = o.item_a)) < 5 AND len(list_filter(g.used, lambda x: x = o.item_b)) < 5 AS taken
+    FROM greedy g JOIN ordered o ON o.place = g.place + 1 WHERE g.n < 200))
+SELECT {FLAT_SQL} FROM ordered JOIN greedy USING (place) WHERE taken""")
 def candidate_topk(spark: SparkSession, d: str) -> DataFrame:
     return flat(candidates.candidates(normal(spark, d)))
 
@@ -552,12 +561,35 @@ def packed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return recs, stored(selection.pack(recs))
 
 
-@query()
+#: The same choice one by one: a row of `walk` for each place of the three lanes.
+PACK_SQL = rf"""{GROUPS_SQL}, hay AS (SELECT cluster_id, category, lower(coalesce(title, '') || chr(10) || coalesce(summary, '')) AS h FROM based), hits AS (SELECT cluster_id, category, {_HITS} FROM hay),
+recs AS MATERIALIZED (SELECT l.*, editorial_role, {_TOPIC.replace("category", "hits.category")} AS topic_group FROM lanes l JOIN roles USING (cluster_id) JOIN hits ON hits.cluster_id = l.cluster_id),
+mains AS (SELECT * FROM recs WHERE reason IS NULL AND editorial_role = 'main-event'),
+queue AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY lane_no, place) AS turn FROM (
+  SELECT cluster_id, topic_group, 'major' AS lane, 1 AS lane_no, row_number() OVER (ORDER BY major_rank DESC, "informationValue" DESC, published_ms DESC NULLS LAST, cluster_id) AS place, major_rank AS priority FROM mains WHERE major
+  UNION ALL SELECT cluster_id, topic_group, 'personal', 2, row_number() OVER (ORDER BY personal_rank DESC, published_ms DESC NULLS LAST, cluster_id), personal_rank FROM mains WHERE personal
+  UNION ALL SELECT cluster_id, topic_group, 'general', 3, row_number() OVER (ORDER BY base_score DESC, importance DESC, published_ms DESC NULLS LAST, cluster_id), base_score FROM mains WHERE general)),
+walk AS (SELECT 0::BIGINT AS turn, []::VARCHAR[] AS chosen, []::VARCHAR[] AS topics, []::VARCHAR[] AS filled, NULL::VARCHAR AS outcome
+  UNION ALL SELECT turn, CASE WHEN outcome = 'selected' THEN list_append(chosen, cluster_id) ELSE chosen END, CASE WHEN outcome = 'selected' THEN list_append(topics, topic_group) ELSE topics END,
+    CASE WHEN outcome = 'selected' THEN list_append(filled, lane) ELSE filled END, outcome
+  FROM (SELECT q.*, w.chosen, w.topics, w.filled, len(list_filter(w.topics, lambda x: x = q.topic_group)) AS n, CASE WHEN list_contains(w.chosen, q.cluster_id) THEN 'again'
+    WHEN len(w.chosen) >= CASE WHEN lane = 'general' THEN 10 ELSE 14 END THEN 'digest-size' WHEN len(list_filter(w.filled, lambda x: x = q.lane)) >= CASE lane WHEN 'major' THEN 7 WHEN 'personal' THEN 4 ELSE 14 END THEN 'lower-priority'
+    WHEN NOT (n < 2 OR n < 3 AND lane <> 'general' OR n >= 3 AND lane = 'major' AND q.place <= 3) THEN 'category-saturation' ELSE 'selected' END AS outcome FROM walk w JOIN queue q ON q.turn = w.turn + 1)),
+picked AS (SELECT q.*, row_number() OVER (ORDER BY turn) AS rank FROM walk JOIN queue q USING (turn) WHERE outcome = 'selected'),
+skipped AS (SELECT cluster_id, arg_min(outcome, turn) AS why FROM walk JOIN queue USING (turn) WHERE outcome NOT IN ('selected', 'again') GROUP BY cluster_id),
+decided AS (SELECT r.cluster_id, CASE WHEN p.rank IS NULL THEN 'rejected' ELSE 'selected' END AS decision,
+  CASE p.lane WHEN 'major' THEN 'major-news' WHEN 'personal' THEN 'personal-interest' WHEN 'general' THEN 'general-high-value'
+    ELSE CASE WHEN r.reason IS NOT NULL THEN r.reason WHEN editorial_role = 'related' THEN 'redundant' ELSE coalesce(s.why, 'below-lane-threshold') END END AS reason,
+  coalesce(p.lane, CASE WHEN major THEN 'major' WHEN personal THEN 'personal' WHEN general THEN 'general' END) AS lane, p.rank::INT AS rank, p.priority AS priority
+  FROM recs r LEFT JOIN picked p USING (cluster_id) LEFT JOIN skipped s ON s.cluster_id = r.cluster_id)"""
+
+
+@query(f"WITH RECURSIVE {PACK_SQL} SELECT * FROM decided")
 def pack_selection(spark: SparkSession, d: str) -> DataFrame:
     return packed(spark, d)[1]
 
 
-@query()
+@query(f"WITH RECURSIVE {PACK_SQL} SELECT decision, CASE WHEN decision = 'selected' THEN lane ELSE reason END AS name, count(*) AS n FROM decided GROUP BY ALL")
 def select_stats(spark: SparkSession, d: str) -> DataFrame:
     return selection.stats(packed(spark, d)[1])
 
@@ -732,16 +764,21 @@ def group_order(spark: SparkSession, d: str) -> DataFrame:
     return documents.group_order(grouped_records(spark, d))
 
 
-@query()
+@query(f"""WITH RECURSIVE {GROUPS_SQL}, of_title AS (SELECT title, min(cluster_id) AS first FROM based WHERE title IS NOT NULL GROUP BY title),
+evidence AS (SELECT least(x.cluster_id, y.cluster_id) AS cluster_a, greatest(x.cluster_id, y.cluster_id) AS cluster_b, 'semantic-related-event' AS kind, 'related-event' AS detail
+    FROM judg j JOIN members p ON p.id = j.item_a JOIN members q ON q.id = j.item_b JOIN found x ON x.root = p.root JOIN found y ON y.root = q.root WHERE j.status = 'ok' AND j.relationship = 'related-event' AND x.cluster_id <> y.cluster_id
+  UNION SELECT t.first, b.cluster_id, 'title-overlap', 'exact-title' FROM based b JOIN of_title t USING (title) WHERE b.cluster_id <> t.first
+  UNION SELECT least(x.first, y.first), greatest(x.first, y.first), 'title-overlap', detail FROM ov JOIN of_title x ON x.title = title_a JOIN of_title y ON y.title = title_b)
+SELECT cluster_a, cluster_b, kind, detail, related_group_id, row_number() OVER (PARTITION BY related_group_id ORDER BY kind, cluster_a, cluster_b, detail) AS pos FROM evidence JOIN roles ON roles.cluster_id = cluster_a""")
 def evidence_order(spark: SparkSession, d: str) -> DataFrame:
     rows, members, scored = evaluated(spark, d)
     recs = stored(selection.with_lanes(scored))
-    judged = judged_clusters(spark, d, members, recs)
+    judged = stored(judged_clusters(spark, d, members, recs))
     named = selection.related_groups(recs, judged).select(F.col("cluster_id").alias("cluster_a"), "related_group_id")
     return documents.evidence_order(selection.group_edges(recs, judged).join(named, "cluster_a"))
 
 
-@query()
+@query(f"WITH RECURSIVE {PACK_SQL} SELECT *, row_number() OVER (PARTITION BY decision ORDER BY CASE WHEN decision = 'selected' THEN rank END, cluster_id) AS pos FROM decided")
 def decision_order(spark: SparkSession, d: str) -> DataFrame:
     return documents.decision_order(packed(spark, d)[1])
 
