@@ -56,7 +56,8 @@ NAMES = re.compile(
 )
 HEADER = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.I)
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# Quotes open a value after = only. No part goes back, and a text that is searched ends with >, so that every tag that begins also ends.
+TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*+>|<\?[^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^>])*+)>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)
 SPACE = re.compile(r"\s+")
 
@@ -85,7 +86,7 @@ class Node:
 def parse(html: str) -> Node:
     """A tree of elements; children that are strings are text, with character references decoded."""
     root = here = Node("#root", None)
-    at, n = 0, len(html)
+    at, n, limit = 0, len(html), html.rfind(">") + 1
 
     def shut(tags: set[str] | frozenset[str], stops: set[str] | frozenset[str]) -> None:
         nonlocal here
@@ -98,15 +99,16 @@ def parse(html: str) -> Node:
         if found is not None:
             here = found.parent
 
-    while at < n:
-        m = TOKEN.search(html, at)
+    while at < limit:
+        m = TOKEN.search(html, at, limit)
         if m is None:
-            here.children.append(unescape(html[at:]))
             break
         if m.start() > at:
             here.children.append(unescape(html[at : m.start()]))
         at = m.end()
         if m[2] is None:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                return root
             continue
         tag = m[2].lower()
         if m[1]:
@@ -127,6 +129,9 @@ def parse(html: str) -> Node:
             at = end.end() if end else n
         elif tag not in VOID:
             here = node
+    rest = html[at:].partition("<!--")[0]
+    if rest:
+        here.children.append(unescape(rest))
     return root
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -312,3 +313,30 @@ def test_pages_come_in_the_same_blocks_however_they_arrive():
         parts += [(at + a, at + b) for a, b in found]
         at += left
     assert parts == whole
+
+
+@pytest.mark.parametrize("page", ['<a "', "<a b", "<a x='", '<a x="', "<a x= ", "<!-", "<a b>c<", "<a '\"=", "= '<p"])
+def test_broken_tags_take_linear_time(page):
+    began = time.process_time()
+    html.parse(page * (1_000_000 // len(page)))
+    assert time.process_time() - began < 10
+
+
+def own_texts(page):
+    root, out = html.parse(page), []
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if isinstance(node, str):
+            out.append(node)
+        else:
+            stack += reversed(node.children)
+    return out
+
+
+def test_quotes_open_values_after_an_equals_sign_only():
+    assert own_texts("<p title=it's>Hello world</p><p>B it's c</p>") == ["Hello world", "B it's c"]
+    assert own_texts("<p title=\"a>b\" x='c>d' y = \"e>f\">in</p>") == ["in"]
+    assert own_texts('<p "a>b</p>c') == ["b", "c"]
+    assert own_texts("<p x=\"a>b</p>c <!-- d") == ["b", "c "]
+    assert own_texts("a<!-- b <p>c</p> d") == ["a"]
