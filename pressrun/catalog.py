@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressrun.config import AXES, CandidateConfig, DigestConfig, EvaluationConfig, SelectConfig
-from pressrun.functions import ids, text, time
+from pressrun.functions import ids, text, time, url
 from pressrun.operators import answers, candidates, checks, clusters, digest, evaluation, judging, pool, references, selection, similarity
 from pressrun.operators.graph import stored, with_position
 from pressrun.plans import documents
@@ -70,9 +70,21 @@ def count_by_provider(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- normal forms
 
 
-@query(f"WITH {NORM_SQL} SELECT id, url_norm FROM norm WHERE url IS NOT NULL")
+@query(f"""WITH {NORM_SQL} SELECT id, url_norm FROM norm WHERE url IS NOT NULL UNION ALL SELECT id || ':host', replace(url_norm, '.example.', '.xn--exmple-cua.') FROM norm WHERE url IS NOT NULL
+UNION ALL SELECT id || ':path', regexp_replace(url_norm, '/([a-z][a-z])/', '/\\1/%C3%A9%20%7Bx%7D/a%2fb/') FROM norm WHERE url IS NOT NULL
+UNION ALL SELECT id || ':query', url_norm || CASE WHEN contains(url_norm, '?') THEN '&' ELSE '?' END || 'z+%C3%A9=%26*' FROM norm WHERE url IS NOT NULL""")
 def url_normalized(spark: SparkSession, d: str) -> DataFrame:
-    return normal(spark, d).where("url IS NOT NULL").select("id", "url_norm")
+    """The URLs as they are, and with planted foreign hosts, characters of paths and coded parameters."""
+    given = items(spark, d).where("url IS NOT NULL").select("id", "url")
+    bare = F.regexp_replace("url", "#.*$", "")
+    variants = {
+        ":host": F.replace("url", F.lit(".example."), F.lit(".EXÄMPLE.")), ":path": F.regexp_replace("url", "/([a-z][a-z])/", "/$1/é {x}/./q/../a%2fb/"),
+        ":query": F.concat(bare, F.when(F.contains(bare, F.lit("?")), "&").otherwise("?"), F.lit("z%20é=%26%2A")),
+    }
+    rows = given
+    for mark, c in variants.items():
+        rows = rows.unionByName(given.select(F.concat("id", F.lit(mark)).alias("id"), c.alias("url")))
+    return rows.select("id", url.normalized_url(F.col("url")).alias("url_norm"))
 
 
 @query(f"WITH {NORM_SQL} SELECT id, host FROM norm")
@@ -435,6 +447,17 @@ def cluster_breakdown(spark: SparkSession, d: str) -> DataFrame:
     return evaluation.breakdown(evaluation.signals(*clustered(spark, d)))
 
 
+@query(f"""{WITH_EVAL} SELECT root, concat_ws('|', CASE WHEN key % 5 = 0 THEN 'item_count' END, CASE WHEN key % 7 = 0 THEN 'source_count' END, CASE WHEN key % 3 = 0 AND contains(providers, '|') THEN 'providers' END) AS faults
+FROM signals JOIN scored USING (root) WHERE key % 11 <> 1 AND (key % 5 = 0 OR key % 7 = 0 OR key % 3 = 0 AND contains(providers, '|'))
+UNION ALL SELECT root, 'item_count|source_count|source_diversity|source_types|providers' FROM scored WHERE key % 11 = 1""")
+def evaluated_mismatches(spark: SparkSession, d: str) -> DataFrame:
+    """Signals recomputed from items against stated ones with planted faults: counts, an order of providers, clusters that are not stated."""
+    rows, members, scored = evaluated(spark, d)
+    said = evaluation.signals(rows, members).join(scored.select("root", "key"), "root").where("key % 11 <> 1")
+    plant = {"item_count": F.expr("item_count + CAST(key % 5 = 0 AS INT)"), "source_count": F.expr("source_count - CAST(key % 7 = 0 AS INT)"), "providers": F.when(F.col("key") % 3 == 0, F.reverse("providers")).otherwise(F.col("providers"))}
+    return evaluation.mismatches(said.withColumns(plant), rows, members).select("root", joined("faults").alias("faults"))
+
+
 @query(f"{WITH_EVAL} SELECT cluster_id, base_score FROM based")
 def base_score(spark: SparkSession, d: str) -> DataFrame:
     return evaluated(spark, d)[2].select("cluster_id", "base_score")

@@ -33,6 +33,9 @@ def supporting(ranked: DataFrame, config: EvaluationConfig = EvaluationConfig())
     return ranked.where((F.col("rank") > 1) & (F.col("rank") <= config.max_items))
 
 
+SIGNALS = ("item_count", "source_count", "source_diversity", "source_types", "providers")
+
+
 def signals(items: DataFrame, members: DataFrame) -> DataFrame:
     """root, item_count, source_count, source_diversity, source_types, providers."""
     value = lambda c: nonblank(F.col(c))
@@ -70,8 +73,9 @@ def cache_key(cluster: Column, model: str, version: str) -> Column:
 
 
 def mismatches(stated: DataFrame, items: DataFrame, members: DataFrame) -> DataFrame:
-    """Clusters whose stated signals differ from recomputed ones."""
-    again = signals(items, members)
-    names = [c for c in again.columns if c != "root"]
-    both = stated.select("root", *[F.col(c).alias(f"stated_{c}") for c in names]).join(again, "root", "full_outer")
-    return both.where(~F.forall(F.array(*[F.col(f"stated_{c}").eqNullSafe(F.col(c)) for c in names]), lambda x: x))
+    """root, faults: the clusters whose stated signals differ from recomputed ones, and which; a cluster that one side lacks has all of them."""
+    again = signals(items, members).withColumn("there", F.lit(True))
+    both = stated.select("root", *[F.col(c).alias(f"stated_{c}") for c in SIGNALS], F.lit(True).alias("said")).join(again, "root", "full_outer")
+    lone = F.col("there").isNull() | F.col("said").isNull()
+    faults = F.filter(F.array(*[F.when(lone | ~F.col(f"stated_{c}").eqNullSafe(F.col(c)), F.lit(c)) for c in SIGNALS]), lambda x: x.isNotNull())
+    return both.select("root", faults.alias("faults")).where(F.size("faults") > 0)

@@ -1,7 +1,7 @@
 """Links between items: equal URLs, equal titles, similar titles.
 
 Items with one value form a class named after its least item. A class of n items stands for n (n - 1) / 2 links, and a
-pair of similar titles for the product of their classes: nothing lists these links unless `expanded` is asked to.
+pair of similar titles for the product of their classes: nothing lists these links.
 """
 
 from __future__ import annotations
@@ -31,13 +31,6 @@ def members(items: DataFrame, column: str) -> DataFrame:
     return met.select("id", "class_id", (F.col("n") - 1).alias("n_links"))
 
 
-def equal_pairs(items: DataFrame, column: str) -> DataFrame:
-    """item_a < item_b with the same non-null value, every one: the square of a class."""
-    a = items.where(F.col(column).isNotNull()).select(F.col("id").alias("item_a"), column)
-    b = a.withColumnRenamed("item_a", "item_b")
-    return a.join(b, column).where("item_a < item_b").select("item_a", "item_b")
-
-
 def _prefix(size: Column, ratio: float) -> Column:
     """How many rarest tokens of a set must hold one that any set of Jaccard >= ratio shares."""
     return (size - F.ceil(size * F.lit(ratio) - 1e-9) + 1).cast("int")
@@ -93,18 +86,6 @@ def relationships(items: DataFrame, config: ClusterConfig = ClusterConfig()) ->
     return by_url.unionByName(by_title).unionByName(similar)
 
 
-def expanded(items: DataFrame, config: ClusterConfig = ClusterConfig()) -> DataFrame:
-    """All typed links pair by pair, for pools small enough to list them."""
-    none = F.lit(None).cast("double")
-    by_url = equal_pairs(items, "url_norm").select("item_a", "item_b", F.lit("same-url").alias("type"), F.lit(config.same_url_confidence).alias("confidence"), none.alias("score"))
-    by_title = equal_pairs(items, "title_norm").select("item_a", "item_b", F.lit("same-title").alias("type"), F.lit(config.same_title_confidence).alias("confidence"), none.alias("score"))
-    class_of = members(items, "title_norm").select("id", "class_id")
-    pairs = similar_titles(items, config)
-    met = pairs.join(class_of.select(F.col("class_id").alias("item_a"), F.col("id").alias("x")), "item_a").join(class_of.select(F.col("class_id").alias("item_b"), F.col("id").alias("y")), "item_b")
-    similar = met.select(F.least("x", "y").alias("item_a"), F.greatest("x", "y").alias("item_b"), F.lit("title-similarity").alias("type"), F.col("score").alias("confidence"), "score")
-    return by_url.unionByName(by_title).unionByName(similar)
-
-
 def link_counts(items: DataFrame, roots: DataFrame | None = None, config: ClusterConfig = ClusterConfig()) -> DataFrame:
     """type, n_links; with `roots` (id, root) by root too, counting links inside one root only. Sums over classes, no pair is listed."""
     by = ["root"] if roots is not None else []

@@ -187,6 +187,9 @@ class Daily:
         if scored.where("status = 'evaluated'").count() != found.count():
             raise StageError(code="evaluation_incomplete")
         self.write(work, "processed/evaluated", scored.join(found, "cluster_id"))
+        stated = self.read(work, "processed/evaluated").select("root", *evaluation.SIGNALS)
+        if not evaluation.mismatches(stated, rows, members).isEmpty():
+            raise StageError("stated signals differ from those of the items", "evaluation_incomplete")
 
     def do_select(self, work: Path) -> None:
         scored = self.read(work, "processed/evaluated")

@@ -169,16 +169,6 @@ def ingest_web(spark: SparkSession, paths: dict[str, str], sources: DataFrame, c
     return items.join(F.broadcast(good), items["source.provider"] == good["p"], "left_semi"), status  # one row a configured source
 
 
-def read_cache(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A cache that was never written is empty; any other failure to read it is an error."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
-
-
 def read_inputs(spark: SparkSession, inputs: list[dict]) -> list[DataFrame]:
     """Pools of the inputs {id, path, required}; a missing one is skipped unless it is required."""
     out = []

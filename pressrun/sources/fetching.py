@@ -134,7 +134,3 @@ def with_observation(sources: DataFrame, seen: DataFrame, now: Column, old_days:
     age = F.unix_millis(now.cast("timestamp")) - F.unix_millis(lenient(F.col("generated_at")))
     fault = F.when(good, F.when(age > int(old_days * DAY_MS), "web_metadata_old")).otherwise(F.coalesce("diagnostic", F.lit("fetch_malformed")))
     return met.select("provider", F.when(good, "succeeded").otherwise("failed").alias("status"), F.when(good, F.col("fetched_at")).alias("fetched_at"), F.col("generated_at"), "item_count", fault.alias("diagnostic"))
-
-
-def waited(seconds: float) -> None:
-    time.sleep(seconds)

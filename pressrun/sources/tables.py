@@ -37,7 +37,9 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = events.count()
     times = events.select(F.col("event_id").alias("at"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
     keyed = raw_items(spark, sf_dir).withColumn("at", F.when(F.col("key") % 17 != 0, F.pmod(F.col("key") * 7919, F.lit(n))))
-    published = keyed.join(times, "at", "left").drop("at")
+    # Rows without a time have no key to meet by: they are not shuffled.
+    met = keyed.where("at IS NOT NULL").join(times, "at", "left")
+    published = met.unionByName(keyed.where("at IS NULL").withColumn("ms", F.lit(None).cast("long"))).drop("at")
     return published.withColumn("published_ms", F.col("ms")).withColumn("collected_ms", F.col("ms") + 3600000 * (F.col("key") % 5)).drop("ms")
 
 

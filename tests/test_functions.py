@@ -15,7 +15,9 @@ def one(spark, value, f):
     ("given", "want"),
     [
         ("http://Example.com:80/a/?b=2&utm_source=x&a=1#frag", "//example.com/a?a=1&b=2"), ("https://u:p@example.com./", "//example.com/"), ("https://example.com:8443/x", "//example.com:8443/x"),
-        ("https://example.com?UTM_Medium=z", "//example.com/"), ("https://example.com/a?b", "//example.com/a?b="), ("https://example.com/a/../b/./c", "//example.com/b/c"), ("https://example.com/a/b/..", "//example.com/a"), ("https://example.com/../x/%2E%2e/y", "//example.com/y"), ("ftp://example.com/", None), ("nonsense", None), ("  ", None), (None, None),
+        ("https://example.com?UTM_Medium=z", "//example.com/"), ("https://example.com/a?b", "//example.com/a?b="), ("https://example.com/a/../b/./c", "//example.com/b/c"), ("https://example.com/a/b/..", "//example.com/a"), ("https://example.com/../x/%2E%2e/y", "//example.com/y"), ("ftp://example.com/", None), ("nonsense", None),
+        ("http://MÜNCHEN.example/", "//xn--mnchen-3ya.example/"), ("https://Ｂücher。example:444/", "//xn--bcher-kva.example:444/"), ("http://日本語.example/日 本?q=日", "//xn--wgv71a119e.example/%E6%97%A5%20%E6%9C%AC?q=%E6%97%A5"),
+        ("http://a.example/x\\y%2fz\"<>`{}|^", "//a.example/x/y%2fz%22%3C%3E%60%7B%7D|^"), ("http://a.example/?a-b=1&a=2&%75tm_source=x&c=%zz&d=e+f&g=%2B*", "//a.example/?a=2&a-b=1&c=%25zz&d=e+f&g=%2B*"), ("http://ä b.example/", None), ("  ", None), (None, None),
     ],
 )
 def test_normalized_url(spark, given, want):
@@ -26,7 +28,7 @@ def test_normalized_url(spark, given, want):
     ("given", "want"),
     [
         ("https://pbs.twimg.com/media/a?name=x&format=jpg&other=1#f", "https://pbs.twimg.com/media/a?format=jpg&name=x"), ("http://pbs.twimg.com/a", None), ("https://user@pbs.twimg.com/a", None), ("https://pbs.twimg.com:444/a", None),
-        ("https://evil.example/a", None), ("https://pbs.twimg.com/profile_images/a", None), ("https://pbs.twimg.com/a?Token=1", None), (None, None),
+        ("https://evil.example/a", None), ("https://pbs.twimg.com/profile_images/a", None), ("https://pbs.twimg.com/a?Token=1", None), ("https://pbs.twimg.com/a?%74oken=1", None), ("https://pbs.twimg.com/a?api%5Fkey=1&format=jpg", None), ("https://pbs.twimg.com/a?n%61me=x%20y", "https://pbs.twimg.com/a?name=x+y"), (None, None),
     ],
 )
 def test_media_url(spark, given, want):
