@@ -386,14 +386,34 @@ def judgment_counts(spark: SparkSession, d: str) -> DataFrame:
     return judging.status_counts(judgments(spark, d))
 
 
-@query()
+#: The same merge pair by pair: a row of `walk` for each same-event pair of a component, with what its clusters belong to.
+MERGE_SQL = f"""{CLUSTERS_SQL}, {JUDG_SQL},
+judged AS (SELECT relationship, item_a, item_b, p.root AS x, q.root AS y FROM judg JOIN members p ON p.id = item_a JOIN members q ON q.id = item_b WHERE status = 'ok'),
+ways AS (SELECT x AS a, y AS b FROM judged WHERE relationship = 'same-event' UNION SELECT y, x FROM judged WHERE relationship = 'same-event'),
+part_reach AS (SELECT a AS id, a AS l FROM ways UNION SELECT w.b, r.l FROM part_reach r JOIN ways w ON r.id = w.a),
+part_of AS MATERIALIZED (SELECT id AS root, min(l) AS part FROM part_reach GROUP BY id),
+apart AS MATERIALIZED (SELECT least(item_a, item_b) AS a, greatest(item_a, item_b) AS b, x, y FROM judged WHERE relationship = 'different-event'),
+lists AS MATERIALIZED (SELECT u.part, list({{'a': a, 'b': b, 'x': x, 'y': y}}) AS forbidden FROM apart JOIN part_of u ON u.root = x JOIN part_of v ON v.root = y AND v.part = u.part GROUP BY u.part),
+steps AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY item_a, item_b) AS turn, item_a, item_b, x, y FROM judged JOIN part_of ON root = x WHERE relationship = 'same-event'),
+walk AS (SELECT part, 0::BIGINT AS turn, map_from_entries(list((root, root))) AS belongs, NULL::VARCHAR AS item_a, NULL::VARCHAR AS item_b, NULL::VARCHAR AS conflict_a, NULL::VARCHAR AS conflict_b FROM part_of GROUP BY part
+  UNION ALL SELECT part, turn, CASE WHEN rx <> ry AND bad IS NULL THEN map_from_entries(list_transform(map_entries(belongs), lambda e: (e.key, CASE WHEN e.value IN (rx, ry) THEN least(rx, ry) ELSE e.value END))) ELSE belongs END,
+    item_a, item_b, CASE WHEN rx <> ry THEN bad.a END, CASE WHEN rx <> ry THEN bad.b END
+  FROM (SELECT s.*, list_min(list_filter(coalesce(l.forbidden, []), lambda p: belongs[p.x] IN (rx, ry) AND belongs[p.y] IN (rx, ry))) AS bad
+    FROM (SELECT s.part, s.turn, s.item_a, s.item_b, w.belongs, w.belongs[s.x] AS rx, w.belongs[s.y] AS ry FROM walk w JOIN steps s ON s.part = w.part AND s.turn = w.turn + 1) s LEFT JOIN lists l ON l.part = s.part)),
+ends AS (SELECT part, arg_max(belongs, turn) AS belongs FROM walk GROUP BY part),
+merged AS (SELECT m.id, coalesce(e.belongs[m.root], m.root) AS root FROM members m LEFT JOIN part_of p ON p.root = m.root LEFT JOIN ends e ON e.part = p.part)"""
+
+
+@query(f"""WITH RECURSIVE {MERGE_SQL}, named AS (SELECT root, 'cluster:' || sha256(string_agg(id, chr(10) ORDER BY id)) AS cluster_id, count(*) AS item_count FROM merged GROUP BY root)
+SELECT id, cluster_id, item_count FROM merged JOIN named USING (root)""")
 def semantic_clusters(spark: SparkSession, d: str) -> DataFrame:
     merged, _ = judging.merge(clustered(spark, d)[1], judgments(spark, d))
     merged = stored(merged)
     return clusters.named_members(merged, clusters.clusters(merged)).select("id", "cluster_id", "item_count")
 
 
-@query()
+@query(f"""WITH RECURSIVE {MERGE_SQL} SELECT item_a AS attempted_a, item_b AS attempted_b, conflict_a, conflict_b FROM walk WHERE conflict_a IS NOT NULL
+UNION ALL SELECT NULL, NULL, a, b FROM apart JOIN merged u ON u.id = a JOIN merged v ON v.id = b AND v.root = u.root""")
 def semantic_conflicts(spark: SparkSession, d: str) -> DataFrame:
     return judging.merge(clustered(spark, d)[1], judgments(spark, d))[1]
 
