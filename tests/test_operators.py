@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +51,30 @@ def test_dice_pairs_equal_brute_force(spark):
     assert {(texts[int(r["id_a"])], texts[int(r["id_b"])]): r["score"] for r in found.collect()} == want
 
 
+def test_similar_texts_are_compared_in_tiles_and_kept_small(spark, monkeypatch):
+    """Blocks of sizes and folded sketches of several lengths lose no pair, and what passes the sketches is hardly more than what is similar."""
+    monkeypatch.setattr(similarity, "LEAST_BLOCK", 8)
+    monkeypatch.setattr(similarity, "LEAST_BITS", 64)
+    monkeypatch.setattr(similarity, "STEP", 3)
+    monkeypatch.setattr(similarity, "WIDE", 5)
+    monkeypatch.setattr(similarity, "HELD", 2_000)
+    rnd = random.Random(8)
+    texts = set()
+    for size in (5, 9, 20, 60, 130, 260, 700, 1500):
+        for _ in range(6):
+            text = "".join(rnd.choice("abcdefgh ") for _ in range(size))
+            texts |= {text, *(text[:i] + "x" * rnd.randint(1, 1 + size // 20) + text[i:] for i in rnd.sample(range(size), 2))}
+    texts = sorted(texts)
+    want, grams = {}, {t: Counter(t[i : i + 3] for i in range(len(t) - 2)) for t in texts}
+    for a, b in itertools.combinations(texts, 2):
+        score = int(2 * (grams[a] & grams[b]).total() / (len(a) + len(b) - 4) * 10000 + 0.5) / 10000
+        if score >= 0.9:
+            want[a, b] = score
+    rows = spark.createDataFrame([(f"{i:04}", t) for i, t in enumerate(texts)], "id string, t string")
+    assert {(texts[int(r["id_a"])], texts[int(r["id_b"])]): r["score"] for r in similarity.dice_pairs(rows, 0.9).collect()} == want
+    assert len(want) > 60 and similarity.sketched_pairs(rows, 0.9).count() < 2 * len(want)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_capped_choice_equals_one_by_one(spark, seed):
     rnd = random.Random(seed)
