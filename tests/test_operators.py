@@ -75,6 +75,17 @@ def test_similar_texts_are_compared_in_tiles_and_kept_small(spark, monkeypatch):
     assert len(want) > 60 and similarity.sketched_pairs(rows, 0.9).count() < 2 * len(want)
 
 
+def test_long_texts_are_not_folded_to_the_bits_of_short_ones(spark):
+    """One tile of texts of all sizes: unrelated long texts, and of those folded to a short one's bits nearly all would pass."""
+    rnd = random.Random(5)
+    long_ = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(rnd.randint(9_000, 10_000))) for _ in range(12)]
+    near = [t[:4_000] + "#" + t[4_100:] for t in long_[:3]]
+    texts = ["short words", "short word", *("".join(rnd.choice("abcdefgh ") for _ in range(n)) for n in (40, 300, 1_100, 2_300, 4_700)), *long_, *near]
+    rows = spark.createDataFrame([(f"{i:04}", t) for i, t in enumerate(texts)], "id string, t string")
+    found = {(texts[int(r["id_a"])], texts[int(r["id_b"])]) for r in similarity.sketched_pairs(rows, 0.9).collect()}
+    assert found == {("short words", "short word"), *zip(long_, near)}
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_capped_choice_equals_one_by_one(spark, seed):
     rnd = random.Random(seed)
