@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from pressrun import catalog
 from pressrun.config import SelectConfig
 from pressrun.operators import candidates, checks, clusters, digest, evaluation, graph, judging, naming, pool, references, selection, similarity
 from pressrun.sources import feeds
@@ -86,6 +87,14 @@ def test_long_texts_are_not_folded_to_the_bits_of_short_ones(spark):
     assert found == {("short words", "short word"), *zip(long_, near)}
 
 
+@pytest.mark.parametrize("name", ["cluster_stats", "cluster_review"])
+def test_titles_are_compared_once_for_clusters_and_their_links(spark, monkeypatch, name):
+    compare, calls = similarity.sketched_pairs, []
+    monkeypatch.setattr(similarity, "sketched_pairs", lambda *given: (calls.append(1), compare(*given))[1])
+    assert catalog.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(calls) == 1
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_capped_choice_equals_one_by_one(spark, seed):
     rnd = random.Random(seed)
