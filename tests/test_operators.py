@@ -87,6 +87,32 @@ def test_long_texts_are_not_folded_to_the_bits_of_short_ones(spark):
     assert found == {("short words", "short word"), *zip(long_, near)}
 
 
+def test_clusters_connect_similar_titles_without_all_pairs(spark, monkeypatch):
+    """As few pairs as connect near copies, the same components as all similar pairs, over several tiles and chains of titles."""
+    monkeypatch.setattr(similarity, "LEAST_BLOCK", 40)
+    rnd = random.Random(6)
+    base = "".join(rnd.choice("abcdefgh ") for _ in range(300)) + "z"
+    texts = {base[:i] + "#" + base[i:] for i in rnd.sample(range(300), 60)}  # all alike
+    for _ in range(4):  # chains: only neighbours are alike
+        text = "".join(rnd.choice("abcdefgh ") for _ in range(200)) + "y"
+        for i in range(8):
+            texts.add(text := text + "".join(rnd.choice("klmnop") for _ in range(len(text) // 6)))
+    texts = sorted(texts | {"".join(rnd.choice("rstuvw") for _ in range(n)) for n in range(40, 80)})
+    rows = spark.createDataFrame([(f"{i:04}", t, None) for i, t in enumerate(texts)], "id string, title_norm string, url_norm string")
+    every = {(r["id_a"], r["id_b"]) for r in similarity.dice_pairs(rows.withColumnRenamed("title_norm", "t"), 0.9).collect()}
+    edges = [(r["a"], r["b"]) for r in clusters.forming_edges(rows).collect()]
+    assert set(edges) <= every and len(every) > 1_700 and len(edges) < 200
+
+    def reached(pairs):
+        root = {f"{i:04}": f"{i:04}" for i in range(len(texts))}
+        for _ in root:
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert reached(edges) == reached(every) and len(set(reached(every).values())) < len(texts) - 80
+
+
 @pytest.mark.parametrize("name", ["cluster_stats", "cluster_review"])
 def test_titles_are_compared_once_for_clusters_and_their_links(spark, monkeypatch, name):
     compare, calls = similarity.sketched_pairs, []
