@@ -2,7 +2,7 @@
 
 A pair of bytes that stands side by side inside no token of the vocabulary can never be merged across: a word is
 certainly cut there. Words are split at all such places, the fragments are encoded one by one by the merge
-ranks, and their ids are concatenated. Fragments and pieces repeat, so their results are kept in bounded stores.
+ranks, and their ids are concatenated. Fragments and words repeat, so their results are kept in bounded stores.
 
 Defined cases: null text counts as empty and has no ids (hashes are those of the empty string); special tokens
 in a text get their ids, as the library gives them; repeated rows are each returned; an empty table gives an
@@ -22,13 +22,35 @@ import regex
 from pyspark.sql import DataFrame
 
 from pressrun.llm._base import text_or_empty
-from pressrun.llm.tokens import CHUNK, STORE_BYTES, WORD_PATTERN, Store, byte_letters, path
+from pressrun.llm.tokens import ASCII_SPLIT, ENTRY, STORE_BYTES, WORD_PATTERN, Store, byte_letters, path
 
 END = "</w>"
 #: Letters of a fragment that is merged in a list.
 LONG = 64
 
 
+class Spelled(Store):
+    """Of each word the ids of its tokens as text, and in `names` their names. A new word is encoded when it is asked for."""
+
+    def __init__(self, bpe: ForcedBPE) -> None:
+        super().__init__(2 * STORE_BYTES)
+        self.bpe, self.names = bpe, {}
+
+    def __missing__(self, word: str) -> str:
+        bpe = self.bpe
+        found = [bpe.specials[word]] if word in bpe.specials else bpe.merged(word)
+        ids, names = " ".join(map(str, found)), bpe.decode(found)
+        self.keep(word, ids, len(word) + len(ids) + len(names) + ENTRY)
+        self.names[word] = names
+        return ids
+
+    def full(self) -> bool:
+        if super().full():
+            self.names.clear()
+            return True
+        return False
+
+
 class ForcedBPE:
     """A vocabulary whose words end in a marker, as word_bpe_49k.json."""
 
@@ -42,7 +64,11 @@ class ForcedBPE:
             raise ValueError("a vocabulary with word ends is needed")
         self.ids: dict[str, int] = model["vocab"]
         merges = [x if isinstance(x, list) else x.split(" ") for x in model["merges"]]
-        self.merges = {(a, b): rank for rank, (a, b) in enumerate(merges)}
+        made = [self.ids[a + b] for a, b in merges]
+        if made != sorted(made):
+            raise ValueError("ids that do not follow the order of the merges are no ranks")
+        #: From two ids side by side to the id of both, which is its rank too.
+        self.merges = {self.ids[a] << 32 | self.ids[b]: i for (a, b), i in zip(merges, made)}
         self.specials = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.names = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.specials.items()}
         inside = {t[i : i + 2] for t in (x.removesuffix(END) for x in self.ids) for i in range(len(t) - 1)}
@@ -53,7 +79,8 @@ class ForcedBPE:
         self.normalizer = Tokenizer.from_file(file).normalizer
         self.split = regex.compile(WORD_PATTERN, regex.V0).findall
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")").split
-        self.fragments, self.words, self.pieces = Store(STORE_BYTES // 2), Store(), Store(STORE_BYTES)
+        self.fragments, self.words = Store(STORE_BYTES // 2), Store()
+        self.spelled = Spelled(self)
 
     def cut(self, word: str) -> list[str]:
         """A word in byte letters, split at its forced boundaries."""
@@ -70,47 +97,50 @@ class ForcedBPE:
         """
         if len(symbols) > LONG:
             return self.merge_long(symbols)
-        rank, none = self.merges.get, 1 << 60
-        ranks = [rank(p, none) for p in zip(symbols, symbols[1:])]
+        ids, rank, none = [self.ids[x] for x in symbols], self.merges.get, 1 << 60
+        ranks = [rank(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
         while ranks:
             least = min(ranks)
             if least == none:
                 break
             i = ranks.index(least)
-            symbols[i] += symbols.pop(i + 1)
-            del ranks[i]
+            ids[i] = least
+            del ids[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = rank((symbols[i - 1], symbols[i]), none)
+                ranks[i - 1] = rank(ids[i - 1] << 32 | least, none)
             if i < len(ranks):
-                ranks[i] = rank((symbols[i], symbols[i + 1]), none)
-        return [self.ids[x] for x in symbols]
+                ranks[i] = rank(least << 32 | ids[i + 1], none)
+        return ids
 
     def merge_long(self, symbols: list[str]) -> list[int]:
-        """The same merges from a heap over linked symbols: n log n for a word of n letters."""
-        n, rank = len(symbols), self.merges.get
+        """The same merges from a heap over linked ids: n log n for a word of n letters. -1: merged into the one before."""
+        ids, n, rank = [self.ids[x] for x in symbols], len(symbols), self.merges.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i) for i, p in enumerate(zip(symbols, symbols[1:])) if (r := rank(p)) is not None]
+        heap = [(r, i) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (r := rank(a << 32 | b)) is not None]
         heapify(heap)
         while heap:
             found, i = heappop(heap)
             j = after[i]
-            if j == n or not symbols[i] or rank((symbols[i], symbols[j])) != found:
+            if j == n or ids[i] < 0 or rank(ids[i] << 32 | ids[j]) != found:
                 continue  # one of the two has merged since
-            symbols[i] += symbols[j]
-            symbols[j] = ""
+            ids[i], ids[j] = found, -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
-                if (r := rank((symbols[i], symbols[after[i]]))) is not None:
+                if (r := rank(found << 32 | ids[after[i]])) is not None:
                     heappush(heap, (r, i))
-            if before[i] >= 0 and (r := rank((symbols[before[i]], symbols[i]))) is not None:
+            if before[i] >= 0 and (r := rank(ids[before[i]] << 32 | found)) is not None:
                 heappush(heap, (r, before[i]))
-        return [self.ids[x] for x in symbols if x]
+        return [x for x in ids if x >= 0]
 
     def word(self, word: str) -> list[int]:
         out = self.words.get(word)
-        if out is not None:
-            return out
+        if out is None:
+            out = self.merged(word)
+            self.words.keep(word, out, len(word) + 8 * len(out))
+        return out
+
+    def merged(self, word: str) -> list[int]:
         mapped = word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode()])
         out = []
         parts = self.cut(mapped)
@@ -126,44 +156,35 @@ class ForcedBPE:
                 if len(parts) > 1:  # a word of one fragment is kept as a word
                     self.fragments.keep(key, found, len(key) + 8 * len(found))
             out += found
-        self.words.keep(word, out, len(word) + 8 * len(out))
         return out
 
-    def plain(self, text: str) -> list[int]:
-        text = text.lower() if text.isascii() else self.normalizer.normalize_str(text)
-        return [i for x in self.split(text) for i in self.word(x)]
+    def plain(self, text: str) -> list[str]:
+        """The words of a text without special tokens."""
+        return ASCII_SPLIT(text.lower()) if text.isascii() else self.split(self.normalizer.normalize_str(text))
 
-    def piece(self, text: str) -> list[int]:
+    def parted(self, text: str) -> list[str]:
+        """The words and special tokens of a text. No word reads like a special token, which has letters and signs."""
         if "<|" not in text:
             return self.plain(text)
-        return [i for x in self.special_split(text) for i in ([self.specials[x]] if x in self.specials else self.plain(x))]
+        return [w for x in self.special_split(text) for w in ([x] if x in self.specials else self.plain(x))]
 
     def decode(self, ids: list[int]) -> str:
         """As the library decodes a vocabulary without a decoder: the names of the tokens, joined by blanks."""
         return " ".join([self.names[i] for i in ids])
 
     def encode(self, text: str) -> list[int]:
-        return [i for x in text.split(" ") for i in self.piece(x)]
+        return [i for w in self.parted(text) for i in ([self.specials[w]] if w in self.specials else self.word(w))]
 
     def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        """Number of ids, SHA-256 of the ids and of the decoded text, of each text. White space parts words, so pieces between blanks stand alone."""
-        out, start, known = [], 0, self.pieces
-        sha = lambda x: hashlib.sha256(" ".join(filter(None, x)).encode()).hexdigest()
-        while start < len(texts):
-            for store in (self.pieces, self.words, self.fragments):
-                store.full()
-            cut, size = [], 0
-            while start < len(texts) and (size < CHUNK or not cut):
-                cut.append(texts[start].split(" "))
-                size += len(texts[start])
-                start += 1
-            for x in set().union(*cut).difference(known):
-                found = self.piece(x)
-                kept = (len(found), " ".join(map(str, found)), self.decode(found))
-                known.keep(x, kept, len(x) + len(kept[1]) + len(kept[2]) + 200)
-            for pieces in cut:
-                counts, ids, names = zip(*map(known.__getitem__, pieces))
-                out.append((sum(counts), sha(ids), sha(names)))
+        """Number of ids, SHA-256 of the ids and of the decoded text, of each text. Both are put together from what is kept of each distinct word."""
+        out, spelled, names = [], self.spelled.__getitem__, self.spelled.names.__getitem__
+        sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+        for text in texts:
+            self.fragments.full()
+            self.spelled.full()
+            words = self.parted(text)
+            ids = " ".join(map(spelled, words))  # learns new words, names too
+            out.append((ids.count(" ") + 1 if words else 0, sha(ids), sha(" ".join(map(names, words)))))
         return out
 
     def digest(self, text: str) -> tuple[int, str, str]:

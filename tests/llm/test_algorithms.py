@@ -38,6 +38,26 @@ def test_forced_boundaries_give_the_library_ids_and_text():
         assert b == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_texts_are_split_whole_and_words_encoded_once(monkeypatch):
+    """No work for each piece between blanks: a text is normalised and split in one pass, and a word is merged once, whatever stands beside it and however small the store."""
+    own, library = bpe.ForcedBPE(tokens.path("word_bpe_49k.json")), Tokenizer.from_file(tokens.path("word_bpe_49k.json"))
+    split, merged = [], []
+    monkeypatch.setattr(own, "plain", lambda t, f=own.plain: (split.append(t), f(t))[1])
+    monkeypatch.setattr(own, "merged", lambda w, f=own.merged: (merged.append(w), f(w))[1])
+    rnd = random.Random(3)
+    found = ["".join(rnd.choice(["Wort", "mañana", "日本", "don't", "x1", "\x1c", "\x85"]) + rnd.choice([" ", "\n", ". ", "\t,", "\u3000", "  "]) for _ in range(200)) for _ in range(20)]
+    found += ["a<|endoftext|>b <|startoftext|>\n<|x", "", " \n "]
+
+    def want(text):
+        ids = library.encode(text, add_special_tokens=False).ids
+        return len(ids), *(hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, ids)), library.decode(ids, skip_special_tokens=False)))
+
+    assert own.digests(found) == [want(x) for x in found]
+    assert len(split) <= len(found) + 5 and len(merged) == len(set(merged))
+    own.spelled.most = 1_000
+    assert own.digests(found) == [want(x) for x in found] and len(own.spelled.names) == len(own.spelled) < 40
+
+
 def test_a_full_store_starts_anew(monkeypatch):
     store = tokens.Store(2 * tokens.ENTRY + 10)
     for i in range(7):
