@@ -14,7 +14,8 @@ Every cut of a candidate is scored with the counts of both parts, which are freq
 reached from it by suffix links, from each of its fronts. Products are decimals of 38 digits. The first rows of a language
 are chosen among the first of each of SALTS parts of its candidates, so no task ranks a whole language.
 
-Skew: a phrase is one record of a shard however often it occurs; frequent parts are joined by `join_hot`. Memory: a shard
+Skew: a phrase is one record of a shard however often it occurs, and a shard sends a row for each part of its phrases, so rows are shards times
+parts and phrases are added up part by part; frequent parts are joined by `join_hot`. Memory: a shard
 is about SHARD_BYTES of texts, a longer text is a shard of its own (about 30 times its bytes); a lost task is run again from its texts.
 
 Defined cases: null text counts as empty, null lang as `und`; rows are counted as they come, so repeated rows and null doc_ids
@@ -28,10 +29,12 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import count
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -222,22 +225,43 @@ def frequent(texts: DataFrame, filters: list[np.ndarray], least: int, parts: int
     return out
 
 
-def counts(texts: DataFrame, filters: list[np.ndarray], depth: int, least: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """lang, phrase, n of all phrases of up to `depth` words that occur `least` times, and of each lang, with an empty phrase, all words."""
+def sent(texts: DataFrame, filters: list[np.ndarray], depth: int, parts: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """part, lang, phrases, n: of each shard a row for each part of its phrases, with their counts; an empty phrase stands for all words."""
     given = texts.sparkSession.sparkContext.broadcast(filters)
 
     def count_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, ids, words in shards(batches, shard_bytes):
             found = states(automaton(ids, word_hashes(lang, words), depth, given.value))
             names, times = phrases(found, ids, [w.decode("utf-8", "replace") for w in words])
-            names.append("")
-            times.append(int((ids > 0).sum()))
-            for i in range(0, len(names), 100_000):
-                some = names[i : i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some)), pa.array(some, pa.string()), pa.array(times[i : i + 100_000], pa.int64())], ["lang", "phrase", "n"])
+            data = [x.encode() for x in [*names, ""]]
+            n = np.array([*times, int((ids > 0).sum())], "u4")  # words of one shard
+            seed = crc32(lang.encode())
+            part = np.fromiter((crc32(x, seed) for x in data), "i8", len(data)) % parts
+            order = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            kept = np.flatnonzero(np.diff(cuts))
+            some = [order[cuts[i] : cuts[i + 1]] for i in kept]
+            columns = [pa.array(kept, pa.int64()), pa.array([lang] * len(kept), pa.string()), pa.array([b"\n".join([data[j] for j in x.tolist()]) for x in some], pa.binary()), pa.array([n[x].tobytes() for x in some], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "lang", "phrases", "n"])
+
+    return texts.mapInArrow(lean(count_), "part long, lang string, phrases binary, n binary")
+
+
+def counts(texts: DataFrame, filters: list[np.ndarray], depth: int, least: int, shard_bytes: int = SHARD_BYTES, parts: int | None = None) -> DataFrame:
+    """lang, phrase, n of all phrases of up to `depth` words that occur `least` times, and of each lang, with an empty phrase, all words."""
+
+    def add(group: pa.Table) -> pa.Table:
+        langs: list[pa.Array] = []
+        names: list[pa.Array] = []
+        for lang, data in zip(group["lang"].to_pylist(), group["phrases"]):
+            names.append(pa.array(data.as_py().split(b"\n"), pa.binary()).cast(pa.string()))  # no phrase has a line break
+            langs.append(pa.repeat(lang, len(names[-1])))
+        n = np.frombuffer(b"".join(group["n"].to_pylist()), "u4").astype("i8")
+        rows = pa.table({"lang": pa.chunked_array(langs, pa.string()), "phrase": pa.chunked_array(names, pa.string()), "n": n})
+        total = rows.group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["lang", "phrase", "n"])
+        return total.filter(pc.or_(pc.greater_equal(total["n"], least), pc.equal(total["phrase"], "")))
 
-    rows = texts.mapInArrow(lean(count_), "lang string, phrase string, n long")
-    return rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("phrase") == ""))
+    return sent(texts, filters, depth, parts or shuffle_parts(texts.sparkSession), shard_bytes).groupBy("part").applyInArrow(add, "lang string, phrase string, n long")
 
 
 def mine(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, top: int = TOP, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -248,7 +272,7 @@ def mine(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, top: int = TOP
     parts, filters = max(shuffle_parts(spark), size // PART_BYTES + 1), []
     for _ in range(max(1, depth - 1)):
         filters.append(frequent(texts, filters, least, parts, shard_bytes))
-    known = materialize(counts(texts, filters, depth, least, shard_bytes), "phrases")
+    known = materialize(counts(texts, filters, depth, least, shard_bytes, parts), "phrases")
     words = known.where("phrase = '' AND n > 0").select("lang", F.col("n").alias("n"))
     named = known.where("phrase <> ''").withColumn("key", F.concat_ws(" ", "lang", "phrase"))
     found = named.where(F.col("phrase").contains(" ")).select("lang", "phrase", F.col("n").alias("a"), F.split("phrase", " ").alias("w"))

@@ -117,6 +117,20 @@ def test_a_full_bitmap_only_lets_more_pass(spark):
     assert {tuple(r) for r in phrases.counts(texts, [full, full], 4, 3).collect()} == {tuple(r) for r in phrases.counts(texts, [], 4, 3).collect()}
 
 
+def test_a_shard_sends_a_row_a_part(spark):
+    """More frequent phrases in a shard are no more rows, and no phrase is lost."""
+    rows = some_texts(7)
+    texts = docs_of(spark, rows).select(F.coalesce("text", F.lit("")).cast("binary").alias("text"), F.coalesce("lang", F.lit("und")).alias("lang")).coalesce(1)
+    found = phrases.counts(texts, [], 4, 1).collect()
+    sent = phrases.sent(texts, [], 4, 5).collect()
+    assert len({(r["lang"], r["part"]) for r in sent}) == len(sent) <= 3 * 5 < len(found)
+    told = Counter()
+    for r in sent:
+        for x, n in zip(r["phrases"].split(b"\n"), np.frombuffer(r["n"], "u4"), strict=True):
+            told[r["lang"], x.decode()] += int(n)
+    assert told == {(r["lang"], r["phrase"]): r["n"] for r in found}
+
+
 def test_phrases_of_empty_tables(spark):
     assert phrases.mine(spark.createDataFrame([], DOCS)).count() == 0
     assert phrases.mine(docs_of(spark, [(1, None, None), (2, "", "en")])).count() == 0
